@@ -54,29 +54,28 @@ class Cut:
         return df.join(F.broadcast(renamed), on, "left").drop(*[f"_k_{k}" for k in self.group])
 
 
-def cut_points(df: DataFrame, cols: list[str], parts: int = PARTS, sample: int = SAMPLE) -> list:
-    """At most ``parts - 1`` tuples of ``cols`` that split the rows evenly.
+def cut_points(df: DataFrame, cols: list[str], parts: int = PARTS, sample: int = SAMPLE) -> str | None:
+    """At most ``parts - 1`` tuples of ``cols`` that split the rows evenly, as one JSON text.
 
-    Like a range partitioner's sample this is a small driver-side list: ``sample`` rows are
-    ranked by hash on the executors and only the chosen tuples come back. An input smaller
-    than the sample needs no cutting.
+    Like a range partitioner's sample this is a small constant fetched before the plan is
+    built: each task keeps the ``sample`` rows with the smallest hash and only the chosen
+    tuples come back. An input smaller than the sample needs no cutting (None).
     """
     t = F.struct(*[F.col(c) for c in cols])
     drawn = df.select(t.alias("t")).orderBy(F.xxhash64("t"), F.col("t")).limit(sample)
-    ranked = drawn.withColumn("i", F.row_number().over(Window.orderBy("t"))).withColumn("n", F.count("*").over(Window.partitionBy()))
-    step = F.floor(F.col("i") * parts / F.col("n"))
-    chosen = ranked.filter(F.col("n") >= sample).groupBy(step.alias("s")).agg(F.min("t").alias("t")).filter((F.col("s") > 0) & (F.col("s") < parts))
-    return [r.t for r in chosen.select("t").distinct().orderBy("t").collect()]
+    s = F.sort_array(F.collect_list("t"))
+    every = F.transform(F.sequence(F.lit(1), F.lit(parts - 1)), lambda i: F.get("s", (i * F.size("s") / parts).cast("int")))
+    row = drawn.agg(s.alias("s")).select(F.size("s").alias("n"), F.to_json(F.array_distinct(every)).alias("edges")).first()
+    return row.edges if row.n >= sample else None
 
 
 def cut(df: DataFrame, keys, order, parts: int = PARTS, sample: int = SAMPLE) -> Cut:
     keys, order = _names(keys), _names(order)
     cols = keys + order
-    kinds = {f.name: f.dataType for f in df.select(*cols).schema.fields}
-    as_struct = lambda t: F.struct(*[F.lit(t[c]).cast(kinds[c]).alias(c) for c in cols])
+    kinds = df.select(*cols).schema
+    kind = "array<struct<" + ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in kinds.fields) + ">>"
     points = cut_points(df, cols, parts, sample)
-    kind = "array<struct<" + ",".join(f"`{c}`:{kinds[c].simpleString()}" for c in cols) + ">>"
-    edges = (F.array(*[as_struct(p) for p in points]) if points else F.array()).cast(kind)
+    edges = F.from_json(F.lit(points or "[]"), kind)
     me = F.struct(*[F.col(c) for c in cols])
     rows = df.withColumn("_chunk", F.size(F.filter(edges, lambda e: e < me)))
     if keys:
@@ -84,28 +83,30 @@ def cut(df: DataFrame, keys, order, parts: int = PARTS, sample: int = SAMPLE) ->
         spans = F.exists(edges, lambda e: F.struct(*[e[k].alias(k) for k in keys]).eqNullSafe(key))
     else:
         spans = F.lit(True)
-    return Cut(rows, keys, order, edges, spans, not points)
+    return Cut(rows, keys, order, edges, spans, points is None)
 
 
-def _before(c: Cut, totals: DataFrame, value: str) -> DataFrame:
-    w = Window.partitionBy(*c.keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    return totals.withColumn("_before", F.sum(value).over(w)).select(*c.group, "_before")
+def running(df: DataFrame, keys, order, sums: dict[str, Column | str], **kw) -> DataFrame:
+    """Running totals up to and including the row, several in one pass; ``keys + order`` must be unique."""
+    values = {f"_v{i}": F.col(v) if isinstance(v, str) else v for i, v in enumerate(sums.values())}
+    c = cut(df.withColumns(values), keys, order, **kw)
+    w = c.window().rowsBetween(Window.unboundedPreceding, 0)
+    local = c.rows.withColumns({out: F.sum(v).over(w) for out, v in zip(sums, values, strict=True)})
+    totals = c.spanning().groupBy(*c.group).agg(*[F.sum(v).alias(v) for v in values])
+    earlier = Window.partitionBy(*c.keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(*c.group, *[F.sum(v).over(earlier).alias(f"_b{v}") for v in values])
+    out = c.attach(local, carried)
+    out = out.withColumns({o: F.col(o) + F.coalesce(f"_b{v}", F.lit(0)) for o, v in zip(sums, values, strict=True)})
+    return out.drop("_chunk", *values, *[f"_b{v}" for v in values])
 
 
 def running_sum(df: DataFrame, keys, order, value, out: str, **kw) -> DataFrame:
-    """Running total of ``value`` up to and including the row; ``keys + order`` must be unique."""
-    c = cut(df.withColumn("_v", F.col(value) if isinstance(value, str) else value), keys, order, **kw)
-    local = c.rows.withColumn(out, F.sum("_v").over(c.window().rowsBetween(Window.unboundedPreceding, 0)))
-    carried = _before(c, c.spanning().groupBy(*c.group).agg(F.sum("_v").alias("_t")), "_t")
-    return c.attach(local, carried).withColumn(out, F.col(out) + F.coalesce("_before", F.lit(0))).drop("_before", "_chunk", "_v")
+    return running(df, keys, order, {out: value}, **kw)
 
 
 def row_numbers(df: DataFrame, keys, order, out: str = "rn", **kw) -> DataFrame:
     """Position of each row within its key; ``keys + order`` must be unique."""
-    c = cut(df, keys, order, **kw)
-    local = c.rows.withColumn(out, F.row_number().over(c.window()).cast("bigint"))
-    carried = _before(c, c.spanning().groupBy(*c.group).agg(F.count("*").alias("_t")), "_t")
-    return c.attach(local, carried).withColumn(out, F.col(out) + F.coalesce("_before", F.lit(0))).drop("_before", "_chunk")
+    return running(df, keys, order, {out: F.lit(1).cast("bigint")}, **kw)
 
 
 def neighbours(df: DataFrame, keys, order, previous: dict[str, str] | None = None, following: dict[str, str] | None = None, **kw) -> DataFrame:
@@ -200,8 +201,7 @@ def value_ranks(df: DataFrame, keys, value: str, **kw) -> DataFrame:
     """
     keys = _names(keys)
     counts = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    ranked = row_numbers(counts, keys, [value], "dense_rank", **kw)
-    ranked = running_sum(ranked, keys, [value], "_n", "_upto", **kw)
+    ranked = running(counts, keys, [value], {"dense_rank": F.lit(1).cast("bigint"), "_upto": "_n"}, **kw)
     totals = df.groupBy(*keys).agg(F.count("*").alias("_all")) if keys else None
     if keys:
         ranked = ranked.join(totals, keys)

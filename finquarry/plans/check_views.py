@@ -84,4 +84,48 @@ VIEWS: dict[str, str] = {
                CASE WHEN customer_id % 11 <> 0 THEN balance END AS balance, segment
         FROM b_snap_old WHERE customer_id % 13 <> 0
         UNION ALL SELECT customer_id + 100000000, 'New ' || name, nation, balance, segment FROM b_snap_old WHERE customer_id % 17 = 0""",
+    "s_customers": """
+        SELECT customer_id, upper(trim(customer_name)) AS customer_name, dob AS date_of_birth,
+               CASE upper(gender) WHEN 'M' THEN 'MALE' WHEN 'FEMALE' THEN 'FEMALE' ELSE 'OTHER' END AS gender,
+               upper(nationality) AS nationality, pan_number,
+               CASE WHEN regexp_matches(trim(email), '^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}$') THEN lower(trim(email)) END AS email,
+               CASE WHEN regexp_matches(phone, '^[0-9]{10,15}$') THEN phone END AS phone, city, region, segment, created_date, last_updated
+        FROM b_customers""",
+    "s_accounts": """
+        SELECT account_id, customer_id,
+               CASE upper(trim(account_type)) WHEN 'SAV' THEN 'SAVINGS' WHEN 'CURRENT' THEN 'CURRENT' WHEN 'FD' THEN 'FIXED_DEPOSIT' WHEN 'RD' THEN 'RECURRING_DEPOSIT' ELSE 'OTHER' END AS account_type_standardized,
+               opening_date, greatest(current_balance, 0::DECIMAL(18,2)) AS current_balance, greatest(available_balance, 0::DECIMAL(18,2)) AS available_balance,
+               least(available_balance, greatest(current_balance, 0::DECIMAL(18,2))) AS available_balance_safe,
+               CASE upper(trim(status)) WHEN 'ACTIVE' THEN 'ACTIVE' WHEN 'C' THEN 'CLOSED' WHEN 'D' THEN 'DORMANT' WHEN 'FROZEN' THEN 'FROZEN' ELSE 'UNKNOWN' END AS status_standardized,
+               branch_code, last_updated
+        FROM b_accounts WHERE opening_date <= DATE '2001-08-02'""",
+    "s_transactions": """
+        SELECT txn_id, account_id, CASE upper(trim(txn_type)) WHEN 'CR' THEN 'CREDIT' WHEN 'WITHDRAWAL' THEN 'DEBIT' WHEN 'TRF' THEN 'TRANSFER' ELSE 'OTHER' END AS txn_type_standardized,
+               amount, txn_date, txn_timestamp, description,
+               CASE upper(channel) WHEN 'ATM' THEN 'ATM' WHEN 'APP' THEN 'MOBILE' WHEN 'WEB' THEN 'ONLINE' WHEN 'COUNTER' THEN 'BRANCH' WHEN 'UPI' THEN 'UPI' ELSE 'OTHER' END AS channel_standardized,
+               status, dayofweek(txn_date) IN (0, 6) AS is_weekend,
+               CASE WHEN hour(txn_timestamp) BETWEEN 6 AND 11 THEN 'MORNING' WHEN hour(txn_timestamp) BETWEEN 12 AND 17 THEN 'AFTERNOON' WHEN hour(txn_timestamp) BETWEEN 18 AND 22 THEN 'EVENING' ELSE 'NIGHT' END AS time_bucket
+        FROM b_transactions WHERE amount > 0 AND txn_date BETWEEN DATE '1995-01-01' AND DATE '2001-08-02'""",
+    "s_cards": """
+        SELECT card_number, customer_id, CASE upper(trim(card_type)) WHEN 'VISA' THEN 'VISA' WHEN 'MC' THEN 'MASTERCARD' WHEN 'AMEX' THEN 'AMEX' WHEN 'RUPAY' THEN 'RUPAY' ELSE 'OTHER' END AS card_brand,
+               card_limit, credit_used, 'XXXX-XXXX-XXXX-' || right(card_number, 4) AS card_number_masked, greatest(card_limit - credit_used, 0) AS available_credit,
+               credit_used::DOUBLE * 100.0::DOUBLE / nullif(card_limit::DOUBLE, 0) AS utilization_pct, expiry_date, upper(trim(status)) AS status, last_updated
+        FROM b_cards WHERE card_limit > 0 AND expiry_date > DATE '2001-08-02'""",
+    "s_loans": """
+        SELECT loan_id, customer_id,
+               CASE upper(loan_type) WHEN 'HL' THEN 'HOME_LOAN' WHEN 'PERSONAL' THEN 'PERSONAL_LOAN' WHEN 'CAR' THEN 'CAR_LOAN' WHEN 'BL' THEN 'BUSINESS_LOAN' WHEN 'ED' THEN 'EDUCATION_LOAN' WHEN 'GOLD' THEN 'GOLD_LOAN' ELSE 'OTHER' END AS loan_type_standardized,
+               principal_amount, greatest(principal_outstanding, 0::DECIMAL(18,2)) AS principal_outstanding, interest_rate,
+               CASE WHEN interest_rate < 8 THEN 'LOW' WHEN interest_rate <= 12 THEN 'MEDIUM' ELSE 'HIGH' END AS interest_rate_band,
+               tenure_months, emi_amount, disbursement_date, maturity_date, CASE WHEN maturity_date >= DATE '2001-08-02' THEN 'ACTIVE' ELSE 'MATURED' END AS loan_status, last_updated
+        FROM b_loans WHERE principal_amount > 0 AND interest_rate > 0 AND interest_rate < 30""",
+    "s_payments": """
+        SELECT payment_id, loan_id, payment_date, amount,
+               CASE upper(payment_mode) WHEN 'AUTO-DEBIT' THEN 'AUTO_DEBIT' WHEN 'NEFT' THEN 'BANK_TRANSFER' WHEN 'CHQ' THEN 'CHEQUE' WHEN 'CASH' THEN 'CASH' WHEN 'UPI' THEN 'UPI' ELSE 'OTHER' END AS payment_mode_standardized,
+               CASE upper(status) WHEN 'CLEARED' THEN 'SUCCESS' WHEN 'PROCESSING' THEN 'PENDING' WHEN 'BOUNCED' THEN 'FAILED' ELSE 'UNKNOWN' END AS status_standardized
+        FROM b_loan_payments WHERE amount > 0 AND payment_date BETWEEN DATE '1995-01-01' AND DATE '2001-08-02'""",
+    "s_card_txns": """
+        SELECT txn_id, card_number, trim(merchant_name) AS merchant_name, upper(trim(merchant_category)) AS merchant_category, amount, txn_date, txn_timestamp,
+               CASE upper(txn_type) WHEN 'SALE' THEN 'PURCHASE' WHEN 'REFUND' THEN 'REFUND' WHEN 'CASHBACK' THEN 'CASHBACK' ELSE 'OTHER' END AS txn_type_standardized,
+               amount > 150 AS high_value_flag, hour(txn_timestamp) BETWEEN 0 AND 5 AS unusual_time_flag, dayofweek(txn_date) IN (0, 6) AS weekend_flag, upper(status) AS status
+        FROM b_card_txns WHERE amount > 0 AND txn_date BETWEEN DATE '2020-01-01' AND DATE '2024-01-31'""",
 }
