@@ -174,10 +174,16 @@ def row_frame(df: DataFrame, keys, order, before: int, after: int, columns: dict
 
 
 def trailing_range(df: DataFrame, keys, ts: str, width, columns: dict[str, Column], **kw) -> DataFrame:
-    """Aggregates over rows of the same key whose number ``ts`` lies in ``[t - width, t]``.
+    """Aggregates over rows of the same key whose number ``ts`` lies in ``[t - width, t]``."""
+    return trailing_ranges(df, keys, ts, {width: columns}, **kw)
+
+
+def trailing_ranges(df: DataFrame, keys, ts: str, frames: dict, **kw) -> DataFrame:
+    """Several trailing ranges in one pass: ``{3600: {"n_1h": F.count("*")}, 86400: {...}}``.
 
     A row close before a chunk edge is also sent, as context, to the chunks it can reach.
     """
+    width = max(frames)
     c = cut(df, keys, [ts], **kw)
     key = F.struct(*[F.col(k) for k in c.keys]) if c.keys else None
 
@@ -185,13 +191,16 @@ def trailing_range(df: DataFrame, keys, ts: str, width, columns: dict[str, Colum
         hit = (e[ts] >= F.col(ts)) & (e[ts] < F.col(ts) + width)
         return hit & F.struct(*[e[k].alias(k) for k in c.keys]).eqNullSafe(key) if c.keys else hit
 
-    # the chunk behind edge number i (0-based) is chunk i + 1
-    positions = F.transform(c.edges, lambda e, i: F.when(reached(e), i + 1))
-    extra = F.filter(positions, lambda p: p.isNotNull() & (p > F.col("_chunk")))
-    rows = c.rows.withColumn("_to", F.explode(F.concat(F.array("_chunk"), extra)))
-    rows = rows.withColumn("_ctx", F.col("_to") != F.col("_chunk")).withColumn("_chunk", F.col("_to"))
-    w = Window.partitionBy(*c.group).orderBy(ts).rangeBetween(-width, 0)
-    return rows.withColumns({n: a.over(w) for n, a in columns.items()}).filter(~F.col("_ctx")).drop("_ctx", "_to", "_chunk")
+    rows = c.rows.withColumn("_ctx", F.lit(False))
+    if not c.single:
+        # the chunk behind edge number i (0-based) is chunk i + 1
+        positions = F.transform(c.edges, lambda e, i: F.when(reached(e), i + 1))
+        extra = F.filter(positions, lambda p: p.isNotNull() & (p > F.col("_chunk")))
+        rows = c.rows.withColumn("_to", F.explode(F.concat(F.array("_chunk"), extra)))
+        rows = rows.withColumn("_ctx", F.col("_to") != F.col("_chunk")).withColumn("_chunk", F.col("_to")).drop("_to")
+    w = Window.partitionBy(*c.group).orderBy(ts)
+    out = rows.withColumns({n: a.over(w.rangeBetween(-size, 0)) for size, columns in frames.items() for n, a in columns.items()})
+    return out.filter(~F.col("_ctx")).drop("_ctx", "_chunk")
 
 
 def value_ranks(df: DataFrame, keys, value: str, **kw) -> DataFrame:

@@ -128,4 +128,18 @@ VIEWS: dict[str, str] = {
                CASE upper(txn_type) WHEN 'SALE' THEN 'PURCHASE' WHEN 'REFUND' THEN 'REFUND' WHEN 'CASHBACK' THEN 'CASHBACK' ELSE 'OTHER' END AS txn_type_standardized,
                amount > 150 AS high_value_flag, hour(txn_timestamp) BETWEEN 0 AND 5 AS unusual_time_flag, dayofweek(txn_date) IN (0, 6) AS weekend_flag, upper(status) AS status
         FROM b_card_txns WHERE amount > 0 AND txn_date BETWEEN DATE '2020-01-01' AND DATE '2024-01-31'""",
+    "m_c360": """
+        SELECT customer_id, customer_name, email, phone, city, region, coalesce(an, 0) AS total_accounts, coalesce(sv, 0) AS savings_accounts, coalesce(cu, 0) AS current_accounts, coalesce(bal, 0) AS total_balance, coalesce(av, 0) AS total_available_balance,
+               coalesce(kn, 0) AS total_cards, coalesce(lim, 0) AS total_card_limit, coalesce(used, 0) AS total_card_outstanding, coalesce(used * 100.0::DOUBLE / lim, 0) AS avg_card_utilization_pct,
+               coalesce(ln, 0) AS total_loans, coalesce(la, 0) AS total_loan_amount, coalesce(lo, 0) AS total_loan_outstanding, coalesce(emi, 0) AS total_monthly_emi,
+               coalesce(tn, 0) AS txn_count_30d, coalesce(tc, 0) AS total_credits_30d, coalesce(td, 0) AS total_debits_30d,
+               coalesce(bal, 0) + coalesce(lim, 0) - coalesce(lo, 0) AS net_relationship_value,
+               CASE WHEN coalesce(lo, 0) > 500000 THEN 'HIGH' WHEN coalesce(lo, 0) > 200000 THEN 'MEDIUM' ELSE 'LOW' END AS credit_exposure_band,
+               CASE WHEN coalesce(bal, 0) + coalesce(lim, 0) - coalesce(lo, 0) >= 60000 THEN 'PLATINUM' WHEN coalesce(bal, 0) + coalesce(lim, 0) - coalesce(lo, 0) >= 40000 THEN 'GOLD' WHEN coalesce(bal, 0) + coalesce(lim, 0) - coalesce(lo, 0) >= 10000 THEN 'SILVER' ELSE 'STANDARD' END AS customer_segment,
+               CASE WHEN coalesce(tn, 0) > 1 THEN 'HIGH' WHEN coalesce(tn, 0) > 0 THEN 'MEDIUM' ELSE 'LOW' END AS engagement_level
+        FROM s_customers
+        LEFT JOIN (SELECT customer_id, count(*) AS an, count(*) FILTER (WHERE account_type_standardized = 'SAVINGS') AS sv, count(*) FILTER (WHERE account_type_standardized = 'CURRENT') AS cu, sum(current_balance)::DOUBLE AS bal, sum(available_balance)::DOUBLE AS av FROM s_accounts GROUP BY 1) USING (customer_id)
+        LEFT JOIN (SELECT customer_id, count(*) AS kn, sum(card_limit)::DOUBLE AS lim, sum(credit_used)::DOUBLE AS used FROM s_cards GROUP BY 1) USING (customer_id)
+        LEFT JOIN (SELECT customer_id, count(*) AS ln, sum(principal_amount)::DOUBLE AS la, sum(principal_outstanding)::DOUBLE AS lo, sum(emi_amount)::DOUBLE AS emi FROM s_loans GROUP BY 1) USING (customer_id)
+        LEFT JOIN (SELECT customer_id, count(*) AS tn, (sum(amount) FILTER (WHERE txn_type_standardized = 'CREDIT'))::DOUBLE AS tc, (sum(amount) FILTER (WHERE txn_type_standardized = 'DEBIT'))::DOUBLE AS td FROM s_transactions JOIN s_accounts USING (account_id) WHERE txn_date >= DATE '2001-07-03' GROUP BY 1) USING (customer_id)""",
 }
