@@ -186,20 +186,26 @@ def sessions(events: DataFrame, user: str, ts: str, tie: str, gap_seconds: int)
     return e.groupBy(user, "session_no").agg(F.min(ts).alias("session_start"), F.max(ts).alias("session_end"), F.count("*").alias("events"))
 
 
-def affinity(lines: DataFrame, order: str, product: str, min_count: int) -> DataFrame:
+def affinity(lines: DataFrame, order: str, product: str, min_count: int, large: int = 200) -> DataFrame:
     """Pairs of products bought together in at least ``min_count`` orders, with their support.
 
-    A pair can only be frequent if both products are, so rare products go before pairs are
-    formed, and the pairs come from an equi-join on the order. Pair counts combine on the
-    map side.
+    A pair can only be frequent if both products are, so rare products go first. Very large
+    baskets never have their pairs formed: with at most ``min_count - 1`` of them set aside,
+    every frequent pair still occurs in a remaining order, which names it as a candidate;
+    the large baskets then only add to the candidates they contain. The result is exact.
     """
-    basket = lines.select(order, product).distinct()
-    often = basket.groupBy(product).agg(F.count("*").alias("_n")).filter(F.col("_n") >= min_count).select(product)
-    kept = basket.join(often, product, "left_semi")
-    a, z = kept.select(order, F.col(product).alias("product_a")), kept.select(order, F.col(product).alias("product_b"))
-    pairs = a.join(z, order).filter("product_a < product_b").groupBy("product_a", "product_b").agg(F.count("*").alias("pair_count")).filter(F.col("pair_count") >= min_count)
+    basket = lines.select(F.col(order).alias("o"), F.col(product).alias("p")).distinct()
+    often = basket.groupBy("p").agg(F.count("*").alias("_n")).filter(F.col("_n") >= min_count).select("p")
+    kept = basket.join(often, "p", "left_semi")
+    aside = kept.groupBy("o").agg(F.count("*").alias("_n")).filter(F.col("_n") > large).orderBy(F.desc("_n"), "o").limit(min_count - 1).select("o")
+    rest, big = kept.join(F.broadcast(aside), "o", "left_anti"), kept.join(F.broadcast(aside), "o", "left_semi")
+    a, z = rest.select("o", F.col("p").alias("product_a")), rest.select("o", F.col("p").alias("product_b"))
+    pairs = a.join(z, "o").filter("product_a < product_b").groupBy("product_a", "product_b").agg(F.count("*").alias("n"))
+    more = pairs.select("product_a", "product_b").join(big.select("o", F.col("p").alias("product_a")), "product_a").join(big.select("o", F.col("p").alias("product_b")), ["o", "product_b"])
+    extra = more.groupBy("product_a", "product_b").agg(F.count("*").alias("n"))
+    counted = pairs.unionByName(extra).groupBy("product_a", "product_b").agg(F.sum("n").alias("pair_count")).filter(F.col("pair_count") >= min_count)
     total = lines.agg(F.countDistinct(order)).scalar()
-    return pairs.withColumn("support_pct", X.pct("pair_count", total))
+    return counted.withColumn("support_pct", X.pct("pair_count", total))
 
 
 def risk_profile(transactions: DataFrame, key: str, amount: str, high: Sequence[float], freq: Sequence[int]) -> DataFrame:

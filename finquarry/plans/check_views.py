@@ -142,4 +142,32 @@ VIEWS: dict[str, str] = {
         LEFT JOIN (SELECT customer_id, count(*) AS kn, sum(card_limit)::DOUBLE AS lim, sum(credit_used)::DOUBLE AS used FROM s_cards GROUP BY 1) USING (customer_id)
         LEFT JOIN (SELECT customer_id, count(*) AS ln, sum(principal_amount)::DOUBLE AS la, sum(principal_outstanding)::DOUBLE AS lo, sum(emi_amount)::DOUBLE AS emi FROM s_loans GROUP BY 1) USING (customer_id)
         LEFT JOIN (SELECT customer_id, count(*) AS tn, (sum(amount) FILTER (WHERE txn_type_standardized = 'CREDIT'))::DOUBLE AS tc, (sum(amount) FILTER (WHERE txn_type_standardized = 'DEBIT'))::DOUBLE AS td FROM s_transactions JOIN s_accounts USING (account_id) WHERE txn_date >= DATE '2001-07-03' GROUP BY 1) USING (customer_id)""",
+    "f_high": """
+        SELECT txn_id, card_number, customer_id, merchant_name, merchant_category, amount, txn_timestamp, 'HIGH_VALUE' AS rule_name, CASE WHEN amount > 300 THEN 'CRITICAL' WHEN amount > 200 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
+               'Transaction amount VND ' || format('{:,}', floor(amount)::BIGINT) || ' exceeds threshold' AS description
+        FROM s_card_txns t JOIN b_cards USING (card_number) WHERE t.status = 'SUCCESS' AND amount > 150""",
+    "f_velocity": """
+        SELECT NULL::BIGINT AS txn_id, card_number, customer_id, NULL::VARCHAR AS merchant_name, NULL::VARCHAR AS merchant_category, amt AS amount, NULL::TIMESTAMP AS txn_timestamp, 'VELOCITY' AS rule_name,
+               CASE WHEN n > 4 THEN 'CRITICAL' WHEN n > 3 THEN 'HIGH' WHEN n > 2 THEN 'MEDIUM' ELSE 'LOW' END AS severity, 'Card has ' || n || ' transactions in window' AS description
+        FROM (SELECT card_number, count(*) AS n, sum(amount) AS amt FROM s_card_txns WHERE txn_timestamp BETWEEN TIMESTAMP '2024-01-30 00:00:00' AND TIMESTAMP '2024-01-31 00:00:00' GROUP BY 1 HAVING count(*) > 1) JOIN b_cards USING (card_number)""",
+    "f_time": """
+        SELECT txn_id, card_number, customer_id, merchant_name, merchant_category, amount, txn_timestamp, 'UNUSUAL_TIME' AS rule_name, CASE WHEN hour(txn_timestamp) <= 3 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
+               'Transaction at ' || hour(txn_timestamp) || ':' || minute(txn_timestamp) || ' (unusual hours)' AS description
+        FROM s_card_txns t JOIN b_cards USING (card_number) WHERE t.status = 'SUCCESS' AND hour(txn_timestamp) BETWEEN 0 AND 5 AND amount > 50""",
+    "f_cnp": """
+        SELECT txn_id, card_number, customer_id, merchant_name, merchant_category, amount, txn_timestamp, 'CNP_PATTERN' AS rule_name,
+               CASE WHEN m IS NULL OR amount::DOUBLE > m * 3 THEN 'HIGH' WHEN amount::DOUBLE > m * 2 THEN 'MEDIUM' ELSE 'LOW' END AS severity,
+               CASE WHEN m IS NULL THEN 'No online transaction history' WHEN amount::DOUBLE > m * 3 THEN 'Amount 3x above average' WHEN amount::DOUBLE > m * 2 THEN 'Amount 2x above average' ELSE 'Within normal range' END AS description
+        FROM s_card_txns JOIN b_cards USING (card_number) LEFT JOIN (SELECT card_number, sum(amount)::DOUBLE / count(*) AS m FROM s_card_txns WHERE merchant_category = 'ONLINE' AND txn_date >= DATE '2024-01-01' GROUP BY 1) USING (card_number)
+        WHERE merchant_category = 'ONLINE' AND amount > 30 AND txn_timestamp BETWEEN TIMESTAMP '2024-01-21 00:00:00' AND TIMESTAMP '2024-01-31 00:00:00'""",
+    "f_geo": """
+        SELECT txn_id, card_number, customer_id, merchant_name, merchant_category, amount, txn_timestamp, 'GEO_ANOMALY' AS rule_name, 'MEDIUM' AS severity, 'First-time merchant category: ' || merchant_category AS description
+        FROM s_card_txns t JOIN b_cards USING (card_number) WHERE txn_timestamp BETWEEN TIMESTAMP '2024-01-11 00:00:00' AND TIMESTAMP '2024-01-31 00:00:00'
+          AND NOT EXISTS (SELECT 1 FROM s_card_txns z WHERE z.card_number = t.card_number AND z.merchant_category = t.merchant_category AND (z.txn_timestamp < t.txn_timestamp OR (z.txn_timestamp = t.txn_timestamp AND z.txn_id < t.txn_id)))""",
+    "f_score": """
+        SELECT *, CASE WHEN rule_count >= 3 OR max_severity_score = 4 THEN 'BLOCK' WHEN rule_count >= 2 OR max_severity_score = 3 THEN 'REVIEW' ELSE 'MONITOR' END AS recommended_action, rule_count * 10 + max_severity_score * 10 AS fraud_score,
+               coalesce(txn_timestamp + INTERVAL 10 MINUTES, TIMESTAMP '2024-01-31 00:00:00') AS evaluated_at
+        FROM (SELECT txn_id, card_number, customer_id, merchant_name, merchant_category, amount, txn_timestamp, string_agg(rule_name, ', ' ORDER BY rule_name) AS triggered_rules, count(*) AS rule_count,
+                     max(CASE severity WHEN 'CRITICAL' THEN 4 WHEN 'HIGH' THEN 3 WHEN 'MEDIUM' THEN 2 ELSE 1 END)::BIGINT AS max_severity_score
+              FROM (SELECT * FROM f_high UNION ALL SELECT * FROM f_velocity UNION ALL SELECT * FROM f_time UNION ALL SELECT * FROM f_cnp UNION ALL SELECT * FROM f_geo) GROUP BY ALL)""",
 }
