@@ -27,8 +27,21 @@ def _register(name, rules, sqls):
         return Q.run_rules(tables(b), rules, "2024-01-31 00:00:00").select(*_COLS)
 
 
+class Tables(dict):
+    """Tables by name, built when a rule first asks for them."""
+
+    def __init__(self, b):
+        super().__init__()
+        self.b = b
+
+    def __missing__(self, name):
+        made = {"snap": self.b.snapshot_new, "bronze": self.b.customers, "customers": lambda: Clean(self.b).customers, "loans": lambda: Clean(self.b).loans}
+        self[name] = made[name]() if name in made else self.b.table(name)
+        return self[name]
+
+
 def tables(b):
-    return {"orders": b.table("orders"), "lineitem": b.table("lineitem"), "documents": b.table("documents"), "labels": b.table("labels"), "events": b.table("events"), "snap": b.snapshot_new(), "customer": b.table("customer"), "customers": Clean(b).customers, "bronze": b.customers(), "pages": b.table("pages"), "loans": Clean(b).loans, "benchmark": b.table("benchmark"), "conversations": b.table("conversations")}
+    return Tables(b)
 
 
 R = Q.Rule

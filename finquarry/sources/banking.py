@@ -6,7 +6,7 @@ negative balances, bad e-mail addresses) so that the cleaning operators have wor
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,8 +37,16 @@ class Bank:
     spark: SparkSession
     sf_dir: str
 
+    schemas: dict = field(default_factory=dict)
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A source table; its schema is read from a file footer once per Bank."""
+        path = f"{self.sf_dir}/{name}.parquet"
+        if name in self.schemas:
+            return self.spark.read.schema(self.schemas[name]).parquet(path)
+        df = self.spark.read.parquet(path)
+        self.schemas[name] = df.schema
+        return df
 
     # --- raw layer -----------------------------------------------------------------
     def customers(self) -> DataFrame:
