@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from finquarry.functions import exprs as X
 from finquarry.operators import skew
+from finquarry.session import cut_lineage
 
 
 def _zero_fill(df: DataFrame, skip: Sequence[str]) -> DataFrame:
@@ -128,7 +129,8 @@ def daily_summary(transactions: DataFrame, high_value: float) -> DataFrame:
 def rfm(orders: DataFrame, customer: str, order: str, day: str, amount: str, as_of: str) -> DataFrame:
     """Recency, frequency, money and their quintiles over all customers."""
     per = orders.groupBy(customer).agg(F.datediff(F.lit(as_of).cast("date"), F.max(day)).alias("recency"), F.countDistinct(order).alias("frequency"), F.sum(amount).alias("monetary"))
-    out = per.withColumn("_r", -F.col("recency"))
+    # one row per customer, read several times below: computed once
+    out = cut_lineage(per.withColumn("_r", -F.col("recency")))
     for col, score in (("_r", "r_score"), ("frequency", "f_score"), ("monetary", "m_score")):
         out = skew.ntiles(out, [], [col, customer], 5, score)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
@@ -178,12 +180,12 @@ def funnel(events: DataFrame, user: str, step: str, ts: str, steps: Sequence[str
 
 
 def sessions(events: DataFrame, user: str, ts: str, tie: str, gap_seconds: int) -> DataFrame:
-    """Sessions split at gaps, numbered per user, skew-safe."""
-    e = events.withColumn("_e", F.unix_micros(F.col(ts).cast("timestamp")))
-    e = skew.neighbours(e, user, ["_e", tie], previous={"_e": "_p"})
-    e = e.withColumn("_new", F.when(F.col("_p").isNull() | (F.col("_e") - F.col("_p") > gap_seconds * 1000000), 1).otherwise(0))
-    e = skew.running_sum(e, user, ["_e", tie], "_new", "session_no")
-    return e.groupBy(user, "session_no").agg(F.min(ts).alias("session_start"), F.max(ts).alias("session_end"), F.count("*").alias("events"))
+    """Sessions split at gaps, numbered per user. One cut of the rows serves both steps."""
+    e = events.select(user, ts, tie, F.unix_micros(F.col(ts).cast("timestamp")).alias("_e"))
+    c = skew.add_neighbours(skew.cut(e, user, ["_e", tie]), previous={"_e": "_p"})
+    begins = F.when(F.col("_p").isNull() | (F.col("_e") - F.col("_p") > gap_seconds * 1000000), 1).otherwise(0)
+    rows = skew.add_running(c, {"session_no": begins}).done()
+    return rows.groupBy(user, "session_no").agg(F.min(ts).alias("session_start"), F.max(ts).alias("session_end"), F.count("*").alias("events"))
 
 
 def affinity(lines: DataFrame, order: str, product: str, min_count: int, large: int = 200) -> DataFrame:

@@ -7,6 +7,7 @@ Dimension columns: the natural key, the attributes, and for versioned tables
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,10 +76,9 @@ def scd2_from_changes(changes: DataFrame, key: str, tracked: Sequence[str], at:
     """
     from finquarry.operators import skew
 
-    packed = changes.withColumn("_now", F.struct(*tracked))
-    seen = skew.neighbours(packed, key, [at], previous={"_now": "_before"})
-    real = seen.filter(F.col("_before").isNull() | ~F.col("_now").eqNullSafe(F.col("_before"))).drop("_before", "_now")
-    ended = skew.neighbours(real, key, [at], following={at: "valid_to"})
+    c = skew.add_neighbours(skew.cut(changes.withColumn("_now", F.struct(*tracked)), key, [at]), previous={"_now": "_before"})
+    real = c.rows.filter(F.col("_before").isNull() | ~F.col("_now").eqNullSafe(F.col("_before"))).drop("_before", "_now")
+    ended = skew.add_neighbours(replace(c, rows=real), following={at: "valid_to"}).done()
     return ended.select(key, *tracked, F.col(at).alias("valid_from"), "valid_to", F.col("valid_to").isNull().alias("is_current"))
 
 

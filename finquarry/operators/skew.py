@@ -1,39 +1,54 @@
 """Ordered operators that hold when one key owns a large part of the rows.
 
-A plain window sorts every row of a key in one task. Here the rows are cut into chunks
-of the ordered sequence (keys, order columns); each chunk is worked on alone and a small
-table, one row per chunk of a key that spans several chunks, carries totals forward.
-The cut points come from a fixed-size sample (the rows with the smallest hash), so the
-carried tables hold at most ``2 * parts`` rows whatever the size of the input.
+A plain window sorts every row of a key in one task. Here a key that is too large is cut
+into chunks of its ordered rows; each chunk is worked on alone, and a small table, one row
+per chunk, carries totals forward. Small keys stay whole, and an input without large keys
+gets the plain window.
+
+The cut points come from a sample chosen by hash. There are at most ``MAX_PARTS`` of them,
+so the carried tables hold at most twice as many rows whatever the size of the input.
 
 ``order`` columns are ascending; negate a number to sort it downwards.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+SPLIT_KEY = "finquarry.split.rows"
+SPLIT_ROWS = 2_000_000
+MAX_PARTS = 4096
+PER_PART = 16  # sampled rows per chunk
+STEP = 64  # cut points are searched in two levels of this width
 
-PARTS = 64
-SAMPLE = 4096
+
+def split_rows(df: DataFrame) -> int:
+    """Rows a chunk should hold; set ``finquarry.split.rows`` in the session to change it."""
+    return int(df.sparkSession.conf.get(SPLIT_KEY, str(SPLIT_ROWS)))
 
 
 def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-@dataclass
+@dataclass(frozen=True)
 class Cut:
-    """Rows with their ``_chunk``, and the test for keys that span several chunks."""
+    """Rows with their ``_chunk``, and the test for keys that were cut."""
 
     rows: DataFrame
     keys: list[str]
     order: list[str]
-    edges: Column
-    spans: Column
-    single: bool
+    edges: Column | None
+    spans: Column | None
+
+    @property
+    def whole(self) -> bool:
+        return self.edges is None
 
     @property
     def group(self) -> list[str]:
@@ -45,59 +60,119 @@ class Cut:
     def spanning(self) -> DataFrame:
         return self.rows.filter(self.spans)
 
+    def across(self, first: int, last: int):
+        return Window.partitionBy(*self.keys).orderBy("_chunk").rowsBetween(first, last)
+
     def attach(self, df: DataFrame, carried: DataFrame) -> DataFrame:
         """Join the bounded per-chunk table back to the rows."""
-        if self.single:
-            return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in carried.schema.fields if f.name not in self.group})
         renamed = carried.select(*[F.col(k).alias(f"_k_{k}") for k in self.group], *[c for c in carried.columns if c not in self.group])
         on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in self.group]
         return df.join(F.broadcast(renamed), on, "left").drop(*[f"_k_{k}" for k in self.group])
 
+    def done(self) -> DataFrame:
+        return self.rows.drop("_chunk")
 
-def cut_points(df: DataFrame, cols: list[str], parts: int = PARTS, sample: int = SAMPLE) -> str | None:
-    """At most ``parts - 1`` tuples of ``cols`` that split the rows evenly, as one JSON text.
-
-    Like a range partitioner's sample this is a small constant fetched before the plan is
-    built: each task keeps the ``sample`` rows with the smallest hash and only the chosen
-    tuples come back. An input smaller than the sample needs no cutting (None).
-    """
-    t = F.struct(*[F.col(c) for c in cols])
-    drawn = df.select(t.alias("t")).orderBy(F.xxhash64("t"), F.col("t")).limit(sample)
-    s = F.sort_array(F.collect_list("t"))
-    every = F.transform(F.sequence(F.lit(1), F.lit(parts - 1)), lambda i: F.get("s", (i * F.size("s") / parts).cast("int")))
-    row = drawn.agg(s.alias("s")).select(F.size("s").alias("n"), F.to_json(F.array_distinct(every)).alias("edges")).first()
-    return row.edges if row.n >= sample else None
 
+def cut_points(df: DataFrame, keys: list[str], order: list[str], limit: int) -> list[dict]:
+    """Ordered tuples that split the rows of large keys into runs of about ``limit`` rows.
 
-def cut(df: DataFrame, keys, order, parts: int = PARTS, sample: int = SAMPLE) -> Cut:
+    As with a range partitioner this is a small list fetched before the plan is built: a
+    count, and if the input is larger than one chunk, a sample of at most a few rows per
+    chunk. Rows are sampled by hash, so it is the same on every attempt.
+    """
+    n = df.count()
+    if n <= limit:
+        return []
+    parts = min(MAX_PARTS, -(-n // limit))
+    wanted = max(1024, parts * PER_PART)
+    t = F.struct(*[F.col(c) for c in keys + order])
+    modulus = max(1, n // (wanted * 2))
+    rows = df.select(t.alias("t")).filter(F.pmod(F.xxhash64("t"), F.lit(modulus)) == 0).distinct().limit(wanted * 8)
+    text = rows.agg(F.to_json(F.sort_array(F.collect_list("t")), {"ignoreNullFields": "false"}).alias("s")).first().s
+    sample = json.loads(text)
+    if not sample:
+        return []
+    per_row = n / len(sample)
+    runs: dict[str, list[dict]] = {}
+    for s in sample:
+        runs.setdefault(json.dumps([s[k] for k in keys]), []).append(s)
+    points = []
+    for run in runs.values():
+        pieces = int(len(run) * per_row // limit) + 1
+        points += [run[len(run) * i // pieces] for i in range(1, pieces)]
+    return points[:MAX_PARTS]
+
+
+def _literal(points: list[dict], schema: T.StructType) -> Column:
+    kind = ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in schema.fields)
+    return F.from_json(F.lit(json.dumps(points)), f"array<struct<{kind}>>")
+
+
+def _position(edges: Column, count: int, me: Column) -> Column:
+    """Number of edges below ``me``, searched in steps."""
+    if count <= STEP:
+        return F.size(F.filter(edges, lambda e: e < me))
+    coarse = F.filter(edges, lambda e, i: ((i + 1) % STEP == 0) & (e < me))
+    base = F.size(coarse) * STEP
+    return base + F.size(F.filter(F.slice(edges, base + 1, F.lit(STEP)), lambda e: e < me))
+
+
+def cut(df: DataFrame, keys, order, limit: int | None = None) -> Cut:
     keys, order = _names(keys), _names(order)
-    cols = keys + order
-    kinds = df.select(*cols).schema
-    kind = "array<struct<" + ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in kinds.fields) + ">>"
-    points = cut_points(df, cols, parts, sample)
-    edges = F.from_json(F.lit(points or "[]"), kind)
-    me = F.struct(*[F.col(c) for c in cols])
-    rows = df.withColumn("_chunk", F.size(F.filter(edges, lambda e: e < me)))
+    points = cut_points(df, keys, order, limit or split_rows(df))
+    if not points:
+        return Cut(df.withColumn("_chunk", F.lit(0)), keys, order, None, None)
+    schema = df.select(*keys, *order).schema
+    edges = _literal(points, schema)
+    me = F.struct(*[F.col(c) for c in keys + order])
+    spans = F.lit(True)
     if keys:
-        key = F.struct(*[F.col(k) for k in keys])
-        spans = F.exists(edges, lambda e: F.struct(*[e[k].alias(k) for k in keys]).eqNullSafe(key))
-    else:
-        spans = F.lit(True)
-    return Cut(rows, keys, order, edges, spans, points is None)
+        # a cheap test on the first key column spares most rows the search
+        first, values = F.col(keys[0]), [p[keys[0]] for p in points]
+        if isinstance(schema[0].dataType, (T.IntegralType, T.StringType)) and None not in values:
+            spans = F.coalesce(first.isin(list(set(values))), F.lit(False))
+        owner = F.struct(*[F.col(k) for k in keys])
+        if len(keys) > 1 or not isinstance(schema[0].dataType, (T.IntegralType, T.StringType)) or None in values:
+            spans = spans & F.exists(edges, lambda e: F.struct(*[e[k].alias(k) for k in keys]).eqNullSafe(owner))
+    chunk = F.when(spans, _position(edges, len(points), me)).otherwise(0)
+    return Cut(df.withColumn("_chunk", chunk), keys, order, edges, spans)
+
+
+# --- building blocks on a cut: each returns the cut with new columns ----------------------------------
+def add_running(c: Cut, sums: dict[str, Column | str]) -> Cut:
+    values = {f"_v{i}": F.col(v) if isinstance(v, str) else v for i, v in enumerate(sums.values())}
+    c = replace(c, rows=c.rows.withColumns(values))
+    w = c.window().rowsBetween(Window.unboundedPreceding, 0)
+    out = c.rows.withColumns({o: F.sum(v).over(w) for o, v in zip(sums, values, strict=True)})
+    if not c.whole:
+        totals = c.spanning().groupBy(*c.group).agg(*[F.sum(v).alias(v) for v in values])
+        before = c.across(Window.unboundedPreceding, -1)
+        out = c.attach(out, totals.select(*c.group, *[F.sum(v).over(before).alias(f"_b{v}") for v in values]))
+        out = out.withColumns({o: F.col(o) + F.coalesce(f"_b{v}", F.lit(0)) for o, v in zip(sums, values, strict=True)}).drop(*[f"_b{v}" for v in values])
+    return replace(c, rows=out.drop(*values))
 
 
+def add_neighbours(c: Cut, previous: dict[str, str] | None = None, following: dict[str, str] | None = None) -> Cut:
+    ordering = F.struct(*[F.col(o) for o in c.order])
+    for wanted, step, pick in ((previous, F.lag, F.max_by), (following, F.lead, F.min_by)):
+        if not wanted:
+            continue
+        w = c.window()
+        out = c.rows.withColumns({name: step(src).over(w) for src, name in wanted.items()})
+        if not c.whole:
+            out = out.withColumn("_edge", step(F.lit(1)).over(w).isNull())
+            ends = c.spanning().groupBy(*c.group).agg(pick(F.struct(*[F.col(s) for s in wanted]), ordering).alias("_end"))
+            carried = ends.withColumn("_end", step("_end").over(Window.partitionBy(*c.keys).orderBy("_chunk")))
+            out = c.attach(out, carried)
+            out = out.withColumns({name: F.when(F.col("_edge"), F.col("_end")[src]).otherwise(F.col(name)) for src, name in wanted.items()}).drop("_end", "_edge")
+        c = replace(c, rows=out)
+    return c
+
+
+# --- operators ---------------------------------------------------------------------------------------------
 def running(df: DataFrame, keys, order, sums: dict[str, Column | str], **kw) -> DataFrame:
     """Running totals up to and including the row, several in one pass; ``keys + order`` must be unique."""
-    values = {f"_v{i}": F.col(v) if isinstance(v, str) else v for i, v in enumerate(sums.values())}
-    c = cut(df.withColumns(values), keys, order, **kw)
-    w = c.window().rowsBetween(Window.unboundedPreceding, 0)
-    local = c.rows.withColumns({out: F.sum(v).over(w) for out, v in zip(sums, values, strict=True)})
-    totals = c.spanning().groupBy(*c.group).agg(*[F.sum(v).alias(v) for v in values])
-    earlier = Window.partitionBy(*c.keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*c.group, *[F.sum(v).over(earlier).alias(f"_b{v}") for v in values])
-    out = c.attach(local, carried)
-    out = out.withColumns({o: F.col(o) + F.coalesce(f"_b{v}", F.lit(0)) for o, v in zip(sums, values, strict=True)})
-    return out.drop("_chunk", *values, *[f"_b{v}" for v in values])
+    return add_running(cut(df, keys, order, **kw), sums).done()
 
 
 def running_sum(df: DataFrame, keys, order, value, out: str, **kw) -> DataFrame:
@@ -111,66 +186,50 @@ def row_numbers(df: DataFrame, keys, order, out: str = "rn", **kw) -> DataFrame:
 
 def neighbours(df: DataFrame, keys, order, previous: dict[str, str] | None = None, following: dict[str, str] | None = None, **kw) -> DataFrame:
     """``lag``/``lead`` by one row: ``previous={"amount": "prev_amount"}``."""
-    c = cut(df, keys, order, **kw)
-    out, w = c.rows, c.window()
-    ordering = F.struct(*[F.col(o) for o in c.order])
-    across = Window.partitionBy(*c.keys).orderBy("_chunk")
-    for wanted, step, edge, pickrow in ((previous, F.lag, "_first", F.max_by), (following, F.lead, "_last", F.min_by)):
-        if not wanted:
-            continue
-        out = out.withColumn(edge, step(F.lit(1)).over(w).isNull())
-        for src, name in wanted.items():
-            out = out.withColumn(name, step(src).over(w))
-        ends = c.spanning().groupBy(*c.group).agg(pickrow(F.struct(*[F.col(s) for s in wanted]), ordering).alias("_end"))
-        carried = ends.withColumn("_end", step("_end").over(across))
-        out = c.attach(out, carried)
-        out = out.withColumns({name: F.when(F.col(edge), F.col("_end")[src]).otherwise(F.col(name)) for src, name in wanted.items()}).drop("_end", edge)
-    return out.drop("_chunk")
+    return add_neighbours(cut(df, keys, order, **kw), previous, following).done()
 
 
 def carry_last(df: DataFrame, keys, order, value: str, out: str, **kw) -> DataFrame:
     """Last non-null ``value`` at or before the row (the heart of the as-of join)."""
     c = cut(df, keys, order, **kw)
     local = c.rows.withColumn(out, F.last(value, ignorenulls=True).over(c.window().rowsBetween(Window.unboundedPreceding, 0)))
+    if c.whole:
+        return local.drop("_chunk")
     ordering = F.struct(*[F.col(o) for o in c.order])
-    ends = c.spanning().filter(F.col(value).isNotNull()).groupBy(*c.group).agg(F.max_by(value, ordering).alias("_end"))
-    # every chunk of a spanning key needs a row, also one without any value
-    chunks = c.spanning().select(*c.group).distinct()
-    w = Window.partitionBy(*c.keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = chunks.join(ends, c.group, "left").withColumn("_end", F.last("_end", ignorenulls=True).over(w))
+    # every chunk of a cut key needs a row, also one without any value
+    at = F.when(F.col(value).isNotNull(), ordering)
+    ends = c.spanning().groupBy(*c.group).agg(F.max_by(value, at).alias("_end"))
+    carried = ends.withColumn("_end", F.last("_end", ignorenulls=True).over(c.across(Window.unboundedPreceding, -1)))
     return c.attach(local, carried).withColumn(out, F.coalesce(out, "_end")).drop("_end", "_chunk")
 
 
 def row_frame(df: DataFrame, keys, order, before: int, after: int, columns: dict[str, Column], **kw) -> DataFrame:
     """Aggregates over ``before`` rows back to ``after`` rows ahead (negative ``after`` excludes the row).
 
-    ``columns`` maps an output name to an aggregate such as ``F.avg("amount")``.
+    ``columns`` maps an output name to an aggregate such as ``F.avg("amount")``. The rows a
+    chunk needs from its neighbours are sent along as context and dropped again.
     """
     c = cut(df, keys, order, **kw)
-    fwd, back = c.window(), Window.partitionBy(*c.group).orderBy(*[F.col(o).desc() for o in c.order])
-    chunks = c.spanning().select(*[F.col(k).alias(f"_c_{k}") for k in c.group]).distinct()
-    same = [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in c.keys] or [F.lit(True)]
-    pieces = [c.rows.withColumn("_ctx", F.lit(False))]
-
-    def context(n: int, near, earlier: bool, sort):
-        # the n rows nearest to each chunk, taken from the ends of the other chunks of the key
-        ends = c.spanning().withColumn("_p", F.row_number().over(near)).filter(F.col("_p") <= n).drop("_p")
-        side = F.col("_chunk") < F.col("_c__chunk") if earlier else F.col("_chunk") > F.col("_c__chunk")
-        joined = ends.join(F.broadcast(chunks), [*same, side])
-        w = Window.partitionBy(*[f"_c_{k}" for k in c.group]).orderBy(*sort)
-        nearest = joined.withColumn("_p", F.row_number().over(w)).filter(F.col("_p") <= n)
-        return nearest.withColumn("_chunk", F.col("_c__chunk")).select(*c.rows.columns, F.lit(True).alias("_ctx"))
-
-    desc = [F.col(o).desc() for o in c.order]
-    if before > 0 and not c.single:
-        pieces.append(context(before, back, True, desc))
-    if after > 0 and not c.single:
-        pieces.append(context(after, fwd, False, [F.col(o) for o in c.order]))
-    rows = pieces[0]
-    for p in pieces[1:]:
-        rows = rows.unionByName(p)
-    w = fwd.rowsBetween(-before, after)
-    return rows.withColumns({n: a.over(w) for n, a in columns.items()}).filter(~F.col("_ctx")).drop("_ctx", "_chunk")
+    rows = c.rows
+    if not c.whole:
+        asc, desc = [F.col(o) for o in c.order], [F.col(o).desc() for o in c.order]
+        chunks = c.spanning().select(*[F.col(k).alias(f"_c_{k}") for k in c.group]).distinct()
+        same = [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in c.keys]
+        rows = c.rows.withColumn("_ctx", F.lit(False))
+
+        def context(n: int, sort: list[Column], side: Column) -> DataFrame:
+            # the n rows nearest to each chunk, taken from the ends of the other chunks of its key
+            ends = c.spanning().withColumn("_p", F.row_number().over(Window.partitionBy(*c.group).orderBy(*sort))).filter(F.col("_p") <= n).drop("_p")
+            w = Window.partitionBy(*[f"_c_{k}" for k in c.group]).orderBy(*sort)
+            nearest = ends.join(F.broadcast(chunks), [*same, side]).withColumn("_p", F.row_number().over(w)).filter(F.col("_p") <= n)
+            return nearest.withColumn("_chunk", F.col("_c__chunk")).select(*c.rows.columns, F.lit(True).alias("_ctx"))
+
+        if before > 0:
+            rows = rows.unionByName(context(before, desc, F.col("_chunk") < F.col("_c__chunk")))
+        if after > 0:
+            rows = rows.unionByName(context(after, asc, F.col("_chunk") > F.col("_c__chunk")))
+    out = rows.withColumns({n: a.over(c.window().rowsBetween(-before, after)) for n, a in columns.items()})
+    return (out if c.whole else out.filter(~F.col("_ctx")).drop("_ctx")).drop("_chunk")
 
 
 def trailing_range(df: DataFrame, keys, ts: str, width, columns: dict[str, Column], **kw) -> DataFrame:
@@ -181,26 +240,27 @@ def trailing_range(df: DataFrame, keys, ts: str, width, columns: dict[str, Colum
 def trailing_ranges(df: DataFrame, keys, ts: str, frames: dict, **kw) -> DataFrame:
     """Several trailing ranges in one pass: ``{3600: {"n_1h": F.count("*")}, 86400: {...}}``.
 
-    A row close before a chunk edge is also sent, as context, to the chunks it can reach.
+    A row close before a cut is also sent, as context, to the chunks it can reach.
     """
     width = max(frames)
     c = cut(df, keys, [ts], **kw)
-    key = F.struct(*[F.col(k) for k in c.keys]) if c.keys else None
+    rows = c.rows
+    if not c.whole:
+        owner = F.struct(*[F.col(k) for k in c.keys])
 
-    def reached(e):
-        hit = (e[ts] >= F.col(ts)) & (e[ts] < F.col(ts) + width)
-        return hit & F.struct(*[e[k].alias(k) for k in c.keys]).eqNullSafe(key) if c.keys else hit
+        def reached(e):
+            hit = (e[ts] >= F.col(ts)) & (e[ts] < F.col(ts) + width)
+            return hit & F.struct(*[e[k].alias(k) for k in c.keys]).eqNullSafe(owner) if c.keys else hit
 
-    rows = c.rows.withColumn("_ctx", F.lit(False))
-    if not c.single:
         # the chunk behind edge number i (0-based) is chunk i + 1
         positions = F.transform(c.edges, lambda e, i: F.when(reached(e), i + 1))
         extra = F.filter(positions, lambda p: p.isNotNull() & (p > F.col("_chunk")))
-        rows = c.rows.withColumn("_to", F.explode(F.concat(F.array("_chunk"), extra)))
+        to = F.when(c.spans, F.concat(F.array("_chunk"), extra)).otherwise(F.array("_chunk"))
+        rows = rows.withColumn("_to", F.explode(to))
         rows = rows.withColumn("_ctx", F.col("_to") != F.col("_chunk")).withColumn("_chunk", F.col("_to")).drop("_to")
     w = Window.partitionBy(*c.group).orderBy(ts)
     out = rows.withColumns({n: a.over(w.rangeBetween(-size, 0)) for size, columns in frames.items() for n, a in columns.items()})
-    return out.filter(~F.col("_ctx")).drop("_ctx", "_chunk")
+    return (out if c.whole else out.filter(~F.col("_ctx")).drop("_ctx")).drop("_chunk")
 
 
 def value_ranks(df: DataFrame, keys, value: str, **kw) -> DataFrame:
@@ -211,9 +271,8 @@ def value_ranks(df: DataFrame, keys, value: str, **kw) -> DataFrame:
     keys = _names(keys)
     counts = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
     ranked = running(counts, keys, [value], {"dense_rank": F.lit(1).cast("bigint"), "_upto": "_n"}, **kw)
-    totals = df.groupBy(*keys).agg(F.count("*").alias("_all")) if keys else None
     if keys:
-        ranked = ranked.join(totals, keys)
+        ranked = ranked.join(df.groupBy(*keys).agg(F.count("*").alias("_all")), keys)
     else:
         ranked = ranked.withColumn("_all", df.agg(F.count("*")).scalar())
     ranked = ranked.select(
@@ -227,20 +286,51 @@ def value_ranks(df: DataFrame, keys, value: str, **kw) -> DataFrame:
     return df.join(ranked, [*keys, value])
 
 
+def rows_at(df: DataFrame, order, positions: list[int], **kw) -> list[dict]:
+    """The ordered tuples at the given 1-based positions of the whole input.
+
+    Chunk sizes tell which chunks hold the positions; only those are numbered.
+    """
+    c = cut(df, [], order, **kw)
+    sizes = {r._chunk: r.n for r in c.rows.groupBy("_chunk").agg(F.count("*").alias("n")).collect()}
+    start, wanted = 0, []
+    for chunk in sorted(sizes):
+        wanted += [(chunk, p - start) for p in positions if start < p <= start + sizes[chunk]]
+        start += sizes[chunk]
+    if not wanted:
+        return []
+    few = c.rows.filter(F.col("_chunk").isin([w[0] for w in wanted]))
+    numbered = few.select("_chunk", *c.order, F.row_number().over(c.window()).alias("_rn"))
+    hit = F.struct("_chunk", "_rn").isin([F.struct(F.lit(a), F.lit(p)) for a, p in wanted])
+    t = F.struct(*[F.col(o) for o in c.order])
+    found = numbered.filter(hit).agg(F.to_json(F.sort_array(F.collect_list(t)), {"ignoreNullFields": "false"}).alias("s")).first().s
+    return json.loads(found)
+
+
 def ntiles(df: DataFrame, keys, order, n: int, out: str, **kw) -> DataFrame:
-    """``ntile(n)`` from exact row positions; ``keys + order`` must be unique."""
-    keys = _names(keys)
-    rows = row_numbers(df, keys, order, "_rn", **kw)
-    if keys:
-        rows = rows.join(df.groupBy(*keys).agg(F.count("*").alias("_all")), keys)
-    else:
-        rows = rows.withColumn("_all", df.agg(F.count("*")).scalar())
+    """``ntile(n)``; ``keys + order`` must be unique.
+
+    Without keys only the ``n - 1`` first rows of the tiles are looked up and every row is
+    compared with them, so the rows themselves are not shuffled.
+    """
+    keys, order = _names(keys), _names(order)
+    if not keys:
+        total = df.count()
+        size, longer = divmod(total, n)
+        firsts = [i * size + min(i, longer) + 1 for i in range(1, n)]
+        points = rows_at(df, order, [p for p in firsts if p <= total], **kw)
+        if not points:
+            return df.withColumn(out, F.lit(1).cast("bigint"))
+        edges, me = _literal(points, df.select(*order).schema), F.struct(*[F.col(o) for o in order])
+        return df.withColumn(out, (F.size(F.filter(edges, lambda e: e <= me)) + 1).cast("bigint"))
+    rows = row_numbers(df, keys, order, "_rn", **kw).join(df.groupBy(*keys).agg(F.count("*").alias("_all")), keys)
     size, longer = F.floor(F.col("_all") / n), F.col("_all") % n
     head = longer * (size + 1)
     tile = F.when(F.col("_rn") <= head, F.ceil(F.col("_rn") / (size + 1))).otherwise(longer + F.ceil((F.col("_rn") - head) / F.greatest(size, F.lit(1))))
     return rows.withColumn(out, tile.cast("bigint")).drop("_rn", "_all")
 
 
+# --- joins --------------------------------------------------------------------------------------------------
 def small(df: DataFrame, max_rows: int = 200_000) -> bool:
     """Whether ``df`` provably has at most ``max_rows`` rows (stops counting just beyond)."""
     return df.limit(max_rows + 1).count() <= max_rows

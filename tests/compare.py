@@ -1,6 +1,6 @@
 """Run registered queries and their check SQL side by side.
 
-    python -m tests.compare [--sf DIR] [name-or-prefix ...]
+    python -m tests.compare [--sf DIR] [--split N] [name-or-prefix ...]
 """
 
 from __future__ import annotations
@@ -68,6 +68,7 @@ def compare(spark, con, name, sf_dir):
 def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--split", help="rows per chunk of a cut key; small values force the paths for hot keys")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     from finquarry.plans import QUERIES
@@ -75,6 +76,8 @@ def main():
 
     spark = build_session("local[8]", 8)
     spark.sparkContext.setLogLevel("ERROR")
+    if args.split:
+        spark.conf.set("finquarry.split.rows", args.split)
     con = check_engine(args.sf)
     chosen = [n for n in QUERIES if not args.names or any(n == a or (a.endswith("*") and n.startswith(a[:-1])) or QUERIES[n].run.__module__ == a or getattr(QUERIES[n], "section", "") == a for a in args.names)]
     bad = []
