@@ -57,14 +57,11 @@ def band(value: Column, steps: Sequence[tuple[float, str]], default: str, inclus
     return out.otherwise(default)
 
 
-def standardize(c: Col, groups: dict[str, Sequence[str]], default: str) -> Column:
+def standardize(column: str, groups: dict[str, Sequence[str]], default: str) -> Column:
     """Map raw codes, whatever their case and padding, to one name per group."""
-    raw = F.upper(F.trim(col(c)))
-    out = None
-    for name, codes in groups.items():
-        hit = raw.isin(*codes)
-        out = F.when(hit, name) if out is None else out.when(hit, name)
-    return out.otherwise(default)
+    raw = f"upper(trim(`{column}`))"
+    cases = " ".join(f"WHEN {raw} IN ({', '.join(repr(c) for c in codes)}) THEN '{name}'" for name, codes in groups.items())
+    return F.expr(f"CASE {cases} ELSE '{default}' END")
 
 
 def weekend(c: Col) -> Column:

@@ -20,16 +20,14 @@ def money(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)")
 
 
-def pick(key: Column, values: list[str]) -> Column:
-    """The value at position ``key``; used to spread codes over rows."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (key + 1).cast("int"))
+def choose(key: str, n: int, values: list[str]) -> str:
+    """SQL that spreads ``values`` over rows by ``key % n``."""
+    return f"element_at(array({', '.join(repr(v) for v in values)}), cast({key} % {n} + 1 as int))"
 
 
-def code(c: Column, mapping: dict[str, str], default: str) -> Column:
-    out = None
-    for k, v in mapping.items():
-        out = F.when(c == k, v) if out is None else out.when(c == k, v)
-    return out.otherwise(default)
+def decode(column: str, mapping: dict[str, str], default: str) -> str:
+    """SQL that translates the values of a column."""
+    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items()) + f" ELSE '{default}' END"
 
 
 @dataclass
@@ -48,30 +46,24 @@ class Bank:
         self.schemas[name] = df.schema
         return df
 
-    # --- raw layer -----------------------------------------------------------------
+    # --- raw layer; one SQL projection per table -------------------------------------------
     def customers(self) -> DataFrame:
         c, n, r = self.table("customer"), self.table("nation"), self.table("region")
-        k = F.col("c_custkey")
-        return (
-            c.join(n, c.c_nationkey == n.n_nationkey, "left")
-            .join(r, n.n_regionkey == r.r_regionkey, "left")
-            .select(
-                k.alias("customer_id"),
-                F.concat(F.lit(" "), "c_name", F.lit(" ")).alias("customer_name"),
-                F.date_add(F.lit("1950-01-01").cast("date"), (k % 18000).cast("int")).alias("dob"),
-                pick(k % 3, ["m", "FEMALE", "x"]).alias("gender"),
-                F.lower("n_name").alias("nationality"),
-                F.concat(F.lit("PAN"), F.lpad(k.cast("string"), 9, "0")).alias("pan_number"),
-                F.when(k % 10 == 0, "no-address")
-                .otherwise(F.concat(F.regexp_replace("c_name", "#", "."), F.lit("@Bank.example ")))
-                .alias("email"),
-                F.when(k % 9 == 0, "12-34").otherwise(F.concat(F.lit("09"), F.lpad(k.cast("string"), 9, "0"))).alias("phone"),
-                F.col("n_name").alias("city"),
-                F.col("r_name").alias("region"),
-                F.col("c_mktsegment").alias("segment"),
-                F.date_add(F.lit("1995-01-01").cast("date"), (k % 2400).cast("int")).alias("created_date"),
-                F.date_add(F.lit("2001-01-01").cast("date"), (k % 200).cast("int")).alias("last_updated"),
-            )
+        wide = c.join(n, c.c_nationkey == n.n_nationkey, "left").join(r, n.n_regionkey == r.r_regionkey, "left")
+        return wide.selectExpr(
+            "c_custkey AS customer_id",
+            "concat(' ', c_name, ' ') AS customer_name",
+            "date_add(date'1950-01-01', cast(c_custkey % 18000 AS int)) AS dob",
+            choose("c_custkey", 3, ["m", "FEMALE", "x"]) + " AS gender",
+            "lower(n_name) AS nationality",
+            "concat('PAN', lpad(cast(c_custkey AS string), 9, '0')) AS pan_number",
+            "CASE WHEN c_custkey % 10 = 0 THEN 'no-address' ELSE concat(replace(c_name, '#', '.'), '@Bank.example ') END AS email",
+            "CASE WHEN c_custkey % 9 = 0 THEN '12-34' ELSE concat('09', lpad(cast(c_custkey AS string), 9, '0')) END AS phone",
+            "n_name AS city",
+            "r_name AS region",
+            "c_mktsegment AS segment",
+            "date_add(date'1995-01-01', cast(c_custkey % 2400 AS int)) AS created_date",
+            "date_add(date'2001-01-01', cast(c_custkey % 200 AS int)) AS last_updated",
         )
 
     def customers_with_old_rows(self) -> DataFrame:
@@ -83,107 +75,97 @@ class Bank:
         return now.unionByName(old)
 
     def accounts(self) -> DataFrame:
-        k = F.col("c_custkey")
-        return self.table("customer").select(
-            k.alias("account_id"),
-            k.alias("customer_id"),
-            code(F.col("c_mktsegment"), {"AUTOMOBILE": " sav", "BUILDING": "CURRENT", "FURNITURE": "fd", "HOUSEHOLD": "RD"}, "NRI").alias("account_type"),
-            F.lit("vnd ").alias("currency"),
-            F.date_add(F.lit("1995-01-01").cast("date"), (k % 2400).cast("int")).alias("opening_date"),
-            money("c_acctbal").alias("current_balance"),
-            (money("c_acctbal") - F.lit("50.00").cast("decimal(18,2)")).cast("decimal(18,2)").alias("available_balance"),
-            F.when(k % 10 == 0, "C").when(k % 10 == 1, "d").when(k % 10 == 2, "frozen").when(k % 10 == 3, "?").otherwise(" Active").alias("status"),
-            F.col("c_nationkey").alias("branch_code"),
-            F.date_add(F.lit("2001-01-01").cast("date"), (k % 200).cast("int")).alias("last_updated"),
+        return self.table("customer").selectExpr(
+            "c_custkey AS account_id",
+            "c_custkey AS customer_id",
+            decode("c_mktsegment", {"AUTOMOBILE": " sav", "BUILDING": "CURRENT", "FURNITURE": "fd", "HOUSEHOLD": "RD"}, "NRI") + " AS account_type",
+            "'vnd ' AS currency",
+            "date_add(date'1995-01-01', cast(c_custkey % 2400 AS int)) AS opening_date",
+            "cast(c_acctbal AS decimal(18,2)) AS current_balance",
+            "cast(cast(c_acctbal AS decimal(18,2)) - 50.00BD AS decimal(18,2)) AS available_balance",
+            "CASE c_custkey % 10 WHEN 0 THEN 'C' WHEN 1 THEN 'd' WHEN 2 THEN 'frozen' WHEN 3 THEN '?' ELSE ' Active' END AS status",
+            "c_nationkey AS branch_code",
+            "date_add(date'2001-01-01', cast(c_custkey % 200 AS int)) AS last_updated",
         )
 
     def transactions(self) -> DataFrame:
-        k = F.col("o_orderkey")
-        return self.table("orders").select(
-            k.alias("txn_id"),
-            F.col("o_custkey").alias("account_id"),
-            code(F.col("o_orderstatus"), {"F": "cr", "O": "WITHDRAWAL ", "P": "TRF"}, "?").alias("txn_type"),
-            money("o_totalprice").alias("amount"),
-            F.lit("vnd").alias("currency"),
-            F.col("o_orderdate").cast("date").alias("txn_date"),
-            F.col("o_orderdate").alias("txn_timestamp"),
-            F.when(k % 50 == 0, "ANNUAL FEE").when(k % 50 == 1, "LOAN INTEREST").otherwise("PAYMENT").alias("description"),
-            code(F.col("o_orderpriority"), {"1-URGENT": "atm", "2-HIGH": "APP", "3-MEDIUM": "web", "4-NOT SPECIFIED": "counter"}, "upi").alias("channel"),
-            F.when(k % 20 == 0, "FAILED").otherwise("SUCCESS").alias("status"),
+        return self.table("orders").selectExpr(
+            "o_orderkey AS txn_id",
+            "o_custkey AS account_id",
+            decode("o_orderstatus", {"F": "cr", "O": "WITHDRAWAL ", "P": "TRF"}, "?") + " AS txn_type",
+            "cast(o_totalprice AS decimal(18,2)) AS amount",
+            "'vnd' AS currency",
+            "cast(o_orderdate AS date) AS txn_date",
+            "o_orderdate AS txn_timestamp",
+            "CASE o_orderkey % 50 WHEN 0 THEN 'ANNUAL FEE' WHEN 1 THEN 'LOAN INTEREST' ELSE 'PAYMENT' END AS description",
+            decode("o_orderpriority", {"1-URGENT": "atm", "2-HIGH": "APP", "3-MEDIUM": "web", "4-NOT SPECIFIED": "counter"}, "upi") + " AS channel",
+            "CASE WHEN o_orderkey % 20 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status",
         )
 
     def loans(self) -> DataFrame:
-        k, tenure = F.col("o_orderkey"), (F.lit(12) * (F.col("o_orderkey") % 5 + 1)).cast("int")
-        price = money("o_totalprice")
-        opened = F.col("o_orderdate").cast("date")
-        return (
-            self.table("orders")
-            .filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
-            .select(
-                k.alias("loan_id"),
-                F.col("o_custkey").alias("customer_id"),
-                pick(k % 7, ["hl", "PERSONAL", "Car", "BL", "ED", "GOLD", "other"]).alias("loan_type"),
-                price.alias("principal_amount"),
-                (price - (k % 100).cast("decimal(18,2)") * 1000).cast("decimal(18,2)").alias("principal_outstanding"),
-                (k % 20 + 5).cast("decimal(5,2)").alias("interest_rate"),
-                tenure.alias("tenure_months"),
-                F.floor(F.col("o_totalprice") / tenure).cast("decimal(18,2)").alias("emi_amount"),
-                opened.alias("disbursement_date"),
-                F.add_months(opened, tenure).alias("maturity_date"),
-                opened.alias("last_updated"),
-            )
+        tenure = "cast(12 * (o_orderkey % 5 + 1) AS int)"
+        return self.table("orders").filter("o_orderpriority IN ('1-URGENT', '2-HIGH')").selectExpr(
+            "o_orderkey AS loan_id",
+            "o_custkey AS customer_id",
+            choose("o_orderkey", 7, ["hl", "PERSONAL", "Car", "BL", "ED", "GOLD", "other"]) + " AS loan_type",
+            "cast(o_totalprice AS decimal(18,2)) AS principal_amount",
+            "cast(cast(o_totalprice AS decimal(18,2)) - cast(o_orderkey % 100 AS decimal(18,2)) * 1000 AS decimal(18,2)) AS principal_outstanding",
+            "cast(o_orderkey % 20 + 5 AS decimal(5,2)) AS interest_rate",
+            f"{tenure} AS tenure_months",
+            f"cast(floor(o_totalprice / {tenure}) AS decimal(18,2)) AS emi_amount",
+            "cast(o_orderdate AS date) AS disbursement_date",
+            f"add_months(cast(o_orderdate AS date), {tenure}) AS maturity_date",
+            "cast(o_orderdate AS date) AS last_updated",
         )
 
     def loan_payments(self) -> DataFrame:
-        return self.table("lineitem").select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("payment_id"),
-            F.col("l_orderkey").alias("loan_id"),
-            F.col("l_shipdate").cast("date").alias("payment_date"),
-            money("l_extendedprice").alias("amount"),
-            pick(F.col("l_linenumber") % 6, ["auto-debit", "NEFT", "CHQ", "cash", "UPI", "wire"]).alias("payment_mode"),
-            code(F.col("l_returnflag"), {"A": "cleared", "N": "PROCESSING", "R": "bounced"}, "?").alias("status"),
+        return self.table("lineitem").selectExpr(
+            "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS payment_id",
+            "l_orderkey AS loan_id",
+            "cast(l_shipdate AS date) AS payment_date",
+            "cast(l_extendedprice AS decimal(18,2)) AS amount",
+            choose("l_linenumber", 6, ["auto-debit", "NEFT", "CHQ", "cash", "UPI", "wire"]) + " AS payment_mode",
+            decode("l_returnflag", {"A": "cleared", "N": "PROCESSING", "R": "bounced"}, "?") + " AS status",
         )
 
     def cards(self) -> DataFrame:
-        k = F.col("c_custkey")
-        return self.table("customer").select(
-            F.lpad(k.cast("string"), 16, "0").alias("card_number"),
-            k.alias("customer_id"),
-            pick(k % 5, ["visa", " MC", "Amex", "RUPAY", "diners"]).alias("card_type"),
-            (F.lit(20000) + (k % 10) * 5000).cast("decimal(18,2)").alias("card_limit"),
-            F.greatest(money("c_acctbal"), F.lit(0).cast("decimal(18,2)")).alias("credit_used"),
-            F.date_add(F.lit("2001-01-01").cast("date"), (k % 1000).cast("int")).alias("expiry_date"),
-            F.when(k % 17 == 0, "blocked").otherwise("active ").alias("status"),
-            F.date_add(F.lit("2001-01-01").cast("date"), (k % 200).cast("int")).alias("last_updated"),
+        return self.table("customer").selectExpr(
+            "lpad(cast(c_custkey AS string), 16, '0') AS card_number",
+            "c_custkey AS customer_id",
+            choose("c_custkey", 5, ["visa", " MC", "Amex", "RUPAY", "diners"]) + " AS card_type",
+            "cast(20000 + (c_custkey % 10) * 5000 AS decimal(18,2)) AS card_limit",
+            "greatest(cast(c_acctbal AS decimal(18,2)), cast(0 AS decimal(18,2))) AS credit_used",
+            "date_add(date'2001-01-01', cast(c_custkey % 1000 AS int)) AS expiry_date",
+            "CASE WHEN c_custkey % 17 = 0 THEN 'blocked' ELSE 'active ' END AS status",
+            "date_add(date'2001-01-01', cast(c_custkey % 200 AS int)) AS last_updated",
         )
 
     def card_transactions(self) -> DataFrame:
-        return self.table("events").select(
-            F.col("event_id").alias("txn_id"),
-            F.lpad(F.col("user_id").cast("string"), 16, "0").alias("card_number"),
-            F.concat(F.lit(" M"), (F.col("event_id") % 20).cast("string")).alias("merchant_name"),
-            code(F.col("event_type"), {"view": "online", "purchase": "grocery", "click": "travel ", "signup": "fuel"}, "electronics").alias("merchant_category"),
-            money("value").alias("amount"),
-            F.lit("vnd").alias("currency"),
-            F.col("ts").cast("date").alias("txn_date"),
-            F.col("ts").alias("txn_timestamp"),
-            code(F.col("event_type"), {"purchase": "SALE", "click": "refund", "signup": "CASHBACK"}, "x").alias("txn_type"),
-            F.when(F.col("event_type") == "error", "declined").otherwise("success").alias("status"),
+        return self.table("events").selectExpr(
+            "event_id AS txn_id",
+            "lpad(cast(user_id AS string), 16, '0') AS card_number",
+            "concat(' M', cast(event_id % 20 AS string)) AS merchant_name",
+            decode("event_type", {"view": "online", "purchase": "grocery", "click": "travel ", "signup": "fuel"}, "electronics") + " AS merchant_category",
+            "cast(value AS decimal(18,2)) AS amount",
+            "'vnd' AS currency",
+            "cast(ts AS date) AS txn_date",
+            "ts AS txn_timestamp",
+            decode("event_type", {"purchase": "SALE", "click": "refund", "signup": "CASHBACK"}, "x") + " AS txn_type",
+            "CASE WHEN event_type = 'error' THEN 'declined' ELSE 'success' END AS status",
         )
 
     def benchmark_transactions(self) -> DataFrame:
-        u = F.col("user_id")
-        return self.table("events").select(
-            F.col("event_id").alias("transaction_id"),
-            F.concat(F.lit("CARD-"), u.cast("string")).alias("card_id"),
-            (u % 100).alias("customer_id"),
-            money("value").alias("transaction_amount"),
-            F.when(F.col("event_id") % 4 == 0, "PAYMENT").otherwise("PURCHASE").alias("transaction_type"),
-            F.concat(F.lit("M"), (F.col("event_id") % 20).cast("string")).alias("merchant_name"),
-            code(F.col("event_type"), {"view": "ELECTRONICS", "purchase": "GROCERY", "click": "TRAVEL", "signup": "GAMBLING"}, "FUEL").alias("merchant_category"),
-            pick(u % 3, ["VISA", "MASTERCARD", "AMEX"]).alias("card_type"),
-            F.col("ts").alias("transaction_date"),
-            F.when(F.col("event_type") == "error", "DECLINED").otherwise("POSTED").alias("status"),
+        return self.table("events").selectExpr(
+            "event_id AS transaction_id",
+            "concat('CARD-', cast(user_id AS string)) AS card_id",
+            "user_id % 100 AS customer_id",
+            "cast(value AS decimal(18,2)) AS transaction_amount",
+            "CASE WHEN event_id % 4 = 0 THEN 'PAYMENT' ELSE 'PURCHASE' END AS transaction_type",
+            "concat('M', cast(event_id % 20 AS string)) AS merchant_name",
+            decode("event_type", {"view": "ELECTRONICS", "purchase": "GROCERY", "click": "TRAVEL", "signup": "GAMBLING"}, "FUEL") + " AS merchant_category",
+            choose("user_id", 3, ["VISA", "MASTERCARD", "AMEX"]) + " AS card_type",
+            "ts AS transaction_date",
+            "CASE WHEN event_type = 'error' THEN 'DECLINED' ELSE 'POSTED' END AS status",
         )
 
     def order_lines(self) -> DataFrame:
