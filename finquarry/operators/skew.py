@@ -286,6 +286,27 @@ def value_ranks(df: DataFrame, keys, value: str, **kw) -> DataFrame:
     return df.join(ranked, [*keys, value])
 
 
+def quantiles(df: DataFrame, keys, value: str, probabilities: dict[str, float], **kw) -> DataFrame:
+    """Exact interpolated quantiles per key: ``{"p50": 0.5}``.
+
+    Works on counts per distinct value and their running totals, so no task holds all values
+    of a key, as the built-in exact aggregate does.
+    """
+    keys = _names(keys)
+    v = F.col(value).cast("double")
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, v.alias("_q")).agg(F.count("*").alias("_n"))
+    upto = running(counts, keys, ["_q"], {"_upto": "_n"}, **kw)
+    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_all"))
+    rows = upto.join(totals, keys) if keys else upto.withColumn("_all", counts.agg(F.sum("_n")).scalar())
+    at = {name: (F.col("_all") - 1) * F.lit(float(p)) for name, p in probabilities.items()}
+    aggs = [F.first("_all").alias("_all")]
+    for name, position in at.items():
+        aggs += [F.min(F.when(F.col("_upto") > F.floor(position), F.col("_q"))).alias(f"_lo_{name}"), F.min(F.when(F.col("_upto") > F.ceil(position), F.col("_q"))).alias(f"_hi_{name}")]
+    found = rows.groupBy(*keys).agg(*aggs)
+    lerp = lambda name: F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * (at[name] - F.floor(at[name]))
+    return found.select(*keys, *[lerp(name).alias(name) for name in probabilities])
+
+
 def rows_at(df: DataFrame, order, positions: list[int], **kw) -> list[dict]:
     """The ordered tuples at the given 1-based positions of the whole input.
 

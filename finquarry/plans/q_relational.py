@@ -304,12 +304,12 @@ def _(b):
 
 @query("agg_percentile", "SELECT l_returnflag, quantile_cont(l_quantity, 0.25) AS p25, quantile_cont(l_quantity, 0.9) AS p90 FROM lineitem GROUP BY 1")
 def _(b):
-    return b.table("lineitem").groupBy("l_returnflag").agg(F.percentile("l_quantity", 0.25).alias("p25"), F.percentile("l_quantity", 0.9).alias("p90"))
+    return skew.quantiles(b.table("lineitem"), "l_returnflag", "l_quantity", {"p25": 0.25, "p90": 0.9})
 
 
 @query("agg_median", "SELECT event_type, median(value) AS median_value FROM events GROUP BY 1")
 def _(b):
-    return b.table("events").groupBy("event_type").agg(F.median("value").alias("median_value"))
+    return skew.quantiles(b.table("events"), "event_type", "value", {"median_value": 0.5})
 
 
 @query("agg_string", "SELECT o_custkey, string_agg(DISTINCT o_orderpriority, ', ' ORDER BY o_orderpriority) AS priorities FROM orders GROUP BY 1")

@@ -45,6 +45,8 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="finquarry-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set(CHECKPOINT_KEY, folder)

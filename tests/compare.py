@@ -35,12 +35,25 @@ def kind(name: str) -> str:
     return {"varchar": "string", "bigint": "bigint", "double": "double", "boolean": "boolean"}.get(name, name)
 
 
-def compare(spark, con, name, sf_dir):
+def plan_flags(df) -> list[str]:
+    """Plan shapes that need a reason at scale."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    flags = [w for w in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython") if w in plan]
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line and any(" Window " in up or "Window [" in up for up in lines[max(0, i - 3) : i]):
+            flags.append("single-task window")
+    return sorted(set(flags))
+
+
+def compare(spark, con, name, sf_dir, flags=None):
     """None when equal, else a text naming the first difference."""
     from finquarry.plans import QUERIES
 
     q = QUERIES[name]
     df = q.run(spark, sf_dir)
+    if flags is not None:
+        flags += plan_flags(df)
     rows = [tuple(r) for r in df.select(*sorted(df.columns)).collect()]
     if q.sql is None:
         return None if rows else "no rows", len(rows)
@@ -84,7 +97,10 @@ def main():
     for n in chosen:
         t = time.time()
         try:
-            err, count = compare(spark, con, n, args.sf)
+            flags = []
+            err, count = compare(spark, con, n, args.sf, flags)
+            if flags:
+                print(f"plan {n} {flags}", flush=True)
         except Exception as e:  # report and go on
             err, count = f"{type(e).__name__}: {str(e)[:700]}", -1
         took = time.time() - t

@@ -95,3 +95,12 @@ def test_broadcast_only_after_a_size_check(spark):
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan(skew.join_checked(big, tiny, "k", max_rows=10))
     assert "broadcast" not in plan(skew.join_checked(tiny, big, "k", max_rows=10))
+
+
+def test_exact_quantiles(skewed, tiny_chunks):
+    known = skewed.filter("k IS NOT NULL")
+    got = {r.k: (r.a, r.b) for r in skew.quantiles(known, "k", "v", {"a": 0.5, "b": 0.9}).collect()}
+    want = {r.k: (r.a, r.b) for r in known.groupBy("k").agg(F.percentile(F.col("v").cast("double"), 0.5).alias("a"), F.percentile(F.col("v").cast("double"), 0.9).alias("b")).collect()}
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k] == pytest.approx(want[k])
