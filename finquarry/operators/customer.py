@@ -199,13 +199,18 @@ def affinity(lines: DataFrame, order: str, product: str, min_count: int, large:
     basket = lines.select(F.col(order).alias("o"), F.col(product).alias("p")).distinct()
     often = basket.groupBy("p").agg(F.count("*").alias("_n")).filter(F.col("_n") >= min_count).select("p")
     kept = basket.join(often, "p", "left_semi")
-    aside = kept.groupBy("o").agg(F.count("*").alias("_n")).filter(F.col("_n") > large).orderBy(F.desc("_n"), "o").limit(min_count - 1).select("o")
-    rest, big = kept.join(F.broadcast(aside), "o", "left_anti"), kept.join(F.broadcast(aside), "o", "left_semi")
-    a, z = rest.select("o", F.col("p").alias("product_a")), rest.select("o", F.col("p").alias("product_b"))
-    pairs = a.join(z, "o").filter("product_a < product_b").groupBy("product_a", "product_b").agg(F.count("*").alias("n"))
-    more = pairs.select("product_a", "product_b").join(big.select("o", F.col("p").alias("product_a")), "product_a").join(big.select("o", F.col("p").alias("product_b")), ["o", "product_b"])
-    extra = more.groupBy("product_a", "product_b").agg(F.count("*").alias("n"))
-    counted = pairs.unionByName(extra).groupBy("product_a", "product_b").agg(F.sum("n").alias("pair_count")).filter(F.col("pair_count") >= min_count)
+    sizes = kept.groupBy("o").agg(F.count("*").alias("_n"))
+    pairs_in = lambda rows: rows.select("o", F.col("p").alias("product_a")).join(rows.select("o", F.col("p").alias("product_b")), "o").filter("product_a < product_b").groupBy("product_a", "product_b").agg(F.count("*").alias("pair_count"))
+    if (sizes.agg(F.max("_n")).first()[0] or 0) <= large:
+        counted = pairs_in(kept)
+    else:
+        aside = sizes.filter(F.col("_n") > large).orderBy(F.desc("_n"), "o").limit(min_count - 1).select("o")
+        big = kept.join(F.broadcast(aside), "o", "left_semi").select("o", "p")
+        found = pairs_in(kept.join(F.broadcast(aside), "o", "left_anti"))
+        more = found.select("product_a", "product_b").join(big.withColumnRenamed("p", "product_a"), "product_a").join(big.withColumnRenamed("p", "product_b"), ["o", "product_b"])
+        extra = more.groupBy("product_a", "product_b").agg(F.count("*").alias("pair_count"))
+        counted = found.unionByName(extra).groupBy("product_a", "product_b").agg(F.sum("pair_count").alias("pair_count"))
+    counted = counted.filter(F.col("pair_count") >= min_count)
     total = lines.agg(F.countDistinct(order)).scalar()
     return counted.withColumn("support_pct", X.pct("pair_count", total))
 

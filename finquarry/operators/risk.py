@@ -141,16 +141,18 @@ def npa_by(dash: DataFrame, column: str, suffix: str = "") -> DataFrame:
 def monthly_snapshots(loans: DataFrame, payments: DataFrame, first: str, last: str, classes: Sequence[tuple[int, str]] = FIVE_CLASSES) -> DataFrame:
     """Portfolio figures at each month end.
 
-    Payments are reduced to the last one per loan and month; each loan is laid out over the
-    months of the report only, so the window per loan spans a fixed number of rows.
+    Payments are reduced to the last one per loan and month before the one join; each loan is
+    then laid out over the months in which it is live.
     """
-    spine = loans.withColumn("month_end", F.explode(F.expr(f"transform(sequence(date'{first}', date'{last}', interval 1 month), m -> last_day(m))")))
-    per = payments.groupBy("loan_id", F.greatest(F.last_day("payment_date"), F.last_day(_day(first))).alias("month_end"))
-    # payments before the first month count for it
-    seen = per.agg(F.max("payment_date").alias("p"))
-    w = Window.partitionBy("loan_id").orderBy("month_end").rowsBetween(Window.unboundedPreceding, 0)
-    laid = spine.join(seen, ["loan_id", "month_end"], "left").withColumn("last_payment", F.max("p").over(w))
-    live = laid.filter((F.col("disbursement_date") <= F.col("month_end")) & (F.col("maturity_date") >= F.col("month_end")))
+    # payments before the first month count for it; a loan keeps one entry per month of the report
+    month = F.greatest(F.last_day("payment_date"), F.last_day(_day(first)))
+    per = payments.groupBy("loan_id", month.alias("m")).agg(F.max("payment_date").alias("p")).filter(F.col("m") <= F.last_day(_day(last)))
+    seen = per.groupBy("loan_id").agg(F.collect_list(F.struct("m", "p")).alias("_seen"))
+    ends = F.expr(f"transform(sequence(date'{first}', date'{last}', interval 1 month), m -> last_day(m))")
+    live_ends = F.filter(ends, lambda m: (m >= F.col("disbursement_date")) & (m <= F.col("maturity_date")))
+    laid = loans.join(seen, "loan_id", "left").withColumn("month_end", F.explode(live_ends))
+    known = F.filter("_seen", lambda x: x["m"] <= F.col("month_end"))
+    live = laid.withColumn("last_payment", F.array_max(F.transform(known, lambda x: x["p"]))).drop("_seen")
     days = F.datediff("month_end", "last_payment")
     cls = None
     for limit, name in classes:

@@ -368,6 +368,8 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, buckets: int = 16,
     A key is hot when it owns more than ``hot_share`` of the left rows, so there are at
     most ``1 / hot_share`` of them; only their right rows are copied ``buckets`` times.
     """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"a {how} join would repeat unmatched right rows")
     total = left.agg(F.count("*")).scalar()
     hot = left.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > total * hot_share).select(F.col(key).alias("_hot"))
     mark = lambda df: df.join(F.broadcast(hot), df[key] == F.col("_hot"), "left")
