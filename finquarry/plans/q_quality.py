@@ -152,10 +152,10 @@ def _(b):
     return anti_orphans(b.table("orders"), b.snapshot_new(), "o_custkey", "customer_id").groupBy(F.col("o_custkey").alias("customer_id")).agg(F.count("*").alias("orders"))
 
 
-@query("dq_emi_error", "SELECT loan_id, emi_amount::DOUBLE AS emi_amount, e AS expected FROM (SELECT *, principal_amount::DOUBLE * r * g / (g - 1) AS e FROM (SELECT *, interest_rate::DOUBLE / 1200.0::DOUBLE AS r, power(1.0::DOUBLE + interest_rate::DOUBLE / 1200.0::DOUBLE, tenure_months::DOUBLE) AS g FROM b_loans)) WHERE abs(emi_amount::DOUBLE - e) > 1000")
+@query("dq_emi_error", "SELECT loan_id, emi_amount::DOUBLE AS emi_amount, e::DECIMAL(18,4)::DOUBLE AS expected FROM (SELECT *, principal_amount::DOUBLE * r * g / (g - 1) AS e FROM (SELECT *, interest_rate::DOUBLE / 1200.0::DOUBLE AS r, power(1.0::DOUBLE + interest_rate::DOUBLE / 1200.0::DOUBLE, tenure_months::DOUBLE) AS g FROM b_loans)) WHERE abs(emi_amount::DOUBLE - e) > 1000")
 def _(b):
     e = X.emi("principal_amount", "interest_rate", "tenure_months")
-    return b.loans().withColumn("expected", e).filter(F.abs(X.dbl("emi_amount") - F.col("expected")) > 1000).select("loan_id", "emi_amount", "expected")
+    return b.loans().withColumn("expected", e).filter(F.abs(X.dbl("emi_amount") - F.col("expected")) > 1000).select("loan_id", "emi_amount", F.col("expected").cast("decimal(18,4)").alias("expected"))
 
 
 CATALOG = [

@@ -118,9 +118,9 @@ def _(b):
     return b.table("supplier").select("s_suppkey", F.greatest(x, F.lit(0.0)).alias("g"), F.least(x, F.lit(1000.0)).alias("l"), F.abs(x).alias("a"), F.round(money(x), 1).alias("r"), (F.col("s_suppkey") % 7).alias("m"), F.pow(F.col("s_suppkey") % 10, F.lit(2)).alias("p"))
 
 
-@query("math_emi", """SELECT loan_id, principal_amount::DOUBLE * r * g / (g - 1) AS emi FROM (SELECT *, interest_rate::DOUBLE / 1200.0::DOUBLE AS r, power(1.0::DOUBLE + interest_rate::DOUBLE / 1200.0::DOUBLE, tenure_months::DOUBLE) AS g FROM b_loans)""")
+@query("math_emi", """SELECT loan_id, (principal_amount::DOUBLE * r * g / (g - 1))::DECIMAL(18,4)::DOUBLE AS emi FROM (SELECT *, interest_rate::DOUBLE / 1200.0::DOUBLE AS r, power(1.0::DOUBLE + interest_rate::DOUBLE / 1200.0::DOUBLE, tenure_months::DOUBLE) AS g FROM b_loans)""")
 def _(b):
-    return b.loans().select("loan_id", X.emi("principal_amount", "interest_rate", "tenure_months").alias("emi"))
+    return b.loans().select("loan_id", X.emi("principal_amount", "interest_rate", "tenure_months").cast("decimal(18,4)").alias("emi"))
 
 
 @query("arr_length", "SELECT vec_id, len(embedding) AS n FROM embeddings")

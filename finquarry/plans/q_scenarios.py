@@ -1,5 +1,7 @@
 """Queries over the wide card-transaction table."""
 
+from pyspark.sql import functions as F
+
 from finquarry.operators import scenarios as S
 from finquarry.plans.registry import query
 
@@ -170,9 +172,9 @@ def _(b):
     return S.hour_patterns(t(b))
 
 
-@query("percentile_analysis", f"SELECT merchant_category, {BASE}, min({A})::DOUBLE AS min_amount, max({A})::DOUBLE AS max_amount, {_SD} AS stddev_amount, quantile_cont({A}::DOUBLE, 0.5) AS p50, quantile_cont({A}::DOUBLE, 0.95) AS p95 FROM b_bench GROUP BY 1 HAVING count(*) >= 100")
+@query("percentile_analysis", f"SELECT merchant_category, {BASE}, min({A})::DOUBLE AS min_amount, max({A})::DOUBLE AS max_amount, {_SD} AS stddev_amount, quantile_cont({A}::DOUBLE, 0.5)::DECIMAL(18,6)::DOUBLE AS p50, quantile_cont({A}::DOUBLE, 0.95)::DECIMAL(18,6)::DOUBLE AS p95 FROM b_bench GROUP BY 1 HAVING count(*) >= 100")
 def _(b):
-    return S.amount_distribution(t(b), 100)
+    return S.amount_distribution(t(b), 100).withColumns({c: F.col(c).cast("decimal(18,6)") for c in ("p50", "p95")})
 
 
 @query("daily_transaction_report", f"""WITH g AS (SELECT {DAY} AS d, merchant_category, count(*) AS n, sum({A}) AS a FROM b_bench GROUP BY ALL) SELECT d::VARCHAR AS txn_date, merchant_category, n AS transaction_count, a::DOUBLE AS total_amount, a::DOUBLE * 100.0::DOUBLE / sum(a) OVER (PARTITION BY d)::DOUBLE AS share_of_day, (a::DOUBLE - lag(a::DOUBLE) OVER w) * 100.0::DOUBLE / lag(a::DOUBLE) OVER w AS day_over_day_pct, CASE WHEN a > lag(a) OVER w THEN 'UP' WHEN a < lag(a) OVER w THEN 'DOWN' ELSE 'FLAT' END AS trend FROM g WINDOW w AS (PARTITION BY merchant_category ORDER BY d)""")

@@ -22,11 +22,14 @@ def check_engine(sf_dir: str):
     return con
 
 
+DIGITS = 9  # significant digits compared; --exact compares all
+
+
 def cell(v):
     if isinstance(v, bool) or v is None:
         return v
     if isinstance(v, float):
-        return None if math.isnan(v) else float(f"{v:.9g}")
+        return None if math.isnan(v) else (float(f"{v:.{DIGITS}g}") if DIGITS else v)
     return v
 
 
@@ -82,8 +85,11 @@ def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--split", help="rows per chunk of a cut key; small values force the paths for hot keys")
+    ap.add_argument("--exact", action="store_true", help="compare doubles to the last bit")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
+    if args.exact:
+        globals()["DIGITS"] = 0
     from finquarry.plans import QUERIES
     from finquarry.session import build_session
 
