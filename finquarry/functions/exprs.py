@@ -74,8 +74,9 @@ def time_bucket_label(ts: Col) -> Column:
 
 
 def epoch(ts: Col) -> Column:
-    """Whole seconds since 1970, independent of the session zone for zone-less timestamps."""
-    return F.unix_timestamp(col(ts).cast("timestamp"))
+    """Whole seconds of wall-clock time since 1970, whatever the session zone."""
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("SECOND", start, col(ts).cast("timestamp_ntz"))
 
 
 def minutes_between(start: Col, end: Col) -> Column:
