@@ -24,6 +24,8 @@ SPLIT_KEY = "finquarry.split.rows"
 SPLIT_ROWS = 2_000_000
 MAX_PARTS = 4096
 PER_PART = 16  # sampled rows per chunk
+# full precision for times; NULL fields are kept
+AS_JSON = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 STEP = 64  # cut points are searched in two levels of this width
 
 
@@ -88,7 +90,7 @@ def cut_points(df: DataFrame, keys: list[str], order: list[str], limit: int) ->
     t = F.struct(*[F.col(c) for c in keys + order])
     modulus = max(1, n // (wanted * 2))
     rows = df.select(t.alias("t")).filter(F.pmod(F.xxhash64("t"), F.lit(modulus)) == 0).distinct().limit(wanted * 8)
-    text = rows.agg(F.to_json(F.sort_array(F.collect_list("t")), {"ignoreNullFields": "false"}).alias("s")).first().s
+    text = rows.agg(F.to_json(F.sort_array(F.collect_list("t")), AS_JSON).alias("s")).first().s
     sample = json.loads(text)
     if not sample:
         return []
@@ -103,9 +105,9 @@ def cut_points(df: DataFrame, keys: list[str], order: list[str], limit: int) ->
     return points[:MAX_PARTS]
 
 
-def _literal(points: list[dict], schema: T.StructType) -> Column:
+def _literal(text: str, schema: T.StructType) -> Column:
     kind = ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in schema.fields)
-    return F.from_json(F.lit(json.dumps(points)), f"array<struct<{kind}>>")
+    return F.from_json(F.lit(text), f"array<struct<{kind}>>", AS_JSON)
 
 
 def _position(edges: Column, count: int, me: Column) -> Column:
@@ -123,7 +125,7 @@ def cut(df: DataFrame, keys, order, limit: int | None = None) -> Cut:
     if not points:
         return Cut(df.withColumn("_chunk", F.lit(0)), keys, order, None, None)
     schema = df.select(*keys, *order).schema
-    edges = _literal(points, schema)
+    edges = _literal(json.dumps(points), schema)
     me = F.struct(*[F.col(c) for c in keys + order])
     spans = F.lit(True)
     if keys:
@@ -307,8 +309,8 @@ def quantiles(df: DataFrame, keys, value: str, probabilities: dict[str, float],
     return found.select(*keys, *[lerp(name).alias(name) for name in probabilities])
 
 
-def rows_at(df: DataFrame, order, positions: list[int], **kw) -> list[dict]:
-    """The ordered tuples at the given 1-based positions of the whole input.
+def rows_at(df: DataFrame, order, positions: list[int], **kw) -> str | None:
+    """The ordered tuples at the given 1-based positions of the whole input, as JSON text.
 
     Chunk sizes tell which chunks hold the positions; only those are numbered.
     """
@@ -319,13 +321,12 @@ def rows_at(df: DataFrame, order, positions: list[int], **kw) -> list[dict]:
         wanted += [(chunk, p - start) for p in positions if start < p <= start + sizes[chunk]]
         start += sizes[chunk]
     if not wanted:
-        return []
+        return None
     few = c.rows.filter(F.col("_chunk").isin([w[0] for w in wanted]))
     numbered = few.select("_chunk", *c.order, F.row_number().over(c.window()).alias("_rn"))
     hit = F.struct("_chunk", "_rn").isin([F.struct(F.lit(a), F.lit(p)) for a, p in wanted])
     t = F.struct(*[F.col(o) for o in c.order])
-    found = numbered.filter(hit).agg(F.to_json(F.sort_array(F.collect_list(t)), {"ignoreNullFields": "false"}).alias("s")).first().s
-    return json.loads(found)
+    return numbered.filter(hit).agg(F.to_json(F.sort_array(F.collect_list(t)), AS_JSON).alias("s")).first().s
 
 
 def ntiles(df: DataFrame, keys, order, n: int, out: str, **kw) -> DataFrame:
@@ -339,10 +340,10 @@ def ntiles(df: DataFrame, keys, order, n: int, out: str, **kw) -> DataFrame:
         total = df.count()
         size, longer = divmod(total, n)
         firsts = [i * size + min(i, longer) + 1 for i in range(1, n)]
-        points = rows_at(df, order, [p for p in firsts if p <= total], **kw)
-        if not points:
+        found = rows_at(df, order, [p for p in firsts if p <= total], **kw)
+        if found is None:
             return df.withColumn(out, F.lit(1).cast("bigint"))
-        edges, me = _literal(points, df.select(*order).schema), F.struct(*[F.col(o) for o in order])
+        edges, me = _literal(found, df.select(*order).schema), F.struct(*[F.col(o) for o in order])
         return df.withColumn(out, (F.size(F.filter(edges, lambda e: e <= me)) + 1).cast("bigint"))
     rows = row_numbers(df, keys, order, "_rn", **kw).join(df.groupBy(*keys).agg(F.count("*").alias("_all")), keys)
     size, longer = F.floor(F.col("_all") / n), F.col("_all") % n

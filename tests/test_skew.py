@@ -104,3 +104,9 @@ def test_exact_quantiles(skewed, tiny_chunks):
     assert got.keys() == want.keys()
     for k in want:
         assert got[k] == pytest.approx(want[k])
+
+
+def test_tiles_by_exact_times_and_decimals(spark, tiny_chunks):
+    df = spark.range(400).selectExpr("id", "timestamp_micros(1700000000000000 + (id * 37) % 50) AS at", "CAST(id % 7 + 12345678901234567890.01 AS decimal(38,2)) AS big", "CAST(timestamp_micros(1700000000000000 + (id * 11) % 30) AS timestamp_ntz) AS wall")
+    for order in (["at", "id"], ["big", "id"], ["wall", "id"]):
+        same(skew.ntiles(df, [], order, 9, "o"), df.withColumn("o", F.ntile(9).over(W.orderBy(*order)).cast("bigint")))
