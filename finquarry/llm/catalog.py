@@ -7,6 +7,8 @@ from finquarry.llm.packing import op4_packing
 from finquarry.llm.pii import op1_pii
 from finquarry.llm.secret_ledger import op5_secret_scan
 from finquarry.llm.token_files import op3_token_files
+from finquarry.llm.topk_search import OP7_SQL, op7_topk_search
+from finquarry.llm.toxicity import op8_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_near_dedup, op3_token_files, op4_packing, op5_secret_scan, op9_exact_dedup, op10_bpe)}
-SQL = {"op9_exact_dedup": OP9_SQL}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_near_dedup, op3_token_files, op4_packing, op5_secret_scan, op7_topk_search, op8_toxicity, op9_exact_dedup, op10_bpe)}
+SQL = {"op7_topk_search": OP7_SQL, "op9_exact_dedup": OP9_SQL}
