@@ -2,6 +2,7 @@
 
 from finquarry.llm.bpe_automaton import op10_bpe
 from finquarry.llm.exact_dedup import OP9_SQL, op9_exact_dedup
+from finquarry.llm.lm_scoring import op6_lm_scoring
 from finquarry.llm.near_dedup import op2_near_dedup
 from finquarry.llm.packing import op4_packing
 from finquarry.llm.pii import op1_pii
@@ -10,5 +11,5 @@ from finquarry.llm.token_files import op3_token_files
 from finquarry.llm.topk_search import OP7_SQL, op7_topk_search
 from finquarry.llm.toxicity import op8_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_near_dedup, op3_token_files, op4_packing, op5_secret_scan, op7_topk_search, op8_toxicity, op9_exact_dedup, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_near_dedup, op3_token_files, op4_packing, op5_secret_scan, op6_lm_scoring, op7_topk_search, op8_toxicity, op9_exact_dedup, op10_bpe)}
 SQL = {"op7_topk_search": OP7_SQL, "op9_exact_dedup": OP9_SQL}

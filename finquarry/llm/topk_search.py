@@ -46,11 +46,6 @@ def scaled(df: DataFrame, id_col: str, vector_col: str, scale: int = 1024) -> Da
     return rows.select("id", "v", F.size("v").alias("dim"), F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, e: a + e.cast("double") * e.cast("double"))).alias("norm"))
 
 
-def _vectors(column: pa.Array) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
-
-
 def _blocks(rows: int):
     """Rows sorted by (dim, length descending) become blocks of at most ``rows`` rows of one dim."""
 
@@ -112,11 +107,9 @@ def search_bucket(ids: np.ndarray, rows: np.ndarray, norms: np.ndarray, query: n
         with np.errstate(divide="ignore", invalid="ignore"):
             own = np.where(norms > 0, rows[:, f] / norms, 0.0)
         # the cosine to the query is at least theta only if this coordinate lies in the range
-        low = q * theta - wide if q < 1 - 1e-15 and -wide + q * theta > -1 else -1.0
-        high = q * theta + wide
-        fits = (own >= low - 1e-7) if q >= theta else (own >= low - 1e-7) & (own <= high + 1e-7)
-        if q <= -theta:
-            fits = own <= high + 1e-7
+        low = -1.0 if q <= -theta else q * theta - wide
+        high = 1.0 if q >= theta else q * theta + wide
+        fits = (own >= low - 1e-7) & (own <= high + 1e-7)
         left = np.flatnonzero(fits[:reach])
         use, how = (left, "coordinate") if 2 * len(left) < reach else (slice(0, reach), "length")
     products = rows[use] @ query
@@ -159,12 +152,17 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     blocks = bucketed(queries.dropDuplicates(["id"]), BLOCK_QUERIES).select(F.col("block").alias("q_block"), F.col("dim").alias("q_dim"), F.col("longest").alias("q_longest"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
     sizes = buckets.select("block", F.col("dim").alias("b_dim"), "longest")  # one row per bucket, without its data
     seeds = [r["block"] for r in sizes.orderBy(F.desc("longest")).limit(SEEDS).collect()]
+    # which block meets which bucket, in slim rows; salted, as all vectors have the same dim
+    salts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    one = blocks.select("q_block", "q_dim", "q_longest", F.pmod(F.xxhash64("q_block"), F.lit(salts)).cast("int").alias("q_salt"))
+    many = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    every = one.join(many, (F.col("q_dim") == F.col("b_dim")) & (F.col("q_salt") == F.col("salt"))).select("block", "q_block", "q_longest", "longest")
 
     def met(pairs: DataFrame) -> DataFrame:
+        data = blocks.select("q_block", "q_ids", "q_data")
         held = buckets.select("block", "dim", "ids", "data")
-        return pairs.select("block", "q_ids", "q_data", "bounds").join(held, "block").mapInArrow(_searched(k), PAIR)
+        return pairs.select("block", "q_block", "bounds").join(data, "q_block").join(held, "block").mapInArrow(_searched(k), PAIR)
 
-    every = blocks.join(sizes, F.col("q_dim") == F.col("b_dim")).select("block", "q_block", "q_longest", "q_ids", "q_data", "longest")
     first = every.filter(F.col("block").isin(seeds)).withColumn("bounds", F.lit(None).cast("array<double>"))
     seeded = stored(met(first), "seeded")
     # the k-th product of a query so far bounds its result from below
