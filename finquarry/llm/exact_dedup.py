@@ -69,7 +69,8 @@ class DigestIndex:
         """
         name = uuid.uuid4().hex
         order = F.struct(-F.col("n_points"), F.col("doc_id").isNull(), "doc_id", "row")
-        winners = batch.groupBy("digest").agg(F.min(order).alias("w"), F.count("*").alias("group_size"))
+        # written first: else the optimizer moves the anti-join below the aggregate, to the rows of very large groups
+        winners = stored(batch.groupBy("digest").agg(F.min(order).alias("w"), F.count("*").alias("group_size")), "winners")
         fresh = winners.join(self.known().select("digest").hint("merge"), "digest", "left_anti")
         self._append(fresh.select("digest", F.col("w.doc_id").alias("keep_id"), F.col("w.row").alias("keep_row"), "group_size", F.lit(name).alias("batch")), "append")
         return name
