@@ -76,7 +76,10 @@ def blob_of(content: Column) -> Column:
 
 
 class BlobLedger:
-    """Scanned (blob, rule version) pairs with their findings, as Parquet files that are only appended to."""
+    """Scanned (blob, rule version) pairs with their findings, as Parquet files that are only appended to.
+
+    One scan at a time: a pair is in it once.
+    """
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
@@ -94,9 +97,11 @@ class BlobLedger:
         """Scan the contents that are new to the ledger; returns the ledger for this rule version."""
         seen = self.scanned().filter(F.col("rule_version") == rule_version).select("blob")
         contents = versions.select(blob_of(F.col(content)).alias("blob"), F.col(content).alias("content"))
-        unseen = contents.join(seen, "blob", "left_anti").groupBy("blob").agg(F.first("content").alias("content"))
+        once = contents.groupBy("blob").agg(F.first("content").alias("content"))
+        # as an outer join: an anti-join would be moved below the aggregate, to the rows of very large groups
+        unseen = once.join(seen.select(F.col("blob").alias("_seen")), F.col("blob") == F.col("_seen"), "left").filter("_seen is null").drop("_seen")
         unseen.mapInArrow(_scan(rule_version), LEDGER).write.mode("append").parquet(self.folder)
-        return self.scanned().filter(F.col("rule_version") == rule_version).dropDuplicates(["blob"])
+        return self.scanned().filter(F.col("rule_version") == rule_version)
 
 
 def findings(versions: DataFrame, keys: list[str], content: str = "text", ledger: BlobLedger | None = None) -> DataFrame:
