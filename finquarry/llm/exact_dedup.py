@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finquarry.llm.common import stored, table
+from finquarry.session import run_folder
 
 SPACE = " \t\n\x0b\x0c\r"
 INDEX_SCHEMA = "digest binary, keep_id bigint, keep_row bigint, group_size bigint, batch string"
@@ -48,16 +49,23 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 class DigestIndex:
-    """The digests of all documents admitted so far, in a bucketed table of the warehouse."""
+    """The digests of all documents admitted so far, in a table bucketed and sorted by digest.
 
-    def __init__(self, spark: SparkSession, name: str, buckets: int | None = None):
-        self.spark, self.name = spark, name
+    Its files lie in ``path``; a later session opens the same index by giving the same path and
+    number of buckets. Without a path a fresh one is made below the shared folder.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
+        self.spark, self.path = spark, path or run_folder(spark, "digest-index")
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        if not spark.catalog.tableExists(name):
-            self._append(spark.createDataFrame([], INDEX_SCHEMA), "error")
+        self.name = f"digests_{uuid.uuid4().hex}"
+        spark.sql(
+            f"CREATE TABLE {self.name} ({INDEX_SCHEMA}) USING parquet "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
+        )
 
-    def _append(self, rows: DataFrame, mode: str) -> None:
-        rows.write.mode(mode).bucketBy(self.buckets, "digest").sortBy("digest").format("parquet").saveAsTable(self.name)
+    def _append(self, rows: DataFrame) -> None:
+        rows.write.mode("append").bucketBy(self.buckets, "digest").sortBy("digest").format("parquet").saveAsTable(self.name)
 
     def known(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -72,13 +80,12 @@ class DigestIndex:
         # written first: else the optimizer moves the anti-join below the aggregate, to the rows of very large groups
         winners = stored(batch.groupBy("digest").agg(F.min(order).alias("w"), F.count("*").alias("group_size")), "winners")
         fresh = winners.join(self.known().select("digest").hint("merge"), "digest", "left_anti")
-        self._append(fresh.select("digest", F.col("w.doc_id").alias("keep_id"), F.col("w.row").alias("keep_row"), "group_size", F.lit(name).alias("batch")), "append")
+        self._append(fresh.select("digest", F.col("w.doc_id").alias("keep_id"), F.col("w.row").alias("keep_row"), "group_size", F.lit(name).alias("batch")))
         return name
 
     def answers(self) -> DataFrame:
         """The index as plain files: a join with many copies of one digest can then be split by AQE."""
-        at = self.spark.sql(f"DESCRIBE FORMATTED {self.name}").filter("col_name = 'Location'").first()["data_type"]
-        return self.spark.read.schema(INDEX_SCHEMA).parquet(at)
+        return self.spark.read.schema(INDEX_SCHEMA).parquet(self.path)
 
 
 def classify(batch: DataFrame, index: DigestIndex) -> DataFrame:
@@ -93,10 +100,9 @@ def classify(batch: DataFrame, index: DigestIndex) -> DataFrame:
     )
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", index: str | None = None) -> DataFrame:
-    """Classify documents against a named index, or a fresh one."""
-    index = index or f"digests_{uuid.uuid4().hex}"
-    return classify(digests(docs, id_col, text_col), DigestIndex(docs.sparkSession, index))
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", index: DigestIndex | None = None) -> DataFrame:
+    """Classify documents against an index, or a fresh one."""
+    return classify(digests(docs, id_col, text_col), index or DigestIndex(docs.sparkSession))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

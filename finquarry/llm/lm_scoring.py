@@ -44,7 +44,7 @@ from finquarry.llm.tokens import Held
 PRIOR, ADDED = 50.0, 0.1
 END = b"\n"  # no word holds white space
 PAIR = np.uint64(0x9E3779B97F4A7C15)
-BLOCK_BITS = 13  # a block is a run of at most 2 ** BLOCK_BITS documents of one input split
+BLOCK_BITS = 12  # a block is a run of at most 2 ** BLOCK_BITS documents of one input split
 REQUEST = "block bigint, bucket bigint, words binary, word_counts binary, pairs binary, pair_counts binary, train_tokens bigint"
 ANSWER = "block bigint, bucket bigint, word_totals binary, pair_totals binary, train_tokens bigint, train_words bigint"
 SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"

@@ -129,7 +129,9 @@ def decode_block(payload: bytes, t: Table, first: int = 0, last: int | None = No
             x[:m] = y
             piece.append(s)
         piece = np.concatenate(piece)
-        if zlib.crc32(piece.astype("<u4").tobytes()) != check:
+        # the states left over must be those of the next checkpoint, or those that encoding began with
+        after = np.frombuffer(payload, "<u8", lanes, HEADER.size + (k + 1) * size + 12) if k + 1 < marks else LOW
+        if zlib.crc32(piece.astype("<u4").tobytes()) != check or (x != after).any():
             raise ValueError(f"checksum of stretch {k} fails")
         out.append(piece)
     return np.concatenate(out) if out else np.zeros(0, np.uint32)
