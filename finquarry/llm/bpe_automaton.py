@@ -115,8 +115,8 @@ class Coder:
         self.longest = max(map(len, self.ids))
         self.special = re.compile("|".join(re.escape(t) for t, _ in sorted(automaton.special, key=lambda s: -len(s[0])))) if automaton.special else None
         self.special_ids = dict(automaton.special)
-        self.words = Held(self._walk)
-        self.chunks = Held(self._chunk)
+        self.words = Held(self._walk, 250_000)
+        self.chunks = Held(self._chunk, 250_000)
 
     def _walk(self, word: str) -> tuple[int, ...]:
         """The accepting path for one pre-split word (byte letters)."""

@@ -11,10 +11,11 @@ Pairs that meet are checked by signature distance and confirmed on the full sets
 Large groups are never expanded into pairs:
 
 * documents with the same word sequence are one node;
-* first every node of a key is compared with the key's smallest node only. What links
-  collapses into components;
+* first, in ``ROUNDS`` rounds, each key names one of its nodes as leader, and a node is compared
+  with the ``LEADERS`` leaders that it shares most keys with. What links collapses into components;
 * then a key is only looked at again where it still joins different components, and only
-  pairs across components are compared, with sets of fitting sizes;
+  pairs across components are compared, with sets of fitting sizes, and with sketches (four
+  bits of each symbol) that differ in no more symbols than the threshold;
 * keys with more than ``CROWD`` nodes left in different components (a passage that many
   otherwise different documents share) use an exact prefix filter instead: their documents'
   shingles are ordered from rare to common, and two sets with the similarity must share one
@@ -34,7 +35,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from finquarry.llm.common import stored, table, utf8
@@ -44,6 +45,7 @@ from finquarry.llm.tokens import Held
 WORDS, PERCENT = 5, 80  # the library's default shingle; op2's contract sets four
 SYMBOLS, CHUNKS, ERRORS = 80, 16, 1
 THRESHOLD = CHUNKS * (ERRORS + 1) - 1
+ROUNDS, LEADERS = 3, 3
 CROWD = 64  # nodes of one key that are compared pair by pair; larger keys use the prefix filter
 
 _rng = np.random.default_rng(20260101)
@@ -56,7 +58,7 @@ class Words(Held):
     """The 8-byte hash of each word."""
 
     def __init__(self):
-        super().__init__(lambda w: xxhash.xxh3_64_digest(w))
+        super().__init__(xxhash.xxh3_64_digest, 400_000)
 
 
 _words = Words()
@@ -92,6 +94,26 @@ def signature(found: np.ndarray) -> np.ndarray:
     return (mixed(low) >> np.uint64(48)).astype(np.uint16)
 
 
+def sketch(sig: np.ndarray) -> list[int]:
+    """Four bits of each symbol, sixteen symbols to a long."""
+    nibbles = (sig & 15).astype(np.uint64).reshape(-1, 16)
+    return (nibbles << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(1, dtype=np.uint64).view(np.int64).tolist()
+
+
+SKETCH = [f"s{i}" for i in range(SYMBOLS // 16)]
+
+
+def _sketch_distance(a: list[Column], b: list[Column]) -> Column:
+    """Symbols whose four bits differ: never more than the symbols that differ."""
+    total = None
+    for x, y in zip(a, b):
+        d = x.bitwiseXOR(y)
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseAND(F.lit(0x1111111111111111))
+        total = F.bit_count(d) if total is None else total + F.bit_count(d)
+    return total
+
+
 def chunk_keys(signatures: np.ndarray) -> np.ndarray:
     """For each signature (row) the keys of all chunks with every choice of ERRORS symbols left out."""
     out = []
@@ -113,15 +135,17 @@ def _sketch(n: int):
 
         first = TaskContext.get().partitionId() << 33
         for b in batches:
-            sizes, seqs, sigs = [], [], []
+            sizes, seqs, sigs, sketches = [], [], [], []
             for t in utf8(b.column("text")):
                 found, seq = shingles(t, n)
                 sizes.append(len(found))
                 seqs.append(seq or None)
-                sigs.append(signature(found).tobytes() if len(found) else None)
+                sig = signature(found) if len(found) else None
+                sigs.append(None if sig is None else sig.tobytes())
+                sketches.append(None if sig is None else sketch(sig))
             row = pa.array(range(first, first + b.num_rows), pa.int64())
             first += b.num_rows
-            yield pa.record_batch([row, b.column("doc_id"), b.column("text_key"), pa.array(sizes, pa.int64()), pa.array(seqs, pa.binary()), pa.array(sigs, pa.binary())], names=["row", "doc_id", "text_key", "n", "seq", "sig"])
+            yield pa.record_batch([row, b.column("doc_id"), b.column("text_key"), pa.array(sizes, pa.int64()), pa.array(seqs, pa.binary()), pa.array(sigs, pa.binary()), pa.array(sketches, pa.list_(pa.int64()))], names=["row", "doc_id", "text_key", "n", "seq", "sig", "sketch"])
 
     return run
 
@@ -196,8 +220,8 @@ def _shingle_rows(n: int):
     return run
 
 
-def _prefix_pairs(linker: _Linker, crowd: DataFrame, percent: int) -> DataFrame:
-    """Pairs across components among the nodes of crowded keys that share a rare shingle (exact prefix filter)."""
+def _prefix_keys(linker: _Linker, crowd: DataFrame, percent: int) -> DataFrame:
+    """The nodes of crowded keys with their rare shingles as keys (exact prefix filter)."""
     rows = stored(linker.texts_of(crowd.select("node")).mapInArrow(_shingle_rows(linker.n), "node bigint, n bigint, shingle bigint"), "crowd-shingles")
     common = rows.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
     ranked = rows.join(common, "shingle").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("s"))
@@ -207,12 +231,29 @@ def _prefix_pairs(linker: _Linker, crowd: DataFrame, percent: int) -> DataFrame:
     return prefix.join(crowd.select("node", "component").distinct(), "node")
 
 
-def _cross(keyed: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of one key in different components, with sets of fitting sizes."""
-    a = keyed.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    b = keyed.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+def _cross(linker: _Linker, keyed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one key in different components, with sets of fitting sizes and near sketches."""
+    rows = keyed.join(linker.nodes.select("node", *[F.col("sketch")[i].alias(c) for i, c in enumerate(SKETCH)]), "node")
+    a = rows.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), *[F.col(c).alias(f"a_{c}") for c in SKETCH])
+    b = rows.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), *[F.col(c).alias(f"b_{c}") for c in SKETCH])
     fits = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
-    return a.join(b, "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits).select("a", "b").distinct()
+    close = _sketch_distance([F.col(f"a_{c}") for c in SKETCH], [F.col(f"b_{c}") for c in SKETCH]) <= THRESHOLD
+    return a.join(b, "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits & close).select("a", "b").distinct()
+
+
+def _led(placed: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of a node and the leaders, of other components, that it shares most keys with."""
+    first = F.min(F.struct(F.xxhash64(F.lit(turn), "node"), "node", "component")).alias("f")
+    leaders = placed.groupBy("key").agg(first).select("key", F.col("f.node").alias("a"), F.col("f.component").alias("ca"))
+    shared = placed.join(leaders, "key").filter("component <> ca").groupBy(F.col("node").alias("b"), "a").agg(F.count("*").alias("m"))
+    best = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("m"), "a"))
+    return shared.withColumn("r", best).filter(F.col("r") <= LEADERS).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _open(placed: DataFrame) -> DataFrame:
+    """The rows of keys that still join different components, with the number of their nodes."""
+    keys = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("m")).filter("c0 <> c1").select("key", "m")
+    return placed.drop("m").join(keys, "key")
 
 
 def text_key(text: Column) -> Column:
@@ -226,31 +267,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Kept is the row with the component's smallest id, of repeated rows the first.
     """
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text"))
-    sketches = stored(slim.mapInArrow(_sketch(words), "row bigint, doc_id bigint, text_key bigint, n bigint, seq binary, sig binary"), "sketches")
+    sketches = stored(slim.mapInArrow(_sketch(words), "row bigint, doc_id bigint, text_key bigint, n bigint, seq binary, sig binary, sketch array<bigint>"), "sketches")
     # one node for each word sequence, named by its first row
-    first = F.min(F.struct("row", "doc_id", "text_key", "n", "sig")).alias("f")
-    nodes = stored(sketches.filter("seq is not null").groupBy("seq").agg(first).select("seq", F.col("f.row").alias("node"), "f.doc_id", "f.text_key", "f.n", "f.sig"), "nodes")
+    first = F.min(F.struct("row", "doc_id", "text_key", "n", "sig", "sketch")).alias("f")
+    nodes = stored(sketches.filter("seq is not null").groupBy("seq").agg(first).select("seq", F.col("f.row").alias("node"), "f.doc_id", "f.text_key", "f.n", "f.sig", "f.sketch"), "nodes")
     linker = _Linker(slim, nodes, words, percent)
 
     keyed = stored(nodes.select("node", "n", "sig").mapInArrow(_keys, "key bigint, node bigint, n bigint"), "keys")
-    shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.count("*").alias("members")).filter("members > 1")
-    members = stored(keyed.join(shared, "key"), "shared-keys")
-    links = linker.links(members.filter("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct())
-
-    merged = stored(components(links), "components")
-    placed = members.join(merged, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("m")).filter("c0 <> c1").select("key", "m")
-    still = stored(placed.join(open_keys, "key"), "open-keys")
-    links = links.union(linker.links(_cross(still.filter(F.col("m") <= CROWD), percent)))
-    crowd = still.filter(F.col("m") > CROWD)
+    placed = stored(_open(keyed.withColumn("component", F.col("node"))), "shared-keys")
+    links = None
+    for turn in range(ROUNDS):
+        found = linker.links(_led(placed, turn))
+        links = found if links is None else links.union(found)
+        merged = components(links).select(F.col("node").alias("_node"), F.col("component").alias("_to"))
+        placed = placed.join(merged, F.col("node") == F.col("_node"), "left").withColumn("component", F.coalesce("_to", "node")).drop("_node", "_to")
+        placed = stored(_open(placed), "open-keys")
+        if placed.isEmpty():
+            break
+    links = links.union(linker.links(_cross(linker, placed.filter(F.col("m") <= CROWD), percent)))
+    crowd = placed.filter(F.col("m") > CROWD)
     if not crowd.isEmpty():
-        pairs = stored(_cross(_prefix_pairs(linker, crowd, percent), percent), "prefix-pairs")
+        pairs = stored(_cross(linker, _prefix_keys(linker, crowd, percent), percent), "prefix-pairs")
         links = links.union(linker.confirm(pairs))
     final = components(links).withColumnRenamed("node", "_node")
 
     group = nodes.select("seq", "node").join(final, F.col("node") == F.col("_node"), "left").select(F.col("seq").alias("_seq"), F.coalesce("component", "node").alias("group"))
-    linked = sketches.filter("seq is not null").drop("sig").join(group, F.col("seq") == F.col("_seq"))
+    linked = sketches.filter("seq is not null").drop("sig", "sketch").join(group, F.col("seq") == F.col("_seq"))
+    linked = stored(linked, "grouped")
     best = linked.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("b")).select(F.col("group").alias("_group"), F.col("b.doc_id").alias("component_id"), F.col("b.row").alias("best"))
+    best = stored(best, "best")  # else both sides of the join meet by the same exchange, which can't be split
     columns = ["doc_id", "text_key", F.col("n").alias("n_shingles"), "component_id"]
     grouped = linked.join(best, F.col("group") == F.col("_group")).select(*columns, (F.col("row") == F.col("best")).alias("kept"))
     alone = sketches.filter("seq is null").withColumn("component_id", F.col("doc_id")).select(*columns, F.lit(True).alias("kept"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from finquarry.llm.common import table, texts
+from finquarry.llm.common import stored, table, texts
 from finquarry.llm.tokens import encoder
 from finquarry.session import run_folder
 
@@ -137,31 +137,34 @@ def decode_block(payload: bytes, t: Table, first: int = 0, last: int | None = No
     return np.concatenate(out) if out else np.zeros(0, np.uint32)
 
 
-def _encoded(path: str, end_id: int):
-    tail = struct.pack("<I", end_id)
-
-    def of(batch: pa.RecordBatch) -> list[bytes]:
-        e = encoder(path)
-        return [e.encode(t) + tail for t in texts(batch.column("text"))]
-
-    return of
+def _narrow(vocabulary: int) -> str:
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
 def write_tokens(docs: DataFrame, path: str, end_id: int, folder: str, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Count the ids of all documents, then encode them in id order."""
+    """Tokenise all documents once and keep their ids, count them, then encode them in id order."""
     spark = docs.sparkSession
-    encode = _encoded(path, end_id)
+    kind = _narrow(max(encoder(path).library.get_vocab_size(), end_id + 1))
+
+    def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e, tail = encoder(path), struct.pack("<I", end_id)
+        for b in batches:
+            ids = [np.frombuffer(e.encode(t) + tail, "<u4").astype(kind).tobytes() for t in texts(b.column("text"))]
+            yield pa.record_batch([b.column("doc_id"), b.column("tie"), pa.array(ids, pa.binary())], names=["doc_id", "tie", "ids"])
+
+    slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tie"), F.col(text_col).alias("text"))
+    tokenised = stored(slim.mapInArrow(tokenise, "doc_id bigint, tie bigint, ids binary"), "token-ids")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for b in batches:
-            found = np.bincount(np.frombuffer(b"".join(encode(b)), "<u4"))
+            found = np.bincount(np.frombuffer(b"".join(b.column("ids").to_pylist()), kind))
             total, found = (total, found) if len(total) >= len(found) else (found, total)
             total[: len(found)] += found
         at = np.flatnonzero(total)
         yield pa.record_batch([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["token", "n"])
 
-    counts = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
+    counts = tokenised.select("ids").mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
     counts = counts.sort_values("token")
     tokens, freqs = counts["token"].to_numpy(np.int64), Table.scaled(counts["n"].to_numpy(np.int64))
     spark.createDataFrame([(int(a), int(b)) for a, b in zip(tokens, freqs)], "token bigint, freq bigint").coalesce(1).write.parquet(f"{folder}/table")
@@ -175,23 +178,22 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, folder: str, id_col: s
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
 
         def block():
-            flat = np.frombuffer(b"".join(ids), "<u4")
-            row = [[part], [seq], [first], [doc_ids], [[len(x) // 4 for x in ids]], [encode_block(flat, t)]]
+            flat = np.frombuffer(b"".join(ids), kind)
+            row = [[part], [seq], [first], [doc_ids], [[len(x) // flat.itemsize for x in ids]], [encode_block(flat, t)]]
             return pa.record_batch([pa.array(v, k) for v, k in zip(row, kinds)], names=["part", "seq", "first", "doc_ids", "doc_tokens", "payload"])
 
         for b in batches:
-            for doc_id, x in zip(b.column("doc_id").to_pylist(), encode(b)):
+            for doc_id, x in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist()):
                 doc_ids.append(doc_id)
                 ids.append(x)
-                held += len(x) // 4
+                held += len(x) // np.dtype(kind).itemsize
                 if held >= BLOCK:
                     yield block()
                     seq, first, doc_ids, ids, held = seq + 1, first + held, [], [], 0
         if ids:
             yield block()
 
-    slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    slim.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(blocks, BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
+    tokenised.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "tie").mapInArrow(blocks, BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
 
 
 def read_tokens(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:

@@ -79,7 +79,8 @@ def test_token_files(spark):
     folder = run_folder(spark, "test-tokens")
     write_tokens(awkward(spark), WORD, 2, folder)
     library = Tokenizer.from_file(WORD)
-    rows = sorted(awkward(spark).collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text is not None, r.text or ""))
+    ties = {r.text: r.tie for r in awkward(spark).selectExpr("text", "xxhash64(coalesce(text, '')) AS tie").collect()}
+    rows = sorted(awkward(spark).collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, ties[r.text]))
     start, want = 0, []
     for r in rows:
         ids = [*library.encode(r.text or "", add_special_tokens=False).ids, 2]
