@@ -84,8 +84,12 @@ def minutes_between(start: Col, end: Col) -> Column:
 
 
 def key_hash(*cols: Col) -> Column:
-    """Surrogate key: md5 over the parts, with NULL kept distinct from the empty text."""
-    return F.md5(F.concat_ws("|", *[F.coalesce(col(c).cast("string"), F.lit("~")) for c in cols]))
+    """Surrogate key: md5 of one part (NULL stays NULL), or of several parts, each with its length before it and
+    NULL as ``-``, so that different part lists never have the same text."""
+    text = lambda c: col(c).cast("string")
+    if len(cols) == 1:
+        return F.md5(text(cols[0]))
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.length(text(c)).cast("string"), F.lit(":"), text(c)), F.lit("-")) for c in cols]))
 
 
 def valid_email(c: Col) -> Column:

@@ -46,9 +46,9 @@ def recompute_days(target: DataFrame, all_rows: DataFrame, late: DataFrame, day:
 
 
 def checksum(df: DataFrame) -> DataFrame:
-    """Order-free fingerprint of a table: equal tables have equal sums."""
-    h = F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")
-    return df.agg(F.count("*").alias("row_count"), F.sum(h).cast("string").alias("checksum"))
+    """Order-free fingerprint of a table: equal tables have equal sums. NULLs count in their place."""
+    row = F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"})
+    return df.agg(F.count("*").alias("row_count"), F.sum(F.xxhash64(row).cast("decimal(38,0)")).cast("string").alias("checksum"))
 
 
 def ledger_update(ledger: DataFrame, runs: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -16,12 +16,10 @@ def partition_stats(df: DataFrame, column: str) -> DataFrame:
     return counts.withColumn("skew_ratio", F.col("row_count") / counts.agg(F.avg("row_count")).scalar())
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str], files_per_value: int = 1, salt: Sequence[str] = ()) -> None:
-    """Dynamic partition overwrite with few files per folder; ``salt`` columns spread a hot folder over tasks."""
-    spread = [F.col(c) for c in by]
-    if files_per_value > 1:
-        spread.append(F.pmod(F.xxhash64(*(salt or df.columns)), F.lit(files_per_value)))
-    df.repartition(*spread).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Dynamic partition overwrite. Rows are brought together by partition value; a value with much data is
+    split over several tasks and files by measured bytes (``spark.sql.adaptive.advisoryPartitionSizeInBytes``)."""
+    df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def cluster_sorted(df: DataFrame, cols: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -30,9 +28,9 @@ def cluster_sorted(df: DataFrame, cols: Sequence[str], partitions: int | None =
     return df.repartitionByRange(*n, *cols).sortWithinPartitions(*cols)
 
 
-def compact(spark: SparkSession, source: str, target: str, by: Sequence[str], files_per_value: int = 1) -> DataFrame:
+def compact(spark: SparkSession, source: str, target: str, by: Sequence[str]) -> DataFrame:
     """Rewrite many small files as few larger ones in a new folder; the caller publishes it."""
-    write_partitioned(spark.read.parquet(source), target, by, files_per_value)
+    write_partitioned(spark.read.parquet(source), target, by)
     return spark.read.parquet(target)
 
 

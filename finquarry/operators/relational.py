@@ -77,22 +77,32 @@ def compare_rows(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     return x.join(y, list(keys), "full").filter(~F.col("_a").eqNullSafe(F.col("_b"))).select(*keys, state.alias("status"))
 
 
-def walk(start: DataFrame, edges: DataFrame, max_depth: int = 10) -> DataFrame:
+def walk(start: DataFrame, edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Follow ``edges (src, dst, *extra)`` from ``start (root, node)``; one row per path found.
 
     Level by level: the frontier meets the edges in one equi-join, paths that would revisit a
     node are dropped, and every level is checkpointed so the plan stays short. The loop ends
-    with the first empty level or at ``max_depth``. Result: root, node, depth, path.
+    with the first empty level; only a report that is defined to a depth gives ``max_depth``.
+    Result: root, node, depth, path.
     """
     frontier = start.select("root", "node").withColumns({"depth": F.lit(0), "path": F.array(F.col("node"))})
-    levels = [frontier]
-    for depth in range(1, max_depth + 1):
-        step = (
+
+    def step(frontier: DataFrame, depth: int) -> DataFrame:
+        return (
             frontier.join(edges, frontier.node == edges.src)
             .filter(~F.array_contains("path", F.col("dst")))
             .select("root", F.col("dst").alias("node"), F.lit(depth).alias("depth"), F.concat("path", F.array("dst")).alias("path"))
         )
-        frontier = cut_lineage(step)
+
+    return _levels(frontier, step, max_depth)
+
+
+def _levels(frontier: DataFrame, step, max_depth: int | None = None) -> DataFrame:
+    """All levels up to the first empty one: ``step(frontier, depth)`` gives the next."""
+    levels, depth = [frontier], 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
+        frontier = cut_lineage(step(frontier, depth))
         if frontier.isEmpty():
             break
         levels.append(frontier)
@@ -102,29 +112,28 @@ def walk(start: DataFrame, edges: DataFrame, max_depth: int = 10) -> DataFrame:
     return out
 
 
-def hierarchy(nodes: DataFrame, node: str, parent: str, max_depth: int = 10) -> DataFrame:
+def hierarchy(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     """Every node of a forest with its level and path from the root (parent NULL)."""
     roots = nodes.filter(F.col(parent).isNull()).select(F.col(node).alias("root"), F.col(node).alias("node"))
     edges = nodes.filter(F.col(parent).isNotNull()).select(F.col(parent).alias("src"), F.col(node).alias("dst"))
-    return walk(roots, edges, max_depth)
+    return walk(roots, edges)
 
 
-def explode_bom(bom: DataFrame, roots: DataFrame, max_depth: int = 10) -> DataFrame:
-    """Total quantity of every component below each root: ``bom (parent, child, qty)``."""
+def explode_bom(bom: DataFrame, roots: DataFrame) -> DataFrame:
+    """Total quantity of every component below each root: ``bom (parent, child, qty)`` without cycles.
+
+    Quantities of a part on one level are summed at once, so shared parts do not multiply paths.
+    A cycle is an error: it is reported once a level lies deeper than there are parts.
+    """
     frontier = roots.select("root", F.col("root").alias("part"), F.lit(1).cast("bigint").alias("total_qty"), F.lit(0).alias("level"))
-    levels = [frontier]
-    for level in range(1, max_depth + 1):
-        step = frontier.join(bom, frontier.part == bom.parent).select(
-            "root", F.col("child").alias("part"), (F.col("total_qty") * F.col("qty")).alias("total_qty"), F.lit(level).alias("level")
-        )
-        frontier = cut_lineage(step)
-        if frontier.isEmpty():
-            break
-        levels.append(frontier)
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out
+    parts = bom.agg(F.count("*")).scalar()
+
+    def step(frontier: DataFrame, level: int) -> DataFrame:
+        below = frontier.join(bom, frontier.part == bom.parent).select("root", F.col("child").alias("part"), (F.col("total_qty") * F.col("qty")).alias("q"))
+        checked = below.withColumn("q", F.when(F.lit(level) > parts, F.raise_error(F.lit("the parts list has a cycle")).cast("bigint")).otherwise(F.col("q")))
+        return checked.groupBy("root", "part").agg(F.sum("q").alias("total_qty")).withColumn("level", F.lit(level))
+
+    return _levels(frontier, step)
 
 
 def calendar(spark, start: str, end: str, name: str = "d") -> DataFrame:

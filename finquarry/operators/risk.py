@@ -42,12 +42,12 @@ def one_row(base: DataFrame, *others: DataFrame) -> DataFrame:
 
 
 # --- loan level -------------------------------------------------------------------------------------------
-def credit_dashboard(loans: DataFrame, customers: DataFrame, payments: DataFrame, as_of: str, classes: Sequence[tuple[int, str]] = DASHBOARD_CLASSES) -> DataFrame:
+def credit_dashboard(loans: DataFrame, customers: DataFrame, payments: DataFrame, as_of: str, classes: Sequence[tuple[int, str]] = DASHBOARD_CLASSES, past_due: str = "threshold") -> DataFrame:
     """One row per loan with payment record, days past due and class.
 
     Payments are summed per loan before the join. Thresholds are tried from the largest
-    down. With the default classes ``estimated_dpd`` is the threshold passed; with other
-    classes it is the number of days since the last payment once the first one is passed.
+    down. ``estimated_dpd`` is the threshold passed (``past_due="threshold"``), or the days since
+    the last payment once the lowest threshold is passed (``"days"``).
     """
     st = F.col("status_standardized")
     paid = payments.groupBy("loan_id").agg(F.count("*").alias("total_payments_made"), F.count_if(st == "SUCCESS").alias("successful_payments"), F.count_if(st == "FAILED").alias("failed_payments"), F.max("payment_date").alias("last_payment"))
@@ -58,7 +58,7 @@ def credit_dashboard(loans: DataFrame, customers: DataFrame, payments: DataFrame
     dpd = F.when(~active, None)
     for limit, name in classes:
         cls = cls.when(days > limit, name)
-        dpd = dpd.when(days > limit, F.lit(limit) if classes is DASHBOARD_CLASSES else days)
+        dpd = dpd.when(days > limit, F.lit(limit) if past_due == "threshold" else days)
     return out.withColumns(
         {
             "payment_success_rate": F.coalesce(X.pct("successful_payments", "total_payments_made"), F.lit(0.0)), "estimated_dpd": dpd.otherwise(0), "risk_classification": cls.otherwise("STANDARD"),
@@ -68,7 +68,7 @@ def credit_dashboard(loans: DataFrame, customers: DataFrame, payments: DataFrame
 
 
 def _npl(c: str = "principal_outstanding") -> Column:
-    return X.sum_if(F.col("risk_classification").isin(*NON_PERFORMING), c)
+    return X.sum_if(F.col("risk_classification").isin(*NON_PERFORMING, "NPA"), c)
 
 
 def risk_summary(dash: DataFrame) -> DataFrame:
@@ -292,7 +292,8 @@ def balance_sheet(accounts: DataFrame, loans: DataFrame, cards: DataFrame, equit
 
 
 def asset_quality(dash: DataFrame) -> DataFrame:
-    d = F.col("estimated_dpd")
+    """Bands by the days past due, counted from the first day; a loan never paid late or never paid is standard."""
+    d = F.coalesce(F.greatest("days_since_last_payment", F.lit(0)), F.lit(0))
     out = dash.filter("loan_status = 'ACTIVE'").agg(
         X.dsum("principal_outstanding").alias("portfolio"), X.sum_if(d == 0, "principal_outstanding").alias("standard_loans"), X.sum_if(d.between(1, 30), "principal_outstanding").alias("special_mention"),
         X.sum_if(d.between(31, 60), "principal_outstanding").alias("sub_standard"), X.sum_if(d.between(61, 90), "principal_outstanding").alias("doubtful"), X.sum_if(d > 90, "principal_outstanding").alias("loss"),
@@ -393,7 +394,8 @@ def monthly_pnl(payments: DataFrame, transactions: DataFrame) -> DataFrame:
 
 
 def regional_pnl(loans: DataFrame, transactions: DataFrame, accounts: DataFrame, branches: DataFrame) -> DataFrame:
+    """Per branch; a customer's loans count once for a branch, however many accounts they have there."""
     home = accounts.select("customer_id", "account_id", "branch_code")
-    l = loans.filter("loan_status = 'ACTIVE'").groupBy("customer_id").agg(F.count("*").alias("n"), F.sum("principal_outstanding").alias("p"), F.sum(F.col("principal_outstanding") * F.col("interest_rate")).alias("i")).join(home, "customer_id").groupBy("branch_code").agg(F.sum("n").alias("active_loans"), X.dsum("p").alias("loan_portfolio"), (X.dsum("i") / 100.0).alias("interest_income"))
+    l = loans.filter("loan_status = 'ACTIVE'").groupBy("customer_id").agg(F.count("*").alias("n"), F.sum("principal_outstanding").alias("p"), F.sum(F.col("principal_outstanding") * F.col("interest_rate")).alias("i")).join(home.select("customer_id", "branch_code").distinct(), "customer_id").groupBy("branch_code").agg(F.sum("n").alias("active_loans"), X.dsum("p").alias("loan_portfolio"), (X.dsum("i") / 100.0).alias("interest_income"))
     t = transactions.groupBy("account_id").agg(F.count("*").alias("n"), F.sum("amount").alias("a")).join(home, "account_id").groupBy("branch_code").agg(F.sum("n").alias("transaction_count"), X.dsum("a").alias("transaction_volume"))
     return branches.join(l, "branch_code", "left").join(t, "branch_code", "left").fillna(0).select("region", "branch_name", "interest_income", "transaction_count", "transaction_volume", "active_loans", "loan_portfolio")

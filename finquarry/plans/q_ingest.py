@@ -74,7 +74,7 @@ def _(b):
     """Dynamic overwrite: the second write replaces one partition only."""
     path = run_folder(b.spark, "part")
     L.write_partitioned(_orders(b).withColumn("o_totalprice", F.when(F.col("o_orderstatus") == "P", F.lit(0.0)).otherwise(F.col("o_totalprice"))), path, ["o_orderstatus"])
-    L.write_partitioned(_orders(b).filter("o_orderstatus = 'P'"), path, ["o_orderstatus"], files_per_value=4, salt=["o_orderkey"])
+    L.write_partitioned(_orders(b).filter("o_orderstatus = 'P'"), path, ["o_orderstatus"])
     return files.read(b.spark, path)
 
 

@@ -117,9 +117,9 @@ def _(b):
     return b.table("customer").join(n, "c_custkey", "left").select("c_custkey", F.coalesce("n", F.lit(0)).alias("n_orders"))
 
 
-@query("join_right", "SELECT p_partkey, l_orderkey FROM (SELECT * FROM lineitem WHERE l_quantity > 49) RIGHT JOIN part ON l_partkey = p_partkey")
+@query("join_right", "SELECT p_partkey, l_orderkey FROM lineitem RIGHT JOIN part ON l_partkey = p_partkey")
 def _(b):
-    l, p = b.table("lineitem").filter("l_quantity > 49"), b.table("part")
+    l, p = b.table("lineitem"), b.table("part")
     return l.join(p, l.l_partkey == p.p_partkey, "right").select("p_partkey", "l_orderkey")
 
 
@@ -383,11 +383,11 @@ def _(b):
 # --- sort, limit ------------------------------------------------------------------------------
 
 
-@query("sort_multi", "SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 ELSE 3 END::BIGINT AS rank FROM orders ORDER BY 2, 1 LIMIT 200")
+@query("sort_multi", "SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 ELSE 3 END::BIGINT AS rank FROM orders ORDER BY 2, 1")
 def _(b):
     p = F.col("o_orderpriority")
     rank = F.when(p == "1-URGENT", 1).when(p == "2-HIGH", 2).otherwise(3)
-    return b.table("orders").select("o_orderkey", rank.alias("rank")).orderBy("rank", "o_orderkey").limit(200)
+    return b.table("orders").select("o_orderkey", rank.alias("rank")).orderBy("rank", "o_orderkey")
 
 
 @query("limit_topk", "SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 10")
@@ -503,7 +503,7 @@ def _(b):
 def _(b):
     k = F.col("p_partkey")
     bom = b.table("part").filter(k >= 4).select(F.floor(k / 4).alias("parent"), k.alias("child"), (k % 3 + 1).alias("qty"))
-    return R.explode_bom(bom, b.table("part").filter(k < 4).select(k.alias("root")), max_depth=20)
+    return R.explode_bom(bom, b.table("part").filter(k < 4).select(k.alias("root")))
 
 
 @query("pivot", """SELECT date_trunc('month', o_orderdate)::DATE::VARCHAR AS month, sum(o_totalprice::DECIMAL(18,2)) FILTER (WHERE o_orderstatus = 'F')::DOUBLE AS "F", sum(o_totalprice::DECIMAL(18,2)) FILTER (WHERE o_orderstatus = 'O')::DOUBLE AS "O", sum(o_totalprice::DECIMAL(18,2)) FILTER (WHERE o_orderstatus = 'P')::DOUBLE AS "P" FROM orders GROUP BY 1""")

@@ -17,7 +17,7 @@ YEAR_AGO, MONTH_AGO, EQUITY = "2000-08-02", "2001-07-03", 6200000.0
 
 def dash(b, classes=K.FIVE_CLASSES):
     c = Clean(b)
-    return K.credit_dashboard(c.loans, c.customers, c.payments, AS_OF, classes)
+    return K.credit_dashboard(c.loans, c.customers, c.payments, AS_OF, classes, "threshold" if classes is K.DASHBOARD_CLASSES else "days")
 
 
 _DASH = """SELECT loan_id, customer_id, customer_name, loan_type_standardized AS loan_type, principal_amount, principal_outstanding, interest_rate, emi_amount, loan_status, coalesce(n, 0) AS total_payments_made, coalesce(ok, 0) AS successful_payments, coalesce(ko, 0) AS failed_payments,
@@ -205,7 +205,7 @@ def sheet(b):
 
 _SHEET = f"""sheet AS (SELECT *, total_liabilities + total_loans AS total_assets, 6200000.0::DOUBLE AS total_equity FROM (SELECT coalesce((sum(current_balance) FILTER (WHERE account_type_standardized = 'SAVINGS'))::DOUBLE, 0) AS customer_deposits_savings, coalesce((sum(current_balance) FILTER (WHERE account_type_standardized = 'CURRENT'))::DOUBLE, 0) AS customer_deposits_current, sum(current_balance)::DOUBLE AS total_liabilities FROM s_accounts WHERE status_standardized = 'ACTIVE'),
     (SELECT {", ".join(f"coalesce((sum({PO}) FILTER (WHERE loan_type_standardized = '{v}'))::DOUBLE, 0) AS {k}" for k, v in (("home_loans", "HOME_LOAN"), ("personal_loans", "PERSONAL_LOAN"), ("car_loans", "CAR_LOAN"), ("business_loans", "BUSINESS_LOAN")))}, sum({PO})::DOUBLE AS total_loans FROM s_loans WHERE loan_status = 'ACTIVE'), (SELECT sum(card_limit)::DOUBLE AS credit_card_limits FROM s_cards WHERE status = 'ACTIVE')) """
-_QUAL = f"""qual AS (SELECT *, loss * 100.0::DOUBLE / portfolio AS npl_ratio, loss * 0.15::DOUBLE * 100.0::DOUBLE / nullif(loss, 0) AS provision_coverage_ratio FROM (SELECT sum({PO})::DOUBLE AS portfolio, {_s('dpd = 0')} AS standard_loans, {_s('dpd BETWEEN 1 AND 30')} AS special_mention, {_s('dpd BETWEEN 31 AND 60')} AS sub_standard, {_s('dpd BETWEEN 61 AND 90')} AS doubtful, {_s('dpd > 90')} AS loss FROM act)) """
+_QUAL = f"""qual AS (SELECT *, loss * 100.0::DOUBLE / portfolio AS npl_ratio, loss * 0.15::DOUBLE * 100.0::DOUBLE / nullif(loss, 0) AS provision_coverage_ratio FROM (SELECT sum({PO})::DOUBLE AS portfolio, {_s('coalesce(days, 0) <= 0')} AS standard_loans, {_s('days BETWEEN 1 AND 30')} AS special_mention, {_s('days BETWEEN 31 AND 60')} AS sub_standard, {_s('days BETWEEN 61 AND 90')} AS doubtful, {_s('days > 90')} AS loss FROM act)) """
 _LIQ = "liq AS (SELECT total_deposits, liquid_assets, liquid_assets * 100.0::DOUBLE / nullif(sv, 0) AS lcr_ratio, CASE WHEN liquid_assets * 100.0::DOUBLE / nullif(sv, 0) >= 100 THEN 'COMPLIANT' ELSE 'NON_COMPLIANT' END AS lcr_compliance FROM (SELECT sum(current_balance)::DOUBLE AS total_deposits, sum(available_balance)::DOUBLE AS liquid_assets, (sum(current_balance) FILTER (WHERE account_type_standardized = 'SAVINGS'))::DOUBLE AS sv FROM s_accounts WHERE status_standardized = 'ACTIVE')) "
 
 

@@ -170,7 +170,7 @@ def _(b):
     return rows.groupBy("d.l_orderkey").agg(F.bool_or(hit).alias("has_large"), F.count_if(hit).alias("large_items"))
 
 
-@query("hash_md5", "SELECT customer_id, md5(concat_ws('|', customer_id::VARCHAR, name)) AS h FROM b_snap_old")
+@query("hash_md5", "SELECT customer_id, md5(coalesce(length(customer_id::VARCHAR) || ':' || customer_id::VARCHAR, '-') || coalesce(length(name) || ':' || name, '-')) AS h FROM b_snap_old")
 def _(b):
     return b.snapshot_old().select("customer_id", X.key_hash("customer_id", "name").alias("h"))
 
@@ -229,9 +229,9 @@ def _(b):
     return branch_status(AS_OF)
 
 
-@query("udf_mask", """SELECT customer_id, left(trim(email), 2) || '***' || CASE WHEN position('@' IN email) > 0 THEN substring(trim(email), position('@' IN trim(email))) ELSE '' END AS email,
-    repeat('X', greatest(length(phone) - 4, 0)) || right(phone, 4) AS phone FROM b_customers WHERE position('@' IN email) > 0""")
+@query("udf_mask", """SELECT customer_id, CASE WHEN position('@' IN trim(email)) > 3 THEN left(trim(email), 2) || '***' || substring(trim(email), position('@' IN trim(email))) WHEN position('@' IN email) > 0 THEN '***' || substring(trim(email), position('@' IN trim(email))) ELSE '***' END AS email,
+    repeat('X', greatest(length(phone) - 4, 0)) || right(phone, 4) AS phone FROM b_customers """)
 def _(b):
     from finquarry.operators.governance import mask_by_name
 
-    return mask_by_name(b.customers().filter(F.locate("@", F.col("email")) > 0).select("customer_id", "email", "phone"))
+    return mask_by_name(b.customers().select("customer_id", "email", "phone"))

@@ -40,7 +40,7 @@ def _(b):
     return D.dim_branch(b.table("nation"), b.table("region"))
 
 
-@query("dim_product", "SELECT DISTINCT md5(p_type || '|' || p_brand) AS product_sk, p_type AS product_category, p_brand AS product_name FROM part")
+@query("dim_product", "SELECT DISTINCT md5(coalesce(length(p_type) || ':' || p_type, '-') || coalesce(length(p_brand) || ':' || p_brand, '-')) AS product_sk, p_type AS product_category, p_brand AS product_name FROM part")
 def _(b):
     return D.dim_product(b.table("part"))
 
@@ -53,12 +53,12 @@ def _(b):
     return D.dim_customer_mart(c.customers, c.accounts, [(8000, "PLATINUM"), (5000, "GOLD"), (1000, "SILVER")])
 
 
-@query("surrogate_key", "SELECT md5(concat_ws('|', l_orderkey::VARCHAR, l_linenumber::VARCHAR, l_partkey::VARCHAR, l_suppkey::VARCHAR)) AS line_sk, count(*) AS n FROM lineitem GROUP BY 1")
+@query("surrogate_key", "SELECT md5(coalesce(length(l_orderkey::VARCHAR) || ':' || l_orderkey::VARCHAR, '-') || coalesce(length(l_linenumber::VARCHAR) || ':' || l_linenumber::VARCHAR, '-') || coalesce(length(l_partkey::VARCHAR) || ':' || l_partkey::VARCHAR, '-') || coalesce(length(l_suppkey::VARCHAR) || ':' || l_suppkey::VARCHAR, '-')) AS line_sk, count(*) AS n FROM lineitem GROUP BY 1")
 def _(b):
     return b.table("lineitem").select(X.key_hash("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("line_sk")).groupBy("line_sk").agg(F.count("*").alias("n"))
 
 
-@query("dim_junk", "SELECT DISTINCT l_returnflag, l_linestatus, md5(l_returnflag || '|' || l_linestatus) AS junk_sk FROM lineitem")
+@query("dim_junk", "SELECT DISTINCT l_returnflag, l_linestatus, md5(coalesce(length(l_returnflag) || ':' || l_returnflag, '-') || coalesce(length(l_linestatus) || ':' || l_linestatus, '-')) AS junk_sk FROM lineitem")
 def _(b):
     return D.junk_dimension(b.table("lineitem"), ["l_returnflag", "l_linestatus"])
 
@@ -124,7 +124,7 @@ def versions(b):
     return H.scd2(first, b.snapshot_new(), "customer_id", ["nation", "balance"], AS_OF, close_missing=True)
 
 
-@query("scd2", _SCD2 + "SELECT *, md5(customer_id::VARCHAR || '|' || valid_from) AS sk FROM v")
+@query("scd2", _SCD2 + "SELECT *, md5(coalesce(length(customer_id::VARCHAR) || ':' || customer_id::VARCHAR, '-') || coalesce(length(valid_from) || ':' || valid_from, '-')) AS sk FROM v")
 def _(b):
     return versions(b).select("customer_id", "nation", "balance", "valid_from", "valid_to", "is_current", "sk")
 
@@ -284,7 +284,7 @@ def _(b):
     return D.hub(D.hub(None, b.snapshot_old(), "customer_id", "1995-01-01", "core"), b.snapshot_new(), "customer_id", AS_OF, "core")
 
 
-@query("vault_link", "SELECT md5(o_custkey::VARCHAR || '|' || o_orderkey::VARCHAR) AS link_key, md5(o_custkey::VARCHAR) AS o_custkey_hk, md5(o_orderkey::VARCHAR) AS o_orderkey_hk, '2001-08-02' AS load_date FROM orders")
+@query("vault_link", "SELECT md5(coalesce(length(o_custkey::VARCHAR) || ':' || o_custkey::VARCHAR, '-') || coalesce(length(o_orderkey::VARCHAR) || ':' || o_orderkey::VARCHAR, '-')) AS link_key, md5(o_custkey::VARCHAR) AS o_custkey_hk, md5(o_orderkey::VARCHAR) AS o_orderkey_hk, '2001-08-02' AS load_date FROM orders")
 def _(b):
     return D.link(b.table("orders"), ["o_custkey", "o_orderkey"], AS_OF)
 
@@ -297,7 +297,7 @@ def sat(b):
     return D.satellite(D.satellite(None, b.snapshot_old(), "customer_id", cols, "1995-01-01"), b.snapshot_new(), "customer_id", cols, AS_OF)
 
 
-@query("vault_satellite", "WITH " + _SAT + "SELECT md5(customer_id::VARCHAR) AS hub_key, load_date, md5(nation::VARCHAR || '|' || segment) AS hash_diff, nation::BIGINT AS nation, segment FROM sat")
+@query("vault_satellite", "WITH " + _SAT + "SELECT md5(customer_id::VARCHAR) AS hub_key, load_date, md5(coalesce(length(nation::VARCHAR) || ':' || nation::VARCHAR, '-') || coalesce(length(segment) || ':' || segment, '-')) AS hash_diff, nation::BIGINT AS nation, segment FROM sat")
 def _(b):
     return sat(b)
 
