@@ -19,7 +19,9 @@ Large groups are never expanded into pairs:
 * keys with more than ``CROWD`` nodes left in different components (a passage that many
   otherwise different documents share) use an exact prefix filter instead: their documents'
   shingles are ordered from rare to common, and two sets with the similarity must share one
-  of the first n - ceil(similarity * n) + 1; the shared passage is never among these.
+  of the first n - ceil(similarity * n) + 1; the shared passage is never among these. A pair
+  is only made at a key that can be the first it shares: enough shingles are left for the
+  overlap, and none of the ``BEFORE`` keys before it is shared.
 
 Defined cases: null text, or one without words, has an empty set and is linked with nothing;
 fewer words than a shingle: the whole sequence is the one shingle; null ids take part and
@@ -47,6 +49,7 @@ SYMBOLS, CHUNKS, ERRORS = 80, 16, 1
 THRESHOLD = CHUNKS * (ERRORS + 1) - 1
 ROUNDS, LEADERS = 3, 3
 CROWD = 64  # nodes of one key that are compared pair by pair; larger keys use the prefix filter
+BEFORE = 8  # keys before one in a prefix that are looked at to tell whether a pair has met already
 
 _rng = np.random.default_rng(20260101)
 FACTORS = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64) | np.uint64(1)
@@ -227,17 +230,39 @@ def _prefix_keys(linker: _Linker, crowd: DataFrame, percent: int) -> DataFrame:
     ranked = rows.join(common, "shingle").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("s"))
     # shingles of df 1 come first in the order and meet nobody: they use up places of the prefix
     width = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / F.lit(100)) + 1 - (F.col("n") - F.size("s"))
-    prefix = ranked.filter(width > 0).select("node", "n", F.explode(F.slice("s", F.lit(1), width.cast("int"))).alias("x")).select("node", "n", F.col("x.shingle").alias("key"))
+
+    def place(x: Column, i: Column) -> Column:
+        before = F.slice("s", F.greatest(i + 1 - BEFORE, F.lit(1)), F.least(i, F.lit(BEFORE)))["shingle"]
+        return F.struct(x["shingle"].alias("key"), (F.size("s") - i).cast("bigint").alias("rest"), before.alias("before"))
+
+    places = F.transform(F.slice("s", F.lit(1), width.cast("int")), place)
+    prefix = ranked.filter(width > 0).select("node", "n", F.explode(places).alias("x")).select("node", "n", "x.*")
     return prefix.join(crowd.select("node", "component").distinct(), "node")
 
 
-def _cross(linker: _Linker, keyed: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of one key in different components, with sets of fitting sizes and near sketches."""
+def _first_shared(percent: int) -> Column:
+    """May this key be the first that the two sets share, in the order of the prefixes? Always true for a linked pair's first one.
+
+    Then the shingles from here on can hold the overlap that a link needs, and none of the keys just before is in both.
+    """
+    needed = (F.col("na") + F.col("nb")) * percent
+    holds = (F.least("rest_a", "rest_b") * (100 + percent)) >= needed
+    return holds & ~F.arrays_overlap("before_a", "before_b")
+
+
+def _cross(linker: _Linker, keyed: DataFrame, percent: int, ordered: bool = False) -> DataFrame:
+    """Pairs (a, b) of one key in different components, with sets of fitting sizes and near sketches.
+
+    ``ordered`` keys are prefixes with ``rest`` and ``before``: a pair is only made where its first shared key can be.
+    """
     rows = keyed.join(linker.nodes.select("node", *[F.col("sketch")[i].alias(c) for i, c in enumerate(SKETCH)]), "node")
-    a = rows.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), *[F.col(c).alias(f"a_{c}") for c in SKETCH])
-    b = rows.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), *[F.col(c).alias(f"b_{c}") for c in SKETCH])
+    more = ["rest", "before"] if ordered else []
+    a = rows.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), *[F.col(c).alias(f"a_{c}") for c in SKETCH], *[F.col(c).alias(f"{c}_a") for c in more])
+    b = rows.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), *[F.col(c).alias(f"b_{c}") for c in SKETCH], *[F.col(c).alias(f"{c}_b") for c in more])
     fits = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
     close = _sketch_distance([F.col(f"a_{c}") for c in SKETCH], [F.col(f"b_{c}") for c in SKETCH]) <= THRESHOLD
+    if ordered:
+        fits = fits & _first_shared(percent)
     return a.join(b, "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits & close).select("a", "b").distinct()
 
 
@@ -287,7 +312,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = links.union(linker.links(_cross(linker, placed.filter(F.col("m") <= CROWD), percent)))
     crowd = placed.filter(F.col("m") > CROWD)
     if not crowd.isEmpty():
-        pairs = stored(_cross(linker, _prefix_keys(linker, crowd, percent), percent), "prefix-pairs")
+        pairs = stored(_cross(linker, _prefix_keys(linker, crowd, percent), percent, ordered=True), "prefix-pairs")
         links = links.union(linker.confirm(pairs))
     final = components(links).withColumnRenamed("node", "_node")
 
