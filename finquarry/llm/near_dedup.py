@@ -12,7 +12,7 @@ Large groups are never expanded into pairs:
 
 * documents with the same word sequence are one node;
 * first, in ``ROUNDS`` rounds, each key names one of its nodes as leader, and a node is compared
-  with the ``LEADERS`` leaders that it shares most keys with. What links collapses into components;
+  with the ``LEADERS`` leaders that it shares most keys with. What links is contracted towards components;
 * then a key is only looked at again where it still joins different components, and only
   pairs across components are compared, with sets of fitting sizes, and with sketches (four
   bits of each symbol) that differ in no more symbols than the threshold;
@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from finquarry.llm.common import stored, table, utf8
-from finquarry.llm.components import components
+from finquarry.llm.components import components, contracted
 from finquarry.llm.tokens import Held
 
 WORDS, PERCENT = 5, 80  # the library's default shingle; op2's contract sets four
@@ -303,13 +303,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = None
     for turn in range(ROUNDS):
         found = linker.links(_led(placed, turn))
-        links = found if links is None else links.union(found)
-        merged = components(links).select(F.col("node").alias("_node"), F.col("component").alias("_to"))
+        if found.isEmpty():
+            break
+        # what is not yet merged here only costs comparisons below; the components are made at the end
+        links = contracted(found if links is None else links.union(found))
+        merged = links.groupBy(F.col("u").alias("_node")).agg(F.min("v").alias("_to"))
         placed = placed.join(merged, F.col("node") == F.col("_node"), "left").withColumn("component", F.coalesce("_to", "node")).drop("_node", "_to")
         placed = stored(_open(placed), "open-keys")
         if placed.isEmpty():
             break
-    links = links.union(linker.links(_cross(linker, placed.filter(F.col("m") <= CROWD), percent)))
+    crossed = linker.links(_cross(linker, placed.filter(F.col("m") <= CROWD), percent))
+    links = crossed if links is None else links.union(crossed)
     crowd = placed.filter(F.col("m") > CROWD)
     if not crowd.isEmpty():
         pairs = stored(_cross(linker, _prefix_keys(linker, crowd, percent), percent, ordered=True), "prefix-pairs")
