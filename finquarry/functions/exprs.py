@@ -123,16 +123,21 @@ def mask_card(c: Col) -> Column:
 
 
 def mask_tail(c: Col, visible: int = 4, fill: str = "X") -> Column:
+    """The last characters in clear; a value no longer than those is masked whole, with the same width for all."""
     x = col(c).cast("string")
-    return F.concat(F.repeat(F.lit(fill), F.greatest(F.length(x) - visible, F.lit(0))), F.right(x, F.lit(visible)))
+    masked = F.concat(F.repeat(F.lit(fill), F.length(x) - visible), F.right(x, F.lit(visible)))
+    return F.when(F.length(x) <= visible, F.lit(fill * visible)).otherwise(masked)
 
 
 def mask_email(c: Col) -> Column:
+    """Two characters of the user and the domain; a user of up to two characters is masked whole."""
     x = F.trim(col(c))
     at = F.locate("@", x)
-    return F.when(at > 0, F.concat(F.left(x, F.lit(2)), F.lit("***"), F.substr(x, at))).otherwise(F.lit("***"))
+    shown = F.when(at > 3, F.left(x, F.lit(2))).otherwise(F.lit(""))
+    return F.when(at > 0, F.concat(shown, F.lit("***"), F.substr(x, at))).otherwise(F.lit("***"))
 
 
 def mask_name(c: Col) -> Column:
+    """The first letter in clear; a name of one letter is masked."""
     x = F.trim(col(c))
-    return F.concat(F.left(x, F.lit(1)), F.repeat(F.lit("*"), F.greatest(F.length(x) - 1, F.lit(0))))
+    return F.when(F.length(x) <= 1, F.lit("*")).otherwise(F.concat(F.left(x, F.lit(1)), F.repeat(F.lit("*"), F.length(x) - 1)))

@@ -121,33 +121,71 @@ def broken_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return lost("source_node_id").union(lost("target_node_id")).distinct()
 
 
-def on_cycles(edges: DataFrame, max_length: int = 10, trim_rounds: int = 8) -> DataFrame:
-    """Nodes on a cycle of at most ``max_length`` edges.
-
-    Edges that lead nowhere or come from nowhere cannot lie on a cycle; they are trimmed
-    for a few rounds, and only the rest is walked, remembering the start of each path.
-    """
-    core = edges.filter(F.col("status") == ACTIVE).select(F.col("source_node_id").alias("src"), F.col("target_node_id").alias("dst")).distinct()
-    for _ in range(trim_rounds):
+def _trimmed(core: DataFrame) -> DataFrame:
+    """``core`` (src, dst) without the edges that lead nowhere or come from nowhere, again and again until none is left."""
+    before = core.count()
+    while before:
         heads, tails = core.select(F.col("dst").alias("src")).distinct(), core.select(F.col("src").alias("dst")).distinct()
         core = cut_lineage(core.join(heads, "src", "left_semi").join(tails, "dst", "left_semi").select("src", "dst"))
-    frontier = core.select(F.col("src").alias("root"), F.col("dst").alias("node")).distinct()
-    found = frontier.filter("root = node").select(F.col("root").alias("node_id"))
-    for _ in range(max_length - 1):
-        # one row per (root, node) suffices: only reachability matters, not the paths
-        step = frontier.filter("root <> node").join(core, F.col("node") == F.col("src")).select("root", F.col("dst").alias("node")).distinct()
-        frontier = cut_lineage(step)
-        if frontier.isEmpty():
+        now = core.count()
+        if now == before:
             break
-        found = found.union(frontier.filter("root = node").select("root"))
-    return found.distinct()
+        before = now
+    return core
+
+
+def _coloured(core: DataFrame) -> DataFrame:
+    """(node, colour): the largest node from which each node can be reached, itself included."""
+    colour = core.select(F.col("src").alias("node")).union(core.select("dst")).distinct().withColumn("colour", F.col("node"))
+    while True:
+        come = core.join(colour, core.src == colour.node).select(F.col("dst").alias("node"), "colour", F.lit(None).alias("old"))
+        both = colour.select("node", "colour", F.col("colour").alias("old")).union(come)
+        new = cut_lineage(both.groupBy("node").agg(F.max("colour").alias("colour"), F.max("old").alias("old")))
+        colour = new.select("node", "colour")
+        if new.filter("colour <> old").isEmpty():
+            return colour
+
+
+def _members(core: DataFrame, colour: DataFrame) -> DataFrame:
+    """(node, colour): the nodes that reach the node their colour is named after, by edges of one colour."""
+    one, two = colour.toDF("src", "colour"), colour.toDF("dst", "_colour")
+    same = cut_lineage(core.join(one, "src").join(two, "dst").filter("colour = _colour").select("src", "dst", "colour"))
+    frontier = members = colour.filter("node = colour")
+    while True:
+        step = same.join(frontier.select(F.col("node").alias("dst")), "dst").select(F.col("src").alias("node"), "colour").distinct()
+        frontier = cut_lineage(step.join(members, "node", "left_anti"))
+        if frontier.isEmpty():
+            return members
+        members = members.union(frontier)
+
 
+def on_cycles(edges: DataFrame) -> DataFrame:
+    """Nodes on a cycle of any length.
 
-def validate(nodes: DataFrame, edges: DataFrame, max_length: int = 10) -> DataFrame:
+    Strongly connected components by colours: the node that names a colour reaches all nodes of
+    that colour; those that also reach it form a component with it and leave the graph. Only one
+    row per node is carried, never pairs of nodes. Edges that cannot lie on a cycle go first.
+    """
+    core = edges.filter(F.col("status") == ACTIVE).select(F.col("source_node_id").alias("src"), F.col("target_node_id").alias("dst")).dropna().distinct()
+    core = cut_lineage(core)
+    found = core.filter("src = dst").select(F.col("src").alias("node_id"))
+    core = core.filter("src <> dst")
+    while True:
+        core = _trimmed(core)
+        if core.isEmpty():
+            return found.distinct()
+        members = cut_lineage(_members(core, _coloured(core)))
+        several = members.groupBy("colour").agg(F.count("*").alias("n")).filter("n > 1").select("colour")
+        found = found.union(members.join(several, "colour", "left_semi").select("node"))
+        gone = members.select("node")
+        core = cut_lineage(core.join(gone, core.src == gone.node, "left_anti").join(gone, core.dst == gone.node, "left_anti"))
+
+
+def validate(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     from finquarry.operators.risk import one_row
 
     n = lambda df, name: df.agg(F.count("*").alias(name))
-    return one_row(n(orphans(nodes, edges), "orphan_nodes"), n(broken_edges(nodes, edges), "broken_edges"), n(on_cycles(edges, max_length), "nodes_on_cycles"))
+    return one_row(n(orphans(nodes, edges), "orphan_nodes"), n(broken_edges(nodes, edges), "broken_edges"), n(on_cycles(edges), "nodes_on_cycles"))
 
 
 def record_trace(layers: dict[str, DataFrame], key: str, shown: str) -> DataFrame:
@@ -156,8 +194,18 @@ def record_trace(layers: dict[str, DataFrame], key: str, shown: str) -> DataFram
     return reduce(lambda a, z: a.unionByName(z), parts)
 
 
-def closure(edges: DataFrame, child: str, parent: str, max_depth: int = 10) -> DataFrame:
-    """Each name with everything it inherits, directly or not."""
-    e = edges.select(F.col(child).alias("src"), F.col(parent).alias("dst"))
-    roots = e.select(F.col("src").alias("root"), F.col("src").alias("node")).distinct()
-    return walk(roots, e, max_depth).filter("depth > 0").groupBy("root", "node").agg(F.min("depth").alias("distance"))
+def closure(edges: DataFrame, child: str, parent: str) -> DataFrame:
+    """Each name with everything it inherits, directly or not, and the smallest distance; any depth.
+
+    One row per (root, node): what was reached before is not followed again, so several
+    parents don't multiply paths and cycles end.
+    """
+    e = cut_lineage(edges.select(F.col(child).alias("src"), F.col(parent).alias("dst")).filter("src <> dst").distinct())
+    frontier, distance = e.select(F.col("src").alias("root"), F.col("dst").alias("node")), 1
+    reached = frontier.withColumn("distance", F.lit(distance))
+    while True:
+        step = frontier.join(e, frontier.node == e.src).select("root", F.col("dst").alias("node")).filter("root <> node").distinct()
+        frontier, distance = cut_lineage(step.join(reached, ["root", "node"], "left_anti")), distance + 1
+        if frontier.isEmpty():
+            return reached
+        reached = reached.union(frontier.withColumn("distance", F.lit(distance)))

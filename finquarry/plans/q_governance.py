@@ -348,7 +348,7 @@ def _(b):
     return N.graph(nodes(b), edges(b))
 
 
-@query("lineage_validate", f"WITH RECURSIVE {GRAPH}, r AS (SELECT DISTINCT s AS root, t AS node, 1 AS d FROM ae WHERE t < 1000000000 UNION SELECT root, t, d + 1 FROM r JOIN ae ON r.node = s WHERE root <> r.node AND d < 10 AND t < 1000000000) SELECT (SELECT count(*) FROM nd WHERE node_id NOT IN (SELECT s FROM ae UNION SELECT t FROM ae)) AS orphan_nodes, (SELECT count(DISTINCT edge_id) FROM ed WHERE s NOT IN (SELECT node_id FROM nd) OR t NOT IN (SELECT node_id FROM nd)) AS broken_edges, (SELECT count(DISTINCT root) FROM r WHERE root = node) AS nodes_on_cycles")
+@query("lineage_validate", f"WITH RECURSIVE {GRAPH}, r AS (SELECT DISTINCT s AS root, t AS node FROM ae WHERE t < 1000000000 UNION SELECT root, t FROM r JOIN ae ON r.node = s WHERE root <> r.node AND t < 1000000000) SELECT (SELECT count(*) FROM nd WHERE node_id NOT IN (SELECT s FROM ae UNION SELECT t FROM ae)) AS orphan_nodes, (SELECT count(DISTINCT edge_id) FROM ed WHERE s NOT IN (SELECT node_id FROM nd) OR t NOT IN (SELECT node_id FROM nd)) AS broken_edges, (SELECT count(DISTINCT root) FROM r WHERE root = node) AS nodes_on_cycles")
 def _(b):
     return N.validate(nodes(b), edges(b))
 
@@ -510,7 +510,7 @@ def _(b):
 
 @query("dp_noisy_count")
 def _(b):
-    return V.noisy_counts(b.table("events"), ["event_type"], 0.5, 42)
+    return V.noisy_counts(b.table("events"), ["event_type"], 0.5)
 
 
 @query("feature_point_in_time", "SELECT l.event_id, f.cnt AS orders_before FROM (SELECT * FROM events WHERE event_type = 'signup') l ASOF LEFT JOIN (SELECT user_id, ts, max(event_id) AS cnt FROM events WHERE event_type = 'click' GROUP BY 1, 2) f ON l.user_id = f.user_id AND l.ts >= f.ts")

@@ -190,6 +190,8 @@ def test_empty_table_passes(rows):
 def test_masks(rows):
     got = rows("e string, c string, n string", [("ann@mail.com", "1234567890123456", "Ann")]).select(X.mask_email("e"), X.mask_card("c"), X.mask_name("n"), X.mask_tail("c")).first()
     assert tuple(got) == ("an***@mail.com", "XXXX-XXXX-XXXX-3456", "A**", "XXXXXXXXXXXX3456")
+    short = rows("e string, t string, n string", [("ab@c.de", "123", "A")]).select(X.mask_email("e"), X.mask_tail("t"), X.mask_name("n")).first()
+    assert tuple(short) == ("***@c.de", "XXXX", "*")
 
 
 def test_wrong_key_yields_the_marker(rows):
@@ -203,10 +205,18 @@ def test_lineage_finds_a_real_cycle(rows):
     edges = rows("edge_id int, source_node_id int, target_node_id int, status string", [(1, 1, 2, "ACTIVE"), (2, 2, 3, "ACTIVE"), (3, 3, 1, "ACTIVE"), (4, 3, 4, "ACTIVE"), (5, 4, 99, "ACTIVE"), (6, 5, 6, "RETIRED")])
     assert values(lineage.on_cycles(edges), "node_id") == [(1,), (2,), (3,)]
     assert values(lineage.validate(nodes, edges), "orphan_nodes", "broken_edges", "nodes_on_cycles") == [(3, 1, 3)]
+    ring = [(i, i, i % 25 + 1, "ACTIVE") for i in range(1, 26)] + [(30, 25, 40, "ACTIVE"), (31, 40, 41, "ACTIVE"), (32, 41, 40, "ACTIVE"), (33, 41, 50, "ACTIVE"), (34, 60, 60, "ACTIVE")]
+    assert {r.node_id for r in lineage.on_cycles(rows("edge_id int, source_node_id int, target_node_id int, status string", ring)).collect()} == {*range(1, 26), 40, 41, 60}
     up = lineage.reach(nodes, edges, nodes.filter("node_id = 4"), upstream=True)
     assert values(up, "node", "depth") == [(1, 3), (2, 2), (3, 1), (4, 0)]
 
 
+def test_closure_of_any_depth_with_several_parents(rows):
+    chain = [(i, i + 1) for i in range(14)] + [(0, 2), (2, 4), (14, 0)]
+    got = {(r.root, r.node): r.distance for r in lineage.closure(rows("child int, parent int", chain), "child", "parent").collect()}
+    assert len(got) == 15 * 14 and got[0, 14] == 12 and got[0, 1] == 1 and got[14, 13] == 12
+
+
 def test_balances_one_row_per_account_day(rows):
     t = rows("account_id int, txn_date date, txn_type_standardized string, amount decimal(18,2)", [(1, D(2024, 1, 1), "CREDIT", Decimal(10)), (1, D(2024, 1, 1), "DEBIT", Decimal(4)), (1, D(2024, 3, 5), "CREDIT", Decimal(1))])
     daily = warehouse.fact_account_balance(t, rows("account_id int, opening_balance decimal(18,2)", [(1, Decimal(100))]))
