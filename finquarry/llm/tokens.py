@@ -48,6 +48,13 @@ class Held(dict):
         return value
 
 
+PACKED = [struct.Struct(f"<{n}I") for n in range(64)]
+
+
+def packed(ids: list[int]) -> bytes:
+    return PACKED[len(ids)].pack(*ids) if len(ids) < len(PACKED) else struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, equal to the library's ``encode(text, add_special_tokens=False)``."""
 
@@ -58,20 +65,22 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.letters = byte_letters()
+        self.tokenize = self.library.model.tokenize
         self.by_words = getattr(self.library.model, "end_of_word_suffix", None) is not None
         self.words = Held(self._word)
         self.chunks = Held(self._chunk)
 
     def whole(self, text: str) -> bytes:
-        ids = self.library.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return packed(self.library.encode(text, add_special_tokens=False).ids)
 
     def _word(self, word: str) -> bytes:
-        mapped = "".join(map(self.letters.__getitem__, word.encode()))
-        ids = [t.id for t in self.library.model.tokenize(mapped)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        # the letters of ASCII bytes stand at their code points; others are mapped byte by byte
+        mapped = word.translate(self.letters) if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
+        return packed([t.id for t in self.tokenize(mapped)])
 
     def _chunk(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():  # one word
+            return self.words[chunk.lower() if self.by_words else " " + chunk]
         if not PLAIN.fullmatch(chunk):
             return self.whole(chunk if self.by_words else " " + chunk)
         pieces = WORD_SPLIT.findall(chunk.lower()) if self.by_words else BYTE_SPLIT.findall(" " + chunk)
