@@ -8,7 +8,8 @@ document frequencies c(t), c(e), joint frequency c(t, e) (the term stands within
     PMI(e; t) = log2(N c(t, e) / (c(t) c(e)))      IC(e) = log2(N / c(e))
 
 A term discloses the entity when PMI(e; t) >= alpha * IC(e), with at least ``SUPPORT``
-joint documents. From ``GENERALISE`` on its occurrences are generalised (to ``[TERM]``),
+joint documents, or all documents of an entity that has fewer. The inequality itself bounds
+how common such a term is: c(t) <= N^(1 - alpha) c(e)^alpha. From ``GENERALISE`` on its occurrences are generalised (to ``[TERM]``),
 from ``REMOVE`` on they are removed, in all documents. The four patterns are always
 generalised to their kind.
 
@@ -201,14 +202,15 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", generalise: float
     """Terms that reveal some protected entity: term, action, share (the largest PMI / IC)."""
     spark = docs.sparkSession
     slim = docs.select(F.col(text_col).alias("text"))
-    pairs = stored(slim.mapInArrow(_pair_counts, "entity string, term string, n bigint").groupBy("entity", "term").agg(F.sum("n").alias("n")).filter((F.col("n") >= support) | (F.col("term") == "")), "pii-pairs")
+    pairs = stored(slim.mapInArrow(_pair_counts, "entity string, term string, n bigint").groupBy("entity", "term").agg(F.sum("n").alias("n")), "pii-pairs")
     candidates = pairs.filter("term <> ''").select("term").distinct()
     bits = spark.sparkContext.broadcast(Bloom.of(candidates))
     terms = slim.mapInArrow(_term_counts(bits), "term string, n bigint").groupBy("term").agg(F.sum("n").alias("c_t"))
     entities = pairs.filter("term = ''").select("entity", F.col("n").alias("c_e"))
     total = docs.count()
     share = (F.lit(float(total)) * F.col("n") / (F.col("c_t") * F.col("c_e")), F.lit(float(total)) / F.col("c_e"))
-    scored = pairs.filter("term <> ''").join(entities, "entity").join(terms, "term").filter(share[1] > 1).select("term", (F.log2(share[0]) / F.log2(share[1])).alias("share"))
+    enough = F.col("n") >= F.least(F.lit(support), F.col("c_e"))
+    scored = pairs.filter("term <> ''").join(entities, "entity").filter(enough).join(terms, "term").filter(share[1] > 1).select("term", (F.log2(share[0]) / F.log2(share[1])).alias("share"))
     best = scored.groupBy("term").agg(F.max("share").alias("share")).filter(F.col("share") >= generalise)
     return best.select("term", F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action"), "share")
 

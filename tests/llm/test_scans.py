@@ -62,6 +62,16 @@ def test_disclosing_terms_are_found(spark):
     assert "zorblatt" not in clean[200] and "zb@mail" not in clean[0] and "[EMAIL]" in clean[0] and clean[100] == rows[6][1]
 
 
+def test_rare_entities_disclose(spark):
+    """Terms of an entity that stands in one or two documents, and spans on the given documents."""
+    filler = "the river and the house with stone "
+    rows = [(0, f"{filler} quillon at q@mail.example.com {filler}"), (1, f"{filler} braxted at b@mail.example.com {filler}"), (2, f"{filler} braxted b@mail.example.com"), (3, "quillon again")]
+    docs = spark.createDataFrame([*rows, *[(100 + i, filler) for i in range(200)]], "doc_id bigint, text string")
+    assert {r.term for r in disclosing_terms(docs).collect()} == {"quillon", "braxted"}
+    given = find_disclosures(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    assert given.filter(F.size("added") > 0).count() > 0
+
+
 def test_personal_awkward_rows(spark):
     got = find_disclosures(awkward(spark)).collect()
     assert len(got) == awkward(spark).count()
