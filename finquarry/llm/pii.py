@@ -2,8 +2,8 @@
 
 Four kinds of personal data are found by pattern: the protected entities, each by its
 normalised value. How strongly a term reveals an entity is estimated from the corpus: with
-document frequencies c(t), c(e), joint frequency c(t, e) (the term stands within
-``WINDOW`` words of the entity) and N documents,
+document frequencies c(t), c(e), joint frequency c(t, e) (both stand in the document,
+wherever) and N documents,
 
     PMI(e; t) = log2(N c(t, e) / (c(t) c(e)))      IC(e) = log2(N / c(e))
 
@@ -13,11 +13,13 @@ how common such a term is: c(t) <= N^(1 - alpha) c(e)^alpha. From ``GENERALISE``
 from ``REMOVE`` on they are removed, in all documents. The four patterns are always
 generalised to their kind.
 
-Scale: terms and entities meet only in windows around mentions, so a document gives pairs
-in proportion to its length. Term frequencies are counted only for terms in some pair; a
-Bloom filter of fixed size says which may be, and joins afterwards make it exact, so
-nothing is broadcast that grows with the corpus. Counts are summed per task before the
-shuffle, so a hot entity or term is one row for each task.
+Words that touch personal data are no terms, there or in c(t). Scale: one pass counts terms
+and entities, a second counts pairs. A pair is made only if the term may be rare enough for
+the entity by the inequality above; the up to ``LISTED`` most frequent terms and entities are
+broadcast with their counts for this, others count as rare, and exact joins decide
+afterwards. Entities that stand in no other document are all alike, so one of them stands
+for the rest: a list of contacts gives pairs in proportion to its length. Counts are summed
+per task before the shuffle, so a hot entity or term is one row for each task.
 
 Defined cases: null text is empty; every row counts as a document, repeated rows too; null
 ids are kept; other columns are not read.
@@ -28,6 +30,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +43,9 @@ from finquarry.llm.common import joined_spans, stored, table, texts
 
 BASE_KINDS = ["email", "ip", "card", "phone"]
 KINDS = [*BASE_KINDS, "generalise", "remove"]
-WINDOW, SUPPORT, GENERALISE, REMOVE = 5, 3, 0.85, 0.97
+SUPPORT, GENERALISE, REMOVE = 3, 0.85, 0.97
 BLOOM_BITS = 1 << 23  # fixed: 1 MB whatever the corpus; false hits are removed by a join
+LISTED, LONGEST = 1 << 16, 100  # terms and entities that are broadcast with their counts, and their code points at most
 FLUSH = 200_000  # distinct keys a task holds before it hands its counts on
 
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -101,25 +105,23 @@ def _entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind == 'email' else value if kind == 'ip' else ''.join(DIGIT.findall(value))}"
 
 
-def _pairs_of(text: str, spans: list[tuple[str, int, int]]) -> set[tuple[str, str]]:
-    """(entity, term) for the terms within the window of a mention; (entity, "") for the entity itself."""
-    out: set[tuple[str, str]] = set()
-    reach = 24 * WINDOW  # code points looked at on either side at first
-    for kind, a, b in spans:
-        entity = _entity(kind, text[a:b])
-        out.add((entity, ""))
-        for side in (-1, 1):
-            far = reach
-            while True:  # grow until the window has its words or the text ends
-                lo, hi = (max(0, a - far), a) if side < 0 else (b, min(len(text), b + far))
-                words = list(TERM.finditer(text, lo, hi))
-                cut = lo > 0 if side < 0 else hi < len(text)
-                if not cut or len(words) > WINDOW:
-                    break
-                far *= 4
-            near = words[-WINDOW:] if side < 0 else words[:WINDOW]
-            out.update((entity, w.group().lower()) for w in near if not any(s < w.end() and w.start() < e for _, s, e in spans))
-    return out
+def _outside(text: str, spans: list[tuple[str, int, int]]) -> Iterator[re.Match]:
+    """The words that touch no span, in order."""
+    ordered, i, end = sorted((a, b) for _, a, b in spans), 0, 0
+    for w in TERM.finditer(text):
+        while i < len(ordered) and ordered[i][0] < w.end():
+            end = max(end, ordered[i][1])
+            i += 1
+        if w.start() >= end:
+            yield w
+
+
+def _entities(text: str, spans: list[tuple[str, int, int]]) -> set[str]:
+    return {_entity(kind, text[a:b]) for kind, a, b in spans}
+
+
+def _terms(text: str, spans: list[tuple[str, int, int]]) -> set[str]:
+    return {w.lower() for w in ({m.group() for m in _outside(text, spans)} if spans else set(TERM.findall(text)))}
 
 
 def _counted(batches: Iterator[pa.RecordBatch], keys, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -134,22 +136,60 @@ def _counted(batches: Iterator[pa.RecordBatch], keys, schema: pa.Schema) -> Iter
 
     for b in batches:
         for t in texts(b.column("text")):
-            held.update(keys(t))
-            if len(held) > FLUSH:
-                yield rows()
+            for some in batched(keys(t), FLUSH):
+                held.update(some)
+                if len(held) > FLUSH:
+                    yield rows()
     yield rows()
 
 
-def _pair_counts(batches):
-    schema = pa.schema([("entity", pa.string()), ("term", pa.string()), ("n", pa.int64())])
+def _single_counts(batches):
+    """Document frequencies of entities and terms."""
+    schema = pa.schema([("of_entity", pa.bool_()), ("key", pa.string()), ("n", pa.int64())])
 
     def keys(text):
         spans = find_personal(text)
-        return _pairs_of(text, spans) if spans else ()
+        yield from ((True, e) for e in _entities(text, spans))
+        yield from ((False, w) for w in _terms(text, spans))
 
     yield from _counted(batches, keys, schema)
 
 
+def _pair_counts(known, total: int, share: float):
+    """Joint document frequencies of an entity and the terms that may be rare enough to disclose it."""
+
+    def run(batches):
+        bits, entities, rest, common = known.value
+        recurring = Bloom(bits)
+        schema = pa.schema([("entity", pa.string()), ("term", pa.string()), ("n", pa.int64())])
+
+        def keys(text):
+            spans = find_personal(text)
+            if not spans:
+                return
+            found, terms = _entities(text, spans), _terms(text, spans)
+            again = {e for e in found if e in recurring}
+            for e in [*again, *sorted(found - again)[:1]]:
+                c_e = 1 if e not in again else entities.get(e, rest if len(e) <= LONGEST else total)
+                bound = total ** (1 - share) * c_e**share * (1 + 1e-9)
+                yield from ((e, w) for w in terms if common.get(w, 1) <= bound)
+
+        yield from _counted(batches, keys, schema)
+
+    return run
+
+
+def _least(counts: dict[int, int]) -> int:
+    """The least power of two, from 2 on, that at most ``LISTED`` frequencies reach; counts: by bits of the frequency."""
+    least, reached = 1 << 63, 0
+    for bits in range(63, 1, -1):
+        reached += counts.get(bits, 0)
+        if reached > LISTED:
+            break
+        least = 1 << bits - 1
+    return least
+
+
 class Bloom:
     """Two bits for each term in an array of fixed size."""
 
@@ -189,28 +229,24 @@ class Bloom:
         return out
 
 
-def _term_counts(bits):
-    def run(batches):
-        bloom = Bloom(bits.value)
-        schema = pa.schema([("term", pa.string()), ("n", pa.int64())])
-        yield from _counted(batches, lambda t: [(w,) for w in {x.lower() for x in set(TERM.findall(t))} if w in bloom], schema)
-
-    return run
-
-
 def disclosing_terms(docs: DataFrame, text_col: str = "text", generalise: float = GENERALISE, remove: float = REMOVE, support: int = SUPPORT) -> DataFrame:
     """Terms that reveal some protected entity: term, action, share (the largest PMI / IC)."""
     spark = docs.sparkSession
     slim = docs.select(F.col(text_col).alias("text"))
-    pairs = stored(slim.mapInArrow(_pair_counts, "entity string, term string, n bigint").groupBy("entity", "term").agg(F.sum("n").alias("n")), "pii-pairs")
-    candidates = pairs.filter("term <> ''").select("term").distinct()
-    bits = spark.sparkContext.broadcast(Bloom.of(candidates))
-    terms = slim.mapInArrow(_term_counts(bits), "term string, n bigint").groupBy("term").agg(F.sum("n").alias("c_t"))
-    entities = pairs.filter("term = ''").select("entity", F.col("n").alias("c_e"))
+    counts = stored(slim.mapInArrow(_single_counts, "of_entity boolean, key string, n bigint").groupBy("of_entity", "key").agg(F.sum("n").alias("n")), "pii-counts")
     total = docs.count()
+    levels = counts.groupBy("of_entity", F.length(F.bin("n")).alias("bits")).agg(F.count("*").alias("keys")).collect()
+    least_e, least_t = (_least({r.bits: r["keys"] for r in levels if r.of_entity == kind}) for kind in (True, False))
+    listed = counts.filter(F.length("key") <= LONGEST).filter(F.col("n") >= F.when(F.col("of_entity"), least_e).otherwise(least_t)).collect()
+    frequent = [{r.key: r.n for r in listed if r.of_entity == kind} for kind in (True, False)]
+    recurring = Bloom.of(counts.filter("of_entity and n > 1").select("key"))
+    known = spark.sparkContext.broadcast((recurring, frequent[0], least_e - 1, frequent[1]))
+    pairs = slim.mapInArrow(_pair_counts(known, total, generalise), "entity string, term string, n bigint").groupBy("entity", "term").agg(F.sum("n").alias("n"))
+    terms = counts.filter("not of_entity").select(F.col("key").alias("term"), F.col("n").alias("c_t"))
+    entities = counts.filter("of_entity").select(F.col("key").alias("entity"), F.col("n").alias("c_e"))
     share = (F.lit(float(total)) * F.col("n") / (F.col("c_t") * F.col("c_e")), F.lit(float(total)) / F.col("c_e"))
     enough = F.col("n") >= F.least(F.lit(support), F.col("c_e"))
-    scored = pairs.filter("term <> ''").join(entities, "entity").filter(enough).join(terms, "term").filter(share[1] > 1).select("term", (F.log2(share[0]) / F.log2(share[1])).alias("share"))
+    scored = pairs.join(entities, "entity").filter(enough).join(terms, "term").filter(share[1] > 1).select("term", (F.log2(share[0]) / F.log2(share[1])).alias("share"))
     best = scored.groupBy("term").agg(F.max("share").alias("share")).filter(F.col("share") >= generalise)
     return best.select("term", F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action"), "share")
 
@@ -232,9 +268,9 @@ def _marked(bits, with_text):
                 out.append((row, doc_id, None, as_structs(base), t if with_text else None))
                 if any(w.lower() in bloom for w in set(TERM.findall(t))):
                     places: dict[str, list] = {}
-                    for m in TERM.finditer(t):
+                    for m in _outside(t, base):
                         w = m.group().lower()
-                        if w in bloom and not any(s < m.end() and m.start() < e for _, s, e in base):
+                        if w in bloom:
                             places.setdefault(w, []).append((None, m.start(), m.end()))
                     out += [(row, doc_id, w, as_structs(ps), None) for w, ps in places.items()]
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)] if out else [pa.array([], f.type) for f in schema], schema=schema)

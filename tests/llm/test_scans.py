@@ -72,6 +72,40 @@ def test_rare_entities_disclose(spark):
     assert given.filter(F.size("added") > 0).count() > 0
 
 
+@pytest.mark.parametrize("listed", [1 << 16, 3])
+def test_disclosing_terms_equal_brute_force(spark, monkeypatch, listed):
+    """Joint counts over whole documents, with entities in one to many documents and words inside spans."""
+    import finquarry.llm.pii as m
+
+    monkeypatch.setattr(m, "LISTED", listed)
+    rnd = random.Random(5)
+    vocabulary, texts = [f"word{i}" for i in range(400)], []
+    for i in range(400):
+        words = [rnd.choice(vocabulary[: rnd.choice([5, 40, 400])]) for _ in range(60)]
+        for e in rnd.sample(range(60), rnd.choice([0, 0, 0, 1, 2, 6])):
+            words.insert(rnd.choice([0, 30, 60]), f"user{e}@word{e}.example")
+            words.append(f"friend{e}")
+        if i % 40 == 0:
+            words = ["heading", f"zebra{i}", *words, f"only{i}@mail.example", f"also{i}@mail.example", f"+1 (017) 555-{7000 + i}"]
+        texts.append(" ".join(words))
+    c_t, c_e, c = Counter(), Counter(), Counter()
+    for t in texts:
+        spans = find_personal(t)
+        entities = {m._entity(k, t[a:b]) for k, a, b in spans}
+        terms = {w.group().lower() for w in re.finditer(r"\w{3,}", t) if not any(a < w.end() and w.start() < b for _, a, b in spans)}
+        c_t.update(terms)
+        c_e.update(entities)
+        c.update((e, w) for e in entities for w in terms)
+    share: dict = {}
+    for (e, w), n in c.items():
+        if n >= min(3, c_e[e]):
+            share[w] = max(share.get(w, 0), math.log2(400 * n / (c_t[w] * c_e[e])) / math.log2(400 / c_e[e]))
+    want = {w: round(s, 9) for w, s in share.items() if s >= 0.85}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r.term: round(r.share, 9) for r in disclosing_terms(docs).collect()} == want
+    assert "zebra0" in want and any(w.startswith("friend") for w in want)
+
+
 def test_personal_awkward_rows(spark):
     got = find_disclosures(awkward(spark)).collect()
     assert len(got) == awkward(spark).count()
