@@ -12,7 +12,9 @@ so that each state's probabilities sum to one. Words never seen in training are
 root's arc for unknown words and lead back to the root. A text is read from the state of
 the end token, and the end token closes it.
 
-The model is never gathered in one place. Documents are taken in blocks, runs of the input.
+The model is never gathered in one place. Documents are taken in blocks, runs of the input
+of at most ``BLOCK_BYTES`` of text (or one document), and there is a bucket for each
+``BUCKET_BYTES`` of text at least, so that neither grows with the corpus.
 A block states the hashes of the words and pairs it holds, with its training counts, dealt
 out by hash into buckets. A bucket sums the counts of all blocks and answers each block with
 the totals of just what it asked for. With the answers a block builds its part of the
@@ -34,6 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +47,8 @@ from finquarry.llm.tokens import Held
 PRIOR, ADDED = 50.0, 0.1
 END = b"\n"  # no word holds white space
 PAIR = np.uint64(0x9E3779B97F4A7C15)
-BLOCK_BITS = 12  # a block is a run of at most 2 ** BLOCK_BITS documents of one input split
+BLOCK_DOCS, BLOCK_BYTES = 1 << 12, 16 << 20  # a block is a run of one input split, of so many documents and bytes at most
+BUCKET_BYTES = 32 << 20  # of text for each bucket, whose hashes and counts are a few times that
 REQUEST = "block bigint, bucket bigint, words binary, word_counts binary, pairs binary, pair_counts binary, train_tokens bigint"
 ANSWER = "block bigint, bucket bigint, word_totals binary, pair_totals binary, train_tokens bigint, train_words bigint"
 SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
@@ -102,6 +106,32 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw[:-1], "<u8" if raw[-1] else "<u4").astype(np.int64)
 
 
+def _blocked(most: int, most_bytes: int):
+    """Documents with their block and their bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        block, docs, held = TaskContext.get().partitionId() << 33, 0, 0
+        for b in batches:
+            sizes, blocks = [n or 0 for n in pc.binary_length(b.column("text")).to_pylist()], []
+            for n in sizes:
+                if docs == most or docs and held + n > most_bytes:
+                    block, docs, held = block + 1, 0, 0
+                docs, held = docs + 1, held + n
+                blocks.append(block)
+            yield pa.record_batch([pa.array(blocks, pa.int64()), b.column("doc_id"), b.column("text"), pa.array(sizes, pa.int64())], names=["block", "doc_id", "text", "bytes"])
+
+    return run
+
+
+def _dealt(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the hashes by bucket, in their order, and where each bucket begins and ends in these."""
+    at = hashes % np.uint64(buckets)
+    order = np.argsort(at, kind="stable")
+    return order, np.searchsorted(at[order], np.arange(buckets + 1, dtype=np.uint64))
+
+
 class _Block:
     """Distinct hashes of the words and pairs of a block, and how often each occurs in its training documents."""
 
@@ -123,10 +153,12 @@ class _Block:
 
     def requests(self, block: int, buckets: int) -> Iterator[pa.RecordBatch]:
         (words, word_counts), (pairs, pair_counts) = (_merge(*t) for t in self.tables)
-        word_at, pair_at = words % np.uint64(buckets), pairs % np.uint64(buckets)
+        (word_at, word_ends), (pair_at, pair_ends) = _dealt(words, buckets), _dealt(pairs, buckets)
         kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4, pa.int64()]
         for bucket in range(buckets):
-            w, p = word_at == bucket, pair_at == bucket
+            w, p = (at[ends[bucket] : ends[bucket + 1]] for at, ends in ((word_at, word_ends), (pair_at, pair_ends)))
+            if bucket and not len(w) and not len(p):
+                continue  # bucket 0 always has a row, it carries the number of tokens
             row = [block, bucket, words[w].tobytes(), _packed(word_counts[w]), pairs[p].tobytes(), _packed(pair_counts[p]), self.tokens if bucket == 0 else 0]
             yield pa.record_batch([pa.array([v], k) for v, k in zip(row, kinds)], names=[c.split()[0] for c in REQUEST.split(", ")])
 
@@ -205,10 +237,10 @@ def _scored(buckets: int, tokens: int, distinct: int):
         words, word_of = np.unique(np.concatenate(hashes), return_inverse=True)
         pairs, first = np.unique(np.concatenate([pair_hashes(h) for h in hashes]), return_index=True)
         word_totals, pair_totals = np.zeros(len(words), np.int64), np.zeros(len(pairs), np.int64)
-        word_at, pair_at = words % np.uint64(buckets), pairs % np.uint64(buckets)
+        (word_at, word_ends), (pair_at, pair_ends) = _dealt(words, buckets), _dealt(pairs, buckets)
         for bucket, w, p in zip(answers["bucket"], answers["word_totals"], answers["pair_totals"]):
-            word_totals[word_at == bucket] = _unpacked(w)
-            pair_totals[pair_at == bucket] = _unpacked(p)
+            word_totals[word_at[word_ends[bucket] : word_ends[bucket + 1]]] = _unpacked(w)
+            pair_totals[pair_at[pair_ends[bucket] : pair_ends[bucket + 1]]] = _unpacked(p)
         start = int(np.searchsorted(words, _end()))
         before = np.concatenate([[start], word_of[:-1]])  # a document follows the end of the one before it
         a = Automaton(word_totals, tokens, distinct, before[first], word_of[first], pair_totals)
@@ -224,13 +256,14 @@ def _scored(buckets: int, tokens: int, distinct: int):
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Score all documents with the model of those that are not held out."""
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    block = F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)
-    slim = docs.select(block.alias("block"), F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    slim = slim.mapInArrow(_blocked(BLOCK_DOCS, BLOCK_BYTES), "block bigint, doc_id bigint, text string, bytes bigint")
     # written bucketed by block, so that blocks stay the same and their texts needn't be shuffled to meet the answers
     name = f"lm_blocks_{uuid.uuid4().hex}"
-    slim.write.bucketBy(buckets, "block").option("compression", "zstd").format("parquet").saveAsTable(name)
-    blocks = spark.table(name)
+    slim.write.bucketBy(parts, "block").option("compression", "zstd").format("parquet").saveAsTable(name)
+    blocks = spark.table(name).drop("bytes")
+    buckets = max(parts, -(-(spark.table(name).agg(F.sum("bytes")).first()[0] or 0) // BUCKET_BYTES))
     asked = slim_requests(blocks, buckets)
     answers = stored(asked.groupBy("bucket").applyInPandas(_answer, ANSWER), "lm-answers")
     total = answers.agg(F.coalesce(F.sum("train_tokens"), F.lit(0)), F.coalesce(F.sum("train_words"), F.lit(0))).first()

@@ -181,6 +181,23 @@ def test_scores_equal_brute_force(spark):
     assert abs(sum((p["alpha", w] + 50 * prob(w)) / (c["alpha"] + 50) for w in c) + 50 * 0.1 / (n + 0.1 * (v + 1)) / (c["alpha"] + 50) - 1) < 1e-9
 
 
+def test_scores_of_long_documents_in_bounded_groups(spark, monkeypatch):
+    """Blocks are cut by bytes and buckets follow them, with the same scores."""
+    import finquarry.llm.lm_scoring as m
+
+    rnd = random.Random(4)
+    docs = spark.createDataFrame([(i, " ".join(f"w{rnd.randrange(900)}" for _ in range(rnd.choice([3, 2000])))) for i in range(40)], "doc_id bigint, text string").coalesce(1)
+    key = lambda r: (r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 9), round(r.score, 9))
+    want = sorted(map(key, score_documents(docs).collect()))
+    asked: dict = {}
+    requests = m.slim_requests
+    monkeypatch.setattr(m, "slim_requests", lambda blocks, buckets: asked.update(buckets=buckets, sizes=[r[0] for r in blocks.groupBy("block").agg(F.sum(F.octet_length("text"))).collect()]) or requests(blocks, buckets))
+    monkeypatch.setattr(m, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(m, "BUCKET_BYTES", 500)
+    assert sorted(map(key, score_documents(docs).collect())) == want
+    assert len(asked["sizes"]) > 5 and max(asked["sizes"]) <= 20_000 and asked["buckets"] >= sum(asked["sizes"]) / 500
+
+
 def _brute_top(vectors, k):
     out = []
     for q, x in vectors:
