@@ -25,21 +25,31 @@ from finquarry.session import run_folder
 
 BASE_KINDS = ["assign", "access", "hex"]
 KINDS = [*BASE_KINDS, "private_key", "web_token", "host_token", "chat_token", "url_login"]
-RULE_VERSION = "2"
+RULE_VERSION = "2.1"
 
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # whole runs: a run can only start where the one before it ended
-PRIVATE_KEY = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")
+KEY_LINE = re.compile(r"-----(BEGIN|END) [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----")
+_BREAK = r"(?:\s|\\[nr])++"  # also as written in a quoted string
+KEY_BODY = re.compile(rf"(?:{_BREAK}(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID):[^\r\n\\]*+)*+(?:{_BREAK}[A-Za-z0-9+/=]{{16,}}+)*+(?:(?:\r?\n|\\n)[A-Za-z0-9+/=]++(?=[\x20\t]*+(?:[\r\n\\]|\Z)))*+")
 WEB_TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
 HOST_TOKEN = re.compile(r"gh[opsur]_[A-Za-z0-9]{36,}")
 CHAT_TOKEN = re.compile(r"xox[abprs]-[A-Za-z0-9-]{10,}")
-URL_LOGIN = re.compile(r"://([^\s:/@]{1,64}:[^\s:/@]{1,64})@")
+URL_LOGIN = re.compile(r"://([^\s:/@]++:[^\s:/@]++)@")
 
 SPAN = "struct<kind:string,start:bigint,end:bigint>"
 LEDGER = f"blob binary, rule_version string, spans array<{SPAN}>"
 
 
+def _private_keys(text: str) -> Iterator[tuple[int, int]]:
+    """From a BEGIN line to the END line that follows it, or without one to the end of the key's lines."""
+    lines = list(KEY_LINE.finditer(text))
+    for m, after in zip(lines, [*lines[1:], None]):
+        if m[1] == "BEGIN":
+            yield m.start(), after.end() if after and after[1] == "END" else KEY_BODY.match(text, m.end()).end()
+
+
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, end exclusive. A cheap test of what a rule needs comes before it."""
     out = []
@@ -49,7 +59,7 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
         out += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     out += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
     if "-----BEGIN " in text:
-        out += [("private_key", m.start(), m.end()) for m in PRIVATE_KEY.finditer(text)]
+        out += [("private_key", a, b) for a, b in _private_keys(text)]
     if "eyJ" in text:
         out += [("web_token", m.start(), m.end()) for m in WEB_TOKEN.finditer(text)]
     if "gh" in text and "_" in text:
