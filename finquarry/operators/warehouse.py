@@ -96,6 +96,11 @@ def flatten_levels(paths: DataFrame, levels: int) -> DataFrame:
     return paths.select("node", *[F.get("path", F.lit(i)).alias(f"level_{i + 1}") for i in range(levels)])
 
 
+def node_levels(paths: DataFrame) -> DataFrame:
+    """``(node, path)`` as one row per node and level of its path, from the root (1) to the node itself, at any depth."""
+    return paths.select("node", F.posexplode("path").alias("pos", "ancestor")).select("node", (F.col("pos") + 1).cast("bigint").alias("level"), "ancestor")
+
+
 # --- facts ------------------------------------------------------------------------------------------
 def fact_transactions(transactions: DataFrame, accounts: DataFrame, customers: DataFrame, branches: DataFrame, high_value: float, loaded: DataFrame | None = None) -> DataFrame:
     """One row per transaction with surrogate keys; ids already ``loaded`` are skipped."""

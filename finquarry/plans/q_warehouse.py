@@ -83,12 +83,22 @@ def _(b):
     return b.table("nation").join(c, "n_nationkey", "left").join(s, "n_nationkey", "left").select("n_name", "customers", "suppliers")
 
 
+def customer_tree(b):
+    k = F.col("c_custkey")
+    tree = b.table("customer").select(k.alias("node"), F.when(k > 0, F.floor(k / 10)).alias("parent"))
+    return R.hierarchy(tree, "node", "parent")
+
+
 @query("dim_hierarchy_flatten", """WITH RECURSIVE h AS (SELECT c_custkey AS node, [c_custkey] AS path FROM customer WHERE c_custkey = 0 UNION ALL SELECT c.c_custkey, list_append(h.path, c.c_custkey) FROM customer c JOIN h ON c.c_custkey // 10 = h.node AND c.c_custkey > 0)
     SELECT node, path[1] AS level_1, path[2] AS level_2, path[3] AS level_3, path[4] AS level_4 FROM h""")
 def _(b):
-    k = F.col("c_custkey")
-    tree = b.table("customer").select(k.alias("node"), F.when(k > 0, F.floor(k / 10)).alias("parent"))
-    return D.flatten_levels(R.hierarchy(tree, "node", "parent"), 4)
+    return D.flatten_levels(customer_tree(b), 4)
+
+
+@query("dim_hierarchy_levels", """WITH RECURSIVE h AS (SELECT c_custkey AS node, [c_custkey] AS path FROM customer WHERE c_custkey = 0 UNION ALL SELECT c.c_custkey, list_append(h.path, c.c_custkey) FROM customer c JOIN h ON c.c_custkey // 10 = h.node AND c.c_custkey > 0)
+    SELECT node, unnest(generate_series(1, len(path))) AS level, unnest(path) AS ancestor FROM h""")
+def _(b):
+    return D.node_levels(customer_tree(b))
 
 
 @query("dim_unknown_member", "SELECT l.doc_id, coalesce(md5(d.doc_id::VARCHAR), '-1') AS doc_sk FROM labels l LEFT JOIN (SELECT doc_id FROM documents WHERE lang = 'en') d ON l.doc_id = d.doc_id")

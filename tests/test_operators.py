@@ -223,3 +223,8 @@ def test_balances_one_row_per_account_day(rows):
     assert values(daily, "day", "opening_balance", "closing_balance") == [(D(2024, 1, 1), Decimal(100), Decimal(106)), (D(2024, 3, 5), Decimal(106), Decimal(107))]
     months = warehouse.month_end_balances(daily, "2024-01-01", "2024-04-01")
     assert values(months, "month", "balance") == [(D(2024, 1, 1), Decimal(106)), (D(2024, 2, 1), Decimal(106)), (D(2024, 3, 1), Decimal(107)), (D(2024, 4, 1), Decimal(107))]
+
+
+def test_levels_below_the_fourth_are_kept(rows):
+    deep = rows("node int, path array<int>", [(7, [1, 2, 3, 4, 5, 6, 7]), (1, [1])])
+    assert values(warehouse.node_levels(deep), "node", "level", "ancestor") == [(1, 1, 1), *((7, i, i) for i in range(1, 8))]
