@@ -5,7 +5,7 @@ Signatures are split into ``CHUNKS`` chunks. Two signatures that differ in at mo
 ``THRESHOLD`` symbols have, by pigeonhole, a chunk with at most ``ERRORS`` differing symbols,
 so they share a key when each chunk is indexed with every choice of that many symbols left
 out: all pairs under the threshold meet. A pair at the smallest linked similarity differs in
-more symbols than the threshold with a probability of about 1.5 in 100,000 (binomial tail).
+more symbols than the threshold with a probability of about 3.25 in 100,000 (binomial tail).
 Pairs that meet are checked by signature distance and confirmed on the full sets.
 
 Large groups are never expanded into pairs:

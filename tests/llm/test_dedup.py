@@ -116,3 +116,13 @@ def test_near_groups_are_not_expanded(spark):
     rows = [(i, " ".join([*base[:i % 150], f"x{i}", *base[i % 150 + 1 :]])) for i in range(300)]
     got = near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert got.agg(F.max("component_id"), F.sum(F.col("kept").cast("int"))).first()[:] == (0, 1)
+
+
+def test_stated_loss_is_the_binomial_tail():
+    import math
+
+    import finquarry.llm.near_dedup as m
+
+    lost = sum(math.comb(m.SYMBOLS, k) * 0.2**k * 0.8 ** (m.SYMBOLS - k) for k in range(m.THRESHOLD + 1, m.SYMBOLS + 1))
+    stated = float(re.search(r"about ([0-9.]+) in 100,000", m.__doc__)[1])
+    assert abs(lost * 1e5 - stated) < 0.01
