@@ -6,8 +6,8 @@ apart. So the neighbourhood of a word's reduced word is generated (itself, every
 every replacement) and joined to the reduced vocabulary, and what meets is verified on the
 words themselves. Insertions are deletions seen from the other word, and a replacement is
 generated from the side of its smaller symbol only, so that a pair meets once. The number
-of symbols grows with the vocabulary (about ``CROWD`` words a reduced word of five letters),
-which bounds how many words meet by chance; it doesn't change the result.
+of symbols grows with the sixth root of the vocabulary, and letters are dealt out so that
+symbols are about equally frequent; both only bound how many words meet by chance.
 
 A word's form is its near word of largest count, if that is at least ``ratio`` times its own.
 Counts at least double on the way, so a word's last form is reached by six rounds of pointer
@@ -32,7 +32,7 @@ from finquarry.llm.common import stored, table, unused
 
 LETTERS = "A-Za-zÀ-ÿ"
 LEAST_LENGTH, LEAST_COUNT, RATIO = 5, 3, 2
-CROWD = 16  # words of the vocabulary for each reduced word of five letters
+CROWD = 50  # words of the vocabulary for each reduced word of six letters
 ROUNDS = 6  # counts double on each step, so 2^6 steps pass any count
 
 
@@ -60,18 +60,26 @@ def vocabulary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def symbols_for(words: int) -> int:
-    """The least power of two from 8 to 64 whose five-letter words hold so many words ``CROWD`` at a time."""
-    symbols = 8
-    while symbols < 64 and symbols**5 * CROWD < words:
-        symbols *= 2
+    """The least number of symbols, from 4 on, whose six-letter words hold so many words ``CROWD`` at a time."""
+    symbols = 4
+    while symbols**6 * CROWD < words:
+        symbols += 1
     return symbols
 
 
-def reduced(word: Column, symbols: int) -> Column:
-    """Each letter's symbol: a digit of the base ``symbols`` by a multiplicative hash of its code point."""
-    letters = string.ascii_lowercase + "".join(map(chr, range(0xC0, 0x100)))
-    shown = [chr(48 + (ord(c) * 2654435761 % (1 << 32) >> 16) % symbols) for c in letters]
-    return F.translate(word, letters, "".join(shown))
+def symbol_map(words: DataFrame, symbols: int) -> dict[str, str]:
+    """The symbol of each letter: frequent letters first, each to the symbol that has least so far."""
+    letters = words.select(F.explode(F.split("word", "")).alias("letter")).groupBy("letter").count()
+    load, out = [0] * symbols, {}
+    for r in sorted(letters.collect(), key=lambda r: (-r["count"], r.letter)):  # as many rows as there are letters
+        least = load.index(min(load))
+        load[least] += r["count"]
+        out[r.letter] = chr(48 + least)
+    return out
+
+
+def reduced(word: Column, symbol: dict[str, str]) -> Column:
+    return F.translate(word, "".join(symbol), "".join(symbol.values()))
 
 
 def neighbourhood(r: Column, symbols: int) -> Column:
@@ -89,12 +97,15 @@ def neighbourhood(r: Column, symbols: int) -> Column:
     return F.concat(F.array_distinct(F.transform(places, without)), F.flatten(F.transform(places, replaced)))
 
 
-def near_words(words: DataFrame, symbols: int) -> DataFrame:
+def near_words(words: DataFrame) -> DataFrame:
     """Every unordered pair of words one edit apart, once: a, n_a, b, n_b."""
-    short = words.select("word", "n", reduced(F.col("word"), symbols).alias("r"))
-    around = short.select(F.col("word").alias("a"), F.col("n").alias("n_a"), F.col("r").alias("own"), F.explode(F.concat(F.array("r"), neighbourhood(F.col("r"), symbols))).alias("key"))
+    symbols = symbols_for(words.count())
+    short = words.select("word", "n", reduced(F.col("word"), symbol_map(words, symbols)).alias("r"))
+    meant = lambda keys, itself: F.transform(keys, lambda k: F.struct(k.alias("key"), F.lit(itself).alias("itself")))
+    spread = short.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word")  # few rows become many
+    around = spread.select(F.col("word").alias("a"), F.col("n").alias("n_a"), F.inline(F.concat(meant(F.array("r"), True), meant(neighbourhood(F.col("r"), symbols), False))))
     met = around.join(short.select(F.col("word").alias("b"), F.col("n").alias("n_b"), F.col("r").alias("key")), "key")
-    once = (F.col("key") != F.col("own")) | (F.col("a") < F.col("b"))  # words with the same reduced word meet from both sides
+    once = ~F.col("itself") | (F.col("a") < F.col("b"))  # words with the same reduced word meet from both sides
     return met.filter(once & (F.levenshtein("a", "b", 1) == 1)).select("a", "n_a", "b", "n_b")
 
 
@@ -113,7 +124,7 @@ def last_forms(forms: DataFrame) -> DataFrame:
 def spelling_variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
     """word, form, root, n, n_near, form_n of a vocabulary (word, n) of distinct words."""
     words = stored(words.select("word", "n"), "spelling-words")
-    pairs = near_words(words, symbols_for(words.count()))
+    pairs = near_words(words)
     both = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("word"), F.col("b").alias("near"), F.col("n_b").alias("n")), F.struct(F.col("b").alias("word"), F.col("a").alias("near"), F.col("n_a").alias("n")))).alias("p"))
     best = both.groupBy("p.word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("p.n")).alias("less"), F.col("p.near").alias("near"))).alias("best"))
     joined = words.join(best.withColumnRenamed("word", "_word"), F.col("word") == F.col("_word"), "left")

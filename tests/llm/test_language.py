@@ -139,7 +139,7 @@ def test_chains_of_forms_end(spark):
 
 
 def test_symbols_grow_with_the_vocabulary():
-    assert [symbols_for(n) for n in (0, 500_000, 600_000, 10**8, 10**12)] == [8, 8, 16, 32, 64]
+    assert [symbols_for(n) for n in (0, 204_800, 204_801, 10**6, 10**8)] == [4, 4, 5, 6, 12]
 
 
 def expected_vocabulary(rows):
