@@ -8,11 +8,13 @@ profile, how far the n-gram's place there is from its place in the language's pr
 ``PROFILE`` where the language's profile lacks it. The nearest language is predicted (ties:
 the smaller name); the score is 1 less the distance's share of the largest possible one.
 
-Words are runs of letters with the marks that follow them. Profiles of languages come from
-all training texts: words are counted per task, their n-grams are added up and summed by
-Spark, and only the first ``PROFILE`` of a language leave it. The languages are at most
-``MAX_LANGUAGES``, those with the most n-grams in training, so that what is sent to the
-tasks has a bound; there are some hundreds of written languages.
+Words are runs of letters with the marks that follow them. An n-gram is a number, its code
+points in 21 bits each, so that numbers sort as n-grams do and are counted by sorting; long
+texts are counted piece by piece. Profiles of languages come from all training texts: each
+task adds up the counts of its languages, Spark sums them, and only the first ``PROFILE`` of
+a language leave it. The languages are at most ``MAX_LANGUAGES``, those with the most n-grams
+in training, so that what is sent to the tasks has a bound; there are some hundreds of
+written languages.
 
 Defined cases: a null text, and one without letters, is ``und`` with score 0, and so is
 every text if nothing was learned; rows with a null label or null id train nothing (a null
@@ -22,51 +24,71 @@ whole; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+import re
+import unicodedata
+from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from finquarry.llm.common import stored, table, texts
-from finquarry.llm.tokens import Held
 
 PROFILE, LONGEST, MAX_LANGUAGES, UNKNOWN = 300, 3, 1000, "und"
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
-HELD_WORDS, HELD_LENGTH = 100_000, 24  # words whose n-grams a task remembers, and their longest
-FLUSH = 1 << 22  # letters of distinct words that a task holds before it hands their n-grams on
-
-
-def ngrams(word: str, longest: int = LONGEST) -> list[str]:
-    """The n-grams of a word between two blanks; a blank alone is none."""
-    padded = f" {word} "
-    return [*word, *[padded[i : i + n] for n in range(2, longest + 1) for i in range(len(padded) - n + 1)]]
-
-
-class _NGrams(Held):
-    def __init__(self):
-        super().__init__(ngrams, HELD_WORDS)
-
-    def of(self, word: str) -> list[str]:
-        return self[word] if len(word) <= HELD_LENGTH else ngrams(word)
-
-
-def counted(words: Counter, held: _NGrams) -> Counter:
-    """How often each n-gram occurs in words with their counts."""
-    found: defaultdict[str, int] = defaultdict(int)
-    for word, n in words.items():
-        for g in held.of(word):
-            found[g] += n
-    return Counter(found)
-
-
-def _first(found: Counter, size: int) -> list[str]:
-    if len(found) > 4 * size:  # those that may be among the first, before they are ordered
-        floor = sorted(found.values(), reverse=True)[size - 1]
-        found = {g: n for g, n in found.items() if n >= floor}
-    return [g for g, _ in sorted(found.items(), key=lambda x: (-x[1], x[0]))[:size]]
+PLAIN = re.compile("[\x00-\u02af]*")  # no marks there
+PLAIN_WORD = re.compile("[%s]+" % "".join(c for c in map(chr, range(0x2B0)) if unicodedata.category(c)[0] == "L"))
+BLANK, BITS = ord(" ") + 1, 21
+PIECE = 1 << 20  # characters counted at once
+FLUSH = 1 << 21  # distinct n-grams that a task holds before it hands them on
+
+
+def words_of(text: str) -> str:
+    """The words of a text, lower-cased, with a blank before, between and after them; empty without any."""
+    text = text.lower()
+    words = (PLAIN_WORD if PLAIN.fullmatch(text) else WORD).findall(text)
+    return f" {' '.join(words)} " if words else ""
+
+
+def merged(codes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order, with their counts summed (each 1 where none are given)."""
+    if counts is None:
+        codes = np.sort(codes)
+    else:
+        order = np.argsort(codes, kind="stable")
+        codes, counts = codes[order], counts[order]
+    if not len(codes):
+        return codes, np.zeros(0, np.int64)
+    first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+    return codes[first], np.diff(np.append(first, len(codes))) if counts is None else np.add.reduceat(counts, first)
+
+
+def ngrams(words: str) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the n-grams of words between single blanks, in order, with their counts. None is a blank alone or goes across one."""
+    found = []
+    for at in range(0, len(words), PIECE):  # n-grams that begin in the piece
+        c = np.frombuffer(words[at : at + PIECE + LONGEST - 1].encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64) + 1
+        n = min(PIECE, len(words) - at)
+        letter = c != BLANK
+        one, two, three = c[:n], c[1 : n + 1], c[2 : n + 2]
+        pairs = one[: len(two)] << 2 * BITS | two << BITS
+        found.append(merged(np.concatenate([(one << 2 * BITS)[letter[:n]], pairs, (pairs[: len(three)] | three)[letter[1 : len(three) + 1]]])))
+    if len(found) == 1:
+        return found[0]
+    return merged(*map(np.concatenate, zip(*found))) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def shown(code: int) -> str:
+    """The n-gram of a code."""
+    points = [code >> k * BITS & (1 << BITS) - 1 for k in (2, 1, 0)]
+    return "".join(chr(p - 1) for p in points if p)
+
+
+def code_of(gram: str) -> int:
+    return sum(ord(c) + 1 << (2 - k) * BITS for k, c in enumerate(gram))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -75,24 +97,32 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _language_ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """n-grams of the texts by language, with counts; summed over many texts."""
-    held, waiting, size = _NGrams(), defaultdict(Counter), 0
-
-    def rows():
-        for lang, words in waiting.items():
-            found = counted(words, held)
-            yield pa.record_batch([pa.array([lang] * len(found)), pa.array(list(found)), pa.array(list(found.values()), pa.int64())], names=["lang", "gram", "n"])
+    """n-grams of the texts by language, with counts; summed over all texts of a task."""
+    waiting: defaultdict[str, list[str]] = defaultdict(list)
+    length: defaultdict[str, int] = defaultdict(int)
+    held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+    def count(lang: str) -> None:
+        found = ngrams("".join(waiting.pop(lang, [])).replace("  ", " "))  # one blank between texts as between words
+        length.pop(lang, None)
+        held[lang] = merged(*map(np.concatenate, zip(held[lang], found))) if lang in held else found
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        for lang in [*waiting]:
+            count(lang)
+        for lang, (codes, counts) in held.items():
+            yield pa.record_batch([pa.array([lang] * len(codes), pa.string()), pa.array([shown(c) for c in codes.tolist()], pa.string()), pa.array(counts, pa.int64())], names=["lang", "gram", "n"])
+        held.clear()
 
     for b in batches:
         for lang, text in zip(b.column("lang").to_pylist(), texts(b.column("text"))):
-            words = waiting[lang]
-            for word, n in Counter(WORD.findall(text.lower())).items():
-                if word not in words:
-                    size += len(word)
-                words[word] += n
-            if size > FLUSH:
-                yield from rows()
-                waiting, size = defaultdict(Counter), 0
+            words = words_of(text)
+            waiting[lang].append(words)
+            length[lang] += len(words)
+            if length[lang] > PIECE or sum(length.values()) > 4 * PIECE:
+                count(max(length, key=length.get))
+                if sum(len(codes) for codes, _ in held.values()) > FLUSH:
+                    yield from rows()
     yield from rows()
 
 
@@ -107,26 +137,37 @@ def language_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "
 
 
 class Profiles:
-    """The languages' profiles, by n-gram: (language number, place) of each that has it."""
+    """The languages' profiles: by n-gram its place in each, ``size`` places from any where it lacks."""
 
     def __init__(self, rows: list[tuple[str, str, int]], size: int = PROFILE):
         self.size, self.languages = size, sorted({lang for lang, _, _ in rows})
         number = {lang: i for i, lang in enumerate(self.languages)}
-        self.places: dict[str, list[tuple[int, int]]] = {}
+        self.codes = np.array(sorted({code_of(gram) for _, gram, _ in rows}), np.int64)
+        self.places = np.full((len(self.codes), len(self.languages)), -1, np.int64)
         for lang, gram, place in rows:
-            self.places.setdefault(gram, []).append((number[lang], place))
-
-    def predict(self, words: Counter, held: _NGrams) -> tuple[str, float]:
-        """The nearest language of a text's words, and 1 less the share of its distance from the largest possible one."""
+            self.places[np.searchsorted(self.codes, code_of(gram)), number[lang]] = place
+
+    def profile(self, words: str) -> np.ndarray:
+        """The first n-grams of a document: most frequent first, then by code."""
+        codes, counts = ngrams(words)
+        if len(codes) > self.size:
+            often = counts >= np.partition(counts, -self.size)[-self.size]
+            codes, counts = codes[often], counts[often]
+        return codes[np.argsort(-counts, kind="stable")[: self.size]]
+
+    def predict(self, text: str) -> tuple[str, float]:
+        """The nearest language of a text, and 1 less the share of its distance from the largest possible one."""
+        words = words_of(text)
         if not words or not self.languages:
             return UNKNOWN, 0.0
-        profile = _first(counted(words, held), self.size)
-        most = self.size * len(profile)
-        far = [most] * len(self.languages)
-        for place, gram in enumerate(profile):
-            for lang, there in self.places.get(gram, ()):
-                far[lang] -= self.size - abs(place - there)
-        best = min(range(len(far)), key=far.__getitem__)  # the first of equal ones has the smallest name
+        mine = self.profile(words)
+        at = np.minimum(np.searchsorted(self.codes, mine), len(self.codes) - 1)
+        known = np.flatnonzero(self.codes[at] == mine)
+        there = self.places[at[known]]
+        near = np.where(there < 0, 0, self.size - np.abs(there - known[:, None]))
+        most = self.size * len(mine)
+        far = (most - near.sum(axis=0)).tolist()
+        best = far.index(min(far))  # the first of equal ones has the smallest name
         return self.languages[best], 1 - far[best] / most
 
 
@@ -136,9 +177,8 @@ def languages(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text
     shared = docs.sparkSession.sparkContext.broadcast(Profiles(rows, size))
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _NGrams()
         for b in batches:
-            found = [shared.value.predict(Counter(WORD.findall(t.lower())), held) for t in texts(b.column("text"))]
+            found = [shared.value.predict(t) for t in texts(b.column("text"))]
             yield pa.record_batch([b.column("doc_id"), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))

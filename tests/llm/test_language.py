@@ -8,8 +8,9 @@ import duckdb
 import numpy as np
 import pytest
 
+from finquarry.llm import language_id
 from finquarry.llm.common import table
-from finquarry.llm.language_id import OP13_SQL, UNKNOWN, language_profiles, languages, ngrams, op13_language_id
+from finquarry.llm.language_id import OP13_SQL, UNKNOWN, code_of, language_profiles, languages, ngrams, op13_language_id, shown, words_of
 from finquarry.llm.periodic_runs import op11_periodic_runs, periodic_runs, planted, word_runs
 from finquarry.llm.spelling import OP12_SQL, damaged, last_forms, op12_spelling_variants, spelling_variants, symbols_for, vocabulary, with_roots
 from finquarry.session import run_folder
@@ -187,9 +188,24 @@ def test_rows_get_their_root_beside_clashing_columns(spark):
 
 
 # --- languages --------------------------------------------------------------------------------------------------
-def test_ngrams():
-    assert Counter(ngrams("aba")) == Counter(["a", "b", "a", " a", "ab", "ba", "a ", " ab", "aba", "ba "])
-    assert Counter(ngrams("x")) == Counter(["x", " x", "x ", " x "])
+def plain_ngrams(words):
+    return Counter(g for w in words.split() for p in [f" {w} "] for n in (1, 2, 3) for i in range(len(p) - n + 1) for g in [p[i : i + n]] if g != " ")
+
+
+@pytest.mark.parametrize("piece", [1 << 20, 7, 1])
+def test_ngrams_in_pieces_equal_plain_ones(monkeypatch, piece):
+    monkeypatch.setattr(language_id, "PIECE", piece)
+    rnd = random.Random(2)
+    for text in ["aba", "x", "", "a b", "日本 \U0001f600é x", *["".join(rnd.choice("abé 𝒳") for _ in range(60)) for _ in range(50)]]:
+        words = words_of(text)
+        codes, counts = ngrams(words)
+        assert dict(zip(map(shown, codes.tolist()), counts.tolist())) == plain_ngrams(words)
+        assert [shown(c) for c in codes.tolist()] == sorted(plain_ngrams(words)) and [code_of(shown(c)) for c in codes.tolist()] == codes.tolist()
+
+
+def test_words_are_letters_with_their_marks():
+    assert words_of("Ab1c_d ½ x²") == " ab c d x " and words_of("12 !") == "" and words_of("e\u0301te\u0301 \u0301a") == " e\u0301te\u0301 a "
+    assert words_of("ÀÉ×ß ſt") == " àé ß ſt " and words_of("हिन्दी में") == " हिन्दी में "
 
 
 def test_language_query(spark):
