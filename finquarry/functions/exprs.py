@@ -86,10 +86,13 @@ def minutes_between(start: Col, end: Col) -> Column:
 def key_hash(*cols: Col) -> Column:
     """Surrogate key: md5 of one part (NULL stays NULL), or of several parts, each with its length before it and
     NULL as ``-``, so that different part lists never have the same text."""
+    return F.md5(col(cols[0]).cast("string")) if len(cols) == 1 else row_hash(*cols)
+
+
+def row_hash(*cols: Col) -> Column:
+    """md5 of a row's content, never NULL: each part with its length before it, NULL as ``-``, any number of columns."""
     text = lambda c: col(c).cast("string")
-    if len(cols) == 1:
-        return F.md5(text(cols[0]))
-    return F.md5(F.concat(*[F.coalesce(F.concat(F.length(text(c)).cast("string"), F.lit(":"), text(c)), F.lit("-")) for c in cols]))
+    return F.md5(F.concat(F.lit(""), *[F.coalesce(F.concat(F.length(text(c)).cast("string"), F.lit(":"), text(c)), F.lit("-")) for c in cols]))
 
 
 def valid_email(c: Col) -> Column:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from finquarry.functions import exprs as X
 from finquarry.operators import skew
-from finquarry.session import cut_lineage
 
 
 def _zero_fill(df: DataFrame, skip: Sequence[str]) -> DataFrame:
@@ -129,10 +128,10 @@ def daily_summary(transactions: DataFrame, high_value: float) -> DataFrame:
 def rfm(orders: DataFrame, customer: str, order: str, day: str, amount: str, as_of: str) -> DataFrame:
     """Recency, frequency, money and their quintiles over all customers."""
     per = orders.groupBy(customer).agg(F.datediff(F.lit(as_of).cast("date"), F.max(day)).alias("recency"), F.countDistinct(order).alias("frequency"), F.sum(amount).alias("monetary"))
-    # one row per customer, read several times below: computed once
-    out = cut_lineage(per.withColumn("_r", -F.col("recency")))
+    per = per.withColumn("_r", -F.col("recency"))
+    out = per
     for col, score in (("_r", "r_score"), ("frequency", "f_score"), ("monetary", "m_score")):
-        out = skew.ntiles(out, [], [col, customer], 5, score)
+        out = skew.ntiles(out, [], [col, customer], 5, score, base=per)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     seg = (
         F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions").when((r >= 3) & (f >= 3), "Loyal Customers").when((r >= 4) & (f <= 2), "New Customers")

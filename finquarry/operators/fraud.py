@@ -122,7 +122,7 @@ def txn_risk(txns: DataFrame, cards: DataFrame, velocity: int, amount: str = "am
     Both velocity windows come from one skew-safe pass over each card's history.
     """
     t = txns.withColumn("_s", X.epoch(F.date_trunc("second", F.col("txn_timestamp").cast("timestamp"))))
-    t = skew.trailing_ranges(t, "card_number", "_s", {3600: {"txn_count_last_1hr": F.count("*")}, 86400: {"txn_count_last_24hr": F.count("*")}})
+    t = skew.trailing_ranges(t, "card_number", "_s", {3600: {"txn_count_last_1hr": F.lit(1)}, 86400: {"txn_count_last_24hr": F.lit(1)}})
     daily = txns.groupBy("card_number", "txn_date").agg(X.dsum(amount).alias("daily_cumulative_amount"))
     rows = _owned(t.filter(F.col("status") == "SUCCESS"), cards).join(daily, ["card_number", "txn_date"])
     points = lambda cond, n: F.when(cond, n).otherwise(0)

@@ -48,8 +48,14 @@ def detokenize(df: DataFrame, column: str, token_map: DataFrame) -> DataFrame:
 
 
 def pseudonymise(df: DataFrame, key: str, secret: str, drop: Sequence[str] = ()) -> DataFrame:
-    """Keyed hash instead of the identifier, columns not needed left out."""
-    return df.withColumn(key, F.sha2(F.concat_ws("|", F.lit(secret), F.col(key).cast("string")), 256)).drop(*drop)
+    """Keyed hash instead of the identifier (NULL stays NULL), columns not needed left out.
+
+    The secret is hashed in before and after, each time with the length of what follows, so
+    that no other secret and identifier give the same text and nothing can be appended.
+    """
+    text = F.col(key).cast("string")
+    inner = F.sha2(F.concat(F.lit(f"{len(secret)}:{secret}"), F.length(text).cast("string"), F.lit(":"), text), 256)
+    return df.withColumn(key, F.sha2(F.concat(F.lit(f"{len(secret)}:{secret}"), inner), 256)).drop(*drop)
 
 
 def encrypt_columns(df: DataFrame, cols: Sequence[str], key: str) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from finquarry.functions import exprs as X
 from finquarry.operators.relational import anti_orphans, latest_per_key
+from finquarry.session import cut_lineage
+from finquarry.sources.keyed import KeyedTable
 
 
 # --- incremental reads -------------------------------------------------------------------------------
@@ -26,12 +28,12 @@ def after_id(df: DataFrame, id_col: str, last: int, n: int) -> DataFrame:
 
 
 def changed_by_hash(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Source rows that are new or whose content hash differs from the target's."""
+    """Source rows that are new or whose content hash differs from the target's. NULL keys match NULL keys."""
     cols = [c for c in source.columns if c != key]
-    known = target.select(F.col(key), X.key_hash(*cols).alias("_h"))
-    rows = source.join(known, key, "left")
-    state = F.when(F.col("_h").isNull(), "NEW").otherwise("CHANGED")
-    return rows.filter(~X.key_hash(*cols).eqNullSafe(F.col("_h"))).withColumn("change", state).drop("_h")
+    known = target.select(F.col(key).alias("_k"), X.row_hash(*cols).alias("_h"), F.lit(True).alias("_found"))
+    rows = source.join(known, F.col(key).eqNullSafe(F.col("_k")), "left")
+    state = F.when(F.col("_found").isNull(), "NEW").when(X.row_hash(*cols) != F.col("_h"), "CHANGED")
+    return rows.withColumn("change", state).filter(F.col("change").isNotNull()).drop("_k", "_h", "_found")
 
 
 def touched_days(late: DataFrame, day: str) -> DataFrame:
@@ -163,6 +165,25 @@ def replay(log: DataFrame, key: str, version: str, delta: Column) -> DataFrame:
     return log.groupBy(key).agg(F.sum(delta).alias("state"), F.count("*").alias("events"), F.max(version).alias("version"))
 
 
+def fold_events(table: KeyedTable, log: DataFrame, position: str, version: str, at: str) -> int:
+    """Carry a kept state (the payload of each key's latest version) forward by the events after its mark.
+
+    ``table`` holds the state, a row per key with the event's ``version`` and payload columns; the
+    mark is the greatest ``position`` (order of arrival) folded so far, kept with the state's
+    version. Only later events are read. An event that arrives late, with a lower version than
+    the state has, changes nothing; of equal versions the first to arrive stays.
+    """
+    _, mark = table.latest()
+    later = log.filter(F.col(position) > mark) if mark is not None else log
+    key = table.keys
+    last = later.groupBy(*key).agg(F.max_by(F.struct(*table.values), F.struct(F.col(version), -F.col(position))).alias("_r"), F.max(position).alias("_upto"))
+    rows = cut_lineage(last.select(*key, "_r.*", "_upto"))
+    upto = rows.agg(F.max("_upto")).first()[0]
+    if upto is None:
+        return table.latest()[0]
+    return table.merge(rows.drop("_upto"), at, newer=version, mark=upto)
+
+
 def read_model(orders: DataFrame, lines: DataFrame, customers: DataFrame) -> DataFrame:
     """Orders with item count, value and customer in one row."""
     per = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("items"), X.dsum("revenue").alias("revenue"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +29,22 @@ def cluster_sorted(df: DataFrame, cols: Sequence[str], partitions: int | None =
     return df.repartitionByRange(*n, *cols).sortWithinPartitions(*cols)
 
 
+def held(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows dealt by key and kept (in memory, the rest on disk), for several aggregates or joins on that key.
+
+    The caller calls ``unpersist`` when done. What a lost executor held is computed again.
+    """
+    return df.repartition(*keys).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def coalesced(df: DataFrame, partitions: int) -> DataFrame:
+    """Fewer partitions without a shuffle, for little data left in many of them: each task reads several.
+
+    It also lowers the parallelism of the step before; after a heavy one ``compact`` is better.
+    """
+    return df.coalesce(partitions)
+
+
 def compact(spark: SparkSession, source: str, target: str, by: Sequence[str]) -> DataFrame:
     """Rewrite many small files as few larger ones in a new folder; the caller publishes it."""
     write_partitioned(spark.read.parquet(source), target, by)

@@ -1,19 +1,22 @@
 """Ordered operators that hold when one key owns a large part of the rows.
 
-A plain window sorts every row of a key in one task. Here a key that is too large is cut
-into chunks of its ordered rows; each chunk is worked on alone, and a small table, one row
-per chunk, carries totals forward. Small keys stay whole, and an input without large keys
-gets the plain window.
-
-The cut points come from a sample chosen by hash. There are at most ``MAX_PARTS`` of them,
-so the carried tables hold at most twice as many rows whatever the size of the input.
+A plain window sorts every row of a key in one task. Here the rows of a key are cut into
+chunks of their order; each chunk is worked on alone, and a small table, one row per chunk,
+carries totals forward. Keys without cut points are one chunk.
+
+A row is a cut point if the hash of its key and order falls below a fixed share, one in
+``finquarry.split.rows``; so a key has cut points in proportion to its rows, whatever the
+size of the input, and they are the same on every attempt. Of all cut points the
+``MAX_POINTS`` with the smallest hashes count, again an even share of every key's. The points
+are part of the plan: nothing is counted, sampled or fetched while it is built, and the
+same plan holds at every size. Where there are none, adaptive execution drops the tables
+that carry totals.
 
 ``order`` columns are ascending; negate a number to sort it downwards.
 """
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,12 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPLIT_KEY = "finquarry.split.rows"
-SPLIT_ROWS = 2_000_000
-MAX_PARTS = 4096
-PER_PART = 16  # sampled rows per chunk
-# full precision for times; NULL fields are kept
-AS_JSON = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
-STEP = 64  # cut points are searched in two levels of this width
+SPLIT_ROWS = 500_000
+MAX_POINTS = 1 << 16  # bounds what is broadcast: the points, and at most twice as many rows of carried totals
+MIN_POINTS = 3  # a key with fewer is left whole; it has a few times the rows of a chunk at most
 
 
 def split_rows(df: DataFrame) -> int:
@@ -38,19 +38,18 @@ def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
+def _same(keys: list[str], prefix: str) -> list[Column]:
+    return [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys]
+
+
 @dataclass(frozen=True)
 class Cut:
-    """Rows with their ``_chunk``, and the test for keys that were cut."""
+    """Rows with their ``_chunk``; ``points`` has a row for each key that was cut (without keys one row at most)."""
 
     rows: DataFrame
     keys: list[str]
     order: list[str]
-    edges: Column | None
-    spans: Column | None
-
-    @property
-    def whole(self) -> bool:
-        return self.edges is None
+    points: DataFrame
 
     @property
     def group(self) -> list[str]:
@@ -60,7 +59,10 @@ class Cut:
         return Window.partitionBy(*self.group).orderBy(*self.order)
 
     def spanning(self) -> DataFrame:
-        return self.rows.filter(self.spans)
+        """The rows of keys that were cut."""
+        if not self.keys:  # a join with one row at most, which adaptive execution drops with its left side if there is none
+            return self.rows.join(F.broadcast(self.points.select(F.lit(1).alias("_one"))), F.lit(True), "left_semi")
+        return self.rows.join(F.broadcast(self.points.select(*[f"_p_{k}" for k in self.keys])), _same(self.keys, "_p_"), "left_semi")
 
     def across(self, first: int, last: int):
         return Window.partitionBy(*self.keys).orderBy("_chunk").rowsBetween(first, last)
@@ -68,76 +70,36 @@ class Cut:
     def attach(self, df: DataFrame, carried: DataFrame) -> DataFrame:
         """Join the bounded per-chunk table back to the rows."""
         renamed = carried.select(*[F.col(k).alias(f"_k_{k}") for k in self.group], *[c for c in carried.columns if c not in self.group])
-        on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in self.group]
-        return df.join(F.broadcast(renamed), on, "left").drop(*[f"_k_{k}" for k in self.group])
+        return df.join(F.broadcast(renamed), _same(self.group, "_k_"), "left").drop(*[f"_k_{k}" for k in self.group])
 
     def done(self) -> DataFrame:
         return self.rows.drop("_chunk")
 
 
-def cut_points(df: DataFrame, keys: list[str], order: list[str], limit: int) -> list[dict]:
-    """Ordered tuples that split the rows of large keys into runs of about ``limit`` rows.
+def cut_points(df: DataFrame, keys: list[str], order: list[str], limit: int) -> DataFrame:
+    """The ordered tuples that begin a chunk, as one array ``_points`` for each key that is cut."""
+    h = F.xxhash64(*keys, *order).bitwiseAND(F.lit((1 << 63) - 1))
+    tuples = df.select(*[F.col(k).alias(f"_p_{k}") for k in keys], F.struct(*order).alias("_at"), h.alias("_h")).filter(F.col("_h") < ((1 << 63) - 1) // limit)
+    chosen = tuples.distinct().orderBy("_h", "_at").limit(MAX_POINTS)
+    return chosen.groupBy(*[f"_p_{k}" for k in keys]).agg(F.sort_array(F.collect_list("_at")).alias("_points")).filter(F.size("_points") >= MIN_POINTS)
 
-    As with a range partitioner this is a small list fetched before the plan is built: a
-    count, and if the input is larger than one chunk, a sample of at most a few rows per
-    chunk. Rows are sampled by hash, so it is the same on every attempt.
-    """
-    n = df.count()
-    if n <= limit:
-        return []
-    parts = min(MAX_PARTS, -(-n // limit))
-    wanted = max(1024, parts * PER_PART)
-    t = F.struct(*[F.col(c) for c in keys + order])
-    modulus = max(1, n // (wanted * 2))
-    rows = df.select(t.alias("t")).filter(F.pmod(F.xxhash64("t"), F.lit(modulus)) == 0).distinct().limit(wanted * 8)
-    text = rows.agg(F.to_json(F.sort_array(F.collect_list("t")), AS_JSON).alias("s")).first().s
-    sample = json.loads(text)
-    if not sample:
-        return []
-    per_row = n / len(sample)
-    runs: dict[str, list[dict]] = {}
-    for s in sample:
-        runs.setdefault(json.dumps([s[k] for k in keys]), []).append(s)
-    points = []
-    for run in runs.values():
-        pieces = int(len(run) * per_row // limit) + 1
-        points += [run[len(run) * i // pieces] for i in range(1, pieces)]
-    return points[:MAX_PARTS]
-
-
-def _literal(text: str, schema: T.StructType) -> Column:
-    kind = ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in schema.fields)
-    return F.from_json(F.lit(text), f"array<struct<{kind}>>", AS_JSON)
-
-
-def _position(edges: Column, count: int, me: Column) -> Column:
-    """Number of edges below ``me``, searched in steps."""
-    if count <= STEP:
-        return F.size(F.filter(edges, lambda e: e < me))
-    coarse = F.filter(edges, lambda e, i: ((i + 1) % STEP == 0) & (e < me))
-    base = F.size(coarse) * STEP
-    return base + F.size(F.filter(F.slice(edges, base + 1, F.lit(STEP)), lambda e: e < me))
-
-
-def cut(df: DataFrame, keys, order, limit: int | None = None) -> Cut:
+
+def position(points: Column, me: Column) -> Column:
+    """How many elements of a sorted array of less than 2^21 are not above ``me``, by halving steps."""
+    steps = F.array(*[F.lit(1 << i) for i in range(20, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when((at + step <= F.size(points)) & (F.get(points, at + step - 1) <= me), at + step).otherwise(at))
+
+
+def cut(df: DataFrame, keys, order, limit: int | None = None, base: DataFrame | None = None) -> Cut:
+    """``base`` may name a frame with the same keys and order columns that is cheaper to read for the points."""
     keys, order = _names(keys), _names(order)
-    points = cut_points(df, keys, order, limit or split_rows(df))
-    if not points:
-        return Cut(df.withColumn("_chunk", F.lit(0)), keys, order, None, None)
-    schema = df.select(*keys, *order).schema
-    edges = _literal(json.dumps(points), schema)
-    me = F.struct(*[F.col(c) for c in keys + order])
-    spans = F.lit(True)
+    points = cut_points(df if base is None else base, keys, order, limit or split_rows(df))
     if keys:
-        # a cheap test on the first key column spares most rows the search
-        first, values = F.col(keys[0]), [p[keys[0]] for p in points]
-        if isinstance(schema[0].dataType, (T.IntegralType, T.StringType)) and None not in values:
-            spans = F.coalesce(first.isin(list(set(values))), F.lit(False))
-        owner = F.struct(*[F.col(k) for k in keys])
-        if len(keys) > 1 or not isinstance(schema[0].dataType, (T.IntegralType, T.StringType)) or None in values:
-            spans = spans & F.exists(edges, lambda e: F.struct(*[e[k].alias(k) for k in keys]).eqNullSafe(owner))
-    chunk = F.when(spans, _position(edges, len(points), me)).otherwise(0)
-    return Cut(df.withColumn("_chunk", chunk), keys, order, edges, spans)
+        rows = df.join(F.broadcast(points), _same(keys, "_p_"), "left").drop(*[f"_p_{k}" for k in keys])
+    else:
+        rows = df.withColumn("_points", points.scalar())
+    chunk = F.when(F.col("_points").isNull(), 0).otherwise(position(F.col("_points"), F.struct(*order)))
+    return Cut(rows.withColumn("_chunk", chunk).drop("_points"), keys, order, points)
 
 
 # --- building blocks on a cut: each returns the cut with new columns ----------------------------------
@@ -146,12 +108,12 @@ def add_running(c: Cut, sums: dict[str, Column | str]) -> Cut:
     c = replace(c, rows=c.rows.withColumns(values))
     w = c.window().rowsBetween(Window.unboundedPreceding, 0)
     out = c.rows.withColumns({o: F.sum(v).over(w) for o, v in zip(sums, values, strict=True)})
-    if not c.whole:
-        totals = c.spanning().groupBy(*c.group).agg(*[F.sum(v).alias(v) for v in values])
-        before = c.across(Window.unboundedPreceding, -1)
-        out = c.attach(out, totals.select(*c.group, *[F.sum(v).over(before).alias(f"_b{v}") for v in values]))
-        out = out.withColumns({o: F.col(o) + F.coalesce(f"_b{v}", F.lit(0)) for o, v in zip(sums, values, strict=True)}).drop(*[f"_b{v}" for v in values])
-    return replace(c, rows=out.drop(*values))
+    kinds = {o: out.schema[o].dataType for o in sums}
+    totals = c.spanning().groupBy(*c.group).agg(*[F.sum(v).alias(v) for v in values])
+    before = c.across(Window.unboundedPreceding, -1)
+    out = c.attach(out, totals.select(*c.group, *[F.sum(v).over(before).alias(f"_b{v}") for v in values]))
+    whole = {o: F.when(F.col(f"_b{v}").isNull(), F.col(o)).otherwise(F.col(f"_b{v}") + F.coalesce(o, F.lit(0))).cast(kinds[o]) for o, v in zip(sums, values, strict=True)}
+    return replace(c, rows=out.withColumns(whole).drop(*values, *[f"_b{v}" for v in values]))
 
 
 def add_neighbours(c: Cut, previous: dict[str, str] | None = None, following: dict[str, str] | None = None) -> Cut:
@@ -160,13 +122,11 @@ def add_neighbours(c: Cut, previous: dict[str, str] | None = None, following: di
         if not wanted:
             continue
         w = c.window()
-        out = c.rows.withColumns({name: step(src).over(w) for src, name in wanted.items()})
-        if not c.whole:
-            out = out.withColumn("_edge", step(F.lit(1)).over(w).isNull())
-            ends = c.spanning().groupBy(*c.group).agg(pick(F.struct(*[F.col(s) for s in wanted]), ordering).alias("_end"))
-            carried = ends.withColumn("_end", step("_end").over(Window.partitionBy(*c.keys).orderBy("_chunk")))
-            out = c.attach(out, carried)
-            out = out.withColumns({name: F.when(F.col("_edge"), F.col("_end")[src]).otherwise(F.col(name)) for src, name in wanted.items()}).drop("_end", "_edge")
+        out = c.rows.withColumns({name: step(src).over(w) for src, name in wanted.items()}).withColumn("_edge", step(F.lit(1)).over(w).isNull())
+        ends = c.spanning().groupBy(*c.group).agg(pick(F.struct(*[F.col(s) for s in wanted]), ordering).alias("_end"))
+        carried = ends.withColumn("_end", step("_end").over(Window.partitionBy(*c.keys).orderBy("_chunk")))
+        out = c.attach(out, carried)
+        out = out.withColumns({name: F.when(F.col("_edge"), F.col("_end")[src]).otherwise(F.col(name)) for src, name in wanted.items()}).drop("_end", "_edge")
         c = replace(c, rows=out)
     return c
 
@@ -195,8 +155,6 @@ def carry_last(df: DataFrame, keys, order, value: str, out: str, **kw) -> DataFr
     """Last non-null ``value`` at or before the row (the heart of the as-of join)."""
     c = cut(df, keys, order, **kw)
     local = c.rows.withColumn(out, F.last(value, ignorenulls=True).over(c.window().rowsBetween(Window.unboundedPreceding, 0)))
-    if c.whole:
-        return local.drop("_chunk")
     ordering = F.struct(*[F.col(o) for o in c.order])
     # every chunk of a cut key needs a row, also one without any value
     at = F.when(F.col(value).isNotNull(), ordering)
@@ -209,60 +167,61 @@ def row_frame(df: DataFrame, keys, order, before: int, after: int, columns: dict
     """Aggregates over ``before`` rows back to ``after`` rows ahead (negative ``after`` excludes the row).
 
     ``columns`` maps an output name to an aggregate such as ``F.avg("amount")``. The rows a
-    chunk needs from its neighbours are sent along as context and dropped again.
+    chunk needs from its neighbours are found by their number within the key, sent along as
+    context and dropped again: ``before + after`` rows a chunk.
     """
     c = cut(df, keys, order, **kw)
-    rows = c.rows
-    if not c.whole:
-        asc, desc = [F.col(o) for o in c.order], [F.col(o).desc() for o in c.order]
-        chunks = c.spanning().select(*[F.col(k).alias(f"_c_{k}") for k in c.group]).distinct()
-        same = [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in c.keys]
-        rows = c.rows.withColumn("_ctx", F.lit(False))
-
-        def context(n: int, sort: list[Column], side: Column) -> DataFrame:
-            # the n rows nearest to each chunk, taken from the ends of the other chunks of its key
-            ends = c.spanning().withColumn("_p", F.row_number().over(Window.partitionBy(*c.group).orderBy(*sort))).filter(F.col("_p") <= n).drop("_p")
-            w = Window.partitionBy(*[f"_c_{k}" for k in c.group]).orderBy(*sort)
-            nearest = ends.join(F.broadcast(chunks), [*same, side]).withColumn("_p", F.row_number().over(w)).filter(F.col("_p") <= n)
-            return nearest.withColumn("_chunk", F.col("_c__chunk")).select(*c.rows.columns, F.lit(True).alias("_ctx"))
-
-        if before > 0:
-            rows = rows.unionByName(context(before, desc, F.col("_chunk") < F.col("_c__chunk")))
-        if after > 0:
-            rows = rows.unionByName(context(after, asc, F.col("_chunk") > F.col("_c__chunk")))
+    numbered = add_running(replace(c, rows=c.spanning()), {"_rn": F.lit(1).cast("bigint")}).rows
+    ends = numbered.groupBy(*c.group).agg(F.min("_rn").alias("_first"), F.max("_rn").alias("_last"))
+    wanted = [F.sequence(F.col("_first") - before, F.col("_first") - 1)] if before > 0 else []
+    wanted += [F.sequence(F.col("_last") + 1, F.col("_last") + after)] if after > 0 else []
+    rows = c.rows.withColumn("_ctx", F.lit(False))
+    if wanted:
+        needs = ends.select(*[F.col(k).alias(f"_n_{k}") for k in c.keys], F.col("_chunk").alias("_to"), F.explode(F.concat(*wanted)).alias("_need"))
+        context = numbered.join(needs, [*_same(c.keys, "_n_"), F.col("_rn") == F.col("_need")])
+        rows = rows.unionByName(context.withColumn("_chunk", F.col("_to")).select(*c.rows.columns, F.lit(True).alias("_ctx")))
     out = rows.withColumns({n: a.over(c.window().rowsBetween(-before, after)) for n, a in columns.items()})
-    return (out if c.whole else out.filter(~F.col("_ctx")).drop("_ctx")).drop("_chunk")
+    return out.filter(~F.col("_ctx")).drop("_ctx", "_chunk")
 
 
-def trailing_range(df: DataFrame, keys, ts: str, width, columns: dict[str, Column], **kw) -> DataFrame:
-    """Aggregates over rows of the same key whose number ``ts`` lies in ``[t - width, t]``."""
-    return trailing_ranges(df, keys, ts, {width: columns}, **kw)
+def trailing_range(df: DataFrame, keys, ts: str, width, sums: dict[str, Column | str], **kw) -> DataFrame:
+    """Sums over rows of the same key whose number ``ts`` lies in ``[t - width, t]``."""
+    return trailing_ranges(df, keys, ts, {width: sums}, **kw)
 
 
 def trailing_ranges(df: DataFrame, keys, ts: str, frames: dict, **kw) -> DataFrame:
-    """Several trailing ranges in one pass: ``{3600: {"n_1h": F.count("*")}, 86400: {...}}``.
+    """Several trailing ranges in one pass: ``{3600: {"n_1h": F.lit(1)}, 86400: {"sum_1d": "v"}}``.
 
-    A row close before a cut is also sent, as context, to the chunks it can reach.
+    Values are summed per instant first, so any number of rows at one time count as one. A
+    frame is then the running total at its end less the one just before its start, read at a
+    mark set there: the work doesn't depend on how many rows a frame spans. Totals must be
+    exact for that: whole numbers or decimals. A frame without any value is NULL, as a sum is.
     """
-    width = max(frames)
-    c = cut(df, keys, [ts], **kw)
-    rows = c.rows
-    if not c.whole:
-        owner = F.struct(*[F.col(k) for k in c.keys])
-
-        def reached(e):
-            hit = (e[ts] >= F.col(ts)) & (e[ts] < F.col(ts) + width)
-            return hit & F.struct(*[e[k].alias(k) for k in c.keys]).eqNullSafe(owner) if c.keys else hit
-
-        # the chunk behind edge number i (0-based) is chunk i + 1
-        positions = F.transform(c.edges, lambda e, i: F.when(reached(e), i + 1))
-        extra = F.filter(positions, lambda p: p.isNotNull() & (p > F.col("_chunk")))
-        to = F.when(c.spans, F.concat(F.array("_chunk"), extra)).otherwise(F.array("_chunk"))
-        rows = rows.withColumn("_to", F.explode(to))
-        rows = rows.withColumn("_ctx", F.col("_to") != F.col("_chunk")).withColumn("_chunk", F.col("_to")).drop("_to")
-    w = Window.partitionBy(*c.group).orderBy(ts)
-    out = rows.withColumns({n: a.over(w.rangeBetween(-size, 0)) for size, columns in frames.items() for n, a in columns.items()})
-    return (out if c.whole else out.filter(~F.col("_ctx")).drop("_ctx")).drop("_chunk")
+    keys, values = _names(keys), {}
+    for sums in frames.values():
+        for o, v in sums.items():
+            values[o] = F.col(v) if isinstance(v, str) else v
+    kinds = {o: df.select(F.sum(v).alias("s")).schema["s"].dataType for o, v in values.items()}
+    for o, kind in kinds.items():
+        if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+            raise ValueError(f"{o}: cast floating point numbers to decimals, differences of their running totals are not exact")
+    per = df.groupBy(*keys, ts).agg(*[F.sum(v).alias(f"_s_{o}") for o, v in values.items()], *[F.count(v).alias(f"_n_{o}") for o, v in values.items()])
+    totals = [f"_{x}_{o}" for o in values for x in "sn"]
+    ends = per.select(*keys, ts, F.col(ts).alias("_t"), F.lit(None).cast(df.schema[ts].dataType).alias("_w"), *totals)
+    marks = per.select(*keys, ts, F.explode(F.array(*[F.lit(w).cast(df.schema[ts].dataType) for w in frames])).alias("_w"))
+    marks = marks.select(*keys, ts, (F.col(ts) - F.col("_w")).alias("_t"), "_w", *[F.lit(0).cast(per.schema[x].dataType).alias(x) for x in totals])
+    # a mark stands before the rows of its instant
+    both = ends.unionByName(marks).withColumn("_end", F.col("_w").isNull())
+    up = running(both.withColumn("_wide", F.coalesce("_w", F.lit(0))), keys, ["_t", "_end", "_wide", ts], {f"_r{x}": F.coalesce(x, F.lit(0)) for x in totals}, **kw)
+    at_end = lambda x: F.max(F.when(F.col("_end"), F.col(f"_r{x}")))
+    before = lambda x, w: F.max(F.when(F.col("_w") == w, F.col(f"_r{x}")))
+    out = []
+    for w, sums in frames.items():
+        for o in sums:
+            found = (at_end(f"_s_{o}") - before(f"_s_{o}", w)).cast(kinds[o])
+            out.append(F.when(at_end(f"_n_{o}") - before(f"_n_{o}", w) > 0, found).alias(o))
+    found = up.groupBy(*[F.col(k).alias(f"_f_{k}") for k in [*keys, ts]]).agg(*out)
+    return df.join(found, _same([*keys, ts], "_f_")).drop(*[f"_f_{k}" for k in [*keys, ts]])
 
 
 def value_ranks(df: DataFrame, keys, value: str, **kw) -> DataFrame:
@@ -309,43 +268,15 @@ def quantiles(df: DataFrame, keys, value: str, probabilities: dict[str, float],
     return found.select(*keys, *[lerp(name).alias(name) for name in probabilities])
 
 
-def rows_at(df: DataFrame, order, positions: list[int], **kw) -> str | None:
-    """The ordered tuples at the given 1-based positions of the whole input, as JSON text.
-
-    Chunk sizes tell which chunks hold the positions; only those are numbered.
-    """
-    c = cut(df, [], order, **kw)
-    sizes = {r._chunk: r.n for r in c.rows.groupBy("_chunk").agg(F.count("*").alias("n")).collect()}
-    start, wanted = 0, []
-    for chunk in sorted(sizes):
-        wanted += [(chunk, p - start) for p in positions if start < p <= start + sizes[chunk]]
-        start += sizes[chunk]
-    if not wanted:
-        return None
-    few = c.rows.filter(F.col("_chunk").isin([w[0] for w in wanted]))
-    numbered = few.select("_chunk", *c.order, F.row_number().over(c.window()).alias("_rn"))
-    hit = F.struct("_chunk", "_rn").isin([F.struct(F.lit(a), F.lit(p)) for a, p in wanted])
-    t = F.struct(*[F.col(o) for o in c.order])
-    return numbered.filter(hit).agg(F.to_json(F.sort_array(F.collect_list(t)), AS_JSON).alias("s")).first().s
-
-
-def ntiles(df: DataFrame, keys, order, n: int, out: str, **kw) -> DataFrame:
-    """``ntile(n)``; ``keys + order`` must be unique.
-
-    Without keys only the ``n - 1`` first rows of the tiles are looked up and every row is
-    compared with them, so the rows themselves are not shuffled.
-    """
-    keys, order = _names(keys), _names(order)
-    if not keys:
-        total = df.count()
-        size, longer = divmod(total, n)
-        firsts = [i * size + min(i, longer) + 1 for i in range(1, n)]
-        found = rows_at(df, order, [p for p in firsts if p <= total], **kw)
-        if found is None:
-            return df.withColumn(out, F.lit(1).cast("bigint"))
-        edges, me = _literal(found, df.select(*order).schema), F.struct(*[F.col(o) for o in order])
-        return df.withColumn(out, (F.size(F.filter(edges, lambda e: e <= me)) + 1).cast("bigint"))
-    rows = row_numbers(df, keys, order, "_rn", **kw).join(df.groupBy(*keys).agg(F.count("*").alias("_all")), keys)
+def ntiles(df: DataFrame, keys, order, n: int, out: str, base: DataFrame | None = None, **kw) -> DataFrame:
+    """``ntile(n)``; ``keys + order`` must be unique. ``base`` has the same rows if it is cheaper to read."""
+    keys, order, base = _names(keys), _names(order), df if base is None else base
+    rows = row_numbers(df, keys, order, "_rn", base=base, **kw)
+    if keys:
+        sizes = base.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.count("*").alias("_all"))
+        rows = rows.join(sizes, _same(keys, "_k_")).drop(*[f"_k_{k}" for k in keys])
+    else:
+        rows = rows.withColumn("_all", base.agg(F.count("*")).scalar())
     size, longer = F.floor(F.col("_all") / n), F.col("_all") % n
     head = longer * (size + 1)
     tile = F.when(F.col("_rn") <= head, F.ceil(F.col("_rn") / (size + 1))).otherwise(longer + F.ceil((F.col("_rn") - head) / F.greatest(size, F.lit(1))))
@@ -368,13 +299,15 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, buckets: int = 16,
 
     A key is hot when it owns more than ``hot_share`` of the left rows, so there are at
     most ``1 / hot_share`` of them; only their right rows are copied ``buckets`` times.
+    NULL keys match nothing and are spread as well.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a {how} join would repeat unmatched right rows")
     total = left.agg(F.count("*")).scalar()
     hot = left.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > total * hot_share).select(F.col(key).alias("_hot"))
     mark = lambda df: df.join(F.broadcast(hot), df[key] == F.col("_hot"), "left")
-    spread = mark(left).withColumn("_salt", F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*left.columns), F.lit(buckets))).otherwise(F.lit(0)).cast("int"))
+    salted = F.col("_hot").isNotNull() | F.col(key).isNull()
+    spread = mark(left).withColumn("_salt", F.when(salted, F.pmod(F.xxhash64(*left.columns), F.lit(buckets))).otherwise(F.lit(0)).cast("int"))
     copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
     copied = mark(right).withColumn("_salt", F.explode(copies))
     return spread.drop("_hot").join(copied.drop("_hot"), [key, "_salt"], how).drop("_salt")

@@ -209,11 +209,11 @@ def link(source: DataFrame, keys: Sequence[str], load_date: str) -> DataFrame:
 
 def satellite(existing: DataFrame | None, source: DataFrame, key: str, attributes: Sequence[str], load_date: str) -> DataFrame:
     """Attribute versions; a row is added only where the hash of its attributes differs from the latest one."""
-    rows = source.select(X.key_hash(key).alias("hub_key"), F.lit(load_date).alias("load_date"), X.key_hash(*attributes).alias("hash_diff"), *attributes)
+    rows = source.select(X.key_hash(key).alias("hub_key"), F.lit(load_date).alias("load_date"), X.row_hash(*attributes).alias("hash_diff"), *attributes)
     if existing is None:
         return rows
-    latest = existing.groupBy("hub_key").agg(F.max_by("hash_diff", "load_date").alias("_h"))
-    changed = rows.join(latest, "hub_key", "left").filter(~F.col("hash_diff").eqNullSafe(F.col("_h"))).drop("_h")
+    latest = existing.groupBy(F.col("hub_key").alias("_k")).agg(F.max_by("hash_diff", "load_date").alias("_h"))
+    changed = rows.join(latest, F.col("hub_key").eqNullSafe(F.col("_k")), "left").filter(F.col("_h").isNull() | (F.col("hash_diff") != F.col("_h"))).drop("_k", "_h")
     return existing.unionByName(changed)
 
 

@@ -71,7 +71,7 @@ def _(b):
     return G.detokenize(rows, "pan_number", vault).select("customer_id", "pan_number")
 
 
-@query("pseudonymise", "SELECT sha256('k1|' || customer_id::VARCHAR) AS customer_id, customer_name FROM s_customers")
+@query("pseudonymise", "SELECT sha256('2:k1' || sha256('2:k1' || length(customer_id::VARCHAR) || ':' || customer_id::VARCHAR)) AS customer_id, customer_name FROM s_customers")
 def _(b):
     return G.pseudonymise(people(b), "customer_id", "k1", ["pan_number", "email", "phone"])
 
@@ -422,13 +422,27 @@ def _(b):
 @query("cluster_sort", "SELECT o_orderkey, o_custkey FROM orders")
 def _(b):
     path = run_folder(b.spark, "sorted")
-    files.write(L.cluster_sorted(b.table("orders").select("o_orderkey", "o_custkey"), ["o_custkey", "o_orderkey"], 4), path)
+    files.write(L.cluster_sorted(b.table("orders").select("o_orderkey", "o_custkey"), ["o_custkey", "o_orderkey"]), path)
     return files.read(b.spark, path)
 
 
-@query("repartition_cache", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1")
+@query("repartition_cache", "SELECT o_custkey, o_orderstatus, n, total, n * 100.0::DOUBLE / sum(n) OVER (PARTITION BY o_custkey)::DOUBLE AS share FROM (SELECT o_custkey, o_orderstatus, count(*) AS n, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS total FROM orders GROUP BY 1, 2)")
 def _(b):
-    return b.table("orders").select("o_custkey").repartition("o_custkey").groupBy("o_custkey").agg(F.count("*").alias("n"))
+    """Dealt by key once and held: both aggregates read the same partitions, without another shuffle."""
+    held = L.held(b.table("orders").select("o_custkey", "o_orderstatus", money("o_totalprice").alias("v")), ["o_custkey"])
+    per = held.groupBy("o_custkey", "o_orderstatus").agg(F.count("*").alias("n"), X.dsum("v").alias("total"))
+    whole = held.groupBy("o_custkey").agg(F.count("*").alias("_all"))
+    return per.join(whole, "o_custkey").select("o_custkey", "o_orderstatus", "n", "total", X.ratio("n", "_all", 100.0).alias("share"))
+
+
+@query("coalesce_output", "SELECT count(*) AS n, true AS few_files FROM orders WHERE o_orderstatus = 'P'")
+def _(b):
+    """A filter leaves little in many partitions; they are put together without a shuffle before they are written."""
+    rows = b.table("orders").repartition(24).filter("o_orderstatus = 'P'")
+    path = run_folder(b.spark, "coalesced")
+    files.write(L.coalesced(rows, 3), path)
+    out = files.read(b.spark, path)
+    return out.agg(F.count("*").alias("n")).withColumn("few_files", files.folder_size(out).select("files").scalar() <= 3)
 
 
 @query("skew_two_stage_agg", "SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1")

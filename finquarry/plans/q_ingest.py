@@ -9,6 +9,7 @@ from finquarry.operators.relational import latest_per_key
 from finquarry.plans.registry import query
 from finquarry.session import run_folder
 from finquarry.sources import files
+from finquarry.sources.keyed import KeyedTable
 from finquarry.sources.banking import AS_OF, money
 from finquarry.sources.clean import Clean
 
@@ -155,10 +156,11 @@ def _(b):
     return files.schema_drift(b.snapshot_old(), new)
 
 
-def _versions(b):
-    v = files.Versions(b.spark, run_folder(b.spark, "versions"))
-    v.commit(b.snapshot_old(), 1, "2001-08-01 00:00:00")
-    v.commit(b.snapshot_new(), 2, "2001-08-02 00:00:00")
+def _versions(b, name="versions"):
+    old, new = b.snapshot_old(), b.snapshot_new()
+    v = KeyedTable(b.spark, run_folder(b.spark, name), "customer_id", old.schema)
+    v.commit(old, "2001-08-01 00:00:00")
+    v.commit(new, "2001-08-02 00:00:00")
     return v
 
 
@@ -169,7 +171,7 @@ def _(b):
 
 @query("snapshot_recover_deleted", "SELECT customer_id, name FROM b_snap_old WHERE customer_id NOT IN (SELECT customer_id FROM b_snap_new)")
 def _(b):
-    return _versions(b).deleted_between(1, 2, "customer_id").select("customer_id", "name")
+    return _versions(b).deleted_between(1, 2).select("customer_id", "name")
 
 
 @query("snapshot_clone", "SELECT customer_id, nation::BIGINT AS nation FROM b_snap_new")
@@ -276,8 +278,30 @@ def _(b):
     return I.parse_envelope(envelopes(b), "customer_id bigint, name string, nation int").select("op", "table", "lsn", F.col("r.customer_id").alias("customer_id"))
 
 
+def _merged(b):
+    """The old snapshot as a table of small files, and the new one merged into it."""
+    old = b.snapshot_old().withColumn("updated_at", F.lit(None).cast("timestamp"))
+    t = KeyedTable(b.spark, run_folder(b.spark, "merged"), "customer_id", old.schema, file_rows=500, stamp="updated_at")
+    t.commit(old, "2001-08-01 00:00:00")
+    t.merge(b.snapshot_new().withColumn("updated_at", F.lit(None).cast("timestamp")), "2001-08-02 00:00:00")
+    return t
+
+
 @query("merge_upsert", "SELECT customer_id, nation::BIGINT AS nation, balance::DOUBLE AS balance FROM b_snap_new UNION ALL SELECT customer_id, nation, balance FROM b_snap_old WHERE customer_id NOT IN (SELECT customer_id FROM b_snap_new)")
 def _(b):
+    return _merged(b).read().select("customer_id", "nation", "balance")
+
+
+@query("merge_guarded", """SELECT customer_id, CASE WHEN n.customer_id IS NOT NULL AND (o.customer_id IS NULL OR o.nation <> n.nation OR o.balance IS DISTINCT FROM n.balance) THEN '2001-08-02 00:00:00' ELSE '2001-08-01 00:00:00' END AS updated_at
+    FROM b_snap_old o FULL JOIN b_snap_new n USING (customer_id)""")
+def _(b):
+    """Only rows whose content differs are touched by the merge; the others keep the time of their last change."""
+    return _merged(b).read().select("customer_id", "updated_at")
+
+
+@query("merge_full_state", "SELECT customer_id, nation::BIGINT AS nation, balance::DOUBLE AS balance FROM b_snap_new UNION ALL SELECT customer_id, nation, balance FROM b_snap_old WHERE customer_id NOT IN (SELECT customer_id FROM b_snap_new)")
+def _(b):
+    """The merge as one DataFrame, without a stored table."""
     return I.upsert(b.snapshot_old(), b.snapshot_new(), "customer_id").select("customer_id", "nation", "balance")
 
 
@@ -336,6 +360,16 @@ def _(b):
     return I.replay(b.table("events"), "user_id", "event_id", F.when(F.col("event_type") == "purchase", -money("value")).otherwise(money("value")))
 
 
+@query("event_replay_latest", "SELECT user_id, (event_id * 7919) % 1000003 AS version, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY (event_id * 7919) % 1000003 DESC) = 1")
+def _(b):
+    """State from the stored payload of each key's latest version, in two folds; versions arrive in no order."""
+    log = b.table("events").select("event_id", "user_id", ((F.col("event_id") * 7919) % 1000003).alias("version"), "event_type", "value")
+    state = KeyedTable(b.spark, run_folder(b.spark, "state"), "user_id", log.drop("event_id").schema)
+    I.fold_events(state, log.filter("event_id <= 5000"), "event_id", "version", "2024-01-15 00:00:00")
+    I.fold_events(state, log, "event_id", "version", "2024-01-31 00:00:00")
+    return state.read()
+
+
 @query("cqrs_read_model", "SELECT o_orderkey, c_name, o_orderstatus, coalesce(n, 0) AS items, coalesce(r, 0) AS revenue FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN (SELECT l_orderkey, count(*) AS n, sum(revenue)::DOUBLE AS r FROM b_lines GROUP BY 1) ON o_orderkey = l_orderkey")
 def _(b):
     return I.read_model(b.table("orders"), b.order_lines(), b.table("customer"))

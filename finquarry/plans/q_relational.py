@@ -178,7 +178,7 @@ def _(b):
     AND epoch(date_trunc('second', z.ts)) BETWEEN epoch(date_trunc('second', a.ts)) - 3600 AND epoch(date_trunc('second', a.ts)) GROUP BY 1""")
 def _(b):
     e = b.table("events").select("event_id", "user_id", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("t"), money("value").alias("v"))
-    return skew.trailing_range(e, "user_id", "t", 3600, {"n_1h": F.count("*"), "sum_1h": F.sum("v")}).select("event_id", "n_1h", "sum_1h")
+    return skew.trailing_range(e, "user_id", "t", 3600, {"n_1h": F.lit(1), "sum_1h": "v"}).select("event_id", "n_1h", "sum_1h")
 
 
 @query("join_first_seen", """SELECT user_id, event_type, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1""")

@@ -1,10 +1,13 @@
 """Scalar functions and user-defined functions."""
 
+import datetime as dt
+
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finquarry.functions import exprs as X
+from finquarry.functions import tables as U
 from finquarry.plans.registry import query
 from finquarry.sources.banking import AS_OF, money
 
@@ -175,9 +178,9 @@ def _(b):
     return b.snapshot_old().select("customer_id", X.key_hash("customer_id", "name").alias("h"))
 
 
-@query("hash_diff", "SELECT customer_id, sha256(concat_ws('|', nation::VARCHAR, coalesce(balance::VARCHAR, '~'))) AS h FROM b_snap_new")
+@query("hash_diff", "SELECT customer_id, md5(coalesce(length(nation::VARCHAR) || ':' || nation::VARCHAR, '-') || coalesce(length(balance::VARCHAR) || ':' || balance::VARCHAR, '-')) AS h FROM b_snap_new")
 def _(b):
-    return b.snapshot_new().select("customer_id", F.sha2(F.concat_ws("|", F.col("nation").cast("string"), F.coalesce(F.col("balance").cast("string"), F.lit("~"))), 256).alias("h"))
+    return b.snapshot_new().select("customer_id", X.row_hash("nation", "balance").alias("h"))
 
 
 @query("cast_typed", "SELECT o_orderkey, o_totalprice::DECIMAL(15,2)::DOUBLE AS price, o_orderdate::DATE::VARCHAR AS day, TRY_CAST(left(o_orderpriority, 1) AS BIGINT) AS prio, TRY_CAST(o_orderstatus AS BIGINT) AS not_a_number FROM orders")
@@ -218,9 +221,36 @@ def _(b):
     return b.table("events").groupBy("user_id").agg(X.dsum(money("value")).alias("total"), F.count("*").alias("n"))
 
 
-@query("udtf_status", "SELECT c_nationkey::BIGINT AS branch, count(*) AS accounts, max((DATE '2001-08-02' - (DATE '2001-01-01' + (c_custkey % 200)::INT)))::BIGINT AS oldest_days FROM customer GROUP BY 1")
+_STATUS = """SELECT event_type AS table_name, max(event_id) AS last_lsn, (epoch(TIMESTAMP '2024-01-31 00:00:00')::BIGINT - max(epoch(date_trunc('second', ts))::BIGINT)) // 60 AS minutes_since_sync,
+    CASE WHEN epoch(TIMESTAMP '2024-01-31 00:00:00')::BIGINT - max(epoch(date_trunc('second', ts))::BIGINT) < 300 THEN 'Healthy' WHEN epoch(TIMESTAMP '2024-01-31 00:00:00')::BIGINT - max(epoch(date_trunc('second', ts))::BIGINT) < 3600 THEN 'Stale' ELSE 'Critical' END AS status
+    FROM events GROUP BY 1"""
+
+
+def _positions(b):
+    """What each table has loaded, an event type standing for a table: position and time."""
+    return b.table("events").select(F.col("event_type").alias("table_name"), F.col("event_id").alias("lsn"), F.unix_timestamp(F.col("ts").cast("timestamp")).alias("synced_at"))
+
+
+@query("udtf_status", _STATUS)
+def _(b):
+    """A registered table function over a table argument, a partition for each table, called from SQL by LATERAL join."""
+    U.register(b.spark)
+    now = int(dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc).timestamp())
+    tables = _positions(b).select("table_name").distinct()
+    call = "SELECT s.* FROM {tables} t JOIN LATERAL cdc_table_status(TABLE({log}) PARTITION BY (table_name), {now}) s ON s.table_name = t.table_name"
+    return b.spark.sql(call, tables=tables, log=U.positions(_positions(b)), now=now)
+
+
+@query("udtf_status_call", _STATUS)
+def _(b):
+    """The same function called on a DataFrame."""
+    now = int(dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc).timestamp())
+    return U.CdcTableStatus(U.positions(_positions(b)).asTable().partitionBy("table_name"), F.lit(now))
+
+
+@query("udtf_branch_status", "SELECT c_nationkey::BIGINT AS branch, count(*) AS accounts, max((DATE '2001-08-02' - (DATE '2001-01-01' + (c_custkey % 200)::INT)))::BIGINT AS oldest_days FROM customer GROUP BY 1")
 def _(b):
-    """A parameterised function that returns a table."""
+    """A parameterised function that returns a table, as a plain function on DataFrames."""
 
     def branch_status(as_of):
         age = F.datediff(F.lit(as_of).cast("date"), F.col("last_updated"))

@@ -10,6 +10,7 @@ from finquarry.sources import files
 from finquarry.sources.banking import money
 from finquarry.sources.clean import Clean
 from finquarry.streaming import core as S
+from finquarry.streaming import stateful as K
 from finquarry.streaming import transforms as T
 from finquarry.operators import ingest as I
 
@@ -26,9 +27,13 @@ def stream(b, delay=None):
     return S.timed(s, "ts", delay).withColumn("v", money("value"))
 
 
-def closing(b, delay="10 minutes"):
-    """The event stream with a sentinel at the end, for append mode."""
-    return S.timed(S.stream_with_sentinel(b.spark, path(b)), "ts", delay).withColumn("v", money("value"))
+def replay(b, delay="10 minutes"):
+    """The event stream with an end, for append mode."""
+    return S.Replay(b.spark, path(b), b.table("events").schema, "ts", delay)
+
+
+def with_money(df):
+    return df.withColumn("v", money("value"))
 
 
 def done(b, df, mode="append"):
@@ -48,7 +53,8 @@ _SUMS = "count(*) AS n, sum(value::DECIMAL(18,2))::DOUBLE AS total"
 
 @query("st_watermark", f"SELECT {_HOUR} AS window_start, event_type, {_SUMS} FROM events GROUP BY 1, 2")
 def _(b):
-    out = done(b, T.windowed(closing(b), "ts", "1 hour", ["event_type"], sums()))
+    r = replay(b)
+    out = r.run(T.windowed(with_money(r.stream()), "ts", "1 hour", ["event_type"], sums()))
     return out.filter(F.col("event_type").isNotNull()).select("window_start", "event_type", "n", "total")
 
 
@@ -64,7 +70,8 @@ def _(b):
 
 @query("st_session", f"""WITH e AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events), s AS (SELECT *, sum(CASE WHEN p IS NULL OR ts - p >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS g FROM e) SELECT user_id, {_TS.format('min(ts)')} AS session_start, {_SUMS} FROM s GROUP BY user_id, g""")
 def _(b):
-    out = done(b, T.sessions(closing(b), "ts", "30 minutes", "user_id", sums()))
+    r = replay(b)
+    out = r.run(T.sessions(with_money(r.stream()), "ts", "30 minutes", "user_id", sums()))
     return out.filter(F.col("user_id").isNotNull()).select("user_id", "session_start", "n", "total")
 
 
@@ -86,7 +93,8 @@ _M5 = _TS.format("time_bucket(INTERVAL 5 MINUTES, ts)")
 def _(b):
     parts = [F.count("*").alias("n0"), F.sum("v").alias("v0"), F.max("v").alias("m0"), F.count_if(F.col("value") > 100).alias("h0")]
     finals = [F.sum("n0").alias("n"), F.sum("v0").cast("double").alias("total"), F.max("m0").alias("max_amount"), F.sum("h0").alias("high_value_count")]
-    out = done(b, T.windowed_distinct(closing(b), "ts", "5 minutes", ["event_type"], "user_id", parts, finals))
+    r = replay(b)
+    out = r.run(T.windowed_distinct(with_money(r.stream()), "ts", "5 minutes", ["event_type"], "user_id", parts, finals))
     return out.filter(F.col("event_type").isNotNull()).drop("batch_id")
 
 
@@ -100,16 +108,18 @@ def _(b):
 
 @query("st_txn_dashboard", f"SELECT {_TS.format(chr(100) + 'ate_trunc(' + chr(39) + 'hour' + chr(39) + ', ts)')} AS window_start, user_id % 5 AS channel, event_type, {_SUMS}, count(DISTINCT user_id) AS unique_user_id FROM events GROUP BY 1, 2, 3")
 def _(b):
-    s = closing(b).withColumn("channel", F.col("user_id") % 5)
-    out = done(b, T.windowed_distinct(s, "ts", "1 hour", ["channel", "event_type"], "user_id", [F.count("*").alias("n0"), F.sum("v").alias("v0")], [F.sum("n0").alias("n"), F.sum("v0").cast("double").alias("total")]))
+    r = replay(b)
+    s = with_money(r.stream()).withColumn("channel", F.col("user_id") % 5)
+    out = r.run(T.windowed_distinct(s, "ts", "1 hour", ["channel", "event_type"], "user_id", [F.count("*").alias("n0"), F.sum("v").alias("v0")], [F.sum("n0").alias("n"), F.sum("v0").cast("double").alias("total")]))
     return out.filter(F.col("event_type").isNotNull()).drop("batch_id")
 
 
 @query("st_fraud_score", """WITH v AS (SELECT a.event_id, a.user_id, a.value, a.ts, count(*) AS velocity FROM events a JOIN events z ON a.user_id = z.user_id AND z.ts BETWEEN a.ts - INTERVAL 1 HOUR AND a.ts GROUP BY ALL), s AS (SELECT *, (CASE WHEN value > 150 THEN 30 ELSE 0 END + CASE WHEN velocity > 1 THEN 40 ELSE 0 END + CASE WHEN hour(ts) BETWEEN 0 AND 5 THEN 20 ELSE 0 END + CASE WHEN dayofweek(ts) IN (0, 6) THEN 10 ELSE 0 END)::BIGINT AS fraud_score FROM v)
     SELECT event_id, user_id, velocity, fraud_score, CASE WHEN fraud_score >= 80 THEN 'CRITICAL' WHEN fraud_score >= 50 THEN 'HIGH' WHEN fraud_score >= 30 THEN 'MEDIUM' ELSE 'LOW' END AS alert_level FROM s WHERE fraud_score > 0""")
 def _(b):
-    side = lambda: closing(b).fillna({"user_id": -1, "event_id": -1})
-    out = done(b, T.velocity_score(side(), side(), "user_id", "event_id", "ts", "value", 3600, {"amount": 150, "velocity": 1}))
+    r = replay(b)
+    side = lambda: r.stream().fillna({"user_id": -1, "event_id": -1})
+    out = r.run(T.velocity_score(side(), side(), "user_id", "event_id", "ts", "value", 3600, {"amount": 150, "velocity": 1}))
     return out.filter("event_id >= 0").select("event_id", "user_id", "velocity", "fraud_score", "alert_level")
 
 
@@ -184,11 +194,26 @@ def _(b):
     """Two deliveries update the same keyed rows; the sink keeps the latest."""
     e = b.table("events")
     box = S.Inbox(b.spark, "upsert", e.schema)
-    job = T.windowed(S.timed(box.stream(), "ts", "60 days").withColumn("v", money("value")), "ts", "1 day", ["event_type"], sums())
+    job = T.windowed(with_money(S.timed(box.stream(), "ts", "60 days")), "ts", "1 day", ["event_type"], sums()).drop("window_end")
     box.deliver(e.filter("event_id % 2 = 0"))
-    box.run(job, "update")
+    S.run_to_table(job, box.folder, ["window_start", "event_type"], file_rows=50)
     box.deliver(e.filter("event_id % 2 = 1"))
-    return S.upserted(box.run(job, "update"), ["window_start", "event_type"]).drop("window_end")
+    return S.run_to_table(job, box.folder, ["window_start", "event_type"], file_rows=50).read()
+
+
+@query("udaf_stream", "SELECT user_id, sum(round(value * 100))::DOUBLE / 100 AS total, count(*) AS n, max(round(value * 100))::DOUBLE / 100 AS largest FROM events GROUP BY 1")
+def _(b):
+    """An aggregator with a typed state per key, in two deliveries, each key let go after 60 idle days."""
+    e = b.table("events")
+    box = S.Inbox(b.spark, "aggregator", e.schema)
+    with K.with_state_store(b.spark):
+        job = K.aggregated(box.stream(), "user_id", "value", "ts", 60 * 86400, "20 days")
+        box.deliver(e.filter("event_id % 2 = 0"))
+        box.run(job)
+        box.deliver(e.filter("event_id % 2 = 1"))
+        box.run(job)
+        box.deliver(e.select(*[F.lit("2030-01-01").cast(f.dataType).alias(f.name) if f.name == "ts" else F.lit(-1 if f.name == "user_id" else None).cast(f.dataType).alias(f.name) for f in e.schema.fields]).limit(1).fillna({"value": 0.0}))
+        return box.run(job).filter("user_id >= 0").drop("batch_id")
 
 
 def messages(b):
@@ -241,7 +266,24 @@ def _(b):
     return done(b, stream(b).join(static, "user_id").select("event_id", "user_id", "segment")).drop("batch_id")
 
 
-@query("st_pattern_detect")
+_STEPS = ["signup", "view", "purchase"]
+
+#: The state machine by recursion along each user's ordered steps.
+_PATTERN = """WITH RECURSIVE e AS (
+    SELECT user_id, epoch_us(ts) AS t, list_position(['signup', 'view', 'purchase'], event_type) - 1 AS step, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events WHERE event_type IN ('signup', 'view', 'purchase')
+), m AS (
+    SELECT user_id, k, CASE WHEN step = 0 THEN 1 ELSE 0 END AS reached, CASE WHEN step = 0 THEN t END AS began, 0::BIGINT AS matches FROM e WHERE k = 1
+    UNION ALL
+    SELECT user_id, k, CASE WHEN step = f THEN (f + 1) % 3 WHEN step = 0 THEN 1 ELSE f END, CASE WHEN step = 0 THEN t ELSE began END, matches + CASE WHEN step = f AND f = 2 THEN 1 ELSE 0 END
+    FROM (SELECT e.user_id, e.k, e.t, e.step, m.began, m.matches, CASE WHEN m.reached > 0 AND e.t - m.began > 5 * 86400 * 1000000::BIGINT THEN 0 ELSE m.reached END AS f FROM m JOIN e ON e.user_id = m.user_id AND e.k = m.k + 1)
+)
+SELECT user_id, max(matches) AS matches FROM m GROUP BY 1"""
+
+
+@query("st_pattern_detect", _PATTERN)
 def _(b):
-    """Sign-up, view and purchase in this order within five days."""
-    return upsert(b, T.pattern_matches(stream(b), "user_id", "ts", "event_type", ["signup", "view", "purchase"], 5 * 86400), ["user_id"])
+    """Sign-up, view and purchase in this order of event time within five days."""
+    r = replay(b)
+    with K.with_state_store(b.spark):
+        out = r.run(K.pattern_matches(r.stream(), "user_id", "ts", "event_type", "event_id", _STEPS, 5 * 86400, 86400), "update")
+    return S.upserted(out, ["user_id"])

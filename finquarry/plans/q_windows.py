@@ -117,7 +117,7 @@ _frame("win_trailing_excl_current", "24 PRECEDING AND 1 PRECEDING", 24, -1)
 def _(b):
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     e = b.table("events").select("event_id", "user_id", micros.alias("t"), money("value").alias("v"))
-    return skew.trailing_range(e, "user_id", "t", 7 * 86400 * 1000000, {"n": F.count("*"), "total": F.sum("v")}).select("event_id", "n", "total")
+    return skew.trailing_range(e, "user_id", "t", 7 * 86400 * 1000000, {"n": F.lit(1), "total": "v"}).select("event_id", "n", "total")
 
 
 @query("win_whole_partition", sql("id, sum(amount) OVER (PARTITION BY c)::DOUBLE AS total, count(*) OVER (PARTITION BY c) AS n"))

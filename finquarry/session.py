@@ -58,6 +58,22 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/finquarry/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _path(spark, path)
+    return fs.exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of ours in the store, if it is there."""
+    fs, p = _path(spark, path)
+    fs.delete(p, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of executors, unlike a local one."""
     spark = df.sparkSession

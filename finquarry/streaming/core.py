@@ -5,6 +5,7 @@ All folders lie below the shared checkpoint folder of the session.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql.types import StructType
 
 from finquarry.operators.relational import latest_per_key
 from finquarry.session import run_folder
+from finquarry.sources.keyed import FILE_ROWS, KeyedTable
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = 1000) -> DataFrame:
@@ -31,21 +33,32 @@ def timed(df: DataFrame, ts: str = "ts", delay: str | None = None) -> DataFrame:
     return out.withWatermark(ts, delay) if delay else out
 
 
-def sentinel_rows(batch: DataFrame, ts: str) -> DataFrame:
-    """One row far after the last event, all other columns NULL.
+class Replay:
+    """A folder or file replayed as a stream that ends: windows still open at its end are closed.
 
-    Append mode holds back windows that are still open when the input ends; the sentinel
-    moves the watermark past them. Jobs drop it again by its NULL key.
+    Append mode holds back what the watermark has not passed. When all files have been read, a
+    sentinel row far in the future (all other columns NULL) is delivered through a second
+    folder and moves the watermark on; jobs drop it by its NULL key. Nothing is read but by
+    the stream itself.
     """
-    last = batch.agg((F.max(ts) + F.expr("interval 400 days")).alias(ts))
-    return last.select(*[F.col(ts) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name) for f in batch.schema.fields])
 
+    END = "9000-01-01 00:00:00"
 
-def stream_with_sentinel(spark: SparkSession, path: str, ts: str = "ts") -> DataFrame:
-    batch = spark.read.parquet(path)
-    extra = run_folder(spark, "sentinel")
-    sentinel_rows(batch, ts).write.parquet(extra)
-    return file_stream(spark, path, batch.schema).union(file_stream(spark, extra, batch.schema))
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, ts: str = "ts", delay: str = "10 minutes"):
+        self.spark, self.path, self.schema, self.ts, self.delay = spark, path, schema, ts, delay
+        self.end = run_folder(spark, "sentinel")
+        spark.createDataFrame([], schema).write.parquet(self.end)  # the folder must exist before it is watched
+
+    def stream(self) -> DataFrame:
+        both = file_stream(self.spark, self.path, self.schema).union(file_stream(self.spark, self.end, self.schema))
+        return timed(both, self.ts, self.delay)
+
+    def run(self, df: DataFrame, mode: str = "append") -> DataFrame:
+        folder = run_folder(self.spark, "stream")
+        run_to_end(df, folder, mode)
+        values = [F.lit(self.END).cast(f.dataType) if f.name == self.ts else F.lit(None).cast(f.dataType) for f in self.schema.fields]
+        self.spark.range(1).select(*[v.alias(f.name) for v, f in zip(values, self.schema.fields)]).write.mode("append").parquet(self.end)
+        return run_to_end(df, folder, mode)
 
 
 def run_to_end(df: DataFrame, folder: str, mode: str = "append", by: Sequence[str] = ()) -> DataFrame:
@@ -69,6 +82,26 @@ def upserted(written: DataFrame, keys: Sequence[str]) -> DataFrame:
     return latest_per_key(written, list(keys), ["batch_id"]).drop("batch_id")
 
 
+def run_to_table(df: DataFrame, folder: str, keys: Sequence[str], file_rows: int = FILE_ROWS, keep: int = 2) -> KeyedTable:
+    """Process everything available now into a keyed table: each micro-batch replaces the rows of its keys.
+
+    Only files that hold a changed key are read and written again, so a batch costs what it
+    changes, however many came before; the last ``keep`` versions stay readable. A batch
+    that is repeated after a failure finds its number in the table's ledger and does nothing.
+    """
+    table = KeyedTable(df.sparkSession, f"{folder}/table", keys, df.schema, file_rows, null_keys=True)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _, mark = table.latest()
+        if mark is None or batch_id > mark:
+            table.merge(batch, dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S"), mark=batch_id)
+            table.vacuum(keep)
+
+    q = df.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).foreachBatch(write).start()
+    q.awaitTermination()
+    return table
+
+
 class Inbox:
     """A folder that receives deliveries over time, and a job that can be stopped and resumed."""
 

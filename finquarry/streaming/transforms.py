@@ -79,31 +79,3 @@ def running_state(df: DataFrame, key: str, amount: str) -> DataFrame:
 
     rows = df.select(F.col(key), F.round(F.col(amount) * 100).cast("bigint").alias("_cents"))
     return rows.groupBy(key).applyInPandasWithState(update, f"{key} bigint, n bigint, cents bigint", "n bigint, cents bigint", "update", GroupStateTimeout.NoTimeout)
-
-
-def pattern_matches(df: DataFrame, key: str, ts: str, step: str, steps: Sequence[str], limit_seconds: int) -> DataFrame:
-    """Ordered steps within a time limit, per key, across micro-batches.
-
-    State: the step reached, when it started and the number of matches. Only rows of the
-    named steps are kept per key and micro-batch; the trigger bounds how many there are.
-    """
-    wanted = list(steps)
-
-    def advance(k: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        at, began, matches = state.get if state.exists else (0, 0, 0)
-        rows = pd.concat(list(chunks)).sort_values(["_t", "_s"], kind="stable")
-        for t, s in zip(rows["_t"].tolist(), rows["_s"].tolist(), strict=True):
-            if at and t - began > limit_seconds:
-                at = 0
-            if s == wanted[at]:
-                began = t if at == 0 else began
-                at += 1
-                if at == len(wanted):
-                    at, matches = 0, matches + 1
-            elif s == wanted[0]:
-                at, began = 1, t
-        state.update((at, began, matches))
-        yield pd.DataFrame({key: [k[0]], "matches": [matches]})
-
-    rows = df.filter(F.col(step).isin(*wanted)).select(F.col(key), F.unix_seconds(ts).alias("_t"), F.col(step).alias("_s"))
-    return rows.groupBy(key).applyInPandasWithState(advance, f"{key} bigint, matches bigint", "at int, began bigint, matches bigint", "update", GroupStateTimeout.NoTimeout)

@@ -26,16 +26,63 @@ def plain(spark):
     return W.partitionBy("k").orderBy("t", "id")
 
 
-def test_only_hot_keys_are_cut(spark, skewed):
-    c = skew.cut(skewed, "k", ["t", "id"], limit=200)
-    cut_keys = [r.k for r in c.rows.groupBy("k").agg(F.countDistinct("_chunk").alias("n")).filter("n > 1").collect()]
-    assert cut_keys == [0]
-    sizes = [r["count"] for r in c.rows.groupBy("k", "_chunk").count().collect()]
-    assert max(sizes) < 600
+def test_hot_keys_are_cut_in_proportion_to_their_rows(spark, skewed):
+    c = skew.cut(skewed, "k", ["t", "id"], limit=40)
+    sizes = {}
+    for r in c.rows.groupBy("k", "_chunk").count().collect():
+        sizes.setdefault(r.k, []).append(r["count"])
+    assert len(sizes[0]) > 10 and max(sizes[0]) < 400
+    assert all(len(v) == 1 for k, v in sizes.items() if len(v) < skew.MIN_POINTS)
 
 
 def test_small_inputs_stay_whole(skewed):
-    assert skew.cut(skewed, "k", ["t", "id"], limit=10_000).whole
+    assert skew.cut(skewed, "k", ["t", "id"], limit=10_000_000).rows.filter("_chunk > 0").isEmpty()
+
+
+def test_no_job_runs_while_a_plan_is_built(spark, skewed):
+    skewed.count()
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "plans only")
+    try:
+        skew.running(skewed, "k", ["t", "id"], {"s": "v"})
+        skew.ntiles(skewed, [], ["t", "id"], 5, "o")
+        skew.row_frame(skewed, "k", ["t", "id"], 2, 2, {"s": F.sum("v")})
+        skew.trailing_range(skewed, "k", "t", 5, {"a": F.lit(1)})
+        skew.quantiles(skewed, "k", "v", {"a": 0.5})
+        assert not status.getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.fixture(scope="module")
+def crowded(spark):
+    """A hundred hot keys, and one key with 20,000 rows at a single time."""
+    hot = spark.range(60_000).selectExpr("id", "id % 100 AS k", "(id * 7919) % 5003 AS t", "CAST((id * 31) % 977 AS decimal(18,2)) AS v", "CASE WHEN id % 97 = 0 THEN id END AS x")
+    still = spark.range(60_000, 80_000).selectExpr("id", "100L AS k", "77L AS t", "CAST(id % 13 AS decimal(18,2)) AS v", "CASE WHEN id % 970 = 0 THEN id END AS x")
+    return hot.unionByName(still).cache()
+
+
+def test_a_hundred_hot_keys_and_one_crowded_time(plain, crowded, tiny_chunks):
+    up = plain.rowsBetween(W.unboundedPreceding, 0)
+    sizes = skew.cut(crowded, "k", ["t", "id"]).rows.groupBy("k", "_chunk").count()
+    assert sizes.groupBy("k").count().filter("count < 5").isEmpty() and sizes.agg(F.max("count")).first()[0] < 500
+    same(skew.running(crowded, "k", ["t", "id"], {"s": "v"}), crowded.withColumn("s", F.sum("v").over(up)))
+    same(skew.neighbours(crowded, "k", ["t", "id"], {"v": "p"}, {"id": "n"}), crowded.withColumns({"p": F.lag("v").over(plain), "n": F.lead("id").over(plain)}))
+    same(skew.carry_last(crowded, "k", ["t", "id"], "x", "o"), crowded.withColumn("o", F.last("x", True).over(up)))
+    f = plain.rowsBetween(-30, 3)
+    same(skew.row_frame(crowded, "k", ["t", "id"], 30, 3, {"s": F.sum("v")}), crowded.withColumn("s", F.sum("v").over(f)))
+    w = W.partitionBy("k").orderBy("t").rangeBetween(-100, 0)
+    same(skew.trailing_range(crowded, "k", "t", 100, {"a": F.lit(1), "b": "v"}), crowded.withColumns({"a": F.count("*").over(w), "b": F.sum("v").over(w)}))
+    same(skew.ntiles(crowded, "k", ["t", "id"], 7, "o"), crowded.withColumn("o", F.ntile(7).over(plain).cast("bigint")))
+
+
+def test_points_are_bounded_whatever_the_input(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MAX_POINTS", 64)
+    df = spark.range(20_000).selectExpr("id", "id % 4 AS k", "id AS v")
+    c = skew.cut(df, "k", ["id"], limit=10)
+    per = {r["_p_k"]: len(r["_points"]) for r in c.points.collect()}
+    assert sum(per.values()) == 64 and min(per.values()) >= 5  # every hot key has its share
+    same(skew.running(df, "k", ["id"], {"s": "v"}, limit=10), df.withColumn("s", F.sum("v").over(W.partitionBy("k").orderBy("id").rowsBetween(W.unboundedPreceding, 0))))
 
 
 def test_running_and_numbers(plain, skewed, tiny_chunks):
@@ -53,6 +100,14 @@ def test_carry_last(plain, skewed, tiny_chunks):
     same(skew.carry_last(skewed, "k", ["t", "id"], "x", "o"), skewed.withColumn("o", F.last("x", True).over(up)))
 
 
+def test_trailing_ranges_of_null_times_and_values(spark, tiny_chunks):
+    df = spark.range(900).selectExpr("id", "CASE WHEN id % 5 > 0 THEN id % 2 END AS k", "CASE WHEN id % 7 > 0 THEN id % 60 END AS t", "CASE WHEN id % 60 > 20 THEN id END AS v")
+    w = W.partitionBy("k").orderBy("t").rangeBetween(-4, 0)
+    same(skew.trailing_range(df, "k", "t", 4, {"a": F.lit(1), "b": "v"}), df.withColumns({"a": F.count("*").over(w), "b": F.sum("v").over(w)}))
+    with pytest.raises(ValueError):
+        skew.trailing_range(df.withColumn("v", F.col("v").cast("double")), "k", "t", 4, {"b": "v"})
+
+
 @pytest.mark.parametrize(("before", "after"), [(2, 0), (2, 2), (24, -1), (60, 0)])
 def test_row_frames(plain, skewed, tiny_chunks, before, after):
     f = plain.rowsBetween(-before, after)
@@ -62,7 +117,7 @@ def test_row_frames(plain, skewed, tiny_chunks, before, after):
 
 def test_trailing_ranges(plain, skewed, tiny_chunks):
     w = W.partitionBy("k").orderBy("t")
-    got = skew.trailing_ranges(skewed, "k", "t", {5: {"a": F.count("*")}, 200: {"b": F.sum("v")}})
+    got = skew.trailing_ranges(skewed, "k", "t", {5: {"a": F.lit(1)}, 200: {"b": "v"}})
     same(got, skewed.withColumns({"a": F.count("*").over(w.rangeBetween(-5, 0)), "b": F.sum("v").over(w.rangeBetween(-200, 0))}))
 
 
