@@ -10,12 +10,14 @@ arc where a had one at that time, and the gadget (x, t) cuts it later. The rows
 computed for all labels at once, equal rows become one state, and the result is a bit
 table states x labels, bounded by the vocabulary.
 
-A pre-split word is encoded by walking the table from left to right: from a state, the
-labels that match the text are tried longest first, positions that lead nowhere are
-remembered, and the one accepting path is the encoding. Decoding emits the labels.
+A pre-split word is encoded by walking the table from left to right: at a position one
+scan down a trie of the labels gives all that match there; from a state they are tried
+longest first, positions that lead nowhere are remembered, and the one accepting path is
+the encoding. Decoding emits the labels of the ids.
 
 Defined cases: null and empty texts give no ids; special tokens in a text are matched
-before anything else, as the library does.
+before anything else, as the library does; texts are encoded whole; null ids are kept and
+repeated rows give a row each; an empty table gives none; other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,7 +25,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finquarry.llm.common import table, texts
-from finquarry.llm.tokens import PLAIN, WORD_SPLIT, Held, byte_letters
+from finquarry.llm.tokens import PLAIN, WORD_SPLIT, Held, byte_letters, packed
 
 NEVER = np.iinfo(np.int32).max
 
@@ -100,6 +101,28 @@ class Automaton:
         return cls(labels, special, suffix, state, np.array(rows))
 
 
+class Trie:
+    """The labels by their letters: ``step`` leads from node * 2^21 + letter to a node; each node's label, if any.
+
+    A label with the suffix that ends words is kept apart, at the node of its letters before the suffix.
+    """
+
+    def __init__(self, ids: dict[str, int], suffix: str):
+        self.step: dict[int, int] = {}
+        self.label, self.last = [-1], [-1]
+        for text, i in ids.items():
+            ends = bool(suffix) and text.endswith(suffix)
+            node = 0
+            for c in text.removesuffix(suffix) if ends else text:
+                key = node << 21 | ord(c)
+                if key not in self.step:
+                    self.step[key] = len(self.label)
+                    self.label.append(-1)
+                    self.last.append(-1)
+                node = self.step[key]
+            (self.last if ends else self.label)[node] = i
+
+
 class Coder:
     """Encodes and decodes with a compiled automaton; remembers words."""
 
@@ -111,72 +134,79 @@ class Coder:
         self.normalise, self.split = whole.normalizer, whole.pre_tokenizer  # only to normalise and split unusual text
         self.letters = byte_letters()
         special = {i for _, i in automaton.special}
-        self.ids = {t: i for i, t in enumerate(automaton.labels) if i not in special}
-        self.longest = max(map(len, self.ids))
+        self.trie = Trie({t: i for i, t in enumerate(automaton.labels) if i not in special}, automaton.suffix)
+        self.shown = [t.encode() for t in automaton.labels]
+        self.bits, self.width, self.state = memoryview(automaton.rows.reshape(-1)), automaton.rows.shape[1], automaton.state.tolist()
         self.special = re.compile("|".join(re.escape(t) for t, _ in sorted(automaton.special, key=lambda s: -len(s[0])))) if automaton.special else None
         self.special_ids = dict(automaton.special)
-        self.words = Held(self._walk, 250_000)
-        self.chunks = Held(self._chunk, 250_000)
-
-    def _walk(self, word: str) -> tuple[int, ...]:
-        """The accepting path for one pre-split word (byte letters)."""
-        text = word + self.a.suffix
-        n, size, ids, rows, state = len(word), len(text), self.ids, self.a.rows, self.a.state
+        self.words = Held(self._walk, 48 << 20)
+        self.chunks = Held(self._chunk, 48 << 20)
+
+    def _matches(self, word: str, at: int) -> list[tuple[int, int]]:
+        """(end, label) of all labels that match at a position, shortest first; the end of a word lies one beyond its letters if it has a suffix."""
+        step, label, last, n, node, out = self.trie.step, self.trie.label, self.trie.last, len(word), 0, []
+        ends = 1 if self.a.suffix else 0
+        for p in range(at, n):
+            node = step.get(node << 21 | ord(word[p]))
+            if node is None:
+                return out
+            if label[node] >= 0:
+                out.append((p + 1, label[node]))
+        if ends and last[node] >= 0:
+            out.append((n + 1, last[node]))
+        return out
+
+    def _walk(self, word: str) -> bytes:
+        """The labels on the accepting path for one pre-split word (byte letters), as little-endian unsigned 32-bit bytes."""
+        size, bits, width, state = len(word) + (1 if self.a.suffix else 0), self.bits, self.width, self.state
         dead: set[tuple[int, int]] = set()
-        path: list[tuple[int, int, int]] = []  # position, state, next length to try
-        at, s, length = 0, 0, min(self.longest, size)
+        path: list[tuple[int, int, list, int]] = []  # position, state, labels left to try, label taken
+        at, s, left = 0, 0, self._matches(word, 0)
         while at < size:
-            while length > 0:
-                t = ids.get(text[at : at + length]) if at + length <= n or at + length == size else None
-                if t is not None and rows[s, t >> 3] >> (7 - (t & 7)) & 1:
-                    after = at + length, int(state[t])
-                    if (after[1] >= 0) == (after[0] < size) and after not in dead or after[0] == size and not self.a.suffix:
+            while left:
+                end, t = left.pop()
+                if bits[s * width + (t >> 3)] >> (7 - (t & 7)) & 1:
+                    to = state[t]
+                    if (to >= 0) == (end < size) and (end, to) not in dead or end == size and not self.a.suffix:
+                        path.append((at, s, left, t))
+                        at, s, left = end, to, self._matches(word, end) if end < size else []
                         break
-                length -= 1
-            if length:
-                path.append((at, s, length))
-                at, s = after
-                length = min(self.longest, size - at)
             else:
                 dead.add((at, s))
                 if not path:
                     raise ValueError(f"no path for {word!r}")
-                at, s, length = path.pop()
-                length -= 1
-        return tuple(ids[text[p : p + k]] for p, _, k in path)
+                at, s, left, _ = path.pop()
+        return packed([t for *_, t in path])
 
-    def _chunk(self, chunk: str) -> tuple[bytes, bytes, int]:
-        """Ids, decoded text and number of tokens of a chunk without special tokens."""
+    def _chunk(self, chunk: str) -> bytes:
+        """Ids of a chunk without special tokens."""
+        if chunk.isascii() and chunk.isalpha():
+            return self.words[chunk.lower()]
         if PLAIN.fullmatch(chunk):
-            pieces = ["".join(map(self.letters.__getitem__, p.encode())) for p in WORD_SPLIT.findall(chunk.lower())]
+            pieces = [p if p.isascii() else "".join(map(self.letters.__getitem__, p.encode())) for p in WORD_SPLIT.findall(chunk.lower())]
         else:
             pieces = [p for p, _ in self.split.pre_tokenize_str(self.normalise.normalize_str(chunk))]
-        ids = [i for p in pieces for i in self.words[p]]
-        return struct.pack(f"<{len(ids)}I", *ids), b"".join(b" " + self.a.labels[i].encode() for i in ids), len(ids)
+        return b"".join(map(self.words.__getitem__, pieces))
 
-    def encode(self, text: str) -> tuple[bytes, bytes, int]:
-        """Ids as little-endian unsigned 32-bit bytes, the decoded text in UTF-8, and their number."""
+    def encode(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit bytes."""
         parts, at = [], 0
         if self.special and "<" in text:
             for m in self.special.finditer(text):
                 parts += [text[at : m.start()], m.group()]
                 at = m.end()
         parts.append(text[at:])
-        ids, words, n = [], [], 0
+        ids = []
         for k, part in enumerate(parts):
             if k % 2:
-                ids.append(struct.pack("<I", self.special_ids[part]))
-                words.append(b" " + part.encode())
-                n += 1
+                ids.append(packed([self.special_ids[part]]))
             elif part:
-                found = list(map(self.chunks.__getitem__, part.replace("\n", " ").split(" ")))
-                ids += [f[0] for f in found]
-                words += [f[1] for f in found]
-                n += sum(f[2] for f in found)
-        return b"".join(ids), b"".join(words)[1:], n
+                ids += map(self.chunks.__getitem__, part.replace("\n", " ").split(" "))
+        return b"".join(ids)
 
     def decode(self, ids: bytes) -> bytes:
-        return " ".join(self.a.labels[i] for i in np.frombuffer(ids, "<u4")).encode()
+        """The text of ids, in UTF-8: their labels, a blank between."""
+        return b" ".join(map(self.shown.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 _compiled: dict[str, Automaton] = {}
@@ -202,8 +232,9 @@ def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             _coders[path] = Coder(shared.value, path)
         coder = _coders[path]
         for b in batches:
-            ids, words, counts = zip(*map(coder.encode, texts(b.column("text")))) if b.num_rows else ((), (), ())
-            yield pa.record_batch([b.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.binary()), pa.array(words, pa.binary())], names=["doc_id", "n_tokens", "ids", "decoded"])
+            ids = [coder.encode(t) for t in texts(b.column("text"))]
+            counts, decoded = [len(i) // 4 for i in ids], [coder.decode(i) for i in ids]
+            yield pa.record_batch([b.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())], names=["doc_id", "n_tokens", "ids", "decoded"])
 
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     return slim.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids binary, decoded binary")

@@ -56,7 +56,7 @@ SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, trai
 
 class _Hashes(Held):
     def __init__(self):
-        super().__init__(xxhash.xxh3_64_digest, 400_000)
+        super().__init__(xxhash.xxh3_64_digest, 32 << 20)
 
 
 _hashes = _Hashes()

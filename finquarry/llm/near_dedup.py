@@ -61,7 +61,7 @@ class Words(Held):
     """The 8-byte hash of each word."""
 
     def __init__(self):
-        super().__init__(xxhash.xxh3_64_digest, 400_000)
+        super().__init__(xxhash.xxh3_64_digest, 32 << 20)
 
 
 _words = Words()

@@ -18,7 +18,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN = re.compile(rf"[\n!-;=-~{LETTER}]*")  # without "<", which begins special tokens
-HELD = 800_000  # entries a worker holds before it starts anew
+HELD_BYTES = 160 << 20  # about the bytes a worker holds before it starts anew
+ENTRY = 190  # bytes of a place in a dict with its two objects, without their content
 
 #: How the two vocabularies split text, for plain chunks.
 WORD_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[0-9]|[^\s{LETTER}0-9]+")
@@ -35,16 +36,22 @@ def byte_letters() -> list[str]:
 
 
 class Held(dict):
-    """A dict that computes what is missing and starts anew when it is full."""
+    """A dict from text to bytes that computes what is missing and starts anew when it is full."""
 
-    def __init__(self, make, size: int = HELD):
+    def __init__(self, make, most_bytes: int = HELD_BYTES):
         super().__init__()
-        self.make, self.size = make, size
+        self.make, self.most, self.bytes = make, most_bytes, 0
 
     def __missing__(self, key):
-        if len(self) >= self.size:
+        value = self.make(key)
+        self.bytes += ENTRY + len(key) + len(value)
+        if self.bytes > self.most:
             self.clear()
-        value = self[key] = self.make(key)
+            self.bytes = ENTRY + len(key) + len(value)
+            if self.bytes > self.most:  # too long to be kept at all
+                self.bytes = 0
+                return value
+        self[key] = value
         return value
 
 

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 from finquarry.llm.bpe_automaton import Coder, automaton, bpe_round_trip, decode_ids
 from finquarry.llm.packing import Plan, nnls, pack
 from finquarry.llm.token_files import CHECKPOINT, LANES, Table, decode_block, encode_block, read_tokens, write_tokens
-from finquarry.llm.tokens import Encoder
+from finquarry.llm.tokens import Encoder, Held
 from finquarry.session import run_folder
 from tests.llm.helpers import awkward, nothing
 
@@ -27,6 +27,13 @@ def strange(seed, n=300):
     return [*plain, *any_, *runs, "", "a   b \n c", "x\n\n y", "<|endoftext|> a<|endoftext|>", "<|startoftext|>", "  lead", "trail  ", "a \n", "'ll 'Tis", "é ́x"]
 
 
+def test_what_is_remembered_is_bounded_by_bytes():
+    held = Held(lambda k: k * 2, 10_000)
+    for i in range(500):
+        assert held[str(i)] == str(i) * 2 and held.bytes <= 10_000
+    assert held["x" * 5000] == "x" * 10_000 and "x" * 5000 not in held
+
+
 @pytest.mark.parametrize("path", [WORD, BYTE])
 def test_remembered_ids_equal_the_library(path):
     texts, mine = strange(1), Encoder(path)
@@ -38,9 +45,9 @@ def test_automaton_equals_the_library():
     coder, library = Coder(automaton(WORD), WORD), Tokenizer.from_file(WORD)
     texts = [*strange(2), " ".join(t.removesuffix("</w>") for t in automaton(WORD).labels[:49406])]
     for text, e in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
-        ids, words, n = coder.encode(text)
-        assert np.frombuffer(ids, "<u4").tolist() == e.ids and n == len(e.ids), repr(text)
-        assert words.decode() == library.decode(e.ids, skip_special_tokens=False) and coder.decode(ids) == words
+        ids = coder.encode(text)
+        assert np.frombuffer(ids, "<u4").tolist() == e.ids, repr(text)
+        assert coder.decode(ids).decode() == library.decode(e.ids, skip_special_tokens=False)
 
 
 def test_automaton_query_rows(spark):
