@@ -187,29 +187,38 @@ def sessions(events: DataFrame, user: str, ts: str, tie: str, gap_seconds: int)
     return rows.groupBy(user, "session_no").agg(F.min(ts).alias("session_start"), F.max(ts).alias("session_end"), F.count("*").alias("events"))
 
 
-def affinity(lines: DataFrame, order: str, product: str, min_count: int, large: int = 200) -> DataFrame:
+BLOCK = 256  # products of one basket that meet one another in one group
+ASIDE = 16  # the largest baskets that are looked up instead of paired, at most
+
+
+def affinity(lines: DataFrame, order: str, product: str, min_count: int, block: int = BLOCK) -> DataFrame:
     """Pairs of products bought together in at least ``min_count`` orders, with their support.
 
-    A pair can only be frequent if both products are, so rare products go first. Very large
-    baskets never have their pairs formed: with at most ``min_count - 1`` of them set aside,
-    every frequent pair still occurs in a remaining order, which names it as a candidate;
-    the large baskets then only add to the candidates they contain. The result is exact.
+    A pair can only be frequent if both products are, so rare products go first. Then the
+    largest baskets, fewer than ``min_count`` of them, are set aside: every frequent pair
+    still occurs in another basket, which names it; each product carries the numbers of the
+    baskets aside that hold it, and a pair adds those that its two products share. The other
+    baskets are joined with themselves in blocks: a basket's products are dealt into blocks of
+    about ``block``, and each pair of blocks is a group of its own, so a large basket is spread
+    over many tasks. The result is exact, and the plan the same at every size.
     """
     basket = lines.select(F.col(order).alias("o"), F.col(product).alias("p")).distinct()
     often = basket.groupBy("p").agg(F.count("*").alias("_n")).filter(F.col("_n") >= min_count).select("p")
     kept = basket.join(often, "p", "left_semi")
     sizes = kept.groupBy("o").agg(F.count("*").alias("_n"))
-    pairs_in = lambda rows: rows.select("o", F.col("p").alias("product_a")).join(rows.select("o", F.col("p").alias("product_b")), "o").filter("product_a < product_b").groupBy("product_a", "product_b").agg(F.count("*").alias("pair_count"))
-    if (sizes.agg(F.max("_n")).first()[0] or 0) <= large:
-        counted = pairs_in(kept)
-    else:
-        aside = sizes.filter(F.col("_n") > large).orderBy(F.desc("_n"), "o").limit(min_count - 1).select("o")
-        big = kept.join(F.broadcast(aside), "o", "left_semi").select("o", "p")
-        found = pairs_in(kept.join(F.broadcast(aside), "o", "left_anti"))
-        more = found.select("product_a", "product_b").join(big.withColumnRenamed("p", "product_a"), "product_a").join(big.withColumnRenamed("p", "product_b"), ["o", "product_b"])
-        extra = more.groupBy("product_a", "product_b").agg(F.count("*").alias("pair_count"))
-        counted = found.unionByName(extra).groupBy("product_a", "product_b").agg(F.sum("pair_count").alias("pair_count"))
-    counted = counted.filter(F.col("pair_count") >= min_count)
+    aside = sizes.orderBy(F.desc("_n"), "o").limit(min(min_count - 1, ASIDE)).select(F.col("o").alias("_aside"))
+    held = kept.join(F.broadcast(aside), F.col("o").eqNullSafe(F.col("_aside")))  # at most ASIDE rows
+    held = held.groupBy(F.col("p").alias("_p")).agg(F.collect_set("o").alias("_in"))
+    rest = kept.join(F.broadcast(aside), F.col("o").eqNullSafe(F.col("_aside")), "left_anti").join(held, F.col("p") == F.col("_p"), "left")
+    blocks = F.ceil(F.col("_n") / block).cast("int")
+    dealt = rest.join(sizes.withColumnRenamed("o", "_o"), F.col("o") == F.col("_o")).select("o", "p", "_in", blocks.alias("_blocks"), F.pmod(F.xxhash64("p"), blocks).cast("int").alias("_i"))
+    one = dealt.select("o", F.col("p").alias("a"), F.col("_in").alias("in_a"), F.col("_i").alias("i"), F.explode(F.sequence("_i", F.col("_blocks") - 1)).alias("j"))
+    two = dealt.select("o", F.col("p").alias("b"), F.col("_in").alias("in_b"), F.explode(F.sequence(F.lit(0), "_i")).alias("i"), F.col("_i").alias("j"))
+    met = one.join(two, ["o", "i", "j"]).filter((F.col("i") < F.col("j")) | (F.col("a") < F.col("b")))
+    a_first = lambda x, y: F.when(F.col("a") < F.col("b"), F.col(x)).otherwise(F.col(y))
+    shared = F.coalesce(F.size(F.array_intersect("in_a", "in_b")), F.lit(0))
+    pairs = met.select(a_first("a", "b").alias("product_a"), a_first("b", "a").alias("product_b"), shared.alias("_more"))
+    counted = pairs.groupBy("product_a", "product_b").agg((F.count("*") + F.max("_more")).alias("pair_count")).filter(F.col("pair_count") >= min_count)
     total = lines.agg(F.countDistinct(order)).scalar()
     return counted.withColumn("support_pct", X.pct("pair_count", total))
 

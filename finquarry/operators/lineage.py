@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from finquarry.operators import skew
 from finquarry.operators.relational import walk
-from finquarry.session import cut_lineage
+from finquarry.session import written as cut_lineage
 
 ACTIVE = "ACTIVE"
 
@@ -41,6 +41,34 @@ def reach(nodes: DataFrame, edges: DataFrame, start: DataFrame, upstream: bool,
     return walk(start.select(F.col("node_id").alias("root"), F.col("node_id").alias("node")), steps, max_depth)
 
 
+def nearest(nodes: DataFrame, edges: DataFrame, start: DataFrame, upstream: bool) -> DataFrame:
+    """What the start nodes (column ``node_id``) reach, to any depth: root, node, depth (the smallest), parent, path.
+
+    One row per root and node: the frontier holds what was not reached before, so paths don't
+    multiply and cycles end. Of the shortest paths the smallest in order is kept; the parent is
+    the node before on it.
+    """
+    live = nodes.filter(F.col("status") == ACTIVE).select("node_id")
+    e = edges.filter(F.col("status") == ACTIVE)
+    src, dst = ("target_node_id", "source_node_id") if upstream else ("source_node_id", "target_node_id")
+    steps = cut_lineage(e.join(live, e[dst] == live.node_id, "left_semi").select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct())
+    reached = start.select(F.col("node_id").alias("root"), F.col("node_id").alias("node"), F.lit(0).alias("depth"), F.lit(None).cast("bigint").alias("parent"), F.array("node_id").alias("path")).distinct()
+    levels, frontier, depth = [cut_lineage(reached)], reached, 0
+    while True:
+        depth += 1
+        come = frontier.join(steps, frontier.node == steps.src).select("root", F.col("dst").alias("node"), F.col("src").alias("parent"), F.concat("path", F.array("dst")).alias("path"))
+        best = come.groupBy("root", "node").agg(F.min(F.struct("path", "parent")).alias("b"))
+        for level in levels:
+            best = best.join(level.select("root", "node"), ["root", "node"], "left_anti")
+        frontier = cut_lineage(best.select("root", "node", F.lit(depth).alias("depth"), "b.parent", "b.path"))
+        if frontier.isEmpty():
+            break
+        levels.append(frontier)
+        if len(levels) > 8:  # what was reached, as one table again
+            levels = [cut_lineage(reduce(DataFrame.unionByName, levels))]
+    return reduce(DataFrame.unionByName, levels)
+
+
 def depth_label(depth: Column) -> Column:
     return F.when(depth == 0, "PROBLEMATIC DATA").when(depth == 1, "DIRECT SOURCE").when(depth == 2, "ROOT SOURCE").otherwise("ORIGIN")
 
@@ -122,16 +150,33 @@ def broken_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _trimmed(core: DataFrame) -> DataFrame:
-    """``core`` (src, dst) without the edges that lead nowhere or come from nowhere, again and again until none is left."""
-    before = core.count()
-    while before:
-        heads, tails = core.select(F.col("dst").alias("src")).distinct(), core.select(F.col("src").alias("dst")).distinct()
-        core = cut_lineage(core.join(heads, "src", "left_semi").join(tails, "dst", "left_semi").select("src", "dst"))
-        now = core.count()
-        if now == before:
-            break
-        before = now
-    return core
+    """``core`` (src, dst) without the edges that lead nowhere or come from nowhere."""
+    heads, tails = core.select(F.col("dst").alias("src")).distinct(), core.select(F.col("src").alias("dst")).distinct()
+    return cut_lineage(core.join(heads, "src", "left_semi").join(tails, "dst", "left_semi").select("src", "dst"))
+
+
+def _chains(core: DataFrame) -> DataFrame:
+    """(node, up, down, ring): the nodes with one edge in and one out, and the first nodes of another kind before and after them.
+
+    Pointer doubling, so the rounds grow with the logarithm of the longest chain. A chain
+    that ends in itself never meets another kind of node: its nodes come out as a ring named
+    by its smallest node.
+    """
+    into = core.groupBy(F.col("dst").alias("node")).agg(F.count("*").alias("n_in"), F.min("src").alias("up"))
+    out = core.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("n_out"), F.min("dst").alias("down"))
+    single = cut_lineage(into.join(out, "node").filter("n_in = 1 AND n_out = 1").select("node", "up", "down"))
+    n = single.count()
+    inner = single.select(F.col("node").alias("_n"))
+    at = single.join(inner, F.col("up") == F.col("_n"), "left").withColumn("up_open", F.col("_n").isNotNull()).drop("_n")
+    at = at.join(inner, F.col("down") == F.col("_n"), "left").withColumn("down_open", F.col("_n").isNotNull()).drop("_n").withColumn("low", F.col("node"))
+    reached = 1
+    while reached <= n and not at.filter("up_open OR down_open").isEmpty():
+        ahead = at.select(F.col("node").alias("_d"), F.col("down").alias("_down"), F.col("down_open").alias("_down_open"), F.col("low").alias("_low"))
+        back = at.select(F.col("node").alias("_u"), F.col("up").alias("_up"), F.col("up_open").alias("_up_open"))
+        met = at.join(ahead, F.col("down_open") & (F.col("down") == F.col("_d")), "left").join(back, F.col("up_open") & (F.col("up") == F.col("_u")), "left")
+        at = cut_lineage(met.select("node", F.coalesce("_up", "up").alias("up"), F.coalesce("_down", "down").alias("down"), F.coalesce("_up_open", F.lit(False)).alias("up_open"), F.coalesce("_down_open", F.lit(False)).alias("down_open"), F.least("low", "_low").alias("low")))
+        reached *= 2
+    return at.select("node", "up", "down", F.when(F.col("down_open"), F.col("low")).alias("ring"))
 
 
 def _coloured(core: DataFrame) -> DataFrame:
@@ -162,23 +207,48 @@ def _members(core: DataFrame, colour: DataFrame) -> DataFrame:
 def on_cycles(edges: DataFrame) -> DataFrame:
     """Nodes on a cycle of any length.
 
-    Strongly connected components by colours: the node that names a colour reaches all nodes of
-    that colour; those that also reach it form a component with it and leave the graph. Only one
-    row per node is carried, never pairs of nodes. Edges that cannot lie on a cycle go first.
+    First the graph shrinks: edges that lead nowhere go, and a chain of nodes with one edge in
+    and one out becomes a single edge, its nodes noted beside it; both again until nothing
+    changes. In what is left, strongly connected components by colours: the node that names
+    a colour reaches all nodes of that colour; those that also reach it form a component with it
+    and leave the graph. A node noted beside an edge is on a cycle if both ends of the edge
+    are in one component. Only one row per node is carried, never pairs of nodes.
     """
     core = edges.filter(F.col("status") == ACTIVE).select(F.col("source_node_id").alias("src"), F.col("target_node_id").alias("dst")).dropna().distinct()
     core = cut_lineage(core)
-    found = core.filter("src = dst").select(F.col("src").alias("node_id"))
+    # (node, group): nodes of one group are on one cycle
+    found = core.filter("src = dst").select(F.col("src").alias("node"), F.col("src").alias("group"))
     core = core.filter("src <> dst")
-    while True:
+    inside = core.sparkSession.createDataFrame([], "node bigint, a bigint, b bigint")
+    size = core.count()
+    while size:
         core = _trimmed(core)
-        if core.isEmpty():
-            return found.distinct()
+        chains = cut_lineage(_chains(core))
+        rings = chains.filter("ring IS NOT NULL").select("node", F.col("ring").alias("group"))
+        found = found.union(rings)
+        ends = chains.filter("ring IS NULL").select(F.col("node").alias("_n"), "up", "down")
+        # edges noted before that are now part of a longer one
+        inside = inside.join(ends.select("_n", "up"), F.col("a") == F.col("_n"), "left").withColumn("a", F.coalesce("up", "a")).drop("_n", "up")
+        inside = inside.join(ends.select("_n", "down"), F.col("b") == F.col("_n"), "left").withColumn("b", F.coalesce("down", "b")).drop("_n", "down")
+        inside = cut_lineage(inside.union(ends.select("_n", "up", "down")))
+        gone = chains.select(F.col("node").alias("_n"))
+        left = core.join(gone, F.col("src") == F.col("_n"), "left_anti").join(gone, F.col("dst") == F.col("_n"), "left_anti")
+        core = cut_lineage(left.union(ends.select("up", "down")).distinct())
+        found = found.union(core.filter("src = dst").select(F.col("src").alias("node"), F.col("src").alias("group")))
+        core = core.filter("src <> dst")
+        before, size = size, core.count()
+        if size == before:
+            break
+    while not core.isEmpty():
         members = cut_lineage(_members(core, _coloured(core)))
         several = members.groupBy("colour").agg(F.count("*").alias("n")).filter("n > 1").select("colour")
-        found = found.union(members.join(several, "colour", "left_semi").select("node"))
+        found = found.union(members.join(several, "colour", "left_semi").select("node", F.col("colour").alias("group")))
         gone = members.select("node")
         core = cut_lineage(core.join(gone, core.src == gone.node, "left_anti").join(gone, core.dst == gone.node, "left_anti"))
+    found = cut_lineage(found.distinct())
+    one, two = found.toDF("a", "_g"), found.toDF("b", "_h")
+    beside = inside.join(one, "a").join(two, "b").filter("_g = _h").select("node")
+    return found.select("node").union(beside).union(inside.filter("a = b").select("node")).distinct().withColumnRenamed("node", "node_id")
 
 
 def validate(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -138,30 +138,47 @@ def npa_by(dash: DataFrame, column: str, suffix: str = "") -> DataFrame:
     return out.withColumn("risk_flag", X.band(F.coalesce("npa_ratio", F.lit(0.0)), [(5, f"HIGH_RISK{suffix}"), (3, f"MEDIUM_RISK{suffix}")], f"LOW_RISK{suffix}"))
 
 
+def _month(day: Column) -> Column:
+    """Months since year 0; also the number of the first month end not before the day."""
+    return F.year(day) * 12 + F.month(day) - 1
+
+
 def monthly_snapshots(loans: DataFrame, payments: DataFrame, first: str, last: str, classes: Sequence[tuple[int, str]] = FIVE_CLASSES) -> DataFrame:
     """Portfolio figures at each month end.
 
-    Payments are reduced to the last one per loan and month before the one join; each loan is
-    then laid out over the months in which it is live.
+    A loan's class only changes at a payment or when a number of days since the last one has
+    passed. Each stretch of one class is a plus at its first month and a minus at the month
+    after its last; summed per month and class, running totals over the months of the report
+    give the portfolio. No loan is laid out over its months.
     """
-    # payments before the first month count for it; a loan keeps one entry per month of the report
-    month = F.greatest(F.last_day("payment_date"), F.last_day(_day(first)))
-    per = payments.groupBy("loan_id", month.alias("m")).agg(F.max("payment_date").alias("p")).filter(F.col("m") <= F.last_day(_day(last)))
-    seen = per.groupBy("loan_id").agg(F.collect_list(F.struct("m", "p")).alias("_seen"))
-    ends = F.expr(f"transform(sequence(date'{first}', date'{last}', interval 1 month), m -> last_day(m))")
-    live_ends = F.filter(ends, lambda m: (m >= F.col("disbursement_date")) & (m <= F.col("maturity_date")))
-    laid = loans.join(seen, "loan_id", "left").withColumn("month_end", F.explode(live_ends))
-    known = F.filter("_seen", lambda x: x["m"] <= F.col("month_end"))
-    live = laid.withColumn("last_payment", F.array_max(F.transform(known, lambda x: x["p"]))).drop("_seen")
-    days = F.datediff("month_end", "last_payment")
-    cls = None
-    for limit, name in classes:
-        cls = F.when(days > limit, name) if cls is None else cls.when(days > limit, name)
-    live = live.withColumn("risk_classification", cls.otherwise("STANDARD")).withColumn("_w", (F.col("principal_outstanding") * _map(F.col("loan_type_standardized"), RISK_WEIGHTS, 1.0).cast("decimal(4,2)")))
-    return live.groupBy(F.trunc("month_end", "month").alias("report_month")).agg(
-        F.count("*").alias("total_active_loans"), X.dsum("principal_outstanding").alias("total_outstanding"), _npl().alias("npa_amount"), X.pct(_npl(), F.sum("principal_outstanding")).alias("npa_ratio"),
+    low, high = _month(_day(first)), _month(_day(last)) + 1
+    # payments before the first month count for it; a loan keeps its last one per month of the report
+    per = payments.groupBy("loan_id", F.greatest(_month(F.col("payment_date")), low).alias("m")).agg(F.max("payment_date").alias("p")).filter(F.col("m") < high)
+    follows = F.lead("m").over(Window.partitionBy("loan_id").orderBy("m"))  # at most a row for each month of the report
+    paid = per.select(F.col("loan_id").alias("_l"), "m", "p", F.coalesce(follows, high).alias("_next"))
+    begin = paid.groupBy("_l").agg(F.min("m").alias("_next")).select("_l", F.lit(None).cast("int").alias("m"), F.lit(None).cast("date").alias("p"), "_next")
+    rising = sorted(classes)
+    starts = [F.col("m"), *[_month(F.date_add("p", limit + 1)) for limit, _ in rising]]
+    names = ["STANDARD", *[name for _, name in rising]]
+    # before any payment a loan counts as standard
+    live = loans.select("loan_id", "principal_outstanding", (F.col("principal_outstanding") * _map(F.col("loan_type_standardized"), RISK_WEIGHTS, 1.0).cast("decimal(4,2)")).alias("_w"), F.greatest(_month(F.col("disbursement_date")), low).alias("_from"), F.least(_month(F.date_add("maturity_date", 1)), high).alias("_to"))
+    laid = live.join(paid.unionByName(begin), F.col("loan_id") == F.col("_l"), "left")
+    until = F.least(F.coalesce("_next", high), F.col("_to"))
+    stretch = lambda name, a, z: F.struct(F.lit(name).alias("c"), F.greatest(a, F.col("_from")).alias("a"), F.least(z, until).alias("z"))
+    unpaid = F.array(stretch("STANDARD", F.col("_from"), until))
+    since = F.array(*[stretch(name, F.greatest(starts[i], F.col("m")), starts[i + 1] if i + 1 < len(starts) else until) for i, name in enumerate(names)])
+    cut = laid.select("principal_outstanding", "_w", F.inline(F.filter(F.when(F.col("p").isNull(), unpaid).otherwise(since), lambda x: x["a"] < x["z"])))
+    events = cut.select("c", "principal_outstanding", "_w", F.inline(F.array(F.struct(F.col("a").alias("month"), F.lit(1).alias("sign")), F.struct(F.col("z").alias("month"), F.lit(-1).alias("sign")))))
+    sums = events.groupBy("month", "c").agg(F.sum("sign").alias("n"), F.sum(F.col("principal_outstanding") * F.col("sign")).alias("po"), F.sum(F.col("_w") * F.col("sign")).alias("w"))
+    spine = loans.sparkSession.range(1).select(F.explode(F.sequence(low, high - 1)).alias("month")).select("month", F.explode(F.array(*map(F.lit, names))).alias("c"))
+    upto = Window.partitionBy("c").orderBy("month")  # a row for each month of the report
+    total = lambda x: F.sum(F.coalesce(x, F.lit(0))).over(upto)
+    state = spine.join(sums, ["month", "c"], "left").select("month", F.col("c").alias("risk_classification"), total("n").alias("n"), total("po").alias("principal_outstanding"), total("w").alias("_w"))
+    out = state.groupBy(F.make_date((F.col("month") / 12).cast("int"), F.col("month") % 12 + 1, F.lit(1)).alias("report_month")).agg(
+        F.sum("n").alias("total_active_loans"), X.dsum("principal_outstanding").alias("total_outstanding"), _npl().alias("npa_amount"), X.pct(_npl(), F.sum("principal_outstanding")).alias("npa_ratio"),
         _provisions().alias("total_provisions"), X.pct(_provisions(), _npl()).alias("provision_coverage_ratio"), X.dsum("_w").alias("rwa"),
     )
+    return out.filter("total_active_loans > 0")
 
 
 def _trend(c: str, w, up: str, down: str) -> Column:

@@ -83,5 +83,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Write to a fresh path of the shared folder and read back.
+
+    Cuts the lineage as a checkpoint does, and the size estimates too: those of a checkpoint
+    are carried on, and multiply in loops that join a table with itself.
+    """
+    path = run_folder(df.sparkSession, "rounds")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def default_cpus() -> int:
     return int(os.environ.get("BENCH_CPUS", "8"))

@@ -120,12 +120,25 @@ def test_affinity_equals_brute_force_with_huge_baskets(rows):
     rng = random.Random(7)
     baskets = {o: set(rng.sample(range(40), rng.randint(1, 5))) for o in range(60)} | {100: set(range(40)), 101: set(range(5, 38))}
     data = [(o, p) for o, ps in baskets.items() for p in ps]
-    for m in (2, 3, 4):
+    for m in (1, 2, 3, 4):
         want = Counter(pair for ps in baskets.values() for pair in itertools.combinations(sorted(ps), 2))
-        got = {(r.product_a, r.product_b): r.pair_count for r in customer.affinity(rows("o int, p int", data + data[:20]), "o", "p", m, large=6).collect()}
+        got = {(r.product_a, r.product_b): r.pair_count for r in customer.affinity(rows("o int, p int", data + data[:20]), "o", "p", m, block=6).collect()}
         assert got == {k: n for k, n in want.items() if n >= m}
 
 
+def test_affinity_with_a_basket_of_fifty_thousand_products(spark):
+    """The huge basket holds every product twice sold; the small ones name the pairs."""
+    huge = spark.range(50_000).selectExpr("0L AS o", "id AS p")
+    small = spark.range(50_000).selectExpr("1 + id DIV 5 AS o", "id AS p")
+    got = customer.affinity(huge.unionByName(small), "o", "p", 2)
+    assert got.count() == 10_000 * 10 and got.agg(F.min("pair_count"), F.max("pair_count")).first() == (2, 2)
+
+
+def test_affinity_joins_large_baskets_in_blocks(spark):
+    both = spark.range(3000).selectExpr("id % 1500 AS p", "id DIV 1500 AS o")
+    assert customer.affinity(both, "o", "p", 1, block=64).agg(F.count("*"), F.min("pair_count")).first() == (1500 * 1499 // 2, 2)
+
+
 def test_sessions_and_islands(rows, tiny_chunks):
     base = dt.datetime(2024, 1, 1)
     data = [(1, base + dt.timedelta(minutes=m), i) for i, m in enumerate([0, 10, 20, 60, 61, 200])] + [(2, base + dt.timedelta(minutes=25 * i), 100 + i) for i in range(60)]
