@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finquarry.llm.common import table, texts
+from finquarry.llm.common import slices, table, texts
 from finquarry.llm.tokens import PLAIN, WORD_SPLIT, Held, byte_letters, packed
 
 NEVER = np.iinfo(np.int32).max
@@ -231,7 +231,7 @@ def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         if path not in _coders:
             _coders[path] = Coder(shared.value, path)
         coder = _coders[path]
-        for b in batches:
+        for b in slices(batches):
             ids = [coder.encode(t) for t in texts(b.column("text"))]
             counts, decoded = [len(i) // 4 for i in ids], [coder.decode(i) for i in ids]
             yield pa.record_batch([b.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())], names=["doc_id", "n_tokens", "ids", "decoded"])

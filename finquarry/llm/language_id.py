@@ -35,7 +35,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from finquarry.llm.common import stored, table, texts
+from finquarry.llm.common import slices, stored, table, texts
 
 PROFILE, LONGEST, MAX_LANGUAGES, UNKNOWN = 300, 3, 1000, "und"
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -114,7 +114,7 @@ def _language_ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             yield pa.record_batch([pa.array([lang] * len(codes), pa.string()), pa.array([shown(c) for c in codes.tolist()], pa.string()), pa.array(counts, pa.int64())], names=["lang", "gram", "n"])
         held.clear()
 
-    for b in batches:
+    for b in slices(batches):
         for lang, text in zip(b.column("lang").to_pylist(), texts(b.column("text"))):
             words = words_of(text)
             waiting[lang].append(words)
@@ -177,7 +177,7 @@ def languages(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text
     shared = docs.sparkSession.sparkContext.broadcast(Profiles(rows, size))
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             found = [shared.value.predict(t) for t in texts(b.column("text"))]
             yield pa.record_batch([b.column("doc_id"), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=["doc_id", "lang_pred", "score"])
 

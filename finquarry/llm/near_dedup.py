@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from finquarry.llm.common import stored, table, utf8
+from finquarry.llm.common import slices, stored, table, utf8
 from finquarry.llm.components import components, contracted
 from finquarry.llm.tokens import Held
 
@@ -137,7 +137,7 @@ def _sketch(n: int):
         from pyspark import TaskContext
 
         first = TaskContext.get().partitionId() << 33
-        for b in batches:
+        for b in slices(batches):
             sizes, seqs, sigs, sketches = [], [], [], []
             for t in utf8(b.column("text")):
                 found, seq = shingles(t, n)
@@ -154,7 +154,7 @@ def _sketch(n: int):
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         keys = chunk_keys(np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint16).reshape(b.num_rows, SYMBOLS))
         node = np.repeat(b.column("node").to_numpy(), keys.shape[1])
         yield pa.record_batch([pa.array(keys.ravel()), pa.array(node), pa.array(np.repeat(b.column("n").to_numpy(), keys.shape[1]))], names=["key", "node", "n"])
@@ -162,7 +162,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose signatures differ in at most THRESHOLD symbols."""
-    for b in batches:
+    for b in slices(batches):
         one, two = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(b.num_rows, SYMBOLS) for c in ("sig_a", "sig_b"))
         ok = pa.array((one != two).sum(1) <= THRESHOLD)
         yield pa.record_batch([b.column("a").filter(ok), b.column("b").filter(ok)], names=["a", "b"])
@@ -172,7 +172,7 @@ def _confirmed(n: int, percent: int):
     """Pairs whose full shingle sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             ok, known = [], {}
             for ta, tb, a in zip(utf8(b.column("text_a")), utf8(b.column("text_b")), b.column("a").to_pylist()):
                 if a not in known:
@@ -214,7 +214,7 @@ class _Linker:
 
 def _shingle_rows(n: int):
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             found = [shingles(t, n)[0] for t in utf8(b.column("text"))]
             sizes = [len(f) for f in found]
             flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
