@@ -351,11 +351,12 @@ def ceo_dashboard(accounts: DataFrame, dash: DataFrame, customers: DataFrame, tr
     a = accounts.filter("status_standardized = 'ACTIVE'").agg(X.dsum("current_balance").alias("total_deposits"), X.dsum("available_balance").alias("_av"), X.sum_if(t == "SAVINGS", "current_balance").alias("_sav"), X.sum_if(t.isin("SAVINGS", "CURRENT"), "current_balance").alias("_cost"))
     l = dash.filter("loan_status = 'ACTIVE'").agg(X.dsum("principal_outstanding").alias("total_loans"), X.dsum(F.col("principal_outstanding") * F.col("interest_rate")).alias("_int"), X.sum_if(F.col("estimated_dpd") > 90, "principal_outstanding").alias("_npl"))
     c = customers.agg(F.count("*").alias("total_customers"), F.count_if(F.col("created_date") >= _day(since)).alias("new_customers_30d"), F.count_if(F.col("created_date") <= _day(since)).alias("_old"))
-    recent = transactions.filter(F.col("txn_date") >= _day(since))
-    x = recent.agg(F.count("*").alias("txn_volume_30d"), X.dsum("amount").alias("txn_value_30d"), F.count_if(F.col("channel_standardized").isin("MOBILE", "ONLINE")).alias("_dig"))
-    act = recent.select("account_id").distinct().join(accounts.select("account_id", "customer_id"), "account_id").agg(F.countDistinct("customer_id").alias("active_customers_30d"))
+    dig = F.col("channel_standardized").isin("MOBILE", "ONLINE")
+    per = transactions.filter(F.col("txn_date") >= _day(since)).groupBy("account_id").agg(F.count("*").alias("n"), F.sum("amount").alias("v"), F.count_if(dig).alias("d"))
+    owner = accounts.select(F.col("account_id").alias("_a"), "customer_id")
+    x = per.join(owner, F.col("account_id") == F.col("_a"), "left").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("txn_volume_30d"), X.dsum("v").alias("txn_value_30d"), F.coalesce(F.sum("d"), F.lit(0)).alias("_dig"), F.countDistinct("customer_id").alias("active_customers_30d"))
     cap = capital.select("cet1_ratio", "tier1_ratio", "car_ratio", F.col("compliance_status").alias("basel_compliance"))
-    r = one_row(a, l, c, x, act, cap, fraud_alerts.agg(F.count("*").alias("fraud_alerts_24h")), aml_alerts.agg(F.count("*").alias("aml_alerts")))
+    r = one_row(a, l, c, x, cap, fraud_alerts.agg(F.count("*").alias("fraud_alerts_24h")), aml_alerts.agg(F.count("*").alias("aml_alerts")))
     income = F.col("_int") / 100.0
     assets = F.col("total_deposits") + F.col("total_loans")
     return r.select(

@@ -8,11 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finquarry.operators import skew
 from finquarry.operators.relational import top_n_per_key
 
-MAX_QUERIES = 10_000
-
 
 def centroids(df: DataFrame, label: str, vector: str) -> DataFrame:
     """Mean vector per label: (query_id, vector). Sums per position combine on the map side."""
@@ -27,19 +24,24 @@ def _dot(a, b):
     return F.aggregate(product, F.lit(0).cast("decimal(38,12)"), lambda acc, p: (acc + p).cast("decimal(38,12)")).cast("double")
 
 
-def nearest(df: DataFrame, queries: DataFrame, key: str, vector: str, k: int) -> DataFrame:
-    """The ``k`` most similar rows per query.
+def nearest(df: DataFrame, queries: DataFrame, key: str, vector: str, k: int, block: int = 256) -> DataFrame:
+    """The ``k`` most similar rows per query (query_id, vector), for any number of queries.
 
-    Each row meets the queries as one array carried by a scalar subquery, so nothing is
-    shuffled but the best ``k`` per query and task. The number of queries is checked first;
-    larger sets are to be sent in batches.
+    Queries are packed into blocks of about ``block``, rows are dealt into as many buckets as
+    there are shuffle partitions, and each block meets each bucket in a group of its own; Spark
+    broadcasts the blocks if it measures them as small. Only the best ``k`` per query and task
+    are shuffled after that.
     """
-    if not skew.small(queries, MAX_QUERIES):
-        raise ValueError(f"more than {MAX_QUERIES} query vectors: send them in batches")
-    pack = queries.withColumn("norm", F.sqrt(_dot(F.col("vector"), F.col("vector"))))
-    qs = pack.agg(F.collect_list(F.struct("query_id", "vector", "norm")).alias("qs")).scalar()
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = F.greatest(F.ceil(queries.agg(F.count("*")).scalar() / block), F.lit(1)).cast("int")
+    at = F.pmod(F.xxhash64("query_id"), blocks).cast("int")
+    pack = queries.select("query_id", "vector", F.sqrt(_dot(F.col("vector"), F.col("vector"))).alias("norm"), at.alias("_block"))
+    packed = pack.groupBy("_block").agg(F.collect_list(F.struct("query_id", "vector", "norm")).alias("_qs"))
+    packed = packed.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     rows = df.select(key, F.transform(vector, lambda x: x.cast("decimal(18,8)").cast("double")).alias("_x")).withColumn("_n", F.sqrt(_dot(F.col("_x"), F.col("_x"))))
-    pairs = rows.withColumn("q", F.explode(qs))
+    dealt = rows.select(key, "_x", "_n", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("_bucket"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_block"))
+    pairs = dealt.join(packed, ["_block", "_bucket"]).select(key, "_x", "_n", F.explode("_qs").alias("q"))
     scored = pairs.select(F.col("q.query_id").alias("query_id"), key, (_dot(F.col("_x"), F.col("q.vector")) / (F.col("_n") * F.col("q.norm"))).alias("similarity"))
     return top_n_per_key(scored, ["query_id"], [F.desc("similarity"), F.col(key)], k).select("query_id", key, F.col("rn").alias("rank"))
 

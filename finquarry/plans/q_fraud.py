@@ -12,19 +12,28 @@ NOW = "2024-01-31 00:00:00"
 _A = "txn_id, card_number, customer_id, merchant_name, amount::DOUBLE AS amount, rule_name, severity, description"
 
 
+_LIMITS = {
+    "high": {"limits": [(300, "CRITICAL"), (200, "HIGH"), (150, "MEDIUM")]},
+    "velocity": {"short_hours": 24, "long_hours": 72, "limits": [(4, "CRITICAL"), (3, "HIGH"), (2, "MEDIUM")], "at_least": 1},
+    "time": {"min_amount": 50},
+    "cnp": {"recent_hours": 240, "history_days": 30, "min_amount": 30},
+    "geo": {"recent_hours": 480},
+}
+
+
 def rules(b):
     t, k = Clean(b).card_transactions, b.cards()
     return {
-        "high": FR.rule_high_value(t, k, [(300, "CRITICAL"), (200, "HIGH"), (150, "MEDIUM")]),
-        "velocity": FR.rule_velocity(t, k, NOW, 24, 72, [(4, "CRITICAL"), (3, "HIGH"), (2, "MEDIUM")], 1),
-        "time": FR.rule_unusual_time(t, k, 50),
-        "cnp": FR.rule_cnp(t, k, NOW, 240, 30, 30),
-        "geo": FR.rule_new_category(t, k, NOW, 480),
+        "high": FR.rule_high_value(t, k, **_LIMITS["high"]),
+        "velocity": FR.rule_velocity(t, k, NOW, **_LIMITS["velocity"]),
+        "time": FR.rule_unusual_time(t, k, **_LIMITS["time"]),
+        "cnp": FR.rule_cnp(t, k, NOW, **_LIMITS["cnp"]),
+        "geo": FR.rule_new_category(t, k, NOW, **_LIMITS["geo"]),
     }
 
 
 def score(b):
-    return FR.fraud_score(list(rules(b).values()), NOW)
+    return FR.fraud_score([FR.all_rules(Clean(b).card_transactions, b.cards(), NOW, **_LIMITS)], NOW)
 
 
 def _rule(name, key):

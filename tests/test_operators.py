@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from finquarry.functions import exprs as X
-from finquarry.operators import customer, fraud, governance, history, ingest, lineage, quality, relational, risk, silver, warehouse
+from finquarry.operators import customer, fraud, governance, history, ingest, lineage, quality, relational, risk, silver, vectors, warehouse
+from finquarry.plans import q_fraud
 from finquarry.sources import files
 
 
@@ -181,6 +182,46 @@ def test_days_past_due_use_the_largest_threshold(rows):
     assert got == [(1, 0, "STANDARD"), (2, 30, "SPECIAL_MENTION"), (3, 60, "SUB_STANDARD"), (4, 90, "NPA"), (5, 0, "STANDARD"), (6, None, "CLOSED")]
 
 
+def test_all_rules_equal_the_rules_one_by_one(spark):
+    rng = random.Random(9)
+    at = lambda: dt.datetime(2024, 1, 31) - dt.timedelta(minutes=rng.randrange(60 * 24 * 40))
+    times = [at() for _ in range(600)]
+    data = [(i, f"c{rng.randrange(12)}", rng.choice(["m", None]), rng.choice(["ONLINE", "FOOD", "FUEL"]), Decimal(rng.randrange(400)), t, t.date(), rng.choice(["SUCCESS", "SUCCESS", "FAILED"])) for i, t in enumerate(times)]
+    txns = spark.createDataFrame(data, "txn_id bigint, card_number string, merchant_name string, merchant_category string, amount decimal(18,2), txn_timestamp timestamp_ntz, txn_date date, status string")
+    cards = spark.createDataFrame([(f"c{i}", i) for i in range(10)], "card_number string, customer_id int")
+    now, x = "2024-01-31 00:00:00", q_fraud._LIMITS
+    one = [fraud.rule_high_value(txns, cards, **x["high"]), fraud.rule_velocity(txns, cards, now, **x["velocity"]), fraud.rule_unusual_time(txns, cards, **x["time"]), fraud.rule_cnp(txns, cards, now, **x["cnp"]), fraud.rule_new_category(txns, cards, now, **x["geo"])]
+    want = sorted(str(tuple(r[c] for c in fraud.ALERT)) for df in one for r in df.collect())
+    got = sorted(str(tuple(r)) for r in fraud.all_rules(txns, cards, now, **x).collect())
+    assert got == want and len({r.split("'")[-4] for r in got}) > 2
+
+
+def test_nearest_for_more_queries_than_a_block(spark):
+    rng = random.Random(2)
+    vec = lambda: [float(rng.randint(-9, 9)) + 0.5 for _ in range(3)]
+    rows, queries = {i: vec() for i in range(40)}, {i: vec() for i in range(300)}
+    cos = lambda a, b: sum(x * y for x, y in zip(a, b)) / (sum(x * x for x in a) * sum(y * y for y in b)) ** 0.5
+    df = spark.createDataFrame([(i, v) for i, v in rows.items()], "id bigint, v array<float>")
+    q = spark.createDataFrame([(i, v) for i, v in queries.items()], "query_id bigint, vector array<double>")
+    got = {}
+    for r in vectors.nearest(df, q, "id", "v", 3, block=16).collect():
+        got.setdefault(r.query_id, {})[r.rank] = r.id
+    assert len(got) == 300
+    for i, best in got.items():
+        want = sorted(rows, key=lambda j: (-round(cos(queries[i], rows[j]), 12), j))[:3]
+        assert [round(cos(queries[i], rows[best[k]]), 9) for k in (1, 2, 3)] == [round(cos(queries[i], rows[j]), 9) for j in want]
+    assert vectors.nearest(df, q.limit(0), "id", "v", 3).count() == 0
+
+
+def test_encryption_round_trip(rows):
+    df = rows("id int, a string, b string", [(1, "x", None), (2, "", "ü"), (3, None, "z" * 300)])
+    key, other = "0123456789abcdef", "fedcba9876543210"
+    e = governance.encrypt_columns(df, ["a", "b"], key)
+    assert values(governance.decrypt_columns(e, ["a", "b"], key), "id", "a", "b") == values(df, "id", "a", "b")
+    assert not {r.a for r in e.collect() if r.a} & {r.a for r in governance.encrypt_columns(df, ["a", "b"], key).collect()}  # a new vector each time
+    assert values(governance.decrypt_columns(e, ["a"], other), "id", "a") == [(1, "[DECRYPTION_ERROR]"), (2, "[DECRYPTION_ERROR]"), (3, None)]
+
+
 # --- quality -----------------------------------------------------------------------------------------------
 def test_rules_results_and_gate(rows):
     df = rows("id int, name string, age int, status string", [(1, "a", 30, "ok"), (2, None, -5, "ok"), (2, "c", 200, "invalid"), (3, "d", None, "ok")])
