@@ -261,9 +261,8 @@ def _cross(linker: _Linker, keyed: DataFrame, percent: int, ordered: bool = Fals
     b = rows.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), *[F.col(c).alias(f"b_{c}") for c in SKETCH], *[F.col(c).alias(f"{c}_b") for c in more])
     fits = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
     close = _sketch_distance([F.col(f"a_{c}") for c in SKETCH], [F.col(f"b_{c}") for c in SKETCH]) <= THRESHOLD
-    if ordered:
-        fits = fits & _first_shared(percent)
-    return a.join(b, "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits & close).select("a", "b").distinct()
+    fits = fits & (_first_shared(percent) if ordered else close)
+    return a.join(b, "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits).select("a", "b").distinct()
 
 
 def _led(placed: DataFrame, turn: int) -> DataFrame:
@@ -281,6 +280,15 @@ def _open(placed: DataFrame) -> DataFrame:
     return placed.drop("m").join(keys, "key")
 
 
+def _merged(links: DataFrame) -> DataFrame:
+    return links.groupBy(F.col("u").alias("_node")).agg(F.min("v").alias("_to"))
+
+
+def _joined(placed: DataFrame, merged: DataFrame) -> DataFrame:
+    """The rows with the component that their node is known to be in."""
+    return placed.join(merged, F.col("node") == F.col("_node"), "left").withColumn("component", F.coalesce("_to", "node")).drop("_node", "_to")
+
+
 def text_key(text: Column) -> Column:
     """Tells apart rows of the same id with different texts."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
@@ -307,16 +315,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
         # what is not yet merged here only costs comparisons below; the components are made at the end
         links = contracted(found if links is None else links.union(found))
-        merged = links.groupBy(F.col("u").alias("_node")).agg(F.min("v").alias("_to"))
-        placed = placed.join(merged, F.col("node") == F.col("_node"), "left").withColumn("component", F.coalesce("_to", "node")).drop("_node", "_to")
-        placed = stored(_open(placed), "open-keys")
+        placed = stored(_open(_joined(placed, _merged(links))), "open-keys")
         if placed.isEmpty():
             break
     crossed = linker.links(_cross(linker, placed.filter(F.col("m") <= CROWD), percent))
     links = crossed if links is None else links.union(crossed)
     crowd = placed.filter(F.col("m") > CROWD)
     if not crowd.isEmpty():
-        pairs = stored(_cross(linker, _prefix_keys(linker, crowd, percent), percent, ordered=True), "prefix-pairs")
+        # what is linked so far is known in full first, so that a crowd of near copies isn't paired out
+        known = components(links).select(F.col("node").alias("_node"), F.col("component").alias("_to"))
+        prefix = _joined(stored(_prefix_keys(linker, crowd, percent), "prefix-keys"), known)
+        pairs = stored(_cross(linker, prefix, percent, ordered=True), "prefix-pairs")
         links = links.union(linker.confirm(pairs))
     final = components(links).withColumnRenamed("node", "_node")
 
