@@ -217,15 +217,21 @@ def table_metrics(df: DataFrame, name: str, key: str, required: str, valid: Colu
 
 
 def profile(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> DataFrame:
-    """Per column: NULL share, distinct values, least and greatest value (text), mean (numbers)."""
-    cols = [*numeric, *text]
-    aggs = [F.count("*").alias("_n")]
-    for c in cols:
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}__z"), F.countDistinct(c).alias(f"{c}__d"), F.min(c).cast("string").alias(f"{c}__a"), F.max(c).cast("string").alias(f"{c}__b")]
-    aggs += [X.davg(F.col(c).cast("decimal(18,4)")).alias(f"{c}__m") for c in numeric]
-    row = df.agg(*aggs)
-    out = [F.struct(F.lit(c).alias("column_name"), F.col("_n").alias("row_count"), X.pct(f"{c}__z", "_n").alias("null_pct"), F.col(f"{c}__d").alias("distinct_count"), F.col(f"{c}__a").alias("min_value"), F.col(f"{c}__b").alias("max_value"), (F.col(f"{c}__m") if c in numeric else F.lit(None).cast("double")).alias("mean_value")) for c in cols]
-    return row.select(F.inline(F.array(*out)))
+    """Per column: NULL share, distinct values, least and greatest value (text), mean (numbers).
+
+    Each column is read by itself and its values are counted before they are shuffled, so no
+    row is multiplied by the number of columns.
+    """
+    parts = []
+    for c in [*numeric, *text]:
+        per = df.groupBy(F.col(c).alias("v")).agg(F.count("*").alias("n"))
+        total = F.sum(F.col("v").cast("decimal(18,4)") * F.col("n")).cast("double") / F.sum(F.when(F.col("v").isNotNull(), F.col("n"))) if c in numeric else F.lit(None).cast("double")
+        one = per.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("_z"), F.count("v").alias("distinct_count"),
+            F.min("v").cast("string").alias("min_value"), F.max("v").cast("string").alias("max_value"), total.alias("mean_value"),
+        )
+        parts.append(one.select(F.lit(c).alias("column_name"), "row_count", X.pct("_z", "row_count").alias("null_pct"), "distinct_count", "min_value", "max_value", "mean_value"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- series and reports ------------------------------------------------------------------------------

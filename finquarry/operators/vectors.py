@@ -46,14 +46,14 @@ def nearest(df: DataFrame, queries: DataFrame, key: str, vector: str, k: int, bl
     return top_n_per_key(scored, ["query_id"], [F.desc("similarity"), F.col(key)], k).select("query_id", key, F.col("rn").alias("rank"))
 
 
-def noisy_counts(df: DataFrame, keys: Sequence[str], epsilon: float) -> DataFrame:
+def noisy_counts(df: DataFrame, keys: Sequence[str], epsilon: float, seed: int | None = None) -> DataFrame:
     """Counts with Laplace noise of scale ``1 / epsilon``.
 
-    The noise is drawn anew for every run from a seed that is neither passed in nor kept, so it
-    cannot be subtracted. Every run spends ``epsilon`` once more: publish one run, don't average.
+    The noise is drawn anew for every run from a seed that is not kept, so it cannot be
+    subtracted; ``seed`` is for tests, whoever knows it can take the noise off. Every run spends ``epsilon`` once more: publish one run, don't average.
     The set of keys itself is not protected.
     """
     counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    u = F.rand(secrets.randbits(63)) - 0.5
+    u = F.rand(secrets.randbits(63) if seed is None else seed) - 0.5
     noise = -F.signum(u) * F.ln(F.greatest(1 - 2 * F.abs(u), F.lit(1e-300))) / epsilon
     return counts.select(*keys, F.greatest(F.round(F.col("n") + noise), F.lit(0.0)).alias("noisy_count"))

@@ -15,9 +15,9 @@ TOTAL = 29000000.0
 YEAR_AGO, MONTH_AGO, EQUITY = "2000-08-02", "2001-07-03", 6200000.0
 
 
-def dash(b, classes=K.FIVE_CLASSES):
+def dash(b, classes=K.FIVE_CLASSES, past_due="days"):
     c = Clean(b)
-    return K.credit_dashboard(c.loans, c.customers, c.payments, AS_OF, classes, "threshold" if classes is K.DASHBOARD_CLASSES else "days")
+    return K.credit_dashboard(c.loans, c.customers, c.payments, AS_OF, classes, past_due)
 
 
 _DASH = """SELECT loan_id, customer_id, customer_name, loan_type_standardized AS loan_type, principal_amount, principal_outstanding, interest_rate, emi_amount, loan_status, coalesce(n, 0) AS total_payments_made, coalesce(ok, 0) AS successful_payments, coalesce(ko, 0) AS failed_payments,
@@ -35,7 +35,7 @@ def _s(cond):
 
 @query("credit_risk_dashboard", f"SELECT loan_id, customer_id, customer_name, loan_type, {PO}::DOUBLE AS principal_outstanding, loan_status, total_payments_made, successful_payments, failed_payments, payment_success_rate, CASE WHEN loan_status <> 'ACTIVE' THEN NULL WHEN days > 90 THEN 90 WHEN days > 60 THEN 60 WHEN days > 30 THEN 30 ELSE 0 END::BIGINT AS estimated_dpd, CASE WHEN loan_status <> 'ACTIVE' THEN 'CLOSED' WHEN days > 90 THEN 'NPA' WHEN days > 60 THEN 'SUB_STANDARD' WHEN days > 30 THEN 'SPECIAL_MENTION' ELSE 'STANDARD' END AS risk_classification FROM ({_DASH})")
 def _(b):
-    return dash(b, K.DASHBOARD_CLASSES).select("loan_id", "customer_id", "customer_name", "loan_type", "principal_outstanding", "loan_status", "total_payments_made", "successful_payments", "failed_payments", "payment_success_rate", "estimated_dpd", "risk_classification")
+    return dash(b, K.DASHBOARD_CLASSES, "threshold").select("loan_id", "customer_id", "customer_name", "loan_type", "principal_outstanding", "loan_status", "total_payments_made", "successful_payments", "failed_payments", "payment_success_rate", "estimated_dpd", "risk_classification")
 
 
 _NAMES = ["STANDARD", "SPECIAL_MENTION", "SUB_STANDARD", "DOUBTFUL", "LOSS"]
