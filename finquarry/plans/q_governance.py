@@ -278,6 +278,39 @@ _reach("lineage_upstream", True)
 _reach("lineage_downstream", False)
 
 
+def _nearest_sql(start, upstream, columns, tail=""):
+    a, z = ("t", "s") if upstream else ("s", "t")
+    # all simple paths, of which the shortest and then the smallest counts; deep enough for the given graph
+    walk = f"w AS (SELECT node_id AS root, node_id AS node, 0::BIGINT AS depth, [node_id] AS path FROM an WHERE {start} UNION ALL SELECT root, {z}, depth + 1, list_append(path, {z}) FROM w JOIN ae ON w.node = {a} JOIN an ON an.node_id = {z} WHERE NOT list_contains(path, {z}))"
+    return f"WITH RECURSIVE {GRAPH}, {walk}, b AS (SELECT root, node, min(depth) AS depth, min_by(path, (depth, path)) AS path FROM w GROUP BY ALL) SELECT {columns} FROM b {tail}"
+
+
+def _nearest(name, upstream):
+    @query(name, _nearest_sql("table_name = 'Brand#2'", upstream, "root, node, depth, path[-2] AS parent, list_aggregate(path, 'string_agg', '>') AS path"))
+    def _(b):
+        """One row for everything the table's columns reach, with its distance and the node before it."""
+        out = N.nearest(nodes(b), edges(b), nodes(b).filter("status = 'ACTIVE' AND table_name = 'Brand#2'"), upstream)
+        return out.select("root", "node", "depth", "parent", F.array_join(F.transform("path", lambda x: x.cast("string")), ">").alias("path"))
+
+
+_nearest("lineage_upstream_nearest", True)
+_nearest("lineage_downstream_nearest", False)
+
+
+@query("lineage_impact_nearest", _nearest_sql("column_name = 'ECONOMY'", False, "CASE depth WHEN 1 THEN 'DIRECT IMPACT' WHEN 2 THEN 'SECONDARY IMPACT' ELSE 'TERTIARY IMPACT' END AS impact, table_name, count(*) AS nodes", "JOIN an ON node = node_id WHERE depth > 0 GROUP BY ALL"))
+def _(b):
+    n = nodes(b)
+    out = N.nearest(n, edges(b), n.filter("status = 'ACTIVE' AND column_name = 'ECONOMY'"), False).filter("depth > 0")
+    return out.join(n.select("node_id", "table_name"), F.col("node") == F.col("node_id")).groupBy(N.impact_label(F.col("depth")).alias("impact"), "table_name").agg(F.count("*").alias("nodes"))
+
+
+@query("lineage_root_cause_nearest", _nearest_sql("table_name = 'Brand#3'", True, "root, node, depth, source_system, CASE depth WHEN 0 THEN 'PROBLEMATIC DATA' WHEN 1 THEN 'DIRECT SOURCE' WHEN 2 THEN 'ROOT SOURCE' ELSE 'ORIGIN' END AS source_type", "JOIN an ON node = node_id"))
+def _(b):
+    n = nodes(b)
+    out = N.nearest(n, edges(b), n.filter("status = 'ACTIVE' AND table_name = 'Brand#3'"), True)
+    return out.join(n.select("node_id", "source_system"), F.col("node") == F.col("node_id")).select("root", "node", "depth", "source_system", N.depth_label(F.col("depth")).alias("source_type"))
+
+
 @query("lineage_impact_chain", f"WITH RECURSIVE {GRAPH}, w AS (SELECT node_id AS root, node_id AS node, 0::BIGINT AS depth, [node_id] AS path FROM an WHERE column_name = 'ECONOMY' UNION ALL SELECT root, t, depth + 1, list_append(path, t) FROM w JOIN ae ON w.node = s JOIN an ON an.node_id = t WHERE NOT list_contains(path, t) AND depth < 10) SELECT CASE depth WHEN 1 THEN 'DIRECT IMPACT' WHEN 2 THEN 'SECONDARY IMPACT' ELSE 'TERTIARY IMPACT' END AS impact, table_name, count(*) AS paths FROM w JOIN an ON node = node_id WHERE depth > 0 GROUP BY ALL")
 def _(b):
     n = nodes(b)
