@@ -115,11 +115,12 @@ class BlobLedger:
 
 
 def findings(versions: DataFrame, keys: list[str], content: str = "text", ledger: BlobLedger | None = None) -> DataFrame:
-    """All paths and versions (``keys``) with their blob and the spans found in it."""
+    """All paths and versions (``keys``) with their ``blob`` and the ``spans`` found in it; where a key has such a name, with an underscore before it."""
     ledger = ledger or BlobLedger(versions.sparkSession)
-    found = ledger.scan(versions, content).select(F.col("blob").alias("_blob"), "spans")
-    paths = versions.select(*keys, blob_of(F.col(content)).alias("blob"))
-    return paths.join(found, F.col("blob") == F.col("_blob")).drop("_blob")
+    paths = versions.select(*keys)
+    blob, spans, scanned = unused(paths, "blob"), unused(paths, "spans"), unused(paths, "scanned_blob")
+    found = ledger.scan(versions, content).select(F.col("blob").alias(scanned), F.col("spans").alias(spans))
+    return versions.select(*keys, blob_of(F.col(content)).alias(blob)).join(found, F.col(blob) == F.col(scanned)).drop(scanned)
 
 
 def _without(text: Column, spans: Column) -> Column:
@@ -141,9 +142,9 @@ def redacted(docs: DataFrame, content: str = "text", length: str = "n_chars", le
     Texts without a finding pass unchanged, null included.
     """
     ledger = ledger or BlobLedger(docs.sparkSession)
-    blob, spans = unused(docs, "blob"), unused(docs, "spans")
-    found = ledger.scan(docs, content).filter(F.size("spans") > 0).select(F.col("blob").alias(f"{blob}_"), F.col("spans").alias(spans))
-    rows = docs.withColumn(blob, blob_of(F.col(content))).join(found, F.col(blob) == F.col(f"{blob}_"), "left")
+    blob, spans, scanned = unused(docs, "blob"), unused(docs, "spans"), unused(docs, "scanned_blob")
+    found = ledger.scan(docs, content).filter(F.size("spans") > 0).select(F.col("blob").alias(scanned), F.col("spans").alias(spans))
+    rows = docs.withColumn(blob, blob_of(F.col(content))).join(found, F.col(blob) == F.col(scanned), "left")
     rows = rows.withColumn(content, F.when(F.col(spans).isNotNull(), _without(F.col(content), F.col(spans))).otherwise(F.col(content)))
     if length in docs.columns:
         rows = rows.withColumn(length, F.when(F.col(spans).isNotNull(), F.length(content).cast(docs.schema[length].dataType)).otherwise(F.col(length)))

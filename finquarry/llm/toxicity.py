@@ -9,16 +9,19 @@ probability of being toxic reaches ``REJECT``.
 
 Features are words of letters, lower-cased, and the beginnings of longer ones; the ``FEATURES`` words whose document
 frequencies differ most between the classes of a category are used, as log(1 + count).
-Training reads at most ``MAX_TRAIN`` labelled documents, those with the smallest hash of the
-id (a documented bound: more do not change a linear model of this size); frequencies are
-counted in Spark, and only the selected features of the training documents come to the
-driver. Near copies count once in training, or the rare words of a text with many copies
-would look like signs of its class. Scoring reads all documents whole.
+The model is fitted, and its words are chosen, on at most ``MAX_TRAIN`` labelled documents, those with
+the smallest hash of the id (a documented bound: more do not change a linear model of this
+size); frequencies are counted in Spark, and only the selected features of these documents
+come to the driver. All of them take part, but near copies, whose least and greatest
+shingle hashes are the same, share the weight of one document, or the rare words of a text with
+many copies would look like signs of its class. Scoring reads all documents whole.
 
 Defined cases: null text is empty and clean; documents without a label are scored like all
 others; repeated labels of an id all count, null labels do not; without labels, or with one
 class only, a category has its base rate (0 without any) as probability; ids may be null;
-repeated rows are each scored; other columns are carried or not read.
+repeated rows are each scored; texts of any length are read whole; of words that tell
+classes apart equally well the smaller one is used; an empty table gives no rows; other
+columns are carried or not read.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finquarry.llm.common import stored, table, texts
+from finquarry.llm.common import slices, stored, table, texts
 from finquarry.llm.near_dedup import shingles
 
 CATEGORIES = ["low_quality", "toxic", "severe"]
@@ -61,12 +64,13 @@ class Linear:
     bias: float
 
     @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, rounds: int = 12) -> "Linear":
+    def fit(cls, x: np.ndarray, y: np.ndarray, share: np.ndarray, ridge: float = RIDGE, rounds: int = 12) -> "Linear":
+        """``share`` is the weight of each row; both classes weigh the same in all."""
         n, k = x.shape
+        rate = float((y * share).sum() / share.sum()) if n else 0.0
         if n == 0 or y.min() == y.max():
-            rate = float(y.mean()) if n else 0.0
             return cls(np.zeros(k), float(np.log((rate + 1e-6) / (1 - rate + 1e-6))))
-        weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+        weight = share * np.where(y > 0, 0.5 / rate, 0.5 / (1 - rate))
         x1 = np.column_stack([x, np.ones(n)])
         w, penalty = np.zeros(k + 1), np.append(np.full(k, ridge), 1e-6)
         for _ in range(rounds):
@@ -103,7 +107,7 @@ class Chain:
         return Counter(v[w] for w in words_of(text) if w in v)
 
     @classmethod
-    def fit(cls, vocabulary: list[str], found: list[dict[int, int]], low_quality: np.ndarray, toxic: np.ndarray, fold: np.ndarray) -> "Chain":
+    def fit(cls, vocabulary: list[str], found: list[dict[int, int]], low_quality: np.ndarray, toxic: np.ndarray, fold: np.ndarray, share: np.ndarray) -> "Chain":
         x, width, models = matrix(found, len(vocabulary)), len(vocabulary), []
         for category in CATEGORIES:
             y = {"low_quality": low_quality, "toxic": toxic}.get(category)
@@ -111,12 +115,12 @@ class Chain:
                 load = x[:, :width] @ np.maximum(models[-1].weights[:width], 0)
                 at = np.median(load[toxic > 0]) if (toxic > 0).any() else np.inf
                 y = ((toxic > 0) & (load >= at)).astype(float)
-            models.append(Linear.fit(x, y))
+            models.append(Linear.fit(x, y, share))
             out = np.zeros(len(found))
             for k in range(FOLDS):  # out-of-fold: what later models are trained on
                 here = fold == k
                 if here.any():
-                    out[here] = Linear.fit(x[~here], y[~here]).predict(x[here])
+                    out[here] = Linear.fit(x[~here], y[~here], share[~here]).predict(x[here])
             x = np.column_stack([x, out])
         return cls({w: i for i, w in enumerate(vocabulary)}, models)
 
@@ -128,17 +132,20 @@ class Chain:
         return x[:, len(self.vocabulary) :]
 
 
-@F.pandas_udf(T.LongType())
-def _first_shingle(text):
-    """The smallest hash of a text's five-word shingles: nearly always the same for near copies."""
+ONE = 1 << 20  # the weight of a document, whole numbers so that sums don't depend on their order
+
+
+@F.pandas_udf(T.StringType())
+def _copy_key(text):
+    """The least and the greatest hash of a text's five-word shingles: nearly always the same for near copies; null without words."""
     import pandas as pd
 
     found = (shingles((t or "").encode(), 5)[0] for t in text)
-    return pd.Series([int(f[0]) >> 1 if len(f) else 0 for f in found], dtype="int64")
+    return pd.Series([f"{f[0]}-{f[-1]}" if len(f) else None for f in found], dtype=object)
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with each word, by class; summed per task."""
+    """Weight of the documents with each word, by class; summed per task."""
     held: Counter = Counter()
     names, kinds = ["word", "low_quality", "toxic", "n"], [pa.string(), pa.int32(), pa.int32(), pa.int64()]
 
@@ -148,9 +155,10 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.clear()
         return out
 
-    for b in batches:
-        for t, q, x in zip(texts(b.column("text")), b.column("low_quality").to_pylist(), b.column("toxic").to_pylist()):
-            held.update((w, q, x) for w in {"", *words_of(t)})  # "" counts the documents
+    for b in slices(batches):
+        for t, q, x, share in zip(texts(b.column("text")), *(b.column(c).to_pylist() for c in ("low_quality", "toxic", "share"))):
+            for w in {"", *words_of(t)}:  # "" counts the documents
+                held[w, q, x] += share
             if len(held) > 500_000:
                 yield rows()
     yield rows()
@@ -158,7 +166,7 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _selected(counts: DataFrame) -> list[str]:
     """The words whose shares of documents differ most between classes, by standard errors."""
-    n = F.col("n")
+    n = F.col("n") / ONE
     by_word = counts.groupBy("word").agg(
         F.sum("n").alias("docs"), F.sum(F.when(F.col("toxic") == 1, n).otherwise(0)).alias("t"), F.sum(F.when(F.col("low_quality") == 1, n).otherwise(0)).alias("q")
     )
@@ -181,9 +189,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     h = F.xxhash64(F.lit(17), "_id")
     sample = known.withColumn("h", h).orderBy("h", "_id", "toxic", "low_quality").limit(max_train)
     labelled = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))  # at most max_train rows
-    once = labelled.withColumn("copy", _first_shingle("text")).groupBy("copy", "low_quality", "toxic").agg(F.min(F.struct("h", "doc_id", "text")).alias("f"))
-    labelled = stored(once.select("f.doc_id", "f.text", "low_quality", "toxic", "f.h"), "labelled")
-    counts = labelled.select("text", "low_quality", "toxic").mapInArrow(_words, "word string, low_quality int, toxic int, n bigint")
+    labelled = stored(labelled.select("h", "doc_id", "low_quality", "toxic", "text", _copy_key("text").alias("copy")), "labelled")
+    copies = labelled.filter("copy is not null").groupBy(F.col("copy").alias("_copy")).agg(F.round(F.lit(ONE) / F.count("*")).cast("bigint").alias("share"))
+    labelled = stored(labelled.join(F.broadcast(copies), F.col("copy") == F.col("_copy"), "left").withColumn("share", F.coalesce("share", F.lit(ONE).cast("bigint"))).drop("_copy"), "labelled")  # at most max_train rows
+    counts = labelled.select("text", "low_quality", "toxic", "share").mapInArrow(_words, "word string, low_quality int, toxic int, n bigint")
     vocabulary = _selected(counts)
     at = {w: i for i, w in enumerate(vocabulary)}
     shared = spark.sparkContext.broadcast(at)  # at most FEATURES words
@@ -191,14 +200,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def features(batches):
         for b in batches:
             found = [Counter(shared.value[w] for w in words_of(t) if w in shared.value) for t in texts(b.column("text"))]
-            columns = [b.column("h"), b.column("doc_id"), b.column("low_quality"), b.column("toxic"), pa.array([list(f) for f in found], pa.list_(pa.int32())), pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))]
-            yield pa.record_batch(columns, names=["h", "doc_id", "low_quality", "toxic", "cols", "counts"])
+            columns = [b.column("h"), b.column("doc_id"), b.column("low_quality"), b.column("toxic"), b.column("share"), pa.array([list(f) for f in found], pa.list_(pa.int32())), pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))]
+            yield pa.record_batch(columns, names=["h", "doc_id", "low_quality", "toxic", "share", "cols", "counts"])
 
-    rows = labelled.mapInArrow(features, "h bigint, doc_id bigint, low_quality int, toxic int, cols array<int>, counts array<int>").toPandas()
+    rows = labelled.mapInArrow(features, "h bigint, doc_id bigint, low_quality int, toxic int, share bigint, cols array<int>, counts array<int>").toPandas()
     rows = rows.sort_values(["h", "doc_id", "toxic", "low_quality"], kind="stable")
     found = [dict(zip(c, n)) for c, n in zip(rows["cols"], rows["counts"])]
     fold = np.abs(rows["h"].to_numpy(np.int64)) % FOLDS
-    return Chain.fit(vocabulary, found, rows["low_quality"].to_numpy(float), rows["toxic"].to_numpy(float), fold)
+    return Chain.fit(vocabulary, found, rows["low_quality"].to_numpy(float), rows["toxic"].to_numpy(float), fold, rows["share"].to_numpy(float) / ONE)
 
 
 def probabilities(docs: DataFrame, chain: Chain, text_col: str = "text") -> Column:

@@ -5,7 +5,7 @@ import re
 import corpus_pipeline
 from finquarry.llm.secret_ledger import find_secrets
 from finquarry.llm.toxicity import REJECT, probabilities, train
-from tests.llm.helpers import awkward, roots, shingle_set
+from tests.llm.helpers import awkward, nothing, roots, shingle_set
 
 DATA = "/root/testdata/sf0.001"
 
@@ -53,3 +53,11 @@ def test_awkward_rows_pass_every_stage(spark):
         docs = spark.createDataFrame(out.collect(), out.schema)
     assert {r.doc_id for r in docs.collect()} >= {7, 8, 9, 10, 11}
     assert sum(r.doc_id is None for r in docs.collect()) >= 1
+
+
+def test_empty_tables_pass_every_stage(spark):
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, nothing(spark), DATA)
+        assert out.count() == 0, name
+        if name != "packing":
+            assert out.columns == nothing(spark).columns, name

@@ -231,6 +231,14 @@ def test_redacted_rows(spark):
     assert findings(nothing(spark), ["doc_id"]).count() == 0
 
 
+def test_secrets_beside_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "password: hunter22", "x", "y", "z"), (2, None, None, None, None)], "doc_id bigint, text string, blob string, blob_ string, scanned_blob string")
+    got = redacted(docs)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == [(1, "[SECRET]", "x", "y", "z"), (2, None, None, None, None)]
+    rows = findings(docs, ["doc_id", "blob", "scanned_blob"]).collect()
+    assert {r.doc_id: (r.blob, len(r._blob), len(r.spans)) for r in rows} == {1: ("x", 32, 1), 2: (None, 32, 0)}
+
+
 def test_scores_equal_brute_force(spark):
     docs = awkward(spark)
     end = "\n"
@@ -299,6 +307,15 @@ def test_top_k_equals_brute_force(spark, monkeypatch, n, spread, rows):
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got.collect()) == sorted(_brute_top(whole, 5))
 
 
+def test_top_k_of_empty_and_wider_tables(spark):
+    df = spark.createDataFrame([(i, [1.0 * i, 1.0], "x", i, "y") for i in range(4)], "vec_id bigint, embedding array<float>, norm string, score int, block string")
+    wide, slim = scaled(df, "vec_id", "embedding"), scaled(df.select("vec_id", "embedding"), "vec_id", "embedding")
+    rows = lambda v: sorted(map(tuple, top_k(v, v.filter("id = 0"), 2).collect()))
+    assert rows(wide) == rows(slim) and len(rows(slim)) == 2
+    none = scaled(df.limit(0), "vec_id", "embedding")
+    assert top_k(none, none, 2).count() == 0 and top_k(slim, none, 2).count() == 0
+
+
 def test_bucket_prunings_lose_nothing():
     rng, used = np.random.default_rng(0), Counter()
     for _ in range(300):
@@ -338,6 +355,16 @@ def test_chain_on_held_out_documents(spark):
     assert len(chain.models) == 3 and len(chain.models[2].weights) == len(chain.vocabulary) + 2  # fed with both before it
 
 
+def test_copies_share_the_weight_of_one_document():
+    from finquarry.llm.toxicity import Linear
+
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=(60, 3)), (rng.random(60) < 0.4).astype(float)
+    one = Linear.fit(x, y, np.ones(60))
+    copied = Linear.fit(np.concatenate([x, x[:20], x[:20]]), np.concatenate([y, y[:20], y[:20]]), np.concatenate([np.r_[np.full(20, 1 / 3), np.ones(40)], np.full(40, 1 / 3)]))
+    assert np.allclose(one.weights, copied.weights) and np.isclose(one.bias, copied.bias)
+
+
 def test_toxicity_awkward(spark):
     docs = awkward(spark)
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
