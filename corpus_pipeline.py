@@ -1,4 +1,11 @@
-"""The corpus pipeline: documents through five of the operators, each stage on what the one before it kept."""
+"""The corpus pipeline: documents through five of the operators, each stage on what the one before it kept.
+
+Defined cases, for every stage: an empty table gives no rows, with the same columns where the stage keeps
+them; null texts count as empty, are clean, equal to one another and near to nothing; a null id is kept, and
+stands after all others where the smallest counts; of repeated rows one stays from exact dedup on; texts are
+read whole whatever their length; columns of any name pass unchanged, but for the text and its length where
+a secret was replaced.
+"""
 
 from __future__ import annotations
 
@@ -14,7 +21,7 @@ from finquarry.llm.toxicity import kept_documents
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier chain, trained on the labelled ones, rejects go."""
+    """Documents that the classifier chain, trained on the labelled ones, rejects go. Repeated rows are each judged; without labels all stay."""
     return kept_documents(docs, table(spark, sf_dir, "labels"))
 
 
@@ -28,24 +35,24 @@ def _keep(docs: DataFrame, wanted: DataFrame, mark) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents equal but for white space the longest stays."""
+    """Of documents equal but for white space the longest stays, of equally long ones the smallest id."""
     kept = exact_dedup(docs).filter("kept").select("doc_id", F.col("digest").alias("mark"))
     return _keep(docs, kept, digest_of(F.col("text")))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates (five-word shingles, similarity 0.8 or more) the smallest id stays."""
+    """Of near duplicates (five-word shingles, similarity 0.8 or more) the smallest id stays; documents without words all do."""
     kept = near_duplicates(docs).filter("kept").select("doc_id", F.col("text_key").alias("mark"))
     return _keep(docs, kept, text_key(F.col("text")))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays; secrets in it are replaced by a mark."""
+    """Every document stays; secrets in it are replaced by a mark, overlapping ones by one."""
     return redacted(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in windows of 1024 tokens."""
+    """Pieces of documents in windows of 1024 tokens; a document without text is its end token."""
     import public_tokenizers
 
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), 0)
