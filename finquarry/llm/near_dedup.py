@@ -4,9 +4,10 @@ Each document's set of word shingles gets a signature of ``SYMBOLS`` min-hashes
 Signatures are split into ``CHUNKS`` chunks. Two signatures that differ in at most
 ``THRESHOLD`` symbols have, by pigeonhole, a chunk with at most ``ERRORS`` differing symbols,
 so they share a key when each chunk is indexed with every choice of that many symbols left
-out: all pairs under the threshold meet. A pair at the smallest linked similarity differs in
-more symbols than the threshold with a probability of about 3.25 in 100,000 (binomial tail).
-Pairs that meet are checked by signature distance and confirmed on the full sets.
+out: all pairs under the threshold meet, and of those beyond it nearly all that are similar: a
+pair at the smallest linked similarity shares no key with a probability of 5 in 10^10. Pairs
+that meet are dropped if they differ in more than ``CLOSE`` symbols, which such a pair does with
+one of 3 in 10^11 (binomial tails), and confirmed on the full sets.
 
 Large groups are never expanded into pairs:
 
@@ -15,7 +16,7 @@ Large groups are never expanded into pairs:
   with the ``LEADERS`` leaders that it shares most keys with. What links is contracted towards components;
 * then a key is only looked at again where it still joins different components, and only
   pairs across components are compared, with sets of fitting sizes, and with sketches (four
-  bits of each symbol) that differ in no more symbols than the threshold;
+  bits of each symbol) that differ in no more than ``CLOSE`` symbols;
 * keys with more than ``CROWD`` nodes left in different components (a passage that many
   otherwise different documents share) use an exact prefix filter instead: their documents'
   shingles are ordered from rare to common, and two sets with the similarity must share one
@@ -46,7 +47,8 @@ from finquarry.llm.tokens import Held
 
 WORDS, PERCENT = 5, 80  # the library's default shingle; op2's contract sets four
 SYMBOLS, CHUNKS, ERRORS = 80, 16, 1
-THRESHOLD = CHUNKS * (ERRORS + 1) - 1
+THRESHOLD = CHUNKS * (ERRORS + 1) - 1  # all pairs that differ in no more symbols meet
+CLOSE = 42  # pairs that met are looked at in full up to this distance
 ROUNDS, LEADERS = 3, 3
 CROWD = 64  # nodes of one key that are compared pair by pair; larger keys use the prefix filter
 BEFORE = 8  # keys before one in a prefix that are looked at to tell whether a pair has met already
@@ -161,10 +163,10 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose signatures differ in at most THRESHOLD symbols."""
+    """Pairs whose signatures differ in at most CLOSE symbols."""
     for b in slices(batches):
         one, two = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(b.num_rows, SYMBOLS) for c in ("sig_a", "sig_b"))
-        ok = pa.array((one != two).sum(1) <= THRESHOLD)
+        ok = pa.array((one != two).sum(1) <= CLOSE)
         yield pa.record_batch([b.column("a").filter(ok), b.column("b").filter(ok)], names=["a", "b"])
 
 
@@ -260,7 +262,7 @@ def _cross(linker: _Linker, keyed: DataFrame, percent: int, ordered: bool = Fals
     a = rows.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), *[F.col(c).alias(f"a_{c}") for c in SKETCH], *[F.col(c).alias(f"{c}_a") for c in more])
     b = rows.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), *[F.col(c).alias(f"b_{c}") for c in SKETCH], *[F.col(c).alias(f"{c}_b") for c in more])
     fits = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
-    close = _sketch_distance([F.col(f"a_{c}") for c in SKETCH], [F.col(f"b_{c}") for c in SKETCH]) <= THRESHOLD
+    close = _sketch_distance([F.col(f"a_{c}") for c in SKETCH], [F.col(f"b_{c}") for c in SKETCH]) <= CLOSE
     fits = fits & (_first_shared(percent) if ordered else close)
     return a.join(b, "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits).select("a", "b").distinct()
 

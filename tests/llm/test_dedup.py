@@ -123,6 +123,23 @@ def test_stated_loss_is_the_binomial_tail():
 
     import finquarry.llm.near_dedup as m
 
-    lost = sum(math.comb(m.SYMBOLS, k) * 0.2**k * 0.8 ** (m.SYMBOLS - k) for k in range(m.THRESHOLD + 1, m.SYMBOLS + 1))
-    stated = float(re.search(r"about ([0-9.]+) in 100,000", m.__doc__)[1])
-    assert abs(lost * 1e5 - stated) < 0.01
+    tail = lambda n, least: sum(math.comb(n, k) * 0.2**k * 0.8 ** (n - k) for k in range(least, n + 1))
+    no_key, too_far = tail(m.SYMBOLS // m.CHUNKS, m.ERRORS + 1) ** m.CHUNKS, tail(m.SYMBOLS, m.CLOSE + 1)
+    assert "probability of 5 in 10^10" in " ".join(m.__doc__.split()) and "one of 3 in 10^11" in m.__doc__
+    assert no_key < 5.5e-10 and too_far < 3e-11
+
+
+def test_no_pair_of_the_smallest_similarity_is_lost():
+    """3,000 pairs of sets with a similarity of exactly 0.8: each shares a key, and none is too far."""
+    import finquarry.llm.near_dedup as m
+
+    rng = np.random.default_rng(6)
+    one, two = [], []
+    for _ in range(3000):
+        both = rng.integers(0, 1 << 63, 100, dtype=np.uint64)
+        one.append(m.signature(np.unique(both[:90])))
+        two.append(m.signature(np.unique(np.concatenate([both[:80], both[90:]]))))
+    one, two = np.array(one), np.array(two)
+    shared = (m.chunk_keys(one) == m.chunk_keys(two)).any(1)
+    far = (one != two).sum(1)
+    assert shared.all() and far.max() <= m.CLOSE and (far > m.THRESHOLD).sum() < 3
