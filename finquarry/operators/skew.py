@@ -284,14 +284,15 @@ def ntiles(df: DataFrame, keys, order, n: int, out: str, base: DataFrame | None
 
 
 # --- joins --------------------------------------------------------------------------------------------------
-def small(df: DataFrame, max_rows: int = 200_000) -> bool:
-    """Whether ``df`` provably has at most ``max_rows`` rows (stops counting just beyond)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def join_measured(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A join whose right side is broadcast if it is small as measured, else sorted or hashed.
 
-
-def join_checked(left: DataFrame, right: DataFrame, on, how: str = "inner", max_rows: int = 200_000) -> DataFrame:
-    """Broadcast the right side after its size has been checked, else leave the choice to AQE."""
-    return left.join(F.broadcast(right) if small(right, max_rows) else right, on, how)
+    The right side is shuffled by the keys first, which the join needs in any case unless it
+    broadcasts; adaptive execution then decides by the bytes that were written, not by an
+    estimate, and no job runs while the plan is built.
+    """
+    keys = _names(on)
+    return left.join(right.repartition(*keys), keys, how)
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, buckets: int = 16, hot_share: float = 0.01, how: str = "inner") -> DataFrame:

@@ -221,7 +221,7 @@ def _(b):
 @query("join_broadcast", "SELECT s_suppkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey")
 def _(b):
     n = b.table("nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
-    return skew.join_checked(b.table("supplier"), n, "s_nationkey").select("s_suppkey", "n_name")
+    return skew.join_measured(b.table("supplier"), n, "s_nationkey").select("s_suppkey", "n_name")
 
 
 @query("join_skew_salt", "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, s_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey")

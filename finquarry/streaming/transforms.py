@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -67,15 +68,24 @@ def split_unparsed(raw: DataFrame, schema: str, value: str = "value") -> DataFra
 
 
 def running_state(df: DataFrame, key: str, amount: str) -> DataFrame:
-    """Count and sum per key in a state of our own; one output row per key and micro-batch."""
+    """Count and sum per key in a state of our own; one output row per key and micro-batch.
+
+    Rows are summed per key before the shuffle, so a hot key sends a row per batch of rows.
+    """
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            t = pa.Table.from_batches([b]).group_by(key).aggregate([([], "count_all"), ("cents", "sum")])
+            yield from t.rename_columns([key, "n", "cents"] if t.column_names[0] == key else ["n", "cents", key]).select([key, "n", "cents"]).combine_chunks().to_batches()
 
     def update(k: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         n, cents = state.get if state.exists else (0, 0)
         for c in chunks:
-            n += len(c)
-            cents += int(c["_cents"].sum())
+            n += int(c["n"].sum())
+            cents += int(c["cents"].sum())
         state.update((n, cents))
         yield pd.DataFrame({key: [k[0]], "n": [n], "cents": [cents]})
 
-    rows = df.select(F.col(key), F.round(F.col(amount) * 100).cast("bigint").alias("_cents"))
-    return rows.groupBy(key).applyInPandasWithState(update, f"{key} bigint, n bigint, cents bigint", "n bigint, cents bigint", "update", GroupStateTimeout.NoTimeout)
+    rows = df.select(F.col(key).cast("bigint"), F.coalesce(F.round(F.col(amount) * 100), F.lit(0)).cast("bigint").alias("cents"))
+    kind = f"{key} bigint, n bigint, cents bigint"
+    return rows.mapInArrow(reduce, kind).groupBy(key).applyInPandasWithState(update, kind, "n bigint, cents bigint", "update", GroupStateTimeout.NoTimeout)

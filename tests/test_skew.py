@@ -145,11 +145,19 @@ def test_salted_join(spark, skewed, how):
     same(skew.salted_join(skewed, right, "k", how=how), skewed.join(right, "k", how))
 
 
-def test_broadcast_only_after_a_size_check(spark):
-    big, tiny = spark.range(1000).withColumnRenamed("id", "k"), spark.range(5).withColumnRenamed("id", "k")
-    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan(skew.join_checked(big, tiny, "k", max_rows=10))
-    assert "broadcast" not in plan(skew.join_checked(tiny, big, "k", max_rows=10))
+def test_broadcast_by_measured_size(spark):
+    """Small after a filter that no estimate sees through; the large one is not broadcast."""
+    big = spark.range(200_000).selectExpr("id AS k", "id AS v", "repeat('x', 200) AS pad")
+    final = lambda df: (df.count(), df._jdf.queryExecution().executedPlan().toString())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(1 << 20))
+    try:
+        few = skew.join_measured(big.select("k", "v"), big.filter("v % 1000 = 7").select("k", "pad"), "k")
+        assert few.collect() and "BroadcastHashJoin" in final(few)[1] and few.count() == 200
+        many = skew.join_measured(big.select("k", "v"), big.select("k", "pad"), "k")
+        many.write.format("noop").mode("overwrite").save()
+        assert "SortMergeJoin" in many._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_exact_quantiles(skewed, tiny_chunks):
