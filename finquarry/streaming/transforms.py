@@ -76,7 +76,7 @@ def running_state(df: DataFrame, key: str, amount: str) -> DataFrame:
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             t = pa.Table.from_batches([b]).group_by(key).aggregate([([], "count_all"), ("cents", "sum")])
-            yield from t.rename_columns([key, "n", "cents"] if t.column_names[0] == key else ["n", "cents", key]).select([key, "n", "cents"]).combine_chunks().to_batches()
+            yield from t.select([key, "count_all", "cents_sum"]).rename_columns([key, "n", "cents"]).combine_chunks().to_batches()
 
     def update(k: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         n, cents = state.get if state.exists else (0, 0)
