@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finquarry.llm.common import slices, table, texts
-from finquarry.llm.tokens import PLAIN, WORD_SPLIT, Held, byte_letters, packed
+from finquarry.llm.tokens import PLAIN, WORD_SPLIT, Held, byte_letters, packed, working_for
 
 NEVER = np.iinfo(np.int32).max
 
@@ -228,6 +228,7 @@ def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     shared = docs.sparkSession.sparkContext.broadcast(automaton(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        working_for("bpe")
         if path not in _coders:
             _coders[path] = Coder(shared.value, path)
         coder = _coders[path]

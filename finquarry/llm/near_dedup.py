@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from finquarry.llm.common import slices, stored, table, utf8
 from finquarry.llm.components import components, contracted
-from finquarry.llm.tokens import Held
+from finquarry.llm.tokens import Held, working_for
 
 WORDS, PERCENT = 5, 80  # the library's default shingle; op2's contract sets four
 SYMBOLS, CHUNKS, ERRORS = 80, 16, 1
@@ -138,6 +138,7 @@ def _sketch(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        working_for("near")
         first = TaskContext.get().partitionId() << 33
         for b in slices(batches):
             sizes, seqs, sigs, sketches = [], [], [], []
@@ -174,6 +175,7 @@ def _confirmed(n: int, percent: int):
     """Pairs whose full shingle sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        working_for("near")
         for b in slices(batches):
             ok, known = [], {}
             for ta, tb, a in zip(utf8(b.column("text_a")), utf8(b.column("text_b")), b.column("a").to_pylist()):
@@ -216,6 +218,7 @@ class _Linker:
 
 def _shingle_rows(n: int):
     def run(batches):
+        working_for("near")
         for b in slices(batches):
             found = [shingles(t, n)[0] for t in utf8(b.column("text"))]
             sizes = [len(f) for f in found]

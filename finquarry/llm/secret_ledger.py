@@ -20,7 +20,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finquarry.llm.common import joined_spans, table, texts, unused
+from finquarry.llm.common import joined_spans, slices, table, texts, unused
+from finquarry.llm.tokens import working_for
 from finquarry.session import run_folder
 
 BASE_KINDS = ["assign", "access", "hex"]
@@ -74,7 +75,8 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
 def _scan(rule_version: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("blob", pa.binary()), ("rule_version", pa.string()), ("spans", pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))])
-        for b in batches:
+        working_for("secrets")
+        for b in slices(batches):
             found = [[dict(zip(("kind", "start", "end"), s)) for s in find_secrets(t)] for t in texts(b.column("content"))]
             yield pa.record_batch([b.column("blob").cast(pa.binary()), pa.array([rule_version] * b.num_rows, pa.string()), pa.array(found, schema.field("spans").type)], schema=schema)
 

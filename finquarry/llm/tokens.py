@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 import struct
+import weakref
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -35,13 +36,32 @@ def byte_letters() -> list[str]:
     return [letter[b] for b in range(256)]
 
 
+_held: list[weakref.ref] = []
+_worker = {"stage": ""}
+
+
+def working_for(stage: str) -> None:
+    """Workers live on from stage to stage: what an earlier one remembered is dropped when another begins."""
+    if _worker["stage"] != stage:
+        _worker["stage"] = stage
+        for ref in _held:
+            if (held := ref()) is not None:
+                held.forget()
+        _held[:] = [ref for ref in _held if ref() is not None]
+
+
 class Held(dict):
     """A dict from text to bytes that computes what is missing and starts anew when it is full."""
 
     def __init__(self, make, most_bytes: int = HELD_BYTES):
         super().__init__()
+        _held.append(weakref.ref(self))
         self.make, self.most, self.bytes = make, most_bytes, 0
 
+    def forget(self) -> None:
+        self.clear()
+        self.bytes = 0
+
     def __missing__(self, key):
         value = self.make(key)
         self.bytes += ENTRY + len(key) + len(value)
@@ -107,6 +127,7 @@ _encoders: dict[str, Encoder] = {}
 
 def encoder(path: str) -> Encoder:
     """One encoder per worker and vocabulary file."""
+    working_for(f"tokens of {path}")
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]

@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 
 from finquarry.llm.common import slices, stored, table, texts
 from finquarry.llm.near_dedup import shingles
+from finquarry.llm.tokens import working_for
 
 CATEGORIES = ["low_quality", "toxic", "severe"]
 MAX_TRAIN, FEATURES, MIN_DOCS, FOLDS, RIDGE, REJECT = 10_000, 200, 5, 3, 5.0, 0.6
@@ -140,6 +141,7 @@ def _copy_key(text):
     """The least and the greatest hash of a text's five-word shingles: nearly always the same for near copies; null without words."""
     import pandas as pd
 
+    working_for("toxicity")
     found = (shingles((t or "").encode(), 5)[0] for t in text)
     return pd.Series([f"{f[0]}-{f[-1]}" if len(f) else None for f in found], dtype=object)
 
@@ -155,6 +157,7 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.clear()
         return out
 
+    working_for("toxicity")
     for b in slices(batches):
         for t, q, x, share in zip(texts(b.column("text")), *(b.column(c).to_pylist() for c in ("low_quality", "toxic", "share"))):
             for w in {"", *words_of(t)}:  # "" counts the documents
@@ -219,6 +222,7 @@ def probabilities(docs: DataFrame, chain: Chain, text_col: str = "text") -> Colu
     def score(text):
         import pandas as pd
 
+        working_for("toxicity")
         return pd.DataFrame(shared.value.predict([t or "" for t in text]), columns=CATEGORIES)
 
     return score(F.col(text_col))

@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 from finquarry.llm.bpe_automaton import Coder, automaton, bpe_round_trip, decode_ids
 from finquarry.llm.packing import Plan, nnls, pack
 from finquarry.llm.token_files import CHECKPOINT, LANES, Table, decode_block, encode_block, read_tokens, write_tokens
+from finquarry.llm import tokens
 from finquarry.llm.tokens import Encoder, Held
 from finquarry.session import run_folder
 from tests.llm.helpers import awkward, nothing
@@ -32,6 +33,12 @@ def test_what_is_remembered_is_bounded_by_bytes():
     for i in range(500):
         assert held[str(i)] == str(i) * 2 and held.bytes <= 10_000
     assert held["x" * 5000] == "x" * 10_000 and "x" * 5000 not in held
+    tokens.working_for("one stage")
+    held["kept"]
+    tokens.working_for("one stage")
+    assert "kept" in held
+    tokens.working_for("another")
+    assert not held and held.bytes == 0
 
 
 @pytest.mark.parametrize("path", [WORD, BYTE])
