@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finquarry.session import run_folder
+from finquarry.session import remove, run_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +19,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to a fresh path of the shared folder and read back: cuts the lineage, survives lost executors."""
     path = run_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def dropped(df: DataFrame) -> None:
+    """Delete the files of a ``stored`` table that nothing reads any more."""
+    remove(df.sparkSession, df.stored_path)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:

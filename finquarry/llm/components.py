@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finquarry.llm.common import stored
+from finquarry.llm.common import dropped, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -37,8 +37,12 @@ def contracted(links: DataFrame, rounds: int = 2) -> DataFrame:
     For steps that only gain by knowing part of the components: no test for the end, so no more than ``rounds`` small writes.
     """
     edges = _ordered(links)
+    before = None
     for _ in range(rounds):
         edges = stored(_small_star(_large_star(edges)), "links")
+        if before is not None:
+            dropped(before)
+        before = edges
     return edges
 
 
@@ -47,7 +51,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(_ordered(links), "links")
     before = None
     while True:
-        edges = stored(_small_star(_large_star(edges)), "links")
+        last, edges = edges, stored(_small_star(_large_star(edges)), "links")
+        dropped(last)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from finquarry.llm.common import slices, stored, table, utf8
+from finquarry.llm.common import dropped, slices, stored, table, utf8
 from finquarry.llm.components import components, contracted
 from finquarry.llm.tokens import Held, working_for
 
@@ -208,14 +208,17 @@ class _Linker:
         """The pairs (a, b) that are links, as (u, v): first by signature, then on the full sets."""
         sig = self.nodes.select("node", "sig")
         near = pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a").join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
-        near = stored(near.mapInArrow(_near, "a bigint, b bigint"), "near-pairs")
-        return self.confirm(near)
+        return self.confirm(stored(near.mapInArrow(_near, "a bigint, b bigint"), "near-pairs"))
 
     def confirm(self, near: DataFrame) -> DataFrame:
-        ids = near.select(F.explode(F.array("a", "b")).alias("node"))
+        """The pairs of a stored table that are links; the table is not kept."""
+        ids = near.select(F.col("a").alias("node")).union(near.select("b"))
         text = stored(self.texts_of(ids), "near-texts")
         with_text = near.join(text.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(text.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        return stored(with_text.mapInArrow(_confirmed(self.n, self.percent), "u bigint, v bigint"), "links")
+        found = stored(with_text.mapInArrow(_confirmed(self.n, self.percent), "u bigint, v bigint"), "links")
+        dropped(text)
+        dropped(near)
+        return found
 
 
 def _shingle_rows(n: int):
@@ -329,7 +332,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
         # what is not yet merged here only costs comparisons below; the components are made at the end
         links = contracted(found if links is None else links.union(found))
-        placed = stored(_open(_joined(placed, _merged(links))), "open-keys")
+        last, placed = placed, stored(_open(_joined(placed, _merged(links))), "open-keys")
+        dropped(last)
         if placed.isEmpty():
             break
     crossed = linker.confirm(stored(_cross(linker, placed.filter(F.col("m") <= CROWD), percent), "cross-pairs"))  # sketches said what signatures would
@@ -340,7 +344,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         # a crowd of near copies isn't paired out: a few partners of each node first, and what is linked is known in full each time
         for turn in [*range(TURNS), None]:
             known = components(links).select(F.col("node").alias("_node"), F.col("component").alias("_to"))
-            prefix = stored(_open(_joined(prefix, known)), "prefix-keys")
+            last, prefix = prefix, stored(_open(_joined(prefix, known)), "prefix-keys")
+            dropped(last)
             pairs = stored(_cross(linker, prefix, percent, ordered=True, turn=turn), "prefix-pairs")
             links = links.union(linker.confirm(pairs))
     final = components(links).withColumnRenamed("node", "_node")
