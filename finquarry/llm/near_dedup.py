@@ -22,9 +22,7 @@ Large groups are never expanded into pairs:
   shingles are ordered from rare to common, and two sets with the similarity must share one
   of the first n - ceil(similarity * n) + 1; the shared passage is never among these. A pair
   is only made at a key that can be the first it shares: enough shingles are left for the
-  overlap, and none of the ``BEFORE`` keys before it is shared. In ``TURNS`` turns each node
-  is only compared with a few of its partners, and what that links is contracted, before all
-  pairs that are left.
+  overlap, and none of the ``BEFORE`` keys before it is shared.
 
 Defined cases: null text, or one without words, has an empty set and is linked with nothing;
 fewer words than a shingle: the whole sequence is the one shingle; null ids take part and
@@ -51,7 +49,7 @@ WORDS, PERCENT = 5, 80  # the library's default shingle; op2's contract sets fou
 SYMBOLS, CHUNKS, ERRORS = 80, 16, 1
 THRESHOLD = CHUNKS * (ERRORS + 1) - 1  # all pairs that differ in no more symbols meet
 CLOSE = 42  # pairs that met are looked at in full up to this distance
-ROUNDS, LEADERS, TURNS = 3, 3, 2
+ROUNDS, LEADERS = 3, 3
 CROWD = 64  # nodes of one key that are compared pair by pair; larger keys use the prefix filter
 BEFORE = 8  # keys before one in a prefix that are looked at to tell whether a pair has met already
 
@@ -260,11 +258,11 @@ def _first_shared(percent: int) -> Column:
     return holds & ~F.arrays_overlap("before_a", "before_b")
 
 
-def _cross(linker: _Linker, keyed: DataFrame, percent: int, ordered: bool = False, turn: int | None = None) -> DataFrame:
+def _cross(linker: _Linker, keyed: DataFrame, percent: int, ordered: bool = False) -> DataFrame:
     """Pairs (a, b) of one key in different components, with sets of fitting sizes and near sketches.
 
     ``ordered`` keys are prefixes with ``rest`` and ``before``: a pair is only made where its first shared key can be,
-    whatever its sketches. With a ``turn`` each node only keeps ``LEADERS`` of its partners, others in each turn.
+    whatever its sketches.
     """
     sketches = [] if ordered else [F.col("sketch")[i].alias(c) for i, c in enumerate(SKETCH)]
     rows = keyed.join(linker.nodes.select("node", *sketches), "node") if sketches else keyed
@@ -275,11 +273,7 @@ def _cross(linker: _Linker, keyed: DataFrame, percent: int, ordered: bool = Fals
         fits = fits & _first_shared(percent)
     else:
         fits = fits & (_sketch_distance([F.col(f"{c}_a") for c in SKETCH], [F.col(f"{c}_b") for c in SKETCH]) <= CLOSE)
-    met = side(rows, "a").join(side(rows, "b"), "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits).select("a", "b").distinct()
-    if turn is None:
-        return met
-    order = F.row_number().over(Window.partitionBy("b").orderBy(F.xxhash64(F.lit(turn), "a"), "a"))
-    return met.withColumn("r", order).filter(F.col("r") <= LEADERS).drop("r")
+    return side(rows, "a").join(side(rows, "b"), "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits).select("a", "b").distinct()
 
 
 def _led(placed: DataFrame, turn: int) -> DataFrame:
@@ -341,13 +335,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     crowd = placed.filter(F.col("m") > CROWD)
     if not crowd.isEmpty():
         prefix = stored(_prefix_keys(linker, crowd, percent), "prefix-keys")
-        # a crowd of near copies isn't paired out: a few partners of each node first, and what is linked is known in full each time
-        for turn in [*range(TURNS), None]:
-            known = components(links).select(F.col("node").alias("_node"), F.col("component").alias("_to"))
-            last, prefix = prefix, stored(_open(_joined(prefix, known)), "prefix-keys")
-            dropped(last)
-            pairs = stored(_cross(linker, prefix, percent, ordered=True, turn=turn), "prefix-pairs")
-            links = links.union(linker.confirm(pairs))
+        # what is linked so far is known in full first, so that a crowd of near copies isn't paired out
+        known = components(links).select(F.col("node").alias("_node"), F.col("component").alias("_to"))
+        pairs = stored(_cross(linker, _open(_joined(prefix, known)), percent, ordered=True), "prefix-pairs")
+        links = links.union(linker.confirm(pairs))
     final = components(links).withColumnRenamed("node", "_node")
 
     group = nodes.select("seq", "node").join(final, F.col("node") == F.col("_node"), "left").select(F.col("seq").alias("_seq"), F.coalesce("component", "node").alias("group"))
