@@ -7,7 +7,10 @@ so they share a key when each chunk is indexed with every choice of that many sy
 out: all pairs under the threshold meet, and of those beyond it nearly all that are similar: a
 pair at the smallest linked similarity shares no key with a probability of 5 in 10^10. Pairs
 that meet are dropped if they differ in more than ``CLOSE`` symbols, which such a pair does with
-one of 3 in 10^11 (binomial tails), and confirmed on the full sets.
+one of 3 in 10^11 (binomial tails), and confirmed on the full sets. Before any text is fetched,
+a pair must pass an exact test: each set has ``PARITY`` bits, each telling whether an odd number
+of its shingles falls to it. Sets differ in at least as many shingles as their bits do, and a
+linked pair differs in few for its size.
 
 Large groups are never expanded into pairs:
 
@@ -15,8 +18,8 @@ Large groups are never expanded into pairs:
 * first, in ``ROUNDS`` rounds, each key names one of its nodes as leader, and a node is compared
   with the ``LEADERS`` leaders that it shares most keys with. What links is contracted towards components;
 * then a key is only looked at again where it still joins different components, and only
-  pairs across components are compared, with sets of fitting sizes, and with sketches (four
-  bits of each symbol) that differ in no more than ``CLOSE`` symbols;
+  pairs across components are compared, with sets of fitting sizes and bits, and with sketches
+  (four bits of each symbol) that differ in no more than ``CLOSE`` symbols;
 * keys with more than ``CROWD`` nodes left in different components (a passage that many
   otherwise different documents share) use an exact prefix filter instead: their documents'
   shingles are ordered from rare to common, and two sets with the similarity must share one
@@ -33,6 +36,7 @@ columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -51,6 +55,7 @@ THRESHOLD = CHUNKS * (ERRORS + 1) - 1  # all pairs that differ in no more symbol
 CLOSE = 42  # pairs that met are looked at in full up to this distance
 ROUNDS, LEADERS = 3, 3
 CROWD = 64  # nodes of one key that are compared pair by pair; larger keys use the prefix filter
+PARITY = 512  # bits of a set that tell pairs apart
 BEFORE = 8  # keys before one in a prefix that are looked at to tell whether a pair has met already
 
 _rng = np.random.default_rng(20260101)
@@ -108,6 +113,25 @@ def sketch(sig: np.ndarray) -> list[int]:
 SKETCH = [f"s{i}" for i in range(SYMBOLS // 16)]
 
 
+def parity(found: np.ndarray) -> list[int]:
+    """``PARITY`` bits, 64 to a long: has an odd number of shingles these leading bits?"""
+    at = (found >> np.uint64(64 - (PARITY - 1).bit_length())).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=PARITY) & 1).astype(np.uint8)).view(np.int64).tolist()
+
+
+BITS = [f"p{i}" for i in range(PARITY // 64)]
+
+
+def _may_link(percent: int) -> Column:
+    """Sizes and bits of the sides a and b allow the similarity; always true for a linked pair.
+
+    Linked sets differ in at most (100 - percent) / (100 + percent) of their sizes' sum, and in no fewer shingles than bits.
+    """
+    sizes = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
+    apart = reduce(Column.__add__, [F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in BITS])
+    return sizes & (apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
+
+
 def _sketch_distance(a: list[Column], b: list[Column]) -> Column:
     """Symbols whose four bits differ: never more than the symbols that differ."""
     total = None
@@ -141,7 +165,7 @@ def _sketch(n: int):
         working_for("near")
         first = TaskContext.get().partitionId() << 33
         for b in slices(batches):
-            sizes, seqs, sigs, sketches = [], [], [], []
+            sizes, seqs, sigs, sketches, bits = [], [], [], [], []
             for t in utf8(b.column("text")):
                 found, seq = shingles(t, n)
                 sizes.append(len(found))
@@ -149,9 +173,10 @@ def _sketch(n: int):
                 sig = signature(found) if len(found) else None
                 sigs.append(None if sig is None else sig.tobytes())
                 sketches.append(None if sig is None else sketch(sig))
+                bits.append(None if sig is None else parity(found))
             row = pa.array(range(first, first + b.num_rows), pa.int64())
             first += b.num_rows
-            yield pa.record_batch([row, b.column("doc_id"), b.column("text_key"), pa.array(sizes, pa.int64()), pa.array(seqs, pa.binary()), pa.array(sigs, pa.binary()), pa.array(sketches, pa.list_(pa.int64()))], names=["row", "doc_id", "text_key", "n", "seq", "sig", "sketch"])
+            yield pa.record_batch([row, b.column("doc_id"), b.column("text_key"), pa.array(sizes, pa.int64()), pa.array(seqs, pa.binary()), pa.array(sigs, pa.binary()), pa.array(sketches, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))], names=["row", "doc_id", "text_key", "n", "seq", "sig", "sketch", "bits"])
 
     return run
 
@@ -203,9 +228,9 @@ class _Linker:
         return self.docs.join(wanted, same).groupBy("node").agg(F.first("text").alias("text"))
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are links, as (u, v): first by signature, then on the full sets."""
-        sig = self.nodes.select("node", "sig")
-        near = pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a").join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
+        """The pairs (a, b) that are links, as (u, v): first by sizes, bits and signature, then on the full sets."""
+        side = lambda x: self.nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"sig_{x}"), *[F.col("bits")[i].alias(f"{p}_{x}") for i, p in enumerate(BITS)])
+        near = pairs.join(side("a"), "a").join(side("b"), "b").filter(_may_link(self.percent)).select("a", "b", "sig_a", "sig_b")
         return self.confirm(stored(near.mapInArrow(_near, "a bigint, b bigint"), "near-pairs"))
 
     def confirm(self, near: DataFrame) -> DataFrame:
@@ -259,20 +284,19 @@ def _first_shared(percent: int) -> Column:
 
 
 def _cross(linker: _Linker, keyed: DataFrame, percent: int, ordered: bool = False) -> DataFrame:
-    """Pairs (a, b) of one key in different components, with sets of fitting sizes and near sketches.
+    """Pairs (a, b) of one key in different components, with sets of fitting sizes and bits, and near sketches.
 
     ``ordered`` keys are prefixes with ``rest`` and ``before``: a pair is only made where its first shared key can be,
     whatever its sketches.
     """
-    sketches = [] if ordered else [F.col("sketch")[i].alias(c) for i, c in enumerate(SKETCH)]
-    rows = keyed.join(linker.nodes.select("node", *sketches), "node") if sketches else keyed
-    more = ["rest", "before"] if ordered else SKETCH
+    seen = [*[F.col("bits")[i].alias(c) for i, c in enumerate(BITS)], *([] if ordered else [F.col("sketch")[i].alias(c) for i, c in enumerate(SKETCH)])]
+    rows = keyed.join(linker.nodes.select("node", *seen), "node")
+    more = [*BITS, *(["rest", "before"] if ordered else SKETCH)]
     side = lambda df, x: df.select("key", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("component").alias(f"c{x}"), *[F.col(c).alias(f"{c}_{x}") for c in more])
-    fits = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
     if ordered:
-        fits = fits & _first_shared(percent)
+        fits = _may_link(percent) & _first_shared(percent)
     else:
-        fits = fits & (_sketch_distance([F.col(f"{c}_a") for c in SKETCH], [F.col(f"{c}_b") for c in SKETCH]) <= CLOSE)
+        fits = _may_link(percent) & (_sketch_distance([F.col(f"{c}_a") for c in SKETCH], [F.col(f"{c}_b") for c in SKETCH]) <= CLOSE)
     return side(rows, "a").join(side(rows, "b"), "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits).select("a", "b").distinct()
 
 
@@ -311,10 +335,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Kept is the row with the component's smallest id, of repeated rows the first.
     """
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text"))
-    sketches = stored(slim.mapInArrow(_sketch(words), "row bigint, doc_id bigint, text_key bigint, n bigint, seq binary, sig binary, sketch array<bigint>"), "sketches")
+    sketches = stored(slim.mapInArrow(_sketch(words), "row bigint, doc_id bigint, text_key bigint, n bigint, seq binary, sig binary, sketch array<bigint>, bits array<bigint>"), "sketches")
     # one node for each word sequence, named by its first row
-    first = F.min(F.struct("row", "doc_id", "text_key", "n", "sig", "sketch")).alias("f")
-    nodes = stored(sketches.filter("seq is not null").groupBy("seq").agg(first).select("seq", F.col("f.row").alias("node"), "f.doc_id", "f.text_key", "f.n", "f.sig", "f.sketch"), "nodes")
+    first = F.min(F.struct("row", "doc_id", "text_key", "n", "sig", "sketch", "bits")).alias("f")
+    nodes = stored(sketches.filter("seq is not null").groupBy("seq").agg(first).select("seq", F.col("f.row").alias("node"), "f.doc_id", "f.text_key", "f.n", "f.sig", "f.sketch", "f.bits"), "nodes")
     linker = _Linker(slim, nodes, words, percent)
 
     keyed = stored(nodes.select("node", "n", "sig").mapInArrow(_keys, "key bigint, node bigint, n bigint"), "keys")
@@ -342,7 +366,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     final = components(links).withColumnRenamed("node", "_node")
 
     group = nodes.select("seq", "node").join(final, F.col("node") == F.col("_node"), "left").select(F.col("seq").alias("_seq"), F.coalesce("component", "node").alias("group"))
-    linked = sketches.filter("seq is not null").drop("sig", "sketch").join(group, F.col("seq") == F.col("_seq"))
+    linked = sketches.filter("seq is not null").drop("sig", "sketch", "bits").join(group, F.col("seq") == F.col("_seq"))
     linked = stored(linked, "grouped")
     best = linked.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("b")).select(F.col("group").alias("_group"), F.col("b.doc_id").alias("component_id"), F.col("b.row").alias("best"))
     best = stored(best, "best")  # else both sides of the join meet by the same exchange, which can't be split

@@ -119,6 +119,36 @@ def test_near_groups_are_not_expanded(spark):
     assert got.agg(F.max("component_id"), F.sum(F.col("kept").cast("int"))).first()[:] == (0, 1)
 
 
+def test_bits_drop_no_linked_pair():
+    """Sets at the smallest linked similarity differ in no more bits than in shingles, whatever their size; those well below are told apart."""
+    rng = np.random.default_rng(5)
+    for size in (1, 9, 90, 900, 9000):
+        both, one, two = (rng.integers(0, 1 << 63, k, dtype=np.uint64) * np.uint64(2) for k in (size - size // 9, size // 9, size // 9))
+        a, b = (np.array(near_dedup.parity(np.concatenate([both, x]))).view(np.uint64) for x in (one, two))
+        assert np.bitwise_count(a ^ b).sum() <= len(one) + len(two)
+    sets = [rng.integers(0, 1 << 63, 150, dtype=np.uint64) * np.uint64(2) for _ in range(20)]
+    bits = [np.array(near_dedup.parity(s)).view(np.uint64) for s in sets]
+    assert all(np.bitwise_count(x ^ y).sum() * 180 > 300 * 20 for x, y in itertools.combinations(bits, 2))
+
+
+def test_documents_around_one_passage_are_not_compared_in_full(spark, monkeypatch):
+    """A passage of 60 words with 30 others in each of 90 documents (similarity 0.48): no texts are fetched for them, only for copies."""
+    rnd = random.Random(4)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join([*passage, *(f"w{rnd.randrange(10**6)}" for _ in range(30))])) for i in range(90)]
+    rows += [(100 + i, f"{rows[i][1]} end") for i in range(5)]
+    compared, kept = [], near_dedup._Linker.confirm
+
+    def confirm(self, near):
+        compared.extend((r.a, r.b) for r in near.collect())
+        return kept(self, near)
+
+    monkeypatch.setattr(near_dedup._Linker, "confirm", confirm)
+    got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: i % 100 for i, _ in rows}
+    assert len(set(compared)) == 5
+
+
 def test_stated_loss_is_the_binomial_tail():
     import math
 
