@@ -26,7 +26,9 @@ to its length. A pair is made only if the term may be rare enough by the inequal
 ``LISTED`` most frequent terms and entities are broadcast with their counts for this, others
 count as rare, and exact joins decide afterwards. What tasks test membership with are Bloom
 filters, sized by the counted keys up to ``MOST_BITS``; joins remove their false hits. Counts are
-summed per task before the shuffle, so a hot entity or term is one row for each task.
+summed per task before the shuffle, so a hot entity or term is one row for each task. Of the terms
+that are marked everywhere the ``LISTED`` most frequent are broadcast with their actions, and their
+places stay in the document's own row; only rarer ones, and those of single entities, make rows to join.
 
 Defined cases: null text is empty; every row counts as a document, repeated rows too; null
 ids are kept; other columns are not read.
@@ -279,7 +281,7 @@ class Bloom(dict):
 
 
 def disclosing_terms(docs: DataFrame, text_col: str = "text", generalise: float = GENERALISE, remove: float = REMOVE, support: int = SUPPORT) -> DataFrame:
-    """Terms that reveal a protected entity: entity, term, action, share (PMI / IC).
+    """Terms that reveal a protected entity: entity, term, action, share (PMI / IC), docs (documents with the term).
 
     The entity is null where it has enough documents: the term is then marked everywhere, with
     the largest share of any entity. Otherwise it is marked near mentions of the entity.
@@ -304,43 +306,56 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", generalise: float
     n = F.col("n") - 0.5
     share = (F.lit(float(total)) * n / (F.col("c_t") * F.col("c_e")), F.lit(float(total)) / F.col("c_e"))
     enough = F.col("n") >= F.least(F.lit(support), F.col("c_e"))
-    scored = pairs.join(many.union(few), ["near", "entity"]).filter(enough).join(terms, "term").filter(share[1] > 1).select(F.when(F.col("near"), F.col("entity")).alias("entity"), "term", (F.log2(share[0]) / F.log2(share[1])).alias("share"))
-    best = scored.groupBy("entity", "term").agg(F.max("share").alias("share")).filter(F.col("share") >= generalise)
-    return best.select("entity", "term", F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action"), "share")
+    scored = pairs.join(many.union(few), ["near", "entity"]).filter(enough).join(terms, "term").filter(share[1] > 1).select(F.when(F.col("near"), F.col("entity")).alias("entity"), "term", (F.log2(share[0]) / F.log2(share[1])).alias("share"), "c_t")
+    best = scored.groupBy("entity", "term").agg(F.max("share").alias("share"), F.max("c_t").alias("docs")).filter(F.col("share") >= generalise)
+    return best.select("entity", "term", F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action"), "share", "docs")
 
 
-MARKS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("entity", pa.string()), ("term", pa.string()), ("spans", pa.list_(_span)), ("text", pa.string())])
+MARKS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("entity", pa.string()), ("term", pa.string()), ("spans", pa.list_(_span)), ("added", pa.list_(_span)), ("text", pa.string())])
 
 
 def _marked(known, with_text):
-    """Per document one row with its base spans, and one row for each term, or entity and term, that may be disclosing."""
+    """Per document one row with its base spans and those of listed terms, and one row for each other term, or entity and term, that may be disclosing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        everywhere, local, first, at = *map(Bloom, known.value), TaskContext.get().partitionId() << 33, 0
+        listed, *bits = known.value
+        everywhere, local, first, at = *map(Bloom, bits), TaskContext.get().partitionId() << 33, 0
         as_structs = lambda spans: [dict(zip(("kind", "start", "end"), s)) for s in spans]
         for b in slices(batches):
             out = []
             for doc_id, t in zip(b.column("doc_id").to_pylist(), texts(b.column("text"))):
                 row, at = first + at, at + 1
                 base = find_personal(t)
-                out.append((row, doc_id, None, None, as_structs(base), t if with_text else None))
-                hits = {w for w in _terms(t, base) if everywhere[w]}
-                if hits:
-                    places: dict[str, list] = {}
-                    for m in _outside(t, base):
-                        w = m.group().lower()
-                        if w in hits:
-                            places.setdefault(w, []).append((None, m.start(), m.end()))
-                    out += [(row, doc_id, None, w, as_structs(ps), None) for w, ps in places.items()]
+                hits = {w for w in _terms(t, base) if w in listed or everywhere[w]}
+                places: dict[str, list] = {}
+                for m in _outside(t, base) if hits else ():
+                    w = m.group().lower()
+                    if w in hits:
+                        places.setdefault(w, []).append((listed.get(w), m.start(), m.end()))
+                added = [p for w, ps in places.items() if w in listed for p in ps]
+                out.append((row, doc_id, None, None, as_structs(base), as_structs(added), t if with_text else None))
+                out += [(row, doc_id, None, w, as_structs(ps), None, None) for w, ps in places.items() if w not in listed]
                 for e, terms in _near(t, base, _entities(t, base)).items() if base else ():
-                    out += [(row, doc_id, e, w, as_structs((None, *p) for p in sorted(ps)), None) for w, ps in terms.items() if local[f"{e} {w}"]]
+                    out += [(row, doc_id, e, w, as_structs((None, *p) for p in sorted(ps)), None, None) for w, ps in terms.items() if local[f"{e} {w}"]]
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), MARKS)], schema=MARKS)
 
     return run
 
 
+def _listed(terms: DataFrame) -> tuple[dict[str, str], DataFrame]:
+    """Of the terms that are marked everywhere the up to ``LISTED`` most frequent, with their actions, and a frame of the others."""
+    short = terms.filter(F.col("entity").isNull() & (F.length("term") <= LONGEST))
+    most = short.orderBy(F.desc("docs"), "term").limit(LISTED).select("term", "action", "docs").collect()
+    rest = terms.filter("entity is null")
+    if most:
+        last = most[-1]
+        taken = (F.length("term") <= LONGEST) & ((F.col("docs") > last.docs) | ((F.col("docs") == last.docs) & (F.col("term") <= last.term)))
+        rest = rest.filter(~taken)
+    return {r.term: r.action for r in most}, rest.select("term")
+
+
 def find_disclosures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", terms: DataFrame | None = None, with_text: bool = False) -> DataFrame:
     """One row per document: row, doc_id, spans of base kinds and of disclosing terms (``base``, ``added``), and its text if asked.
 
@@ -348,15 +363,16 @@ def find_disclosures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     spark = docs.sparkSession
     terms = stored(terms if terms is not None else disclosing_terms(docs, text_col), "pii-terms")
-    known = spark.sparkContext.broadcast((Bloom.of(terms.filter("entity is null").select("term")), Bloom.of(terms.filter("entity is not null").select(F.concat_ws(" ", "entity", "term")))))
+    listed, rest = _listed(terms if "docs" in terms.columns else terms.withColumn("docs", F.lit(0)))
+    known = spark.sparkContext.broadcast((listed, Bloom.of(rest), Bloom.of(terms.filter("entity is not null").select(F.concat_ws(" ", "entity", "term")))))
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    marks = stored(slim.mapInArrow(_marked(known, with_text), f"row bigint, doc_id bigint, entity string, term string, spans array<{SPAN}>, text string"), "pii-marks")
+    marks = stored(slim.mapInArrow(_marked(known, with_text), f"row bigint, doc_id bigint, entity string, term string, spans array<{SPAN}>, added array<{SPAN}>, text string"), "pii-marks")
     none = F.lit(None).cast(f"array<{SPAN}>")
     named = F.transform("spans", lambda s: F.struct(F.col("action").alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     wanted = terms.select(F.col("entity").alias("_e"), F.col("term").alias("_t"), "action")
     met = marks.filter("term is not null").join(wanted, (F.col("term") == F.col("_t")) & F.col("entity").eqNullSafe(F.col("_e")))
     added = met.select("row", "doc_id", none.alias("base"), named.alias("added"), "text")
-    plain = marks.filter("term is null").select("row", "doc_id", F.col("spans").alias("base"), none.alias("added"), "text")
+    plain = marks.filter("term is null").select("row", "doc_id", F.col("spans").alias("base"), "added", "text")
     both = (plain if with_text else plain.drop("text")).unionByName(added if with_text else added.drop("text"))
     out = [F.max("doc_id").alias("doc_id"), F.flatten(F.collect_list("base")).alias("base"), F.array_distinct(F.flatten(F.collect_list("added"))).alias("added")]
     found = both.groupBy("row").agg(*out, *([F.max("text").alias("text")] if with_text else []))

@@ -83,6 +83,29 @@ def test_rare_entities_disclose_near_their_mentions_only(spark):
     assert frequent <= 5  # a document without personal data is only touched by terms of entities in several documents
 
 
+def test_marks_of_frequent_terms_stay_in_the_row_of_their_document(spark, monkeypatch):
+    """Ten disclosing words in each of many documents make no rows beside the documents' own; rarer ones than listed are joined to the same spans."""
+    import finquarry.llm.pii as m
+
+    filler = "the river and the house with stone"
+    names = [" ".join(f"name{k}x{i}" for k in range(10)) for i in range(8)]
+    rows = [(10 * i + j, f"{filler} {names[i]} at p{i}@mail.example.com {names[i]}") for i in range(8) for j in range(4)]
+    rows += [(100, f"{filler} {names[0]}"), (None, f"{names[1]} {filler}"), (101, None)] + [(200 + i, filler) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    made, kept = {}, m.stored
+    monkeypatch.setattr(m, "stored", lambda df, name: made.setdefault(name, []).append(out := kept(df, name)) or out)
+
+    def spans():
+        return sorted((-1 if r.doc_id is None else r.doc_id, sorted(tuple(s) for s in r.base), sorted(tuple(s) for s in r.added)) for r in find_disclosures(docs).collect())
+
+    all_listed = spans()
+    assert made["pii-marks"][-1].count() == len(rows)
+    assert sum(len(a) for _, _, a in all_listed) == 8 * 4 * 20 + 20
+    monkeypatch.setattr(m, "LISTED", 7)
+    assert spans() == all_listed
+    assert made["pii-marks"][-1].count() > len(rows)
+
+
 def test_planted_names_are_found_and_rare_words_left_alone(spark):
     """Names of 150 people in one to four documents each, among 1,500 other words as rare: recall and precision."""
     rnd = random.Random(8)
