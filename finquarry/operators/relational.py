@@ -83,13 +83,14 @@ def walk(start: DataFrame, edges: DataFrame, max_depth: int | None = None) -> Da
     Level by level: the frontier meets the edges in one equi-join, paths that would revisit a
     node are dropped, and every level is checkpointed so the plan stays short. The loop ends
     with the first empty level; only a report that is defined to a depth gives ``max_depth``.
+    Every level meets the edges anew, so these are sorted, never sent to the driver for a broadcast.
     Result: root, node, depth, path.
     """
     frontier = start.select("root", "node").withColumns({"depth": F.lit(0), "path": F.array(F.col("node"))})
 
     def step(frontier: DataFrame, depth: int) -> DataFrame:
         return (
-            frontier.join(edges, frontier.node == edges.src)
+            frontier.join(edges.hint("merge"), frontier.node == edges.src)
             .filter(~F.array_contains("path", F.col("dst")))
             .select("root", F.col("dst").alias("node"), F.lit(depth).alias("depth"), F.concat("path", F.array("dst")).alias("path"))
         )
