@@ -37,7 +37,7 @@ def reach(nodes: DataFrame, edges: DataFrame, start: DataFrame, upstream: bool,
     live = nodes.filter(F.col("status") == ACTIVE).select("node_id")
     e = edges.filter(F.col("status") == ACTIVE)
     src, dst = ("target_node_id", "source_node_id") if upstream else ("source_node_id", "target_node_id")
-    steps = e.join(live, e[dst] == live.node_id, "left_semi").select(F.col(src).alias("src"), F.col(dst).alias("dst"))
+    steps = cut_lineage(e.join(live.hint("merge"), e[dst] == live.node_id, "left_semi").select(F.col(src).alias("src"), F.col(dst).alias("dst")))
     return walk(start.select(F.col("node_id").alias("root"), F.col("node_id").alias("node")), steps, max_depth)
 
 
@@ -46,20 +46,20 @@ def nearest(nodes: DataFrame, edges: DataFrame, start: DataFrame, upstream: bool
 
     One row per root and node: the frontier holds what was not reached before, so paths don't
     multiply and cycles end. Of the shortest paths the smallest in order is kept; the parent is
-    the node before on it.
+    the node before on it. Joins sort: what grows with the graph is never sent to the driver for a broadcast, level by level.
     """
     live = nodes.filter(F.col("status") == ACTIVE).select("node_id")
     e = edges.filter(F.col("status") == ACTIVE)
     src, dst = ("target_node_id", "source_node_id") if upstream else ("source_node_id", "target_node_id")
-    steps = cut_lineage(e.join(live, e[dst] == live.node_id, "left_semi").select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct())
+    steps = cut_lineage(e.join(live.hint("merge"), e[dst] == live.node_id, "left_semi").select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct())
     reached = start.select(F.col("node_id").alias("root"), F.col("node_id").alias("node"), F.lit(0).alias("depth"), F.lit(None).cast("bigint").alias("parent"), F.array("node_id").alias("path")).distinct()
     levels, frontier, depth = [cut_lineage(reached)], reached, 0
     while True:
         depth += 1
-        come = frontier.join(steps, frontier.node == steps.src).select("root", F.col("dst").alias("node"), F.col("src").alias("parent"), F.concat("path", F.array("dst")).alias("path"))
+        come = frontier.join(steps.hint("merge"), frontier.node == steps.src).select("root", F.col("dst").alias("node"), F.col("src").alias("parent"), F.concat("path", F.array("dst")).alias("path"))
         best = come.groupBy("root", "node").agg(F.min(F.struct("path", "parent")).alias("b"))
         for level in levels:
-            best = best.join(level.select("root", "node"), ["root", "node"], "left_anti")
+            best = best.join(level.select("root", "node").hint("merge"), ["root", "node"], "left_anti")
         frontier = cut_lineage(best.select("root", "node", F.lit(depth).alias("depth"), "b.parent", "b.path"))
         if frontier.isEmpty():
             break
@@ -69,6 +69,11 @@ def nearest(nodes: DataFrame, edges: DataFrame, start: DataFrame, upstream: bool
     return reduce(DataFrame.unionByName, levels)
 
 
+def described(reached: DataFrame, nodes: DataFrame, column: str) -> DataFrame:
+    """``reached`` with a column of each row's node; sorted, as both sides grow with the graph."""
+    return reached.join(nodes.select("node_id", column).hint("merge"), F.col("node") == F.col("node_id"))
+
+
 def depth_label(depth: Column) -> Column:
     return F.when(depth == 0, "PROBLEMATIC DATA").when(depth == 1, "DIRECT SOURCE").when(depth == 2, "ROOT SOURCE").otherwise("ORIGIN")
 

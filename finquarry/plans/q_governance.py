@@ -301,21 +301,21 @@ _nearest("lineage_downstream_nearest", False)
 def _(b):
     n = nodes(b)
     out = N.nearest(n, edges(b), n.filter("status = 'ACTIVE' AND column_name = 'ECONOMY'"), False).filter("depth > 0")
-    return out.join(n.select("node_id", "table_name"), F.col("node") == F.col("node_id")).groupBy(N.impact_label(F.col("depth")).alias("impact"), "table_name").agg(F.count("*").alias("nodes"))
+    return N.described(out, n, "table_name").groupBy(N.impact_label(F.col("depth")).alias("impact"), "table_name").agg(F.count("*").alias("nodes"))
 
 
 @query("lineage_root_cause_nearest", _nearest_sql("table_name = 'Brand#3'", True, "root, node, depth, source_system, CASE depth WHEN 0 THEN 'PROBLEMATIC DATA' WHEN 1 THEN 'DIRECT SOURCE' WHEN 2 THEN 'ROOT SOURCE' ELSE 'ORIGIN' END AS source_type", "JOIN an ON node = node_id"))
 def _(b):
     n = nodes(b)
     out = N.nearest(n, edges(b), n.filter("status = 'ACTIVE' AND table_name = 'Brand#3'"), True)
-    return out.join(n.select("node_id", "source_system"), F.col("node") == F.col("node_id")).select("root", "node", "depth", "source_system", N.depth_label(F.col("depth")).alias("source_type"))
+    return N.described(out, n, "source_system").select("root", "node", "depth", "source_system", N.depth_label(F.col("depth")).alias("source_type"))
 
 
 @query("lineage_impact_chain", f"WITH RECURSIVE {GRAPH}, w AS (SELECT node_id AS root, node_id AS node, 0::BIGINT AS depth, [node_id] AS path FROM an WHERE column_name = 'ECONOMY' UNION ALL SELECT root, t, depth + 1, list_append(path, t) FROM w JOIN ae ON w.node = s JOIN an ON an.node_id = t WHERE NOT list_contains(path, t) AND depth < 10) SELECT CASE depth WHEN 1 THEN 'DIRECT IMPACT' WHEN 2 THEN 'SECONDARY IMPACT' ELSE 'TERTIARY IMPACT' END AS impact, table_name, count(*) AS paths FROM w JOIN an ON node = node_id WHERE depth > 0 GROUP BY ALL")
 def _(b):
     n = nodes(b)
     out = N.reach(n, edges(b), n.filter("status = 'ACTIVE' AND column_name = 'ECONOMY'"), False).filter("depth > 0")
-    return out.join(n.select("node_id", "table_name"), F.col("node") == F.col("node_id")).groupBy(N.impact_label(F.col("depth")).alias("impact"), "table_name").agg(F.count("*").alias("paths"))
+    return N.described(out, n, "table_name").groupBy(N.impact_label(F.col("depth")).alias("impact"), "table_name").agg(F.count("*").alias("paths"))
 
 
 @query("lineage_impact", f"WITH {GRAPH} SELECT edge_id, st AS source_table_name, tt AS target_table_name, CASE lineage_level WHEN 'COLUMN' THEN 'COLUMN-LEVEL CHANGE REQUIRED' ELSE 'TABLE-LEVEL CHANGE REQUIRED' END AS change_requirement, CASE WHEN tp THEN 'PII DATA - SPECIAL HANDLING REQUIRED' ELSE 'Standard change' END AS pii_warning FROM cx")
@@ -342,7 +342,7 @@ def _(b):
 def _(b):
     n = nodes(b)
     out = N.reach(n, edges(b), n.filter("status = 'ACTIVE' AND table_name = 'Brand#3'"), True)
-    return out.join(n.select("node_id", "source_system"), F.col("node") == F.col("node_id")).select("root", "node", "depth", "source_system", N.depth_label(F.col("depth")).alias("source_type"))
+    return N.described(out, n, "source_system").select("root", "node", "depth", "source_system", N.depth_label(F.col("depth")).alias("source_type"))
 
 
 @query("lineage_transformation_chain", f"WITH {GRAPH} SELECT edge_id, process_name, edge_type, tt AS target_table_name, tc AS target_column_name, st AS source_table_name, row_number() OVER (PARTITION BY tt, tc ORDER BY edge_id) AS transformation_step FROM cx WHERE lineage_level = 'COLUMN'")

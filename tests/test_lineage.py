@@ -55,6 +55,22 @@ def test_a_long_chain_takes_few_rounds(spark, monkeypatch, closed):
     assert len(rounds) <= 30
 
 
+@pytest.mark.parametrize("follow", [lineage.reach, lineage.nearest])
+def test_levels_send_nothing_to_the_driver(spark, monkeypatch, follow):
+    """No level broadcasts the graph, which each would collect on the driver again."""
+    from finquarry.operators import relational
+
+    plans = []
+    for module in (lineage, relational):
+        kept = module.cut_lineage
+        monkeypatch.setattr(module, "cut_lineage", lambda df, kept=kept: plans.append(df._jdf.queryExecution().executedPlan().toString()) or kept(df))
+    nodes, edges = graph(spark, [(1, 2), (2, 3), (3, 4), (4, 2), (9, 1)])
+    out = lineage.described(follow(nodes, edges, nodes.filter("node_id = 1"), False), nodes, "status")
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert {(r.node, r.depth) for r in out.collect()} == {(1, 0), (2, 1), (3, 2), (4, 3)}
+    assert len(plans) > 4 and not any("Broadcast" in p for p in plans)
+
+
 def test_nearest_on_a_ladder_ends(spark):
     """Thirty levels of two nodes, each with both nodes of the level before as parents: 2^30 paths, 61 rows."""
     pairs = [(0, 2), (0, 3)] + [(2 * i + a, 2 * i + 2 + b) for i in range(1, 30) for a in (0, 1) for b in (0, 1)]
