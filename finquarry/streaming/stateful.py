@@ -35,10 +35,12 @@ def with_state_store(spark: SparkSession):
 class OrderedPattern(StatefulProcessor):
     """Counts how often steps follow one another in order of event time within a limit.
 
-    Events wait in a buffer by time slice until the watermark has passed the slice, when no
-    earlier event can come any more; a timer then takes the slices up, oldest first, each
-    sorted by time and tie. So the result doesn't depend on the order of arrival, and what is
-    held is a key's events of the watermark's delay, of which one slice is read at a time.
+    Events wait in a list until the watermark has passed their time slice, when no earlier event
+    can come any more; a timer at the end of the earliest slice then takes up all that has been
+    passed, sorted by time and tie, and leaves the rest. So the result doesn't depend on the order
+    of arrival, and what is held is a key's events of the watermark's delay. Each call to the
+    store is a message to another process: a key makes a few for each batch and each time it
+    wakes, however many slices it has.
     """
 
     def __init__(self, steps: Sequence[str], limit_us: int, slice_us: int):
@@ -46,42 +48,49 @@ class OrderedPattern(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buffer = handle.getMapState("buffer", "slice bigint", "events array<struct<t:bigint,tie:bigint,step:int>>")
-        self.progress = handle.getValueState("progress", "at int, began bigint, matches bigint")
+        self.buffer = handle.getListState("buffer", "t bigint, tie bigint, step int")
+        self.progress = handle.getValueState("progress", "at int, began bigint, matches bigint, wake bigint")
+
+    def _passed(self, t: int) -> int:
+        """When the slice of an event ends, in milliseconds."""
+        return -(-(t // self.slice + 1) * self.slice // 1000)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        waiting: dict[int, list] = {}
-        for r in rows:
-            if r["_step"] is None:
-                continue
-            waiting.setdefault(r["_t"] // self.slice, []).append((r["_t"], r["_tie"], r["_step"]))
-        for at, events in waiting.items():
-            if self.buffer.containsKey((at,)):
-                events = [tuple(e) for e in self.buffer.getValue((at,))[0]] + events
-            else:
-                self.handle.registerTimer(-(-(at + 1) * self.slice // 1000))  # the end of the slice
-            self.buffer.updateValue((at,), (events,))
+        events = [(r["_t"], r["_tie"], r["_step"]) for r in rows if r["_step"] is not None]
+        if events:
+            self.buffer.appendList(events)
+            at, began, matches, wake = self.progress.get() or (0, 0, 0, None)
+            first = self._passed(min(e[0] for e in events))
+            if wake is None or first < wake:
+                if wake is not None:
+                    self.handle.deleteTimer(wake)
+                self.handle.registerTimer(first)
+                self.progress.update((at, began, matches, first))
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        due = sorted(k[0] for k in self.buffer.keys() if (k[0] + 1) * self.slice <= passed)
-        if not due:
-            return
-        at, began, matches = self.progress.get() if self.progress.exists() else (0, 0, 0)
-        for n in due:
-            for t, _, step in sorted(tuple(e) for e in self.buffer.getValue((n,))[0]):
-                if at and t - began > self.limit:
-                    at = 0
-                if step == at:
-                    began = t if at == 0 else began
-                    at += 1
-                    if at == len(self.steps):
-                        at, matches = 0, matches + 1
-                elif step == 0:
-                    at, began = 1, t
-            self.buffer.removeKey((n,))
-        self.progress.update((at, began, matches))
+        now = timerValues.getCurrentWatermarkInMs()
+        at, began, matches, _ = self.progress.get()
+        due, rest = [], []
+        for e in self.buffer.get():
+            (due if self._passed(e[0]) <= now else rest).append(tuple(e))
+        for t, _, step in sorted(due):
+            if at and t - began > self.limit:
+                at = 0
+            if step == at:
+                began = t if at == 0 else began
+                at += 1
+                if at == len(self.steps):
+                    at, matches = 0, matches + 1
+            elif step == 0:
+                at, began = 1, t
+        wake = self._passed(min(e[0] for e in rest)) if rest else None
+        if rest:
+            self.buffer.put(rest)
+            self.handle.registerTimer(wake)
+        else:
+            self.buffer.clear()
+        self.progress.update((at, began, matches, wake))
         yield Row(key=key[0], matches=matches)
 
     def close(self) -> None:

@@ -36,6 +36,44 @@ def brute_matches(data, steps, limit):
 END = dt.datetime(2100, 1, 1)
 
 
+def test_a_pattern_key_makes_few_calls_to_its_store():
+    """Events on a hundred days in one batch: one timer and a handful of calls, and what the watermark has not passed stays."""
+    calls, held, store = [], {"buffer": [], "progress": None}, type("Store", (), {})
+
+    class State:
+        def __init__(self, name):
+            self.name = name
+
+        def __getattr__(self, op):
+            def call(value=None):
+                calls.append(op)
+                if op == "get":
+                    return iter(held["buffer"]) if self.name == "buffer" else held["progress"]
+                held[self.name] = [*held["buffer"], *value] if op == "appendList" else value if op in ("put", "update") else []
+
+            return call
+
+    timers = set()
+    handle = store()
+    handle.getListState = handle.getValueState = handle.getMapState = lambda name, *_: State(name)
+    handle.registerTimer = lambda at: calls.append("register") or timers.add(at)
+    handle.deleteTimer = lambda at: calls.append("delete") or timers.discard(at)
+    p = stateful.OrderedPattern(["a", "b"], 2 * 86_400_000_000, 86_400_000_000)
+    p.init(handle)
+    day = lambda d, step: {"_t": d * 86_400_000_000, "_tie": d, "_step": step}
+    list(p.handleInputRows(("k",), iter([day(d, d % 2) for d in reversed(range(100))]), None))
+    assert timers == {86_400_000} and len(calls) <= 6
+    values = store()
+    values.getCurrentWatermarkInMs = lambda: 60 * 86_400_000
+    timers.clear()
+    assert [r.matches for r in p.handleExpiredTimer(("k",), values, None)] == [30]
+    assert len(held["buffer"]) == 40 and timers == {61 * 86_400_000} and len(calls) <= 12
+    list(p.handleInputRows(("k",), iter([day(60.5, 0) | {"_t": 60 * 86_400_000_000 + 5}]), None))
+    assert timers == {61 * 86_400_000}
+    values.getCurrentWatermarkInMs = lambda: 1000 * 86_400_000
+    assert [r.matches for r in p.handleExpiredTimer(("k",), values, None)] == [50] and not held["buffer"]
+
+
 @pytest.mark.parametrize("parts", [1, 2, 5])
 def test_pattern_of_events_out_of_order_across_batches(spark, parts):
     """Events arrive shuffled within the watermark's delay, over deliveries that cut patterns apart: the batch result."""
