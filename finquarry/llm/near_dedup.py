@@ -23,7 +23,8 @@ Large groups are never expanded into pairs:
 * keys with more than ``CROWD`` nodes left in different components (a passage that many
   otherwise different documents share) use an exact prefix filter instead: their documents'
   shingles are ordered from rare to common, and two sets with the similarity must share one
-  of the first n - ceil(similarity * n) + 1; the shared passage is never among these. A pair
+  of the first n - ceil(similarity * n) + 1; the shared passage is never among these. Counts of
+  the most common shingles, ``LISTED`` at most, are broadcast, those of rarer ones joined. A pair
   is only made at a key that can be the first it shares: enough shingles are left for the
   overlap, and none of the ``BEFORE`` keys before it is shared.
 
@@ -56,6 +57,7 @@ CLOSE = 42  # pairs that met are looked at in full up to this distance
 ROUNDS, LEADERS = 3, 3
 CROWD = 64  # nodes of one key that are compared pair by pair; larger keys use the prefix filter
 PARITY = 512  # bits of a set that tell pairs apart
+LISTED = 1 << 16  # shingles of crowded keys that are broadcast with their counts, at most
 BEFORE = 8  # keys before one in a prefix that are looked at to tell whether a pair has met already
 
 _rng = np.random.default_rng(20260101)
@@ -244,23 +246,63 @@ class _Linker:
         return found
 
 
-def _shingle_rows(n: int):
+def _shingle_sets(n: int):
     def run(batches):
         working_for("near")
         for b in slices(batches):
-            found = [shingles(t, n)[0] for t in utf8(b.column("text"))]
-            sizes = [len(f) for f in found]
-            flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
-            yield pa.record_batch([pa.array(np.repeat(b.column("node").to_numpy(), sizes)), pa.array(np.repeat(np.array(sizes, np.int64), sizes)), pa.array(flat.view(np.int64))], names=["node", "n", "shingle"])
+            found = [shingles(t, n)[0].view(np.int64) for t in utf8(b.column("text"))]
+            yield pa.record_batch([b.column("node"), pa.array([len(f) for f in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["node", "n", "shingles"])
 
     return run
 
 
+def _listed(known):
+    """Of each set the shingles that ``known`` lists, with their counts, and the others."""
+
+    def run(batches):
+        listed, counts = known.value
+        for b in slices(batches):
+            sets = b.column("shingles")
+            flat, of = sets.flatten().to_numpy(), np.repeat(np.arange(b.num_rows), sets.value_lengths().to_numpy())
+            at = np.searchsorted(listed, flat)
+            there = np.append(listed, 0)[at] == flat
+            there &= at < len(listed)
+            ends = lambda mask: pa.array(np.append(0, np.cumsum(np.bincount(of[mask], minlength=b.num_rows))), pa.int32())
+            s = pa.StructArray.from_arrays([pa.array(counts[at[there]]), pa.array(flat[there])], names=["df", "shingle"])
+            yield pa.record_batch([b.column("node"), b.column("n"), pa.ListArray.from_arrays(ends(there), s), pa.ListArray.from_arrays(ends(~there), pa.array(flat[~there]))], names=["node", "n", "s", "others"])
+
+    return run
+
+
+def _ranked(sets: DataFrame) -> DataFrame:
+    """node, n and the shingles (df, shingle) of each set that others have too, from rare to common.
+
+    The most common, all from a power of two on, ``LISTED`` at most, stay in the node's row; rarer ones are joined.
+    """
+    common = stored(sets.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1"), "crowd-counts")
+    least, room = 2, LISTED
+    for r in sorted(common.groupBy(F.length(F.bin("df")).alias("bits")).agg(F.count("*").alias("m")).collect(), key=lambda r: -r.bits):
+        room -= r.m
+        if room < 0:
+            least = 1 << r.bits
+            break
+    most = common.filter(F.col("df") >= least).collect()  # never more than LISTED
+    listed, counts = (np.array([r[c] for r in most], np.int64) for c in ("shingle", "df"))
+    order = np.argsort(listed)
+    known = sets.sparkSession.sparkContext.broadcast((listed[order], counts[order]))
+    kind = "array<struct<df:bigint,shingle:bigint>>"
+    parts = sets.mapInArrow(_listed(known), f"node bigint, n bigint, s {kind}, others array<bigint>")
+    if least > 2:
+        parts = stored(parts, "crowd-places")
+        more = parts.select("node", F.explode("others").alias("shingle")).join(common.filter(F.col("df") < least), "shingle").groupBy("node").agg(F.collect_list(F.struct("df", "shingle")).alias("more"))
+        parts = parts.join(more, "node", "left").withColumn("s", F.concat("s", F.coalesce("more", F.array().cast(kind))))
+    return parts.select("node", "n", F.array_sort("s").alias("s"))
+
+
 def _prefix_keys(linker: _Linker, crowd: DataFrame, percent: int) -> DataFrame:
     """The nodes of crowded keys with their rare shingles as keys (exact prefix filter)."""
-    rows = stored(linker.texts_of(crowd.select("node")).mapInArrow(_shingle_rows(linker.n), "node bigint, n bigint, shingle bigint"), "crowd-shingles")
-    common = rows.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
-    ranked = rows.join(common, "shingle").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("s"))
+    sets = stored(linker.texts_of(crowd.select("node")).mapInArrow(_shingle_sets(linker.n), "node bigint, n bigint, shingles array<bigint>"), "crowd-shingles")
+    ranked = _ranked(sets)
     # shingles of df 1 come first in the order and meet nobody: they use up places of the prefix
     width = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / F.lit(100)) + 1 - (F.col("n") - F.size("s"))
 

@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -87,6 +88,11 @@ def test_near_equals_brute_force(spark, monkeypatch, seed, crowd):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == {i: (len(sets[i]), want[i], want[i] == i) for i, _ in rows}
 
 
+def test_near_equals_brute_force_with_few_listed(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LISTED", 10, raising=False)
+    test_near_equals_brute_force(spark, monkeypatch, 4, 2)
+
+
 def test_near_awkward_rows(spark):
     got = near_duplicates(awkward(spark), words=4).collect()
     assert len(got) == awkward(spark).count()
@@ -149,6 +155,42 @@ def test_documents_around_one_passage_are_not_compared_in_full(spark, monkeypatc
     assert len(set(compared)) == 5
 
 
+@pytest.mark.parametrize("listed", [1, 40, 1 << 16])
+def test_common_shingles_are_not_joined(spark, monkeypatch, listed):
+    """Every set's shared shingles from rare to common; the join makes rows for those beyond the list only, not for a passage that all sets hold."""
+    passage = list(range(100, 140))
+    sets = {0: [], 1: [1], 2: [1, 2, -3], **{i: sorted([*passage, i % 4, -i]) for i in range(10, 90)}}
+    joined, plain = [], type(spark.range(1)).join
+
+    def join(self, other, on=None, how=None):
+        out = plain(self, other, on, how)
+        if on == "shingle":
+            joined.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "LISTED", listed, raising=False)
+    monkeypatch.setattr(type(spark.range(1)), "join", join)
+
+    class Linker:
+        n = 1
+
+        def texts_of(self, ids):
+            return spark.createDataFrame([(i, " ".join(f"w{x}" for x in s)) for i, s in sets.items()], "node bigint, text string").join(ids.distinct(), "node")
+
+    crowd = spark.createDataFrame([(i, i) for i in sets], "node bigint, component bigint")
+    got = near_dedup._prefix_keys(Linker(), crowd, 80).collect()
+    df = Counter(x for s in sets.values() for x in s)
+    name = lambda x: int(near_dedup.shingles(f"w{x}".encode(), 1)[0].view(np.int64)[0])
+    want = {}
+    for i, s in sets.items():
+        order = sorted((df[x], name(x)) for x in s if df[x] > 1)
+        width = len(s) - -(-len(s) * 80 // 100) + 1 - (len(s) - len(order))
+        want |= {(i, k): (len(s), len(order) - at, i) for at, (_, k) in enumerate(order[: max(width, 0)])}
+    assert {(r.node, r.key): (r.n, r.rest, r.component) for r in got} == want and len(got) == len(want)
+    shared = [d for d in df.values() if d > 1]
+    assert sum(joined) == {1: sum(shared), 40: sum(shared) - 40 * 80, 1 << 16: 0}[listed]  # 40 words of the passage, in 80 sets
+
+
 def test_stated_loss_is_the_binomial_tail():
     import math
 
