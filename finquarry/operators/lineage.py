@@ -144,19 +144,24 @@ def orphans(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Nodes on no active edge."""
     e = edges.filter(F.col("status") == ACTIVE)
     used = e.select(F.col("source_node_id").alias("node_id")).union(e.select("target_node_id")).distinct()
-    return nodes.join(used, "node_id", "left_anti")
+    return nodes.join(used.hint("merge"), "node_id", "left_anti")
 
 
 def broken_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Edges with an end that does not exist."""
-    ids = nodes.select("node_id")
+    ids = nodes.select("node_id").hint("merge")
     lost = lambda c: edges.join(ids, edges[c] == ids.node_id, "left_anti").select("edge_id")
     return lost("source_node_id").union(lost("target_node_id")).distinct()
 
 
+def _few(tables: list[DataFrame]) -> list[DataFrame]:
+    """``tables``, written as one once there are more than eight: plans don't grow with the rounds."""
+    return [cut_lineage(reduce(DataFrame.union, tables))] if len(tables) > 8 else tables
+
+
 def _trimmed(core: DataFrame) -> DataFrame:
     """``core`` (src, dst) without the edges that lead nowhere or come from nowhere."""
-    heads, tails = core.select(F.col("dst").alias("src")).distinct(), core.select(F.col("src").alias("dst")).distinct()
+    heads, tails = core.select(F.col("dst").alias("src")).distinct().hint("merge"), core.select(F.col("src").alias("dst")).distinct().hint("merge")
     return cut_lineage(core.join(heads, "src", "left_semi").join(tails, "dst", "left_semi").select("src", "dst"))
 
 
@@ -169,15 +174,15 @@ def _chains(core: DataFrame) -> DataFrame:
     """
     into = core.groupBy(F.col("dst").alias("node")).agg(F.count("*").alias("n_in"), F.min("src").alias("up"))
     out = core.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("n_out"), F.min("dst").alias("down"))
-    single = cut_lineage(into.join(out, "node").filter("n_in = 1 AND n_out = 1").select("node", "up", "down"))
+    single = cut_lineage(into.join(out.hint("merge"), "node").filter("n_in = 1 AND n_out = 1").select("node", "up", "down"))
     n = single.count()
-    inner = single.select(F.col("node").alias("_n"))
+    inner = single.select(F.col("node").alias("_n")).hint("merge")
     at = single.join(inner, F.col("up") == F.col("_n"), "left").withColumn("up_open", F.col("_n").isNotNull()).drop("_n")
     at = at.join(inner, F.col("down") == F.col("_n"), "left").withColumn("down_open", F.col("_n").isNotNull()).drop("_n").withColumn("low", F.col("node"))
     reached = 1
     while reached <= n and not at.filter("up_open OR down_open").isEmpty():
-        ahead = at.select(F.col("node").alias("_d"), F.col("down").alias("_down"), F.col("down_open").alias("_down_open"), F.col("low").alias("_low"))
-        back = at.select(F.col("node").alias("_u"), F.col("up").alias("_up"), F.col("up_open").alias("_up_open"))
+        ahead = at.select(F.col("node").alias("_d"), F.col("down").alias("_down"), F.col("down_open").alias("_down_open"), F.col("low").alias("_low")).hint("merge")
+        back = at.select(F.col("node").alias("_u"), F.col("up").alias("_up"), F.col("up_open").alias("_up_open")).hint("merge")
         met = at.join(ahead, F.col("down_open") & (F.col("down") == F.col("_d")), "left").join(back, F.col("up_open") & (F.col("up") == F.col("_u")), "left")
         at = cut_lineage(met.select("node", F.coalesce("_up", "up").alias("up"), F.coalesce("_down", "down").alias("down"), F.coalesce("_up_open", F.lit(False)).alias("up_open"), F.coalesce("_down_open", F.lit(False)).alias("down_open"), F.least("low", "_low").alias("low")))
         reached *= 2
@@ -188,7 +193,7 @@ def _coloured(core: DataFrame) -> DataFrame:
     """(node, colour): the largest node from which each node can be reached, itself included."""
     colour = core.select(F.col("src").alias("node")).union(core.select("dst")).distinct().withColumn("colour", F.col("node"))
     while True:
-        come = core.join(colour, core.src == colour.node).select(F.col("dst").alias("node"), "colour", F.lit(None).alias("old"))
+        come = core.join(colour.hint("merge"), core.src == colour.node).select(F.col("dst").alias("node"), "colour", F.lit(None).alias("old"))
         both = colour.select("node", "colour", F.col("colour").alias("old")).union(come)
         new = cut_lineage(both.groupBy("node").agg(F.max("colour").alias("colour"), F.max("old").alias("old")))
         colour = new.select("node", "colour")
@@ -198,15 +203,16 @@ def _coloured(core: DataFrame) -> DataFrame:
 
 def _members(core: DataFrame, colour: DataFrame) -> DataFrame:
     """(node, colour): the nodes that reach the node their colour is named after, by edges of one colour."""
-    one, two = colour.toDF("src", "colour"), colour.toDF("dst", "_colour")
+    one, two = colour.toDF("src", "colour").hint("merge"), colour.toDF("dst", "_colour").hint("merge")
     same = cut_lineage(core.join(one, "src").join(two, "dst").filter("colour = _colour").select("src", "dst", "colour"))
-    frontier = members = colour.filter("node = colour")
+    frontier = colour.filter("node = colour")
+    members = [frontier]
     while True:
-        step = same.join(frontier.select(F.col("node").alias("dst")), "dst").select(F.col("src").alias("node"), "colour").distinct()
-        frontier = cut_lineage(step.join(members, "node", "left_anti"))
+        step = same.join(frontier.select(F.col("node").alias("dst")).hint("merge"), "dst").select(F.col("src").alias("node"), "colour").distinct()
+        frontier = cut_lineage(step.join(reduce(DataFrame.union, members).hint("merge"), "node", "left_anti"))
         if frontier.isEmpty():
-            return members
-        members = members.union(frontier)
+            return reduce(DataFrame.union, members)
+        members = _few([*members, frontier])
 
 
 def on_cycles(edges: DataFrame) -> DataFrame:
@@ -217,12 +223,13 @@ def on_cycles(edges: DataFrame) -> DataFrame:
     changes. In what is left, strongly connected components by colours: the node that names
     a colour reaches all nodes of that colour; those that also reach it form a component with it
     and leave the graph. A node noted beside an edge is on a cycle if both ends of the edge
-    are in one component. Only one row per node is carried, never pairs of nodes.
+    are in one component. Only one row per node is carried, never pairs of nodes. Every round meets
+    tables that grow with the graph, so they join by sorting; none is sent to the driver for a broadcast.
     """
     core = edges.filter(F.col("status") == ACTIVE).select(F.col("source_node_id").alias("src"), F.col("target_node_id").alias("dst")).dropna().distinct()
     core = cut_lineage(core)
     # (node, group): nodes of one group are on one cycle
-    found = core.filter("src = dst").select(F.col("src").alias("node"), F.col("src").alias("group"))
+    found = [core.filter("src = dst").select(F.col("src").alias("node"), F.col("src").alias("group"))]
     core = core.filter("src <> dst")
     inside = core.sparkSession.createDataFrame([], "node bigint, a bigint, b bigint")
     size = core.count()
@@ -230,16 +237,15 @@ def on_cycles(edges: DataFrame) -> DataFrame:
         core = _trimmed(core)
         chains = cut_lineage(_chains(core))
         rings = chains.filter("ring IS NOT NULL").select("node", F.col("ring").alias("group"))
-        found = found.union(rings)
         ends = chains.filter("ring IS NULL").select(F.col("node").alias("_n"), "up", "down")
         # edges noted before that are now part of a longer one
-        inside = inside.join(ends.select("_n", "up"), F.col("a") == F.col("_n"), "left").withColumn("a", F.coalesce("up", "a")).drop("_n", "up")
-        inside = inside.join(ends.select("_n", "down"), F.col("b") == F.col("_n"), "left").withColumn("b", F.coalesce("down", "b")).drop("_n", "down")
+        inside = inside.join(ends.select("_n", "up").hint("merge"), F.col("a") == F.col("_n"), "left").withColumn("a", F.coalesce("up", "a")).drop("_n", "up")
+        inside = inside.join(ends.select("_n", "down").hint("merge"), F.col("b") == F.col("_n"), "left").withColumn("b", F.coalesce("down", "b")).drop("_n", "down")
         inside = cut_lineage(inside.union(ends.select("_n", "up", "down")))
-        gone = chains.select(F.col("node").alias("_n"))
+        gone = chains.select(F.col("node").alias("_n")).hint("merge")
         left = core.join(gone, F.col("src") == F.col("_n"), "left_anti").join(gone, F.col("dst") == F.col("_n"), "left_anti")
         core = cut_lineage(left.union(ends.select("up", "down")).distinct())
-        found = found.union(core.filter("src = dst").select(F.col("src").alias("node"), F.col("src").alias("group")))
+        found = _few([*found, rings, core.filter("src = dst").select(F.col("src").alias("node"), F.col("src").alias("group"))])
         core = core.filter("src <> dst")
         before, size = size, core.count()
         if size == before:
@@ -247,11 +253,11 @@ def on_cycles(edges: DataFrame) -> DataFrame:
     while not core.isEmpty():
         members = cut_lineage(_members(core, _coloured(core)))
         several = members.groupBy("colour").agg(F.count("*").alias("n")).filter("n > 1").select("colour")
-        found = found.union(members.join(several, "colour", "left_semi").select("node", F.col("colour").alias("group")))
-        gone = members.select("node")
+        found = _few([*found, members.join(several.hint("merge"), "colour", "left_semi").select("node", F.col("colour").alias("group"))])
+        gone = members.select("node").hint("merge")
         core = cut_lineage(core.join(gone, core.src == gone.node, "left_anti").join(gone, core.dst == gone.node, "left_anti"))
-    found = cut_lineage(found.distinct())
-    one, two = found.toDF("a", "_g"), found.toDF("b", "_h")
+    found = cut_lineage(reduce(DataFrame.union, found).distinct())
+    one, two = found.toDF("a", "_g").hint("merge"), found.toDF("b", "_h").hint("merge")
     beside = inside.join(one, "a").join(two, "b").filter("_g = _h").select("node")
     return found.select("node").union(beside).union(inside.filter("a = b").select("node")).distinct().withColumnRenamed("node", "node_id")
 

@@ -71,6 +71,32 @@ def test_levels_send_nothing_to_the_driver(spark, monkeypatch, follow):
     assert len(plans) > 4 and not any("Broadcast" in p for p in plans)
 
 
+def test_validate_sends_nothing_to_the_driver(spark, monkeypatch):
+    """Ends, rings, crossing cycles and what hangs between them: no round and no count broadcasts the graph."""
+    plans = []
+    kept = lineage.cut_lineage
+    seen = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df
+    monkeypatch.setattr(lineage, "cut_lineage", lambda df: kept(seen(df)))
+    pairs = [(1, 2), (2, 3), (3, 1), (2, 1), (3, 4), (4, 5), (5, 6), (6, 4), (5, 4), (7, 8), (8, 9), (9, 7), (10, 1), (6, 11), (12, 12), (13, 99)]
+    nodes, edges = graph(spark, pairs)
+    nodes = nodes.filter("node_id < 99").union(spark.createDataFrame([(50, "ACTIVE")], "node_id bigint, status string"))
+    assert {r.node_id for r in seen(lineage.on_cycles(edges)).collect()} == {*range(1, 10), 12}
+    assert [r.node_id for r in seen(lineage.orphans(nodes, edges)).collect()] == [50]
+    assert [r.edge_id for r in seen(lineage.broken_edges(nodes, edges)).collect()] == [15]
+    assert lineage.validate(nodes, edges).first().asDict() == {"orphan_nodes": 1, "broken_edges": 1, "nodes_on_cycles": 10}
+    assert len(plans) > 20 and not any("Broadcast" in p for p in plans)
+
+
+def test_rounds_do_not_lengthen_the_plans(spark, monkeypatch):
+    """Two rows of nodes, each tied to the next both ways: no chains, many rounds, short plans."""
+    sizes = []
+    kept = lineage.cut_lineage
+    monkeypatch.setattr(lineage, "cut_lineage", lambda df: sizes.append(df._jdf.queryExecution().analyzed().toString().count("Relation")) or kept(df))
+    _, edges = graph(spark, [p for i in range(14) for p in ((i, i + 1), (i + 1, i))])
+    assert {r.node_id for r in lineage.on_cycles(edges).collect()} == {*range(15)}
+    assert len(sizes) > 20 and max(sizes) <= 12
+
+
 def test_nearest_on_a_ladder_ends(spark):
     """Thirty levels of two nodes, each with both nodes of the level before as parents: 2^30 paths, 61 rows."""
     pairs = [(0, 2), (0, 3)] + [(2 * i + a, 2 * i + 2 + b) for i in range(1, 30) for a in (0, 1) for b in (0, 1)]
