@@ -32,8 +32,11 @@ def connections(nodes: DataFrame, edges: DataFrame, active_nodes: bool = True) -
     return e.join(s, e._s == s.source_node_id).join(t, F.col("_t") == t.target_node_id).drop("_s", "_t")
 
 
-def reach(nodes: DataFrame, edges: DataFrame, start: DataFrame, upstream: bool, max_depth: int = 10) -> DataFrame:
-    """Every path from the start nodes (column ``node_id``) against or along the edges; cycles end a path."""
+def reach(nodes: DataFrame, edges: DataFrame, start: DataFrame, upstream: bool, max_depth: int | None = None) -> DataFrame:
+    """Every path from the start nodes (column ``node_id``) against or along the edges, to any depth; cycles end a path.
+
+    Only a report that is defined to a number of steps gives ``max_depth``.
+    """
     live = nodes.filter(F.col("status") == ACTIVE).select("node_id")
     e = edges.filter(F.col("status") == ACTIVE)
     src, dst = ("target_node_id", "source_node_id") if upstream else ("source_node_id", "target_node_id")

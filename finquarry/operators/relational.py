@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -99,7 +100,7 @@ def walk(start: DataFrame, edges: DataFrame, max_depth: int | None = None) -> Da
 
 
 def _levels(frontier: DataFrame, step, max_depth: int | None = None) -> DataFrame:
-    """All levels up to the first empty one: ``step(frontier, depth)`` gives the next."""
+    """All levels up to the first empty one: ``step(frontier, depth)`` gives the next. Many levels become one table, so no plan grows with the depth."""
     levels, depth = [frontier], 0
     while max_depth is None or depth < max_depth:
         depth += 1
@@ -107,10 +108,9 @@ def _levels(frontier: DataFrame, step, max_depth: int | None = None) -> DataFram
         if frontier.isEmpty():
             break
         levels.append(frontier)
-    out = levels[0]
-    for level in levels[1:]:
-        out = out.unionByName(level)
-    return out
+        if len(levels) > 16:
+            levels = [cut_lineage(reduce(DataFrame.unionByName, levels))]
+    return reduce(DataFrame.unionByName, levels)
 
 
 def hierarchy(nodes: DataFrame, node: str, parent: str) -> DataFrame:

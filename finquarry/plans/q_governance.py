@@ -264,17 +264,17 @@ def _(b):
     return N.connections(nodes(b), edges(b)).select("edge_id", "source_node_name", "source_table_name", "edge_type", "lineage_level", "target_node_name", "target_table_name")
 
 
-def _reach(name, upstream):
+def _reach(name, upstream, most=None):
     a, z = ("t", "s") if upstream else ("s", "t")
 
-    @query(name, f"WITH RECURSIVE {GRAPH}, w AS (SELECT node_id AS root, node_id AS node, 0::BIGINT AS depth, [node_id] AS path FROM an WHERE table_name = 'Brand#2' UNION ALL SELECT root, {z}, depth + 1, list_append(path, {z}) FROM w JOIN ae ON w.node = {a} JOIN an ON an.node_id = {z} WHERE NOT list_contains(path, {z}) AND depth < 10) SELECT root, node, depth, list_aggregate(path, 'string_agg', '>') AS path FROM w")
+    @query(name, f"WITH RECURSIVE {GRAPH}, w AS (SELECT node_id AS root, node_id AS node, 0::BIGINT AS depth, [node_id] AS path FROM an WHERE table_name = 'Brand#2' UNION ALL SELECT root, {z}, depth + 1, list_append(path, {z}) FROM w JOIN ae ON w.node = {a} JOIN an ON an.node_id = {z} WHERE NOT list_contains(path, {z}){f' AND depth < {most}' if most else ''}) SELECT root, node, depth, list_aggregate(path, 'string_agg', '>') AS path FROM w")
     def _(b):
         start = nodes(b).filter("status = 'ACTIVE' AND table_name = 'Brand#2'")
-        out = N.reach(nodes(b), edges(b), start, upstream)
+        out = N.reach(nodes(b), edges(b), start, upstream, most)
         return out.select("root", "node", "depth", F.array_join(F.transform("path", lambda x: x.cast("string")), ">").alias("path"))
 
 
-_reach("lineage_upstream", True)
+_reach("lineage_upstream", True, 10)
 _reach("lineage_downstream", False)
 
 
@@ -314,7 +314,7 @@ def _(b):
 @query("lineage_impact_chain", f"WITH RECURSIVE {GRAPH}, w AS (SELECT node_id AS root, node_id AS node, 0::BIGINT AS depth, [node_id] AS path FROM an WHERE column_name = 'ECONOMY' UNION ALL SELECT root, t, depth + 1, list_append(path, t) FROM w JOIN ae ON w.node = s JOIN an ON an.node_id = t WHERE NOT list_contains(path, t) AND depth < 10) SELECT CASE depth WHEN 1 THEN 'DIRECT IMPACT' WHEN 2 THEN 'SECONDARY IMPACT' ELSE 'TERTIARY IMPACT' END AS impact, table_name, count(*) AS paths FROM w JOIN an ON node = node_id WHERE depth > 0 GROUP BY ALL")
 def _(b):
     n = nodes(b)
-    out = N.reach(n, edges(b), n.filter("status = 'ACTIVE' AND column_name = 'ECONOMY'"), False).filter("depth > 0")
+    out = N.reach(n, edges(b), n.filter("status = 'ACTIVE' AND column_name = 'ECONOMY'"), False, 10).filter("depth > 0")
     return N.described(out, n, "table_name").groupBy(N.impact_label(F.col("depth")).alias("impact"), "table_name").agg(F.count("*").alias("paths"))
 
 
@@ -341,7 +341,7 @@ def _(b):
 @query("lineage_root_cause", f"WITH RECURSIVE {GRAPH}, w AS (SELECT node_id AS root, node_id AS node, 0::BIGINT AS depth, [node_id] AS path FROM an WHERE table_name = 'Brand#3' UNION ALL SELECT root, s, depth + 1, list_append(path, s) FROM w JOIN ae ON w.node = t JOIN an ON an.node_id = s WHERE NOT list_contains(path, s) AND depth < 10) SELECT root, node, depth, source_system, CASE depth WHEN 0 THEN 'PROBLEMATIC DATA' WHEN 1 THEN 'DIRECT SOURCE' WHEN 2 THEN 'ROOT SOURCE' ELSE 'ORIGIN' END AS source_type FROM w JOIN an ON node = node_id")
 def _(b):
     n = nodes(b)
-    out = N.reach(n, edges(b), n.filter("status = 'ACTIVE' AND table_name = 'Brand#3'"), True)
+    out = N.reach(n, edges(b), n.filter("status = 'ACTIVE' AND table_name = 'Brand#3'"), True, 10)
     return N.described(out, n, "source_system").select("root", "node", "depth", "source_system", N.depth_label(F.col("depth")).alias("source_type"))
 
 

@@ -2,9 +2,11 @@
 
 import random
 
+import duckdb
 import pytest
 
 from finquarry.operators import lineage
+from finquarry.plans import QUERIES
 
 
 def graph(spark, pairs):
@@ -71,6 +73,38 @@ def test_levels_send_nothing_to_the_driver(spark, monkeypatch, follow):
     assert len(plans) > 4 and not any("Broadcast" in p for p in plans)
 
 
+def test_paths_go_on_to_their_end(spark):
+    """Forty steps, past a cycle: every path, and one plan of few tables for them."""
+    nodes, edges = graph(spark, [(i, i + 1) for i in range(40)] + [(40, 20), (30, 3)])
+    down = lineage.reach(nodes, edges, nodes.filter("node_id = 0"), False)
+    assert sorted((r.node, r.depth, r.path) for r in down.collect()) == [(i, i, [*range(i + 1)]) for i in range(41)]
+    assert down._jdf.queryExecution().analyzed().toString().count("LogicalRDD") <= 17
+    assert {r.depth for r in lineage.reach(nodes, edges, nodes.filter("node_id = 0"), False, 4).collect()} == {0, 1, 2, 3, 4}
+
+
+@pytest.fixture
+def deep_parts(spark, tmp_path):
+    """Parts 1, 4, 16 ... 4^12: a chain of twelve edges in the graph of the queries, and three parts beside it."""
+    rows = [(4**i, f"n{i}", "Brand#2" if i in (0, 12) else "Brand#3", "ECONOMY" if i == 0 else "SMALL", 9, 1.0) for i in range(13)] + [(2, "x", "Brand#9", "PROMO", 9, 1.0), (8, "y", "Brand#8", "PROMO", 9, 1.0), (34, "z", "Brand#7", "PROMO", 9, 1.0)]
+    spark.createDataFrame(rows, "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    return str(tmp_path)
+
+
+def checked_by_sql(spark, name, sf):
+    """What the query returns, after it was held against what its SQL returns."""
+    engine = duckdb.connect()
+    engine.sql(f"CREATE VIEW part AS FROM '{sf}/part.parquet/*.parquet'")
+    got = sorted(tuple(r) for r in QUERIES[name].run(spark, sf).collect())
+    assert got == sorted(engine.sql(QUERIES[name].sql).fetchall())
+    return got
+
+
+def test_downstream_query_has_no_last_step(spark, deep_parts):
+    got = checked_by_sql(spark, "lineage_downstream", deep_parts)
+    assert [r[2] for r in got if r[0] == 1] == [*range(13)] and got[12][1] == 4**12
+    assert max(r[2] for r in checked_by_sql(spark, "lineage_upstream", deep_parts)) == 10
+
+
 def test_validate_sends_nothing_to_the_driver(spark, monkeypatch):
     """Ends, rings, crossing cycles and what hangs between them: no round and no count broadcasts the graph."""
     plans = []
