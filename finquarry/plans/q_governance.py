@@ -311,10 +311,10 @@ def _(b):
     return N.described(out, n, "source_system").select("root", "node", "depth", "source_system", N.depth_label(F.col("depth")).alias("source_type"))
 
 
-@query("lineage_impact_chain", f"WITH RECURSIVE {GRAPH}, w AS (SELECT node_id AS root, node_id AS node, 0::BIGINT AS depth, [node_id] AS path FROM an WHERE column_name = 'ECONOMY' UNION ALL SELECT root, t, depth + 1, list_append(path, t) FROM w JOIN ae ON w.node = s JOIN an ON an.node_id = t WHERE NOT list_contains(path, t) AND depth < 10) SELECT CASE depth WHEN 1 THEN 'DIRECT IMPACT' WHEN 2 THEN 'SECONDARY IMPACT' ELSE 'TERTIARY IMPACT' END AS impact, table_name, count(*) AS paths FROM w JOIN an ON node = node_id WHERE depth > 0 GROUP BY ALL")
+@query("lineage_impact_chain", f"WITH RECURSIVE {GRAPH}, w AS (SELECT node_id AS root, node_id AS node, 0::BIGINT AS depth, [node_id] AS path FROM an WHERE column_name = 'ECONOMY' UNION ALL SELECT root, t, depth + 1, list_append(path, t) FROM w JOIN ae ON w.node = s JOIN an ON an.node_id = t WHERE NOT list_contains(path, t)) SELECT CASE depth WHEN 1 THEN 'DIRECT IMPACT' WHEN 2 THEN 'SECONDARY IMPACT' ELSE 'TERTIARY IMPACT' END AS impact, table_name, count(*) AS paths FROM w JOIN an ON node = node_id WHERE depth > 0 GROUP BY ALL")
 def _(b):
     n = nodes(b)
-    out = N.reach(n, edges(b), n.filter("status = 'ACTIVE' AND column_name = 'ECONOMY'"), False, 10).filter("depth > 0")
+    out = N.reach(n, edges(b), n.filter("status = 'ACTIVE' AND column_name = 'ECONOMY'"), False).filter("depth > 0")
     return N.described(out, n, "table_name").groupBy(N.impact_label(F.col("depth")).alias("impact"), "table_name").agg(F.count("*").alias("paths"))
 
 

@@ -105,6 +105,10 @@ def test_downstream_query_has_no_last_step(spark, deep_parts):
     assert max(r[2] for r in checked_by_sql(spark, "lineage_upstream", deep_parts)) == 10
 
 
+def test_impact_chain_counts_paths_of_any_length(spark, deep_parts):
+    assert sorted(checked_by_sql(spark, "lineage_impact_chain", deep_parts)) == [("DIRECT IMPACT", "Brand#3", 1), ("SECONDARY IMPACT", "Brand#3", 1), ("TERTIARY IMPACT", "Brand#2", 1), ("TERTIARY IMPACT", "Brand#3", 9)]
+
+
 def test_validate_sends_nothing_to_the_driver(spark, monkeypatch):
     """Ends, rings, crossing cycles and what hangs between them: no round and no count broadcasts the graph."""
     plans = []
