@@ -244,11 +244,13 @@ def on_cycles(edges: DataFrame) -> DataFrame:
         # edges noted before that are now part of a longer one
         inside = inside.join(ends.select("_n", "up").hint("merge"), F.col("a") == F.col("_n"), "left").withColumn("a", F.coalesce("up", "a")).drop("_n", "up")
         inside = inside.join(ends.select("_n", "down").hint("merge"), F.col("b") == F.col("_n"), "left").withColumn("b", F.coalesce("down", "b")).drop("_n", "down")
-        inside = cut_lineage(inside.union(ends.select("_n", "up", "down")))
+        noted = cut_lineage(inside.union(ends.select("_n", "up", "down")))
+        # an edge back to its own node is a cycle whatever becomes of that node, which may join a chain later
+        inside, closed = noted.filter("a <> b"), noted.filter("a = b").select("node", F.col("a").alias("group"))
         gone = chains.select(F.col("node").alias("_n")).hint("merge")
         left = core.join(gone, F.col("src") == F.col("_n"), "left_anti").join(gone, F.col("dst") == F.col("_n"), "left_anti")
         core = cut_lineage(left.union(ends.select("up", "down")).distinct())
-        found = _few([*found, rings, core.filter("src = dst").select(F.col("src").alias("node"), F.col("src").alias("group"))])
+        found = _few([*found, rings, closed, core.filter("src = dst").select(F.col("src").alias("node"), F.col("src").alias("group"))])
         core = core.filter("src <> dst")
         before, size = size, core.count()
         if size == before:
@@ -262,7 +264,7 @@ def on_cycles(edges: DataFrame) -> DataFrame:
     found = cut_lineage(reduce(DataFrame.union, found).distinct())
     one, two = found.toDF("a", "_g").hint("merge"), found.toDF("b", "_h").hint("merge")
     beside = inside.join(one, "a").join(two, "b").filter("_g = _h").select("node")
-    return found.select("node").union(beside).union(inside.filter("a = b").select("node")).distinct().withColumnRenamed("node", "node_id")
+    return found.select("node").union(beside).distinct().withColumnRenamed("node", "node_id")
 
 
 def validate(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -46,6 +46,14 @@ def test_nodes_on_cycles_equal_brute_force(spark, seed):
     assert got == brute_cycles(pairs)
 
 
+def test_a_loop_beside_a_node_between_cycles(spark):
+    """10 and 11 are a loop; without it, 10 is a chain between two components, which must not take 11 along."""
+    three = lambda a: [(a + i, a + j) for i in range(3) for j in range(3) if i != j]
+    pairs = [*three(1), *three(4), (3, 10), (10, 11), (11, 10), (10, 4), (11, 12), (12, 11)]
+    _, edges = graph(spark, pairs)
+    assert {r.node_id for r in lineage.on_cycles(edges).collect()} == brute_cycles(pairs) == {1, 2, 3, 4, 5, 6, 10, 11, 12}
+
+
 @pytest.mark.parametrize("closed", [False, True])
 def test_a_long_chain_takes_few_rounds(spark, monkeypatch, closed):
     rounds = []
